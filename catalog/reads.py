@@ -257,8 +257,8 @@ def embedding_points(spark: SparkSession, sf_dir: str, size: int = 100) -> DataF
     vectors = table(spark, sf_dir, "embeddings")
     last = vectors.agg(F.max(F.expr(f"vec_id div {size}")).alias("last_no"))
     marked = vectors.withColumn("last_no", last.scalar())
-    parity = F.when(F.col("vec_id") % 2 == 0, "even").otherwise("odd")
-    payload = F.struct(F.col("label").alias("label"), F.struct(parity.alias("parity")).alias("tags"))
+    sign = F.when(F.element_at("embedding", 1) > 0, "plus").otherwise("minus")
+    payload = F.struct(F.col("label").alias("label"), F.struct(sign.alias("sign")).alias("tags"))
     item = obj(
         F.col("vec_id").alias("id"),
         F.col("embedding").alias("vector"),
@@ -297,10 +297,10 @@ def vector_points_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT CAST(vec_id AS VARCHAR) AS id, 'tenant-' || label AS shard_key
-FROM embeddings WHERE label = 3 AND vec_id % 2 = 0""")
+FROM embeddings WHERE label = 3 AND embedding[1] > 0""")
 def json_filter_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     condition = {
-        "must": [{"key": "label", "match": {"value": 3}}, {"key": "tags.parity", "match": {"value": "even"}}]
+        "must": [{"key": "label", "match": {"value": 3}}, {"key": "tags.sign", "match": {"value": "plus"}}]
     }
     rows = points.points(landed(embedding_points(spark, sf_dir), "points"), with_vector=False, condition=condition)
     return rows.select("id", "shard_key")

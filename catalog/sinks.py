@@ -316,7 +316,7 @@ SELECT vec_id AS id, CAST(len(embedding) AS INTEGER) AS dimensions, CAST(embeddi
        CASE WHEN label <> 9 THEN label END AS label, CASE WHEN label > 4 THEN 'tenant-' || label END AS shard_key
 FROM embeddings""")
 def vector_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    outbox = points.point_outbox(point_rows(spark, sf_dir), "c")
+    outbox = points.point_outbox(point_rows(spark, sf_dir), "c", "id")
     point = "id: BIGINT, vector: ARRAY<FLOAT>, payload: STRUCT<label: INT>, shard_key: STRING"
     parsed = outbox.select(F.inline(F.from_json("body", f"points ARRAY<STRUCT<{point}>>")["points"]))
     return parsed.select(
@@ -334,7 +334,7 @@ SELECT 'PUT' AS method, '/collections/c/points?wait=true' AS path, CAST(count(*)
 FROM (SELECT vec_id, (row_number() OVER (ORDER BY vec_id) - 1) // 100 AS batch_no FROM embeddings)
 GROUP BY batch_no""")
 def vector_upsert_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    outbox = points.point_outbox(point_rows(spark, sf_dir), "c")
+    outbox = points.point_outbox(point_rows(spark, sf_dir), "c", "id")
     first = F.get_json_object("body", "$.points[0].id").cast("long")
     return outbox.select("method", "path", "n_records", first.alias("first_id"))
 
@@ -377,9 +377,10 @@ SELECT sum(n) AS processed, sum(CASE b % 5 WHEN 3 THEN n - 1 WHEN 0 THEN n ELSE
 FROM (SELECT o_orderkey // 200 AS b, count(*) AS n FROM orders GROUP BY 1)""")
 def delivery_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     outbox = record_batches(spark, sf_dir)
-    outcomes = deliver(outbox, scripted_send, new_path(spark, "outcomes"))
+    path = new_path(spark, "outcomes")
+    deliver(outbox, scripted_send, path)
     # A second run skips what was accepted and tries the rest again.
-    outcomes = deliver(outbox, scripted_send, new_path(spark, "outcomes"))
+    outcomes = deliver(outbox, scripted_send, path)
     return stats(outbox, outcomes, "method")
 
 

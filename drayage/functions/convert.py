@@ -21,7 +21,7 @@ def strip_line_end(col: Column) -> Column:
 
 def safe_double(col: Column, default: float | None = None) -> Column:
     """A double, or ``default`` where the text is empty or no number."""
-    value = F.nullif(strip(col.cast("string")), F.lit("")).try_cast("double")
+    value = col.try_cast("double")
     return value if default is None else F.coalesce(value, F.lit(float(default)))
 
 

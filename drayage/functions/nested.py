@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +40,7 @@ def is_json(col: Column) -> Column:
 def json_text(df: DataFrame, name: str, on_bad: str = "fail") -> Column:
     """A column as JSON text: text is checked and kept, any other value is serialised.
 
-    Invalid text raises an error that names the column; ``on_bad="null"`` yields null.
+    The text ``null`` is a null.  Invalid text raises an error that names the column; ``on_bad="null"`` yields null.
     """
     data_type = df.schema[name].dataType
     col = F.col(f"`{name}`")
@@ -49,19 +51,18 @@ def json_text(df: DataFrame, name: str, on_bad: str = "fail") -> Column:
         if on_bad == "fail"
         else F.lit(None).cast("string")
     )
-    return F.when(col.isNull() | is_json(col), col).otherwise(bad)
+    empty = col.isNull() | (F.btrim(col) == "null")
+    return F.when(empty, F.lit(None).cast("string")).when(is_json(col), col).otherwise(bad)
 
 
 def scalar_json(col: Column) -> Column:
     """A scalar as JSON text; null stays null."""
-    wrapped = F.to_json(F.struct(col.alias("v")))
-    return F.when(col.isNotNull(), F.substring(wrapped, 6, F.length(wrapped) - 6))
+    return _matched(F.to_json(F.struct(col.alias("v"))), r'(?s)\A\{"v":(.*)\}\z', 1)
 
 
 def members(*fields: Column) -> Column:
     """The non-null fields as JSON members without braces, or null where none is left."""
-    text = F.to_json(F.struct(*fields))
-    return F.nullif(F.substring(text, 2, F.length(text) - 2), F.lit(""))
+    return _matched(F.to_json(F.struct(*fields)), r"(?s)\A\{(.+)\}\z", 1)
 
 
 def member(name: str, json: Column) -> Column:
@@ -75,7 +76,17 @@ def json_object(*parts: Column) -> Column:
 
 
 def json_object_or_null(*parts: Column) -> Column:
-    return F.nullif(json_object(*parts), F.lit("{}"))
+    return _matched(json_object(*parts), r"(?s)\A\{.+\}\z", 0)
+
+
+def any_filled(names: list[str]) -> Column:
+    """Whether a row has a value in at least one of the columns."""
+    return reduce(Column.__or__, [F.col(f"`{n}`").isNotNull() for n in names], F.lit(False))
+
+
+def _matched(text: Column, pattern: str, group: int) -> Column:
+    """The group of the first match, or null; names ``text`` once, so it is built once per row."""
+    return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.lit(0))
 
 
 def _is_complex(data_type: T.DataType) -> bool:

@@ -6,6 +6,7 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from drayage.scratch import stage
 
@@ -14,24 +15,26 @@ _POSITION_BITS = 33
 
 
 def dense_index(df: DataFrame, *order_by: str, name: str = "idx") -> DataFrame:
-    """Number the rows 0..n-1 in the order of ``order_by``.
+    """Number the rows 0..n-1, in the order of ``order_by`` or else as they come.
 
     Rows are range-partitioned, so every executor numbers its own range.  The numbered
     ranges are staged once; one count per range then gives the offset of each.  Rows that
     agree on all of ``order_by`` are ordered by input position, so that a heavily repeated
-    key is spread over several ranges.
+    key is spread over several ranges.  Without ``order_by`` there is no shuffle at all, and
+    the numbers hold for this run only.
 
     Index the rows first and build payloads afterwards: the range sampling reads ``df`` twice.
     """
-    order = [F.col(f"`{c}`") for c in order_by] + [F.col("_tie")]
-    ranges = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .drop("_tie")
-        .withColumn("_pos", F.monotonically_increasing_id())
-    )
-    staged = stage(ranges, "index")
+    ranges = df
+    if order_by:
+        order = [F.col(f"`{c}`") for c in order_by] + [F.col("_tie")]
+        ranges = (
+            df.withColumn("_tie", F.monotonically_increasing_id())
+            .repartitionByRange(*order)
+            .sortWithinPartitions(*order)
+            .drop("_tie")
+        )
+    staged = stage(ranges.withColumn("_pos", F.monotonically_increasing_id()), "index")
     range_no = F.shiftright("_pos", _POSITION_BITS)
     counts = sorted(staged.groupBy(range_no.alias("r")).count().collect())
     starts = accumulate((n for _, n in counts), initial=0)
@@ -60,6 +63,19 @@ def batch_assign(df: DataFrame, size: int, *order_by: str) -> DataFrame:
     )
 
 
+def orderable(schema: T.StructType) -> list[str]:
+    """Columns that rows can be ordered by; together they order rows the same way on every run."""
+    return [f.name for f in schema.fields if _has_order(f.dataType)]
+
+
+def _has_order(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.StructType):
+        return all(_has_order(f.dataType) for f in data_type.fields)
+    if isinstance(data_type, T.ArrayType):
+        return _has_order(data_type.elementType)
+    return not isinstance(data_type, (T.MapType, T.VariantType))
+
+
 def collect_batches(batched: DataFrame, payload: Column, *keep: Column) -> DataFrame:
     """One row per batch with its payload texts in order; a group never exceeds the batch size."""
     ordered = F.array_sort(F.collect_list(F.struct("seq", "_payload")))

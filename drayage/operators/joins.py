@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side is proven to hold at most this many rows before the hint is given.
-BROADCAST_ROWS = 200_000
+from drayage.scratch import stage
 
+# A broadcast side is proven to stay within both bounds before the hint is given.
+BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 * 1024 * 1024
 
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than one row beyond it."""
-    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
+
+def is_bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows of ``max_bytes`` in all, as JSON text.
+
+    Only row lengths reach the driver, no more than one beyond the bound, and a large frame
+    is read no further than that.
+    """
+    lengths = df.select(F.octet_length(F.to_json(F.struct("*")))).head(max_rows + 1)
+    return len(lengths) <= max_rows and sum(row[0] for row in lengths) <= max_bytes
 
 
 def join_keyed(
@@ -44,12 +52,9 @@ def join_keyed(
 def hot_keys(df: DataFrame, on: str) -> list:
     """Keys that hold more rows than half an even shuffle partition."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = df.count()
-    # More than total / (2 * partitions) rows each: no more than 2 * partitions keys qualify.
-    frequent = (
-        df.where(F.col(on).isNotNull())
-        .groupBy(on)
-        .count()
-        .where(F.col("count") * (2 * partitions) > F.lit(total))
-    )
+    # One pass over the rows; the counts have one row per key and are staged for the two reads.
+    counts = stage(df.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("n")), "key-counts")
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # More than total / (2 * partitions) rows each: fewer than 2 * partitions keys qualify.
+    frequent = counts.where(F.col("n") * (2 * partitions) > F.lit(total))
     return [row[0] for row in frequent.select(on).collect()]

@@ -10,6 +10,7 @@ import json
 from collections.abc import Callable
 from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -17,6 +18,8 @@ from pyspark.sql.streaming import DataStreamWriter
 from drayage import wire
 from drayage.functions.sheets import csv_export_url, is_sheet_url, spreadsheet_id, worksheet_id
 from drayage.landed import Follow, Get, fetch, fetch_chain
+from drayage.operators.batching import orderable
+from drayage.operators.contract import check_against
 from drayage.operators.deliver import Send, deliver
 from drayage.operators.outcomes import delivery_stats
 from drayage.options import OptionSpec
@@ -26,8 +29,7 @@ from drayage.plans.regions import DEFAULT_REGION, REGIONS
 from drayage.scratch import new_path, stage
 from drayage.sinks import events, files as file_sinks, issues, list_items, pages as page_sink, points as point_sink
 from drayage.sinks import records, versions
-from drayage.sources import aircraft, files, generate, jdbc, market, pages, points, rest_demo, tracker, weather
-from drayage.sources.arrow_ipc import ArrowFiles
+from drayage.sources import aircraft, arrow_ipc, files, generate, jdbc, market, pages, points, rest_demo, tracker, weather
 from drayage.streaming.outboxes import outbox_stream
 from drayage.streaming.readers import counter_stream, landed_stream, new_file_stream, rate_stream
 
@@ -138,8 +140,12 @@ ALIASES = {"pyspark.datasource.salesforce": "salesforce", "pyspark.datasource.sh
 
 
 def register(spark: SparkSession) -> None:
-    """Make ``spark.read.format("arrow")`` and ``df.write.format("arrow")`` known."""
-    spark.dataSource.register(ArrowFiles)
+    """Make ``spark.read.format("arrow")`` and ``df.write.format("arrow")`` known.
+
+    The source travels with its code, so executors need not have this package installed.
+    """
+    cloudpickle.register_pickle_by_value(arrow_ipc)
+    spark.dataSource.register(arrow_ipc.ArrowFiles)
 
 
 def read(spark: SparkSession, name: str, get: Get | None = None, max_in_flight: int = 8, **options: Any) -> DataFrame:
@@ -198,14 +204,17 @@ def write_stream(rows: DataFrame, name: str, path: str, checkpoint: str, **optio
     given = _check(WRITE_OPTIONS, "write_stream", name, options)
     if name in _FILE_WRITERS:
         raise ValueError(f"{name} is no streaming sink")
-    return outbox_stream(rows, lambda batch: build_outbox(batch, name, given), path, checkpoint)
+    # Ordered, so that a replayed micro-batch fills the same requests with the same rows.
+    order_by = orderable(rows.schema)
+    return outbox_stream(rows, lambda batch: build_outbox(batch, name, given, *order_by), path, checkpoint)
 
 
-def build_outbox(df: DataFrame, name: str, given: dict[str, Any]) -> DataFrame:
+def build_outbox(df: DataFrame, name: str, given: dict[str, Any], *order_by: str) -> DataFrame:
     if name == "meta_capi":
         return events.event_outbox(
             df,
             given["pixel_id"],
+            *order_by,
             batch_size=given["batch_size"],
             api_version=given["api_version"],
             test_event_code=given["test_event_code"],
@@ -215,9 +224,12 @@ def build_outbox(df: DataFrame, name: str, given: dict[str, Any]) -> DataFrame:
     if name == "notion":
         return page_sink.page_outbox(df, given["database_id"])
     if name == "qdrant":
-        return point_sink.point_outbox(df, given["collection"], "id", given["batch_size"], given["wait"])
+        return point_sink.point_outbox(
+            df, given["collection"], *order_by, batch_size=given["batch_size"], wait=given["wait"]
+        )
     if name == "salesforce":
-        return records.record_outbox(df, given["salesforce_object"], batch_size=given["batch_size"])
+        check_against(df, records.target_schema(given["schema"]))
+        return records.record_outbox(df, given["salesforce_object"], *order_by, batch_size=given["batch_size"])
     return list_items.resource_outbox(
         df, given["resource"], site_id=given["site_id"], list_id=given["list_id"], fields=given["fields"]
     )

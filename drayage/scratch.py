@@ -18,7 +18,8 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        return configured.rstrip("/")
+        system, folder = _hadoop_path(spark, configured)
+        return system.makeQualified(folder).toString()
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")

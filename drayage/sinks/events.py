@@ -105,9 +105,12 @@ def event_outbox(
     api_version: str = DEFAULT_API_VERSION,
     test_event_code: str | None = None,
 ) -> DataFrame:
-    """Requests of up to ``batch_size`` events each.  The access token is added on sending."""
+    """Requests of up to ``batch_size`` events each, in the order of ``order_by`` or else as they come.
+
+    The access token is added on sending.
+    """
     good, _ = split_events(rows)
-    batched = batch_assign(good, batch_size, *(order_by or rows.columns))
+    batched = batch_assign(good, batch_size, *order_by)
     batches = collect_batches(batched, event_json(rows.schema))
     suffix = "]}"
     if test_event_code is not None:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from drayage import outbox
-from drayage.functions.nested import json_object_or_null, member, members
+from drayage.functions.nested import any_filled, json_object, json_object_or_null, member, members
 
 # Fields the tracker does not take from a writer.
 READ_ONLY = ("created", "updated", "status", "resolution", "creator")
@@ -28,18 +28,18 @@ def issue_outbox(
     has_key = F.coalesce(F.col("key").cast("string") != "", F.lit(False)) if "key" in names else F.lit(False)
     writable = [n for n in names if n != "key" and n not in READ_ONLY]
 
-    update = json_object_or_null(members(*[F.col(f"`{n}`") for n in writable])) if writable else F.lit(None)
+    update = json_object(members(*[F.col(f"`{n}`") for n in writable]))
     plain = [F.col(f"`{n}`") for n in writable if n not in ("project", "issuetype")]
-    create = json_object_or_null(
+    create = json_object(
         *([members(*plain)] if plain else []),
         _reference("project", "key", names, project),
         _reference("issuetype", "name", names, issuetype),
     )
-    fields = F.when(has_key, update).otherwise(create)
     key = F.col("key").cast("string") if "key" in names else F.lit(None).cast("string")
-    new_key = F.sha2(F.concat_ws("\u001f", *[F.col(c).cast("string") for c in content_keys], create), 256)
+    sent = rows.where(~has_key | any_filled(writable)).withColumn("_fields", F.when(has_key, update).otherwise(create))
+    new_key = F.sha2(F.concat_ws("\u001f", *[F.col(c).cast("string") for c in content_keys], "_fields"), 256)
     return outbox.single_requests(
-        rows.withColumn("_fields", fields).where(F.col("_fields").isNotNull()),
+        sent,
         "issue",
         F.when(has_key, "PUT").otherwise("POST"),
         F.when(has_key, F.concat(F.lit("/rest/api/2/issue/"), key)).otherwise("/rest/api/2/issue"),

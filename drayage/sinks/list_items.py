@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from drayage import outbox
-from drayage.functions.nested import json_object_or_null, members
+from drayage.functions.nested import any_filled, json_object, members
 
 # A resource turns rows into an outbox; further kinds are added with ``register_resource``.
 Resource = Callable[..., DataFrame]
@@ -36,8 +36,8 @@ def mapped_records(rows: DataFrame, fields: Mapping[str, str]) -> DataFrame:
 def list_item_outbox(rows: DataFrame, site_id: str, list_id: str, fields: Mapping[str, str], *content_keys: str):
     """One request per row with at least one filled field."""
     mapped_records(rows, fields)  # the names are checked before any row is read
-    item = json_object_or_null(members(*[F.col(f"`{old}`").alias(new) for old, new in fields.items()]))
-    filled = rows.withColumn("_item", item).where(F.col("_item").isNotNull())
+    item = json_object(members(*[F.col(f"`{old}`").alias(new) for old, new in fields.items()]))
+    filled = rows.where(any_filled(list(fields))).withColumn("_item", item)
     key = F.sha2(F.concat_ws("\u001f", *[F.col(c).cast("string") for c in content_keys], "_item"), 256)
     return outbox.single_requests(
         filled,

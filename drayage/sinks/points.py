@@ -25,9 +25,10 @@ def point_json(rows: DataFrame) -> Column:
 
 
 def point_outbox(
-    rows: DataFrame, collection: str, order_by: str = "id", batch_size: int = DEFAULT_BATCH, wait: bool = True
+    rows: DataFrame, collection: str, *order_by: str, batch_size: int = DEFAULT_BATCH, wait: bool = True
 ) -> DataFrame:
-    batched = batch_assign(rows, batch_size, order_by)
+    """Upserts of up to ``batch_size`` points each, in the order of ``order_by`` or else as they come."""
+    batched = batch_assign(rows, batch_size, *order_by)
     batches = collect_batches(batched, point_json(rows))
     path = f"/collections/{collection}/points?wait={str(wait).lower()}"
     return outbox.batch_requests(batches, f"points-{collection}", "PUT", path, '{"points":[', "]}").select(

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from drayage import outbox
 from drayage.functions.convert import record_value
-from drayage.functions.nested import json_object, member, members
+from drayage.functions.nested import any_filled, json_object, member, members
 from drayage.operators.batching import batch_assign, collect_batches
 
 DEFAULT_BATCH = 200
@@ -32,8 +32,8 @@ def record_members(schema: T.StructType) -> Column:
 
 def assigned_records(rows: DataFrame, *order_by: str, batch_size: int = DEFAULT_BATCH) -> DataFrame:
     """Rows that have content, with their batch and the reference id they carry in its request."""
-    filled = rows.where(record_members(rows.schema).isNotNull())
-    batched = batch_assign(filled, batch_size, *(order_by or rows.columns))
+    filled = rows.where(any_filled(rows.columns))
+    batched = batch_assign(filled, batch_size, *order_by)
     return batched.withColumn("reference_id", F.concat(F.lit("ref"), F.col("seq").cast("string")))
 
 

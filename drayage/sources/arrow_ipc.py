@@ -41,8 +41,11 @@ DEFAULT_SPLIT_BYTES = 128 * 1024 * 1024
 
 
 def open_path(path: str) -> tuple[fs.FileSystem, str]:
-    if "://" in path or path.startswith("file:/"):
-        return fs.FileSystem.from_uri(path if "://" in path else path.replace("file:/", "file:///", 1))
+    """The file system of a path as Spark writes it, and the path inside."""
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = path.replace("file:/", "file:///", 1)
+    if "://" in path:
+        return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
     return fs.LocalFileSystem(), path
 
 

@@ -78,11 +78,14 @@ def read_dataset_csv(
 
 
 def read_lines(spark: SparkSession, path: str, recursive: bool = False, pattern: str | None = None) -> DataFrame:
-    """One row ``value`` per line of a file or folder, without the line end."""
+    """One row ``value`` per line of a file or folder, without the line end.
+
+    As everywhere in Spark, files whose name starts with ``_`` or ``.`` are not read.
+    """
     reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", recursive)
     if pattern is not None:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.text(path).withColumn("value", strip_line_end(F.col("value")))
+    return reader.text(path).select(strip_line_end(F.col("value")).alias("value"))
 
 
 def new_files(listing: DataFrame, seen: DataFrame, key: str = "path") -> DataFrame:
