@@ -40,7 +40,7 @@ PAGES_PER_QUERY = 100
 DATABASE_OPTIONS = {"dbtable": None, "query": None, "partition_column": None, "lower": None, "upper": None}
 
 READ_OPTIONS = {
-    "arrow": OptionSpec("arrow", ("path",), {"splitBytes": None, "pushdown": "false"}),
+    "arrow": OptionSpec("arrow", ("path",), {"splitBytes": None}),
     "fake": OptionSpec("fake", (), {"numRows": 3, "numPartitions": None, "seed": 0, "schema": None}, positive=("numRows",)),
     "github": OptionSpec("github", ("path",), {"token": None}),
     "googlesheets": OptionSpec(

@@ -8,11 +8,15 @@ executor and is read back by column.  The folder is the one the cluster names in
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_SCOPE = threading.local()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -42,10 +46,25 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back."""
     spark = df.sparkSession
     path = new_path(spark, label)
+    for held in getattr(_SCOPE, "paths", []):
+        held.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete what this thread stages inside, once it is done; for work that repeats forever."""
+    held: list[str] = []
+    _SCOPE.paths = [*getattr(_SCOPE, "paths", []), held]
+    try:
+        yield
+    finally:
+        _SCOPE.paths = _SCOPE.paths[:-1]
+        for path in held:
+            delete(spark, path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     system, folder = _hadoop_path(spark, path)
     return system.exists(folder)
@@ -62,7 +81,11 @@ def batch_numbers(spark: SparkSession, path: str) -> list[int]:
 
 def release(spark: SparkSession) -> None:
     """Delete everything this application has staged."""
-    system, folder = _hadoop_path(spark, run_folder(spark))
+    delete(spark, run_folder(spark))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    system, folder = _hadoop_path(spark, path)
     system.delete(folder, True)
 
 

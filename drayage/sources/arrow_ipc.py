@@ -12,26 +12,17 @@ from __future__ import annotations
 import fnmatch
 import posixpath
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import types as T
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
     DataSourceReader,
-    EqualTo,
-    Filter,
-    GreaterThan,
-    GreaterThanOrEqual,
-    In,
     InputPartition,
-    IsNotNull,
-    LessThan,
-    LessThanOrEqual,
     WriterCommitMessage,
 )
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
@@ -92,8 +83,6 @@ class ArrowFiles(DataSource):
             return from_arrow_schema(reader.schema, prefer_timestamp_ntz=True)
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        if str(self.options.get("pushdown", "false")).lower() == "true":
-            return FilteringArrowReader(schema, self.options)
         return ArrowReader(schema, self.options)
 
     def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceArrowWriter:
@@ -105,7 +94,6 @@ class ArrowReader(DataSourceReader):
         self.schema = schema
         self.path = options["path"]
         self.split_bytes = int(options.get("splitBytes", DEFAULT_SPLIT_BYTES))
-        self.filters: list[Filter] = []
 
     def partitions(self) -> list[FileShare]:
         """At least one share per file; sizes come from the listing, so no footer is opened here."""
@@ -127,56 +115,11 @@ class ArrowReader(DataSourceReader):
                 first = total * partition.number // partition.shares
                 last = total * (partition.number + 1) // partition.shares
                 for i in range(first, last):
-                    batch = reader.get_batch(i).select(names)
-                    for condition in self.filters:
-                        batch = batch.filter(_mask(condition, batch))
-                    if batch.num_rows:
-                        yield batch
+                    yield reader.get_batch(i).select(names)
         except Exception as error:
             raise RuntimeError(f"Failed to read Arrow file {partition.path}: {error}") from error
 
 
-_COMPARISONS = {
-    EqualTo: pc.equal,
-    GreaterThan: pc.greater,
-    GreaterThanOrEqual: pc.greater_equal,
-    LessThan: pc.less,
-    LessThanOrEqual: pc.less_equal,
-}
-# Types that Arrow and Spark compare alike; floating point differs on NaN.
-_EXACT = (T.IntegralType, T.StringType, T.BooleanType, T.DateType)
-
-
-class FilteringArrowReader(ArrowReader):
-    """Applies simple filters to the batches before they reach the JVM.
-
-    Chosen by option ``pushdown`` and needs ``spark.sql.python.filterPushdown.enabled``.
-    """
-
-    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
-        for condition in filters:
-            if self._is_exact(condition):
-                self.filters.append(condition)
-            else:
-                yield condition
-
-    def _is_exact(self, condition: Filter) -> bool:
-        if type(condition) not in (*_COMPARISONS, In, IsNotNull) or len(condition.attribute) != 1:
-            return False
-        name = condition.attribute[0]
-        return name in self.schema.fieldNames() and isinstance(self.schema[name].dataType, _EXACT)
-
-
-def _mask(condition: Filter, batch: pa.RecordBatch) -> pa.Array:
-    column = batch.column(batch.schema.get_field_index(condition.attribute[0]))
-    if isinstance(condition, IsNotNull):
-        return pc.is_valid(column)
-    if isinstance(condition, In):
-        wanted = [v for v in condition.value if v is not None]
-        return pc.and_(pc.is_in(column, pa.array(wanted, column.type)), pc.is_valid(column))
-    return _COMPARISONS[type(condition)](column, pa.scalar(condition.value, column.type))
-
-
 @dataclass
 class WrittenFile(WriterCommitMessage):
     path: str | None
@@ -184,7 +127,10 @@ class WrittenFile(WriterCommitMessage):
 
 
 class ArrowWriter(DataSourceArrowWriter):
-    """Each task writes one file aside; the commit moves the files of successful tasks into place."""
+    """Each task writes one file aside; the commit moves the files of successful tasks into place.
+
+    A task that outlives a failed job may leave files in the staging folder, which no read lists.
+    """
 
     def __init__(self, schema: T.StructType, options, overwrite: bool) -> None:
         self.schema = schema
@@ -217,7 +163,7 @@ class ArrowWriter(DataSourceArrowWriter):
         written = sorted(m.path for m in messages if m is not None and m.path)
         if not written:
             empty = f"{staging}/part-{uuid.uuid4().hex}{SUFFIX}"
-            arrow_schema = to_arrow_schema(self.schema, timezone="UTC")
+            arrow_schema = to_arrow_schema(self.schema)
             with system.open_output_stream(empty) as sink, pa.ipc.new_file(sink, arrow_schema):
                 written = [empty]
         earlier = system.get_file_info(fs.FileSelector(folder)) if self.overwrite else []

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from drayage.landed import LANDED_SCHEMA
-from drayage.scratch import batch_numbers
+from drayage.scratch import batch_numbers, delete, stage, staging_scope
 from drayage.sources.aircraft import aircraft_states
 from drayage.sources.weather import next_offsets, newer_than
 
@@ -55,10 +55,15 @@ def incremental_stream(
         offsets = (
             spark.read.parquet(f"{offsets_path}/stream_batch={max(earlier)}") if earlier else first_offsets
         )
-        fresh = newer_than(batch, offsets, key, time)
-        fresh.write.mode("overwrite").parquet(f"{path}/stream_batch={batch_id}")
-        moved = next_offsets(batch, offsets, key, time)
-        moved.write.mode("overwrite").parquet(f"{offsets_path}/stream_batch={batch_id}")
+        with staging_scope(spark):
+            staged = stage(batch, "batch")
+            fresh = newer_than(staged, offsets, key, time)
+            fresh.write.mode("overwrite").parquet(f"{path}/stream_batch={batch_id}")
+            moved = next_offsets(staged, offsets, key, time)
+            moved.write.mode("overwrite").parquet(f"{offsets_path}/stream_batch={batch_id}")
+        # A replay needs the version before its own, and none before that.
+        for number in sorted(earlier)[:-1]:
+            delete(spark, f"{offsets_path}/stream_batch={number}")
 
     return entries.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
