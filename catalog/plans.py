@@ -10,7 +10,7 @@ from catalog.reads import embedding_points, part_pages
 from drayage.functions import convert, sheets
 from drayage.functions.nested import is_json, json_text
 from drayage.operators.contract import ColumnRule, contract_report as report
-from drayage.operators.rejects import split_valid
+from drayage.operators.rejects import REASON, with_reason
 from drayage.plans import paging, ranges, regions
 from drayage.sources import pages, points
 
@@ -62,14 +62,12 @@ SELECT CASE WHEN value < 1 THEN 'value too small' WHEN event_type = 'error' THEN
 FROM events GROUP BY 1""")
 def reject_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumn("props", damaged_props())
-    good, rejects = split_valid(
-        events, {"value too small": F.col("value") < 1, "props not valid JSON": ~is_json(F.col("props"))}
-    )
-    sides = good.select(F.lit("good").alias("side"), "event_id").unionByName(
-        rejects.select(F.col("reject_reason").alias("side"), "event_id")
-    )
-    return sides.groupBy("side").agg(
-        F.count("*").alias("n_rows"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id")
+    rules = {"value too small": F.col("value") < 1, "props not valid JSON": ~is_json(F.col("props"))}
+    side = F.coalesce(REASON, F.lit("good")).alias("side")
+    return (
+        with_reason(events, rules)
+        .groupBy(side)
+        .agg(F.count("*").alias("n_rows"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
     )
 
 

@@ -31,19 +31,25 @@ def run_to_table(stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
+def half_of(spark: SparkSession, path: str) -> int:
+    """Files per micro-batch for two micro-batches, whatever the size of the table."""
+    return max(1, -(-len(spark.read.parquet(path).inputFiles()) // 2))
+
+
 def stream_of(rows: DataFrame, label: str) -> DataFrame:
-    """The rows again, as a file stream of several micro-batches."""
+    """The rows again, as a file stream of two micro-batches."""
     spark = rows.sparkSession
     path = new_path(spark, label)
-    rows.repartition(4).write.parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.repartition(files).write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", half_of(spark, path)).parquet(path)
 
 
 @query(STATES_SQL)
 def aircraft_stream_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "landed")
     state_responses(spark, sf_dir).write.parquet(path)
-    states = aircraft_stream(landed_stream(spark, path, files_per_batch=2))
+    states = aircraft_stream(landed_stream(spark, path, files_per_batch=half_of(spark, path)))
     return flat_states(run_to_table(states, "states"))
 
 
@@ -109,7 +115,8 @@ SELECT count(*) AS n_lines, sum(length(value)) AS n_chars
 FROM (SELECT unnest(string_split(text, chr(10))) AS value FROM documents)""")
 def new_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "watched")
-    table(spark, sf_dir, "documents").select("text").repartition(4).write.text(path)
+    # A file is one row of the stream, so files are kept small.
+    table(spark, sf_dir, "documents").select("text").write.option("maxRecordsPerFile", 250).text(path)
     files = new_file_stream(spark, path, "*.txt").select("path", F.decode("content", "UTF-8").alias("content"))
     seen = run_to_table(files, "files")
     # Every file ends with a line feed, so the part after it is no line.

@@ -23,15 +23,16 @@ Get = Callable[[dict[str, Any]], tuple[int, str]]
 Follow = Callable[[dict[str, Any], int, str], dict[str, Any] | None]
 
 
-def fetch(requests: DataFrame, source: str, get: Get, max_in_flight: int = 8) -> DataFrame:
+def fetch(requests: DataFrame, source: str, get: Get, max_in_flight: int | None = None) -> DataFrame:
     """Fetch independent requests in parallel, one landed row each.
 
-    ``requests`` has ``request_key``, ``page_no`` and whatever else ``get`` needs.
+    ``requests`` has ``request_key``, ``page_no`` and whatever else ``get`` needs.  At most
+    ``max_in_flight`` requests run at once; without a limit the cluster sets the pace.
     """
     return _fetch(requests, source, get, lambda request, status, body: None, max_in_flight)
 
 
-def fetch_chain(requests: DataFrame, source: str, get: Get, follow: Follow, max_in_flight: int = 8) -> DataFrame:
+def fetch_chain(requests: DataFrame, source: str, get: Get, follow: Follow, max_in_flight: int | None = None) -> DataFrame:
     """Fetch page after page from each starting request until ``follow`` returns None.
 
     A chain is sequential by nature; parallelism comes from many chains, one per shard,
@@ -40,7 +41,12 @@ def fetch_chain(requests: DataFrame, source: str, get: Get, follow: Follow, max_
     return _fetch(requests, source, get, follow, max_in_flight)
 
 
-def _fetch(requests: DataFrame, source: str, get: Get, follow: Follow, max_in_flight: int) -> DataFrame:
+def in_flight(df: DataFrame, limit: int | None) -> int:
+    """The number of partitions that keeps within the limit."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if limit is None else limit
+
+
+def _fetch(requests: DataFrame, source: str, get: Get, follow: Follow, max_in_flight: int | None) -> DataFrame:
     columns = list(LANDED_COLUMNS)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -54,7 +60,7 @@ def _fetch(requests: DataFrame, source: str, get: Get, follow: Follow, max_in_fl
                     request = follow(request, status, body)
                     page_no += 1
 
-    return requests.repartition(max_in_flight).mapInPandas(run, LANDED_SCHEMA)
+    return requests.repartition(in_flight(requests, max_in_flight)).mapInPandas(run, LANDED_SCHEMA)
 
 
 def bodies(landed: DataFrame, on_error: str = "fail") -> DataFrame:

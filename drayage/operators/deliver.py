@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from drayage.landed import in_flight
 from drayage.operators.outcomes import NO_ANSWER, OUTCOME_SCHEMA, latest_outcome, succeeded
 from drayage.scratch import path_exists
 
@@ -17,8 +18,8 @@ from drayage.scratch import path_exists
 Send = Callable[[dict[str, Any]], dict[str, Any]]
 
 
-def attempt_all(outbox: DataFrame, send: Send, max_in_flight: int) -> DataFrame:
-    """One outcome row per request; as many requests run at once as there are partitions.
+def attempt_all(outbox: DataFrame, send: Send, max_in_flight: int | None) -> DataFrame:
+    """One outcome row per request, at most ``max_in_flight`` at once; else the cluster sets the pace.
 
     The frame is lazy and every evaluation sends again: write it once, as ``deliver`` does.
     """
@@ -49,10 +50,10 @@ def attempt_all(outbox: DataFrame, send: Send, max_in_flight: int) -> DataFrame:
             out["n_accepted"] = out["n_accepted"].astype("Int32")
             yield out
 
-    return outbox.repartition(max_in_flight, "idem_key").mapInPandas(run, OUTCOME_SCHEMA)
+    return outbox.repartition(in_flight(outbox, max_in_flight), "idem_key").mapInPandas(run, OUTCOME_SCHEMA)
 
 
-def deliver(outbox: DataFrame, send: Send, outcomes_path: str, max_in_flight: int = 8) -> DataFrame:
+def deliver(outbox: DataFrame, send: Send, outcomes_path: str, max_in_flight: int | None = None) -> DataFrame:
     """Send what has not succeeded yet, append the outcomes to a table and return that table.
 
     Requests accepted earlier are skipped by ``idem_key``, so a run that died half-way can be

@@ -136,7 +136,7 @@ WRITE_OPTIONS = {
     ),
 }
 STREAM_ONLY_SINKS = ("salesforce", "sharepoint")
-ALIASES = {"pyspark.datasource.salesforce": "salesforce", "pyspark.datasource.sharepoint": "sharepoint"}
+ALIASES = {"pyspark.datasource.salesforce": "salesforce"}
 
 
 def register(spark: SparkSession) -> None:
@@ -148,7 +148,7 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(arrow_ipc.ArrowFiles)
 
 
-def read(spark: SparkSession, name: str, get: Get | None = None, max_in_flight: int = 8, **options: Any) -> DataFrame:
+def read(spark: SparkSession, name: str, get: Get | None = None, max_in_flight: int | None = None, **options: Any) -> DataFrame:
     """A batch frame from a connector."""
     given = _check(READ_OPTIONS, "read", name, options)
     if name in _FILE_READERS:
@@ -165,7 +165,7 @@ def read(spark: SparkSession, name: str, get: Get | None = None, max_in_flight:
     return shape(stage(landed, f"landed-{name}"))
 
 
-def write(df: DataFrame, name: str, send: Send | None = None, max_in_flight: int = 8, **options: Any) -> DataFrame | None:
+def write(df: DataFrame, name: str, send: Send | None = None, max_in_flight: int | None = None, **options: Any) -> DataFrame | None:
     """Write a batch frame.  Service sinks return one row of delivery totals, file sinks nothing."""
     name = ALIASES.get(name, name)
     if name in STREAM_ONLY_SINKS:

@@ -19,11 +19,14 @@ def _check_mode(mode: str) -> None:
 def write_lines(df: DataFrame, path: str, mode: str = "append", by: tuple[str, ...] = ()) -> None:
     """The first column as text lines, in folders by the columns of ``by``.
 
-    Files appear when the job commits; overwrite replaces what the folder held.
+    Files appear when the job commits; overwrite replaces what the folder held.  Rows are
+    gathered by folder first, so that few files are written, and a large folder is split.
     """
     _check_mode(mode)
     value = next(c for c in df.columns if c not in by)
     lines = df.select(F.col(f"`{value}`").cast("string").alias("value"), *by)
+    if by:
+        lines = lines.hint("rebalance", *by)
     lines.write.mode(mode).partitionBy(*by).text(path)
 
 
