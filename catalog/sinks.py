@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from catalog.base import ntz, query, table
 from drayage.operators.batching import batch_assign, dense_index
-from drayage.operators.deliver import deliver
+from drayage.operators.deliver import Send, deliver
 from drayage.operators.joins import join_keyed
 from drayage.operators.outcomes import (
     OUTCOME_SCHEMA,
@@ -339,18 +339,22 @@ def vector_upsert_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outbox.select("method", "path", "n_records", first.alias("first_id"))
 
 
-def scripted_send(request: dict[str, Any]) -> dict[str, Any]:
+def scripted_receiver() -> Send:
     """A receiver without a network: the answer follows from the batch number alone."""
-    number = int(request["batch_id"].rsplit("-", 1)[1])
-    if number % 5 == 1:
-        return {"status": 503, "error": "busy"}
-    if number % 5 == 2:
-        return {"status": 400, "error": "bad request"}
-    if number % 5 == 3:
-        return {"status": 200, "n_accepted": request["n_records"] - 1}
-    if number % 5 == 4:
-        raise ConnectionError("no answer")
-    return {"status": 200}
+
+    def send(request: dict[str, Any]) -> dict[str, Any]:
+        case = int(request["batch_id"].rsplit("-", 1)[1]) % 5
+        if case == 1:
+            return {"status": 503, "error": "busy"}
+        if case == 2:
+            return {"status": 400, "error": "bad request"}
+        if case == 3:
+            return {"status": 200, "n_accepted": request["n_records"] - 1}
+        if case == 4:
+            raise ConnectionError("no answer")
+        return {"status": 200}
+
+    return send
 
 
 def record_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -367,7 +371,7 @@ SELECT 'tree-Order-' || b AS batch_id, CAST(1 AS INTEGER) AS attempt,
        CASE b % 5 WHEN 1 THEN 'busy' WHEN 2 THEN 'bad request' WHEN 4 THEN 'ConnectionError: no answer' END AS error
 FROM (SELECT o_orderkey // 200 AS b, count(*) AS n FROM orders GROUP BY 1)""")
 def delivery_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    outcomes = deliver(record_batches(spark, sf_dir), scripted_send, new_path(spark, "outcomes"))
+    outcomes = deliver(record_batches(spark, sf_dir), scripted_receiver(), new_path(spark, "outcomes"))
     return outcomes.select("batch_id", "attempt", "status", "n_accepted", "error")
 
 
@@ -378,9 +382,9 @@ FROM (SELECT o_orderkey // 200 AS b, count(*) AS n FROM orders GROUP BY 1)""")
 def delivery_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     outbox = record_batches(spark, sf_dir)
     path = new_path(spark, "outcomes")
-    deliver(outbox, scripted_send, path)
+    deliver(outbox, scripted_receiver(), path)
     # A second run skips what was accepted and tries the rest again.
-    outcomes = deliver(outbox, scripted_send, path)
+    outcomes = deliver(outbox, scripted_receiver(), path)
     return stats(outbox, outcomes, "method")
 
 
@@ -431,7 +435,7 @@ def retry_singletons(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("Number"), F.col("o_orderpriority").alias("Name"), F.col("o_totalprice").alias("Total")
     )
-    outcomes = deliver(record_batches(spark, sf_dir), scripted_send, new_path(spark, "outcomes"))
+    outcomes = deliver(record_batches(spark, sf_dir), scripted_receiver(), new_path(spark, "outcomes"))
     batched = records.assigned_records(orders, "Number").withColumn(
         "batch_id", F.concat(F.lit("tree-Order-"), F.col("batch_no").cast("string"))
     )
