@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from drayage.landed import in_flight
 from drayage.operators.outcomes import NO_ANSWER, OUTCOME_SCHEMA, latest_outcome, succeeded
-from drayage.scratch import path_exists
+from drayage.scratch import path_exists, stage
 
 # send(request) -> {"status": int, "n_accepted": int | None, "error": str | None}
 Send = Callable[[dict[str, Any]], dict[str, Any]]
@@ -53,12 +53,27 @@ def attempt_all(outbox: DataFrame, send: Send, max_in_flight: int | None) -> Dat
     return outbox.repartition(in_flight(outbox, max_in_flight), "idem_key").mapInPandas(run, OUTCOME_SCHEMA)
 
 
-def deliver(outbox: DataFrame, send: Send, outcomes_path: str, max_in_flight: int | None = None) -> DataFrame:
+class DeliveryFailed(RuntimeError):
+    """Some requests were not accepted; the outcomes table says which and why."""
+
+
+def deliver(
+    outbox: DataFrame,
+    send: Send,
+    outcomes_path: str,
+    max_in_flight: int | None = None,
+    waves: int = 1,
+    fail_fast: bool = False,
+) -> DataFrame:
     """Send what has not succeeded yet, append the outcomes to a table and return that table.
 
     Requests accepted earlier are skipped by ``idem_key``, so a run that died half-way can be
     repeated.  A task lost between the call and its commit may send once more; receivers tell
-    such copies by the same key.
+    such copies by the same key.  Outcomes are committed after each of the ``waves``, equal
+    parts of the outbox, so a failed job forgets no more than one of them.
+
+    With ``fail_fast`` a wave with failures ends the run in ``DeliveryFailed``; its outcomes
+    are kept.
     """
     spark = outbox.sparkSession
     earlier = read_outcomes(spark, outcomes_path)
@@ -71,9 +86,22 @@ def deliver(outbox: DataFrame, send: Send, outcomes_path: str, max_in_flight: in
             .join(tried, "idem_key", "left")
             .withColumn("attempt", F.coalesce("attempt", F.lit(1)))
         )
-    attempt_all(outbox, send, max_in_flight).write.mode("append").parquet(outcomes_path)
+    if waves > 1:
+        outbox = stage(outbox, "outbox")
+    for number in range(waves):
+        wave = outbox if waves == 1 else outbox.where(F.pmod(F.xxhash64("idem_key"), F.lit(waves)) == number)
+        attempt_all(wave, send, max_in_flight).write.mode("append").parquet(outcomes_path)
+        if fail_fast:
+            _raise_on_failure(spark, outcomes_path)
     return read_outcomes(spark, outcomes_path)
 
 
+def _raise_on_failure(spark: SparkSession, outcomes_path: str) -> None:
+    failed = latest_outcome(read_outcomes(spark, outcomes_path)).where(~succeeded(F.col("status")))
+    count, example = failed.agg(F.count("*"), F.any_value("error")).first()
+    if count:
+        raise DeliveryFailed(f"{count} requests failed, for instance with: {example}")
+
+
 def read_outcomes(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.schema(OUTCOME_SCHEMA).parquet(path) if path_exists(spark, path) else None

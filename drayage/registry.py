@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark import cloudpickle
@@ -17,7 +18,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from drayage import wire
 from drayage.functions.sheets import csv_export_url, is_sheet_url, spreadsheet_id, worksheet_id
-from drayage.landed import Follow, Get, fetch, fetch_chain
+from drayage.landed import Follow, Get, fetch, fetch_chain, parsed
 from drayage.operators.batching import orderable
 from drayage.operators.contract import check_against
 from drayage.operators.deliver import Send, deliver
@@ -36,6 +37,7 @@ from drayage.streaming.readers import counter_stream, landed_stream, new_file_st
 PULLS_PER_PAGE = 100
 ISSUES_PER_PAGE = 50
 PAGES_PER_QUERY = 100
+NOTION_VERSION = {"Notion-Version": "2022-06-28"}
 
 DATABASE_OPTIONS = {"dbtable": None, "query": None, "partition_column": None, "lower": None, "upper": None}
 
@@ -57,6 +59,7 @@ READ_OPTIONS = {
         "jsonplaceholder", (), {"endpoint": "posts", "limit": None, "id": None}, choices={"endpoint": tuple(rest_demo.ENDPOINTS)}
     ),
     "kaggle": OptionSpec("kaggle", ("path",), {"csv_options": None}),
+    "lance": OptionSpec("lance", ("path",), {"version": None}),
     "notion": OptionSpec("notion", ("token", "database_id")),
     "opensky": OptionSpec(
         "opensky", (), {"region": DEFAULT_REGION, "token": None}, choices={"region": tuple(REGIONS)}
@@ -153,16 +156,20 @@ def read(spark: SparkSession, name: str, get: Get | None = None, max_in_flight:
     given = _check(READ_OPTIONS, "read", name, options)
     if name in _FILE_READERS:
         return _FILE_READERS[name](spark, given)
-    requests, follow, headers, shape = _REQUESTS[name](spark, given)
+    plan = _PLANS[name](spark, given)
     if get is None:
         if name == "robinhood":
             raise ValueError("robinhood requests are signed with your private key; pass a `get` that signs them")
-        get = wire.http_get(headers, _secret_params(name, given))
-    landed = fetch(requests, name, get, max_in_flight) if follow is None else fetch_chain(
-        requests, name, get, follow, max_in_flight
-    )
-    # Staged once, so that no later action asks the service again.
-    return shape(stage(landed, f"landed-{name}"))
+        get = wire.http_get(plan.headers, _secret_params(name, given))
+    # Responses are staged, so that no later action asks the service again.
+    requests = plan.requests
+    if plan.expand is not None:
+        requests = plan.expand(stage(fetch(requests, name, get, max_in_flight), f"landed-{name}"))
+    if plan.follow is None:
+        landed = fetch(requests, name, get, max_in_flight)
+    else:
+        landed = fetch_chain(requests, name, get, plan.follow, max_in_flight)
+    return plan.shape(stage(landed, f"landed-{name}"))
 
 
 def write(df: DataFrame, name: str, send: Send | None = None, max_in_flight: int | None = None, **options: Any) -> DataFrame | None:
@@ -250,9 +257,6 @@ def service_sender(name: str, given: dict[str, Any]) -> Send:
     return wire.http_send(given["base_url"], wire.bearer(given["token"]))
 
 
-NOTION_VERSION = {"Notion-Version": "2022-06-28"}
-
-
 def _check(specs: dict[str, OptionSpec], verb: str, name: str, options: dict[str, Any]) -> dict[str, Any]:
     if name not in specs:
         raise ValueError(f"no connector called '{name}' to {verb}; connectors are {', '.join(specs)}")
@@ -309,6 +313,9 @@ _FILE_READERS: dict[str, Callable[[SparkSession, dict[str, Any]], DataFrame]] =
     "fake": _read_fake,
     "huggingface": lambda spark, o: files.read_split(spark, o["path"], o["split"], o["schema"]),
     "kaggle": lambda spark, o: files.read_dataset_csv(spark, o["path"], o["csv_options"]),
+    "lance": lambda spark, o: versions.read_version(
+        spark, o["path"], None if o["version"] is None else int(o["version"])
+    ),
     "oracle": _read_oracle,
     "sftp": lambda spark, o: files.read_lines(spark, o["path"], o["recursive"], o["pattern"]),
 }
@@ -322,9 +329,22 @@ _FILE_WRITERS: dict[str, Callable[[DataFrame, dict[str, Any]], None]] = {
 }
 
 
-# Service connectors: the requests to ask, how to go on, headers, and the shape of the rows --
+# Service connectors -----------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Plan:
+    """What to ask, and the shape of the rows in the answers.
+
+    ``follow`` names the next request of a chain.  ``expand`` turns the answers to
+    ``requests`` into the requests proper, which then run all at once.
+    """
 
-Plan = tuple[DataFrame, Follow | None, dict[str, str], Callable[[DataFrame], DataFrame]]
+    requests: DataFrame
+    shape: Callable[[DataFrame], DataFrame]
+    headers: dict[str, str] = field(default_factory=dict)
+    follow: Follow | None = None
+    expand: Callable[[DataFrame], DataFrame] | None = None
 
 
 def _one_request(spark: SparkSession, key: str, url: str, body: str | None = None) -> DataFrame:
@@ -344,35 +364,28 @@ def _github(spark: SparkSession, given: dict[str, Any]) -> Plan:
         return {**request, "url": f"{base}{page}"}
 
     headers = {"Accept": "application/vnd.github+json", **wire.bearer(given["token"])}
-    return _one_request(spark, repo, f"{base}1"), follow, headers, tracker.pull_requests
-
-
-def issue_page_requests(totals: DataFrame, url: str, jql: str) -> DataFrame:
-    """One request per page of a search whose number of hits is known: all pages at once."""
-    query = F.concat(F.lit(f"{url.rstrip('/')}/rest/api/2/search?jql="), F.url_encode(F.lit(jql)))
-    return offset_pages(totals, ISSUES_PER_PAGE).select(
-        "request_key",
-        "page_no",
-        F.concat(query, F.lit("&startAt="), "start_at", F.lit(f"&maxResults={ISSUES_PER_PAGE}")).alias("url"),
-        F.lit(None).cast("string").alias("body"),
-    )
+    return Plan(_one_request(spark, repo, f"{base}1"), tracker.pull_requests, headers, follow)
 
 
 def _jira(spark: SparkSession, given: dict[str, Any]) -> Plan:
-    base, size = f"{given['url'].rstrip('/')}/rest/api/2/search", ISSUES_PER_PAGE
-    jql = spark.range(1).select(F.url_encode(F.lit(given["jql"]))).first()[0]
-
-    def page(start_at: int) -> str:
-        return f"{base}?jql={jql}&startAt={start_at}&maxResults={size}"
+    """The number of hits is asked first; then every page is a request of its own."""
+    query = F.concat(F.lit(f"{given['url'].rstrip('/')}/rest/api/2/search?jql="), F.url_encode(F.lit(given["jql"])))
+    no_body = F.lit(None).cast("string").alias("body")
+    count = spark.range(1).select(
+        F.lit(given["jql"]).alias("request_key"),
+        F.lit(0).cast("long").alias("page_no"),
+        F.concat(query, F.lit("&startAt=0&maxResults=0")).alias("url"),
+        no_body,
+    )
 
-    def follow(request: dict[str, Any], status: int, body: str) -> dict[str, Any] | None:
-        found = len(json.loads(body).get("issues", [])) if status == 200 else 0
-        if found < size:
-            return None
-        start_at = int(request["url"].split("&startAt=")[1].split("&")[0]) + found
-        return {**request, "url": page(start_at)}
+    def expand(counted: DataFrame) -> DataFrame:
+        totals = parsed(counted, "total BIGINT").select("request_key", "doc.total")
+        bounds = F.concat(F.lit("&startAt="), "start_at", F.lit(f"&maxResults={ISSUES_PER_PAGE}"))
+        return offset_pages(totals, ISSUES_PER_PAGE).select(
+            "request_key", "page_no", F.concat(query, bounds).alias("url"), no_body
+        )
 
-    return _one_request(spark, given["jql"], page(0)), follow, wire.basic_auth(given["username"], given["token"]), tracker.issues
+    return Plan(count, tracker.issues, wire.basic_auth(given["username"], given["token"]), expand=expand)
 
 
 def _jsonplaceholder(spark: SparkSession, given: dict[str, Any]) -> Plan:
@@ -382,7 +395,7 @@ def _jsonplaceholder(spark: SparkSession, given: dict[str, Any]) -> Plan:
         url += f"/{given['id']}"
     elif given["limit"]:
         url += f"?_limit={given['limit']}"
-    return _one_request(spark, endpoint, url), None, {}, lambda landed: rest_demo.rest_rows(landed, endpoint)
+    return Plan(_one_request(spark, endpoint, url), lambda landed: rest_demo.rest_rows(landed, endpoint))
 
 
 def _notion(spark: SparkSession, given: dict[str, Any]) -> Plan:
@@ -396,7 +409,7 @@ def _notion(spark: SparkSession, given: dict[str, Any]) -> Plan:
 
     url = f"https://api.notion.com/v1/databases/{given['database_id']}/query"
     first = _one_request(spark, given["database_id"], url, json.dumps({"page_size": size}))
-    return first, follow, {**wire.bearer(given["token"]), **NOTION_VERSION}, pages.database_pages
+    return Plan(first, pages.database_pages, {**wire.bearer(given["token"]), **NOTION_VERSION}, follow)
 
 
 def _qdrant(spark: SparkSession, given: dict[str, Any]) -> Plan:
@@ -410,7 +423,7 @@ def _qdrant(spark: SparkSession, given: dict[str, Any]) -> Plan:
 
     url = f"{given['url'].rstrip('/')}/collections/{given['collection']}/points/scroll"
     headers = {"api-key": given["api_key"]} if given["api_key"] else {}
-    return _one_request(spark, given["collection"], url, json.dumps(ask)), follow, headers, points.points
+    return Plan(_one_request(spark, given["collection"], url, json.dumps(ask)), points.points, headers, follow)
 
 
 def _per_symbol(spark: SparkSession, text: str, url: str, pairs: bool) -> DataFrame:
@@ -425,19 +438,21 @@ def _per_symbol(spark: SparkSession, text: str, url: str, pairs: bool) -> DataFr
 
 def _stock(spark: SparkSession, given: dict[str, Any]) -> Plan:
     url = f"https://www.alphavantage.co/query?function={given['function']}&symbol="
-    return _per_symbol(spark, given["path"], url, False), None, {}, market.price_bars
+    return Plan(_per_symbol(spark, given["path"], url, False), market.price_bars)
 
 
 def _robinhood(spark: SparkSession, given: dict[str, Any]) -> Plan:
     url = f"{given['base_url']}/api/v1/crypto/marketdata/best_bid_ask/?symbol="
-    return _per_symbol(spark, given["path"], url, True), None, {}, market.quotes
+    return Plan(_per_symbol(spark, given["path"], url, True), market.quotes)
 
 
 def _opensky(spark: SparkSession, given: dict[str, Any]) -> Plan:
     south, north, west, east = REGIONS[given["region"]]
     box = f"lamin={south}&lamax={north}&lomin={west}&lomax={east}"
     first = _one_request(spark, given["region"], f"https://opensky-network.org/api/states/all?{box}")
-    return first, None, wire.bearer(given["token"]), lambda landed: aircraft.aircraft_states(landed, given["region"])
+    return Plan(
+        first, lambda landed: aircraft.aircraft_states(landed, given["region"]), wire.bearer(given["token"])
+    )
 
 
 def _weather(spark: SparkSession, given: dict[str, Any]) -> Plan:
@@ -447,7 +462,7 @@ def _weather(spark: SparkSession, given: dict[str, Any]) -> Plan:
         F.concat(F.lit("https://api.tomorrow.io/v4/weather/forecast?location="), "location").alias("url"),
         F.lit(None).cast("string").alias("body"),
     )
-    return asked, None, {}, lambda landed: weather.timeline_entries(landed, given["frequency"])
+    return Plan(asked, lambda landed: weather.timeline_entries(landed, given["frequency"]))
 
 
 def _googlesheets(spark: SparkSession, given: dict[str, Any]) -> Plan:
@@ -468,10 +483,10 @@ def _googlesheets(spark: SparkSession, given: dict[str, Any]) -> Plan:
         file_sinks.write_lines(landed.select("body"), folder)
         return files.read_sheet(spark, folder, given["schema"], given["has_header"])
 
-    return asked, None, {}, shape
+    return Plan(asked, shape)
 
 
-_REQUESTS: dict[str, Callable[[SparkSession, dict[str, Any]], Plan]] = {
+_PLANS: dict[str, Callable[[SparkSession, dict[str, Any]], Plan]] = {
     "github": _github,
     "googlesheets": _googlesheets,
     "jira": _jira,

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from drayage.operators import outcomes
 from drayage.operators.batching import batch_assign, collect_batches, dense_index, orderable
 from drayage.operators.contract import ColumnRule, check_against, contract_report
-from drayage.operators.deliver import deliver, read_outcomes
+from drayage.operators.deliver import DeliveryFailed, deliver, read_outcomes
 from drayage.operators.joins import hot_keys, is_bounded, join_keyed
 from drayage.operators.rejects import apply_rules, split_valid
 from drayage.operators.upsert import last_per_key, route_create_update
@@ -163,6 +163,20 @@ def test_deliver_resumes(spark):
     assert {r["attempt"] for r in read_outcomes(spark, path).collect()} == {1, 2}
 
 
+def test_deliver_in_waves_and_fail_fast(spark):
+    outbox = outbox_of(spark, 20)
+    path = new_path(spark, "outcomes")
+    assert deliver(outbox, lambda request: {"status": 200}, path, waves=3).count() == 20
+
+    def refuse(request):
+        return {"status": 400, "error": "no"}
+
+    path = new_path(spark, "outcomes")
+    with pytest.raises(DeliveryFailed, match="no"):
+        deliver(outbox, refuse, path, waves=2, fail_fast=True)
+    assert 0 < read_outcomes(spark, path).count() < 20
+
+
 def test_pending_requests_are_counted(spark):
     outbox = outbox_of(spark, 4)
     none_yet = spark.createDataFrame([], outcomes.OUTCOME_SCHEMA)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from drayage import registry
 from drayage.plans.paging import missing_pages
-from drayage.registry import issue_page_requests
 from drayage.scratch import new_path
 
 
@@ -25,20 +24,20 @@ def test_github_reads_all_pages(spark):
     assert df.count() == 220 and df.agg(F.max("id")).first()[0] == 3019
 
 
-def test_jira_pages(spark):
+def test_jira_pages_are_separate_requests(spark):
     total = 120
 
     def get(request):
-        start = int(request["url"].split("startAt=")[1].split("&")[0])
-        assert "jql=project+%3D+X" in request["url"]
-        found = range(start, min(start + 50, total))
-        return 200, json.dumps({"issues": [{"key": f"X-{i}", "fields": {"summary": "s"}} for i in found]})
+        start, most = (int(request["url"].split(f"{n}=")[1].split("&")[0]) for n in ("startAt", "maxResults"))
+        assert "jql=project+%3D+X" in request["url"] and request["page_no"] == start // 50
+        found = range(start, min(start + most, total))
+        return 200, json.dumps({"total": total, "issues": [{"key": f"X-{i}", "fields": {"summary": "s"}} for i in found]})
 
-    df = registry.read(spark, "jira", get=get, url="https://j/", username="u", token="t", jql="project = X")
+    options = {"url": "https://j/", "username": "u", "token": "t", "jql": "project = X"}
+    df = registry.read(spark, "jira", get=get, **options)
     assert df.count() == total and df.select("key").distinct().count() == total
-    totals = spark.createDataFrame([("X", total)], "request_key string, total long")
-    urls = [r["url"] for r in issue_page_requests(totals, "https://j", "project = X").orderBy("page_no").collect()]
-    assert len(urls) == 3 and urls[2].endswith("startAt=100&maxResults=50")
+    nothing = registry.read(spark, "jira", get=lambda request: (200, '{"total": 0, "issues": []}'), **options)
+    assert nothing.count() == 0
 
 
 def test_qdrant_scrolls(spark):
@@ -133,10 +132,8 @@ def test_files_by_name(spark):
     assert rows(spark.read.json(arrays, multiLine=True)) == [("a",), ("b",)]
     registry.write(df, "lance", path=vectors)
     registry.write(df, "lance", path=vectors)
-    from drayage.sinks.versions import latest_version, read_version
-
-    assert latest_version(spark, vectors) == 1
-    assert read_version(spark, vectors).count() == 4 and read_version(spark, vectors, 0).count() == 2
+    assert registry.read(spark, "lance", path=vectors).count() == 4
+    assert registry.read(spark, "lance", path=vectors, version="0").count() == 2
 
 
 def test_points_are_sent_in_batches(spark):
@@ -178,13 +175,12 @@ def test_secrets_stay_out_of_the_tables(spark):
     df = spark.createDataFrame([("Purchase",)], "event_name string")
     given = registry._check(registry.WRITE_OPTIONS, "write", "meta_capi", {"access_token": "secret", "pixel_id": "p"})
     assert "secret" not in str(registry.build_outbox(df, "meta_capi", given).collect())
-    seen = []
 
     def get(request):
         return 200, json.dumps({"Meta Data": {}, "X": {}})
 
-    plan = registry._REQUESTS["stock"](spark, {"path": "SPY", "api_key": "secret", "function": "TIME_SERIES_DAILY"})
-    assert "secret" not in str(plan[0].collect()) and seen == []
+    plan = registry._PLANS["stock"](spark, {"path": "SPY", "api_key": "secret", "function": "TIME_SERIES_DAILY"})
+    assert "secret" not in str(plan.requests.collect())
     assert registry.read(spark, "stock", get=get, path="SPY", api_key="secret").count() == 0
 
 
