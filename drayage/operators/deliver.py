@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from drayage.landed import in_flight
+from drayage.operators.joins import join_keyed
 from drayage.operators.outcomes import NO_ANSWER, OUTCOME_SCHEMA, latest_outcome, succeeded
 from drayage.scratch import path_exists, stage
 
@@ -50,7 +51,8 @@ def attempt_all(outbox: DataFrame, send: Send, max_in_flight: int | None) -> Dat
             out["n_accepted"] = out["n_accepted"].astype("Int32")
             yield out
 
-    return outbox.repartition(in_flight(outbox, max_in_flight), "idem_key").mapInPandas(run, OUTCOME_SCHEMA)
+    # Spread row by row, so that copies of one request do not gather in one task.
+    return outbox.repartition(in_flight(outbox, max_in_flight)).mapInPandas(run, OUTCOME_SCHEMA)
 
 
 class DeliveryFailed(RuntimeError):
@@ -78,13 +80,14 @@ def deliver(
     spark = outbox.sparkSession
     earlier = read_outcomes(spark, outcomes_path)
     if earlier is not None:
-        latest = latest_outcome(earlier)
-        done = latest.where(succeeded(F.col("status"))).select("idem_key")
-        tried = latest.select("idem_key", (F.col("attempt") + 1).alias("attempt"))
+        done = succeeded(F.col("status")).alias("_done")
+        tried = latest_outcome(earlier).select("idem_key", done, (F.col("attempt") + 1).alias("attempt"))
+        tried = stage(tried, "tried")
         outbox = (
-            outbox.join(done, "idem_key", "left_anti")
-            .join(tried, "idem_key", "left")
+            join_keyed(outbox, tried, "idem_key", "left")
+            .where(~F.coalesce("_done", F.lit(False)))
             .withColumn("attempt", F.coalesce("attempt", F.lit(1)))
+            .drop("_done")
         )
     if waves > 1:
         outbox = stage(outbox, "outbox")

@@ -35,10 +35,12 @@ def missing_pages(landed: DataFrame, has_more: str = "has_more") -> DataFrame:
     )
     final = F.col("_last") + F.col("_more").cast("int")
     expected = number_rows(last, final, "page_no").select("request_key", "page_no")
-    return expected.join(landed.select("request_key", "page_no"), ["request_key", "page_no"], "left_anti")
+    # A page may have landed many times; copies are merged before they meet in one task.
+    present = landed.select("request_key", "page_no").distinct()
+    return expected.join(present, ["request_key", "page_no"], "left_anti")
 
 
 def broken_links(landed: DataFrame, offset: str = "offset", next_offset: str = "next_offset") -> DataFrame:
     """Pages whose successor did not land: their next offset is no page's own offset."""
-    own = landed.select("request_key", F.col(offset).alias(next_offset))
+    own = landed.select("request_key", F.col(offset).alias(next_offset)).distinct()
     return landed.where(F.col(next_offset).isNotNull()).join(own, ["request_key", next_offset], "left_anti")

@@ -90,4 +90,4 @@ def read_lines(spark: SparkSession, path: str, recursive: bool = False, pattern:
 
 def new_files(listing: DataFrame, seen: DataFrame, key: str = "path") -> DataFrame:
     """Entries of a listing that were not there before."""
-    return listing.join(seen.select(key), key, "left_anti")
+    return listing.join(seen.select(key).distinct(), key, "left_anti")

@@ -36,7 +36,7 @@ def quotes(landed: DataFrame, on_error: str = "skip") -> DataFrame:
 
 def unanswered(symbols: DataFrame, landed: DataFrame) -> DataFrame:
     """Symbols asked for that have no usable response."""
-    answered = bodies(landed, "skip").select(F.col("request_key").alias("symbol"))
+    answered = bodies(landed, "skip").select(F.col("request_key").alias("symbol")).distinct()
     return symbols.select("symbol").join(answered, "symbol", "left_anti")
 
 
