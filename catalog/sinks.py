@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.base import ntz, query, table
-from drayage.operators.batching import batch_assign, dense_index
+from drayage.operators.batching import batch_assign as assign, dense_index
 from drayage.operators.deliver import Send, deliver
 from drayage.operators.joins import join_keyed
 from drayage.operators.outcomes import (
@@ -136,8 +136,8 @@ SELECT batch_no, count(*) AS n_records, min(o_orderkey) AS first_key, max(o_orde
 FROM (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS batch_no,
              (row_number() OVER (ORDER BY o_orderkey) - 1) % 1000 AS seq FROM orders)
 GROUP BY batch_no""")
-def batch_assign_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batched = batch_assign(table(spark, sf_dir, "orders"), 1000, "o_orderkey")
+def batch_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    batched = assign(table(spark, sf_dir, "orders"), 1000, "o_orderkey")
     return batched.groupBy("batch_no").agg(
         F.count("*").alias("n_records"),
         F.min("o_orderkey").alias("first_key"),
@@ -376,8 +376,10 @@ def delivery_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT sum(n) AS processed, sum(CASE b % 5 WHEN 3 THEN n - 1 WHEN 0 THEN n ELSE 0 END) AS succeeded,
-       sum(CASE b % 5 WHEN 3 THEN 1 WHEN 0 THEN 0 ELSE n END) AS failed, 0 AS pending, 'POST' AS method
+SELECT CAST(sum(n) AS BIGINT) AS processed,
+       CAST(sum(CASE b % 5 WHEN 3 THEN n - 1 WHEN 0 THEN n ELSE 0 END) AS BIGINT) AS succeeded,
+       CAST(sum(CASE b % 5 WHEN 3 THEN 1 WHEN 0 THEN 0 ELSE n END) AS BIGINT) AS failed,
+       CAST(0 AS BIGINT) AS pending, 'POST' AS method
 FROM (SELECT o_orderkey // 200 AS b, count(*) AS n FROM orders GROUP BY 1)""")
 def delivery_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     outbox = record_batches(spark, sf_dir)

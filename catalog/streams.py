@@ -85,7 +85,7 @@ def capi_stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT sum(1) AS n_records, count(DISTINCT c_name) AS n_names, max(c_custkey) AS last_number FROM customer""")
+SELECT count(*) AS n_records, count(DISTINCT c_name) AS n_names, max(c_custkey) AS last_number FROM customer""")
 def record_stream_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "outbox")
     customers = customer_records(spark, sf_dir).withColumn("Name", F.concat(F.lit("Customer#"), "Number"))
@@ -111,7 +111,7 @@ def list_item_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT count(*) AS n_lines, sum(length(value)) AS n_chars
+SELECT count(*) AS n_lines, CAST(sum(length(value)) AS BIGINT) AS n_chars
 FROM (SELECT unnest(string_split(text, chr(10))) AS value FROM documents)""")
 def new_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "watched")

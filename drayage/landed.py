@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from drayage.functions.nested import is_json
@@ -41,6 +41,22 @@ def fetch_chain(requests: DataFrame, source: str, get: Get, follow: Follow, max_
     return _fetch(requests, source, get, follow, max_in_flight)
 
 
+def append(landed: DataFrame, path: str) -> None:
+    """Add responses to the landed table at ``path``, in folders by source and day."""
+    dated = landed.withColumn("fetch_date", F.to_date("fetched_at"))
+    dated.write.mode("append").partitionBy("source", "fetch_date").parquet(path)
+
+
+def read_landed(spark: SparkSession, path: str, source: str | None = None, since: str | None = None) -> DataFrame:
+    """Responses from the landed table; other sources and earlier days are not read at all."""
+    stored = spark.read.schema(f"{LANDED_SCHEMA}, fetch_date date").parquet(path)
+    if source is not None:
+        stored = stored.where(F.col("source") == source)
+    if since is not None:
+        stored = stored.where(F.col("fetch_date") >= F.lit(since).cast("date"))
+    return stored.select(*LANDED_COLUMNS)
+
+
 def in_flight(df: DataFrame, limit: int | None) -> int:
     """The number of partitions that keeps within the limit."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if limit is None else limit

@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import partial
 from typing import Any
 
 from pyspark import cloudpickle
@@ -18,7 +19,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from drayage import wire
 from drayage.functions.sheets import csv_export_url, is_sheet_url, spreadsheet_id, worksheet_id
-from drayage.landed import Follow, Get, fetch, fetch_chain, parsed
+from drayage.landed import Follow, Get, bodies, fetch, fetch_chain, parsed
 from drayage.operators.batching import orderable
 from drayage.operators.contract import check_against
 from drayage.operators.deliver import Send, deliver
@@ -138,6 +139,18 @@ WRITE_OPTIONS = {
         positive=("rows_per_file",),
     ),
 }
+STREAM_OPTIONS = {
+    "fake": OptionSpec("fake", (), {"numRows": 3, "seed": 0, "schema": None}, positive=("numRows",)),
+    "opensky": OptionSpec(
+        "opensky", ("path",), {"region": DEFAULT_REGION}, choices={"region": tuple(REGIONS)}
+    ),
+    "weather": OptionSpec(
+        "weather", ("path",), {"frequency": "minutely"}, choices={"frequency": weather.FREQUENCIES}
+    ),
+    "files": OptionSpec("files", ("path",), {"pattern": "*"}),
+    "rate": OptionSpec("rate", ("rowsPerSecond",), positive=("rowsPerSecond",)),
+    "counter": OptionSpec("counter", ("batchSize",), positive=("batchSize",)),
+}
 STREAM_ONLY_SINKS = ("salesforce", "sharepoint")
 ALIASES = {"pyspark.datasource.salesforce": "salesforce"}
 
@@ -151,8 +164,18 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(arrow_ipc.ArrowFiles)
 
 
-def read(spark: SparkSession, name: str, get: Get | None = None, max_in_flight: int | None = None, **options: Any) -> DataFrame:
-    """A batch frame from a connector."""
+def read(
+    spark: SparkSession,
+    name: str,
+    get: Get | None = None,
+    max_in_flight: int | None = None,
+    on_error: str | None = None,
+    **options: Any,
+) -> DataFrame:
+    """A batch frame from a connector.
+
+    A response that failed raises, or with ``on_error="skip"`` adds no rows; quotes skip by default.
+    """
     given = _check(READ_OPTIONS, "read", name, options)
     if name in _FILE_READERS:
         return _FILE_READERS[name](spark, given)
@@ -169,7 +192,8 @@ def read(spark: SparkSession, name: str, get: Get | None = None, max_in_flight:
         landed = fetch(requests, name, get, max_in_flight)
     else:
         landed = fetch_chain(requests, name, get, plan.follow, max_in_flight)
-    return plan.shape(stage(landed, f"landed-{name}"))
+    staged = stage(landed, f"landed-{name}")
+    return plan.shape(staged) if on_error is None else plan.shape(staged, on_error=on_error)
 
 
 def write(df: DataFrame, name: str, send: Send | None = None, max_in_flight: int | None = None, **options: Any) -> DataFrame | None:
@@ -188,21 +212,19 @@ def write(df: DataFrame, name: str, send: Send | None = None, max_in_flight: int
 
 def read_stream(spark: SparkSession, name: str, **options: Any) -> DataFrame:
     """A streaming frame.  Service streams read responses that another job lands under ``path``."""
-    streams: dict[str, Callable[..., DataFrame]] = {
-        "fake": lambda numRows=3, schema=generate.DEFAULT_SCHEMA, seed=0: generate.generate_stream(
-            spark, int(numRows), schema, int(seed)
-        ),
-        "opensky": lambda path, region=None: aircraft.aircraft_states(landed_stream(spark, path), region, "skip"),
-        "weather": lambda path, frequency="minutely": weather.timeline_entries(
-            landed_stream(spark, path), frequency, "skip"
-        ),
-        "files": lambda path, pattern="*": new_file_stream(spark, path, pattern),
-        "rate": lambda rowsPerSecond: rate_stream(spark, int(rowsPerSecond)),
-        "counter": lambda batchSize: counter_stream(spark, int(batchSize)),
-    }
-    if name not in streams:
-        raise ValueError(f"no stream called '{name}'; streams are {', '.join(streams)}")
-    return streams[name](**options)
+    given = _check(STREAM_OPTIONS, "stream", name, options)
+    if name == "fake":
+        schema = given["schema"] or generate.DEFAULT_SCHEMA
+        return generate.generate_stream(spark, given["numRows"], schema, int(given["seed"]))
+    if name == "opensky":
+        return aircraft.aircraft_states(landed_stream(spark, given["path"]), given["region"], "skip")
+    if name == "weather":
+        return weather.timeline_entries(landed_stream(spark, given["path"]), given["frequency"], "skip")
+    if name == "files":
+        return new_file_stream(spark, given["path"], given["pattern"])
+    if name == "rate":
+        return rate_stream(spark, given["rowsPerSecond"])
+    return counter_stream(spark, given["batchSize"])
 
 
 def write_stream(rows: DataFrame, name: str, path: str, checkpoint: str, **options: Any) -> DataStreamWriter:
@@ -341,7 +363,7 @@ class Plan:
     """
 
     requests: DataFrame
-    shape: Callable[[DataFrame], DataFrame]
+    shape: Callable[..., DataFrame]
     headers: dict[str, str] = field(default_factory=dict)
     follow: Follow | None = None
     expand: Callable[[DataFrame], DataFrame] | None = None
@@ -395,7 +417,7 @@ def _jsonplaceholder(spark: SparkSession, given: dict[str, Any]) -> Plan:
         url += f"/{given['id']}"
     elif given["limit"]:
         url += f"?_limit={given['limit']}"
-    return Plan(_one_request(spark, endpoint, url), lambda landed: rest_demo.rest_rows(landed, endpoint))
+    return Plan(_one_request(spark, endpoint, url), partial(rest_demo.rest_rows, endpoint=endpoint))
 
 
 def _notion(spark: SparkSession, given: dict[str, Any]) -> Plan:
@@ -450,9 +472,7 @@ def _opensky(spark: SparkSession, given: dict[str, Any]) -> Plan:
     south, north, west, east = REGIONS[given["region"]]
     box = f"lamin={south}&lamax={north}&lomin={west}&lomax={east}"
     first = _one_request(spark, given["region"], f"https://opensky-network.org/api/states/all?{box}")
-    return Plan(
-        first, lambda landed: aircraft.aircraft_states(landed, given["region"]), wire.bearer(given["token"])
-    )
+    return Plan(first, partial(aircraft.aircraft_states, region=given["region"]), wire.bearer(given["token"]))
 
 
 def _weather(spark: SparkSession, given: dict[str, Any]) -> Plan:
@@ -462,7 +482,7 @@ def _weather(spark: SparkSession, given: dict[str, Any]) -> Plan:
         F.concat(F.lit("https://api.tomorrow.io/v4/weather/forecast?location="), "location").alias("url"),
         F.lit(None).cast("string").alias("body"),
     )
-    return Plan(asked, lambda landed: weather.timeline_entries(landed, given["frequency"]))
+    return Plan(asked, partial(weather.timeline_entries, frequency=given["frequency"]))
 
 
 def _googlesheets(spark: SparkSession, given: dict[str, Any]) -> Plan:
@@ -478,9 +498,11 @@ def _googlesheets(spark: SparkSession, given: dict[str, Any]) -> Plan:
         book.alias("request_key"), F.lit(0).cast("long").alias("page_no"), export.alias("url"), F.lit(None).cast("string").alias("body")
     )
 
-    def shape(landed: DataFrame) -> DataFrame:
+    def shape(landed: DataFrame, on_error: str = "fail") -> DataFrame:
+        if on_error != "fail":
+            raise ValueError("a sheet is one response; on_error must be: fail")
         folder = new_path(spark, "sheet")
-        file_sinks.write_lines(landed.select("body"), folder)
+        file_sinks.write_lines(bodies(landed).select("body"), folder)
         return files.read_sheet(spark, folder, given["schema"], given["has_header"])
 
     return Plan(asked, shape)

@@ -6,18 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from drayage.landed import LANDED_SCHEMA
+from drayage.landed import LANDED_COLUMNS, LANDED_SCHEMA
 from drayage.scratch import batch_numbers, delete, stage, staging_scope
 from drayage.sources.aircraft import aircraft_states
 from drayage.sources.weather import next_offsets, newer_than
 
 
 def landed_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Responses as they land, as Parquet files of the landed schema."""
+    """Responses as they land, as Parquet files of the landed schema or as a landed table."""
     reader = spark.readStream.schema(T.StructType.fromDDL(LANDED_SCHEMA))
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return reader.parquet(path).select(*LANDED_COLUMNS)
 
 
 def aircraft_stream(landed: DataFrame, region: str | None = None, dedupe_within: str | None = None) -> DataFrame:

@@ -52,12 +52,25 @@ def rows_of(columns, rows) -> Counter:
     return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
+}
+
+
 def differences(frame, connection, sql: str) -> str | None:
-    """None where both give the same rows, else what differs."""
+    """None where both give the same rows of the same types, else what differs."""
+    types = {f.name: SQL_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in frame.schema.fields}
+    sql_types = {row[0]: row[1] for row in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    if types != sql_types:
+        return f"types: spark {types}, sql {sql_types}"
     result = connection.execute(sql)
     names = [d[0] for d in result.description]
-    if sorted(names) != sorted(frame.columns):
-        return f"columns: spark {sorted(frame.columns)}, sql {sorted(names)}"
     ours, theirs = rows_of(frame.columns, frame.collect()), rows_of(names, result.fetchall())
     if ours == theirs:
         return None if ours else "both are empty"

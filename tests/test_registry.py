@@ -122,6 +122,45 @@ def test_failed_read_raises(spark):
         registry.read(spark, "github", get=lambda request: (404, "not found"), path="a/b").collect()
 
 
+def test_failed_answers_can_be_skipped(spark):
+    def get(request):
+        return (200, json.dumps({"X": {}})) if request["request_key"] == "A" else (429, "slow down")
+
+    options = {"path": "A,B", "api_key": "k", "get": get}
+    assert registry.read(spark, "stock", on_error="skip", **options).count() == 0
+    with pytest.raises(Exception, match="request B failed with status 429"):
+        registry.read(spark, "stock", **options).collect()
+
+
+def test_http_functions(monkeypatch):
+    import requests
+
+    from drayage import wire
+
+    seen = []
+
+    class Answer:
+        status_code, text, ok = 200, "body", True
+
+    def request(method, url, **rest):
+        seen.append((method, url, rest))
+        return Answer()
+
+    monkeypatch.setattr(requests, "request", request)
+    get = wire.http_get({"Accept": "x", **wire.bearer("t")}, {"apikey": "k"})
+    assert get({"url": "https://x/a", "body": None}) == (200, "body")
+    assert get({"url": "https://x/a", "body": "{}"}) == (200, "body")
+    send = wire.http_send("https://x/", wire.basic_auth("u", "p"))
+    assert send({"method": "PUT", "path": "/a", "body": "ü"}) == {"status": 200, "error": None}
+    Answer.ok, Answer.status_code = False, 500
+    assert send({"method": "PUT", "path": "/a", "body": ""}) == {"status": 500, "error": "body"}
+    assert [(m, u) for m, u, _ in seen[:3]] == [("GET", "https://x/a"), ("POST", "https://x/a"), ("PUT", "https://x/a")]
+    assert seen[0][2]["headers"] == {"Accept": "x", "Authorization": "Bearer t"}
+    assert seen[0][2]["params"] == {"apikey": "k"} and seen[0][2]["timeout"] == 30
+    assert seen[1][2]["headers"]["Content-Type"] == "application/json"
+    assert seen[2][2]["headers"]["Authorization"] == "Basic dTpw" and seen[2][2]["data"] == "ü".encode()
+
+
 def test_files_by_name(spark):
     lines, arrays, vectors = (new_path(spark, n) for n in ("lines", "arrays", "vectors"))
     df = spark.createDataFrame([("a",), ("b",)], "value string")

@@ -39,7 +39,7 @@ def test_generator_stream(spark):
     query.awaitTermination()
     assert sorted(r[0] for r in spark.sql("SELECT value FROM counted").collect()) == [0, 1, 2, 3]
     assert registry.read_stream(spark, "rate", rowsPerSecond=5).isStreaming
-    with pytest.raises(ValueError, match="no stream called"):
+    with pytest.raises(ValueError, match="no connector called 'nothing' to stream"):
         registry.read_stream(spark, "nothing")
 
 
