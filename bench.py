@@ -16,7 +16,8 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from catalog import QUERIES  # noqa: E402
-from drayage.scratch import release  # noqa: E402
+from drayage import registry  # noqa: E402
+from drayage.scratch import new_path, release  # noqa: E402
 
 
 def main() -> None:
@@ -36,6 +37,9 @@ def main() -> None:
     # Start the JVM, the code generator and the Python workers before the clock runs.
     warm = spark.range(100_000).selectExpr("id % 10 AS k", "id").groupBy("k").count()
     warm.mapInPandas(lambda frames: frames, "k long, count long").write.format("noop").mode("overwrite").save()
+    path = new_path(spark, "warm")
+    registry.write(spark.range(1000), "arrow", path=path)
+    registry.read(spark, "arrow", path=path).count()
 
     only = sys.argv[1:]
     seconds = {}

@@ -46,7 +46,10 @@ def join_keyed(
         return big.join(keyed, on, how)
     is_hot = F.coalesce(F.col(on).isin(hot), F.lit(False))
     cold = big.where(~is_hot).join(keyed.where(~is_hot), on, how)
-    return cold.unionByName(big.where(is_hot).join(F.broadcast(keyed.where(is_hot)), on, how))
+    hot_side = keyed.where(is_hot)
+    if is_bounded(hot_side):
+        hot_side = F.broadcast(hot_side)
+    return cold.unionByName(big.where(is_hot).join(hot_side, on, how))
 
 
 def hot_keys(df: DataFrame, on: str) -> list:
