@@ -340,17 +340,19 @@ def vector_upsert_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scripted_receiver() -> Send:
-    """A receiver without a network: the answer follows from the batch number alone."""
+    """A receiver without a network: the answer follows from the priority of a batch's first order."""
 
     def send(request: dict[str, Any]) -> dict[str, Any]:
-        case = int(request["batch_id"].rsplit("-", 1)[1]) % 5
-        if case == 1:
+        import json
+
+        priority = json.loads(request["body"])["records"][0]["Name"]
+        if priority == "1-URGENT":
             return {"status": 503, "error": "busy"}
-        if case == 2:
+        if priority == "2-HIGH":
             return {"status": 400, "error": "bad request"}
-        if case == 3:
+        if priority == "3-MEDIUM":
             return {"status": 200, "n_accepted": request["n_records"] - 1}
-        if case == 4:
+        if priority == "5-LOW":
             raise ConnectionError("no answer")
         return {"status": 200}
 
@@ -364,23 +366,29 @@ def record_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(records.record_outbox(orders, "Order", "Number"), "outbox")
 
 
-@query("""
+# Orders in batches of 200, with the priority that decides what becomes of each.
+BATCHES_SQL = """
+SELECT o_orderkey // 200 AS b, count(*) AS n, arg_min(o_orderpriority, o_orderkey) AS p FROM orders GROUP BY 1"""
+
+
+@query(f"""
 SELECT 'tree-Order-' || b AS batch_id, CAST(1 AS INTEGER) AS attempt,
-       CAST(CASE b % 5 WHEN 1 THEN 503 WHEN 2 THEN 400 WHEN 4 THEN 0 ELSE 200 END AS INTEGER) AS status,
-       CAST(CASE b % 5 WHEN 3 THEN n - 1 END AS INTEGER) AS n_accepted,
-       CASE b % 5 WHEN 1 THEN 'busy' WHEN 2 THEN 'bad request' WHEN 4 THEN 'ConnectionError: no answer' END AS error
-FROM (SELECT o_orderkey // 200 AS b, count(*) AS n FROM orders GROUP BY 1)""")
+       CAST(CASE p WHEN '1-URGENT' THEN 503 WHEN '2-HIGH' THEN 400 WHEN '5-LOW' THEN 0 ELSE 200 END AS INTEGER) AS status,
+       CAST(CASE p WHEN '3-MEDIUM' THEN n - 1 END AS INTEGER) AS n_accepted,
+       CASE p WHEN '1-URGENT' THEN 'busy' WHEN '2-HIGH' THEN 'bad request'
+              WHEN '5-LOW' THEN 'ConnectionError: no answer' END AS error
+FROM ({BATCHES_SQL})""")
 def delivery_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = deliver(record_batches(spark, sf_dir), scripted_receiver(), new_path(spark, "outcomes"))
     return outcomes.select("batch_id", "attempt", "status", "n_accepted", "error")
 
 
-@query("""
+@query(f"""
 SELECT CAST(sum(n) AS BIGINT) AS processed,
-       CAST(sum(CASE b % 5 WHEN 3 THEN n - 1 WHEN 0 THEN n ELSE 0 END) AS BIGINT) AS succeeded,
-       CAST(sum(CASE b % 5 WHEN 3 THEN 1 WHEN 0 THEN 0 ELSE n END) AS BIGINT) AS failed,
+       CAST(sum(CASE p WHEN '3-MEDIUM' THEN n - 1 WHEN '4-NOT SPECIFIED' THEN n ELSE 0 END) AS BIGINT) AS succeeded,
+       CAST(sum(CASE p WHEN '3-MEDIUM' THEN 1 WHEN '4-NOT SPECIFIED' THEN 0 ELSE n END) AS BIGINT) AS failed,
        CAST(0 AS BIGINT) AS pending, 'POST' AS method
-FROM (SELECT o_orderkey // 200 AS b, count(*) AS n FROM orders GROUP BY 1)""")
+FROM ({BATCHES_SQL})""")
 def delivery_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     outbox = record_batches(spark, sf_dir)
     path = new_path(spark, "outcomes")
@@ -391,7 +399,7 @@ def delivery_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """One request per event, and up to four attempts at each."""
+    """One request per event, and up to three attempts at each."""
     events = table(spark, sf_dir, "events")
     outbox = events.select(
         F.col("event_id").cast("string").alias("idem_key"),
@@ -404,7 +412,7 @@ def event_requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
         .when(F.col("event_type") == "view", 400)
         .otherwise(200)
     )
-    attempts = F.sequence(F.lit(1), (F.col("user_id") % 4 + 1).cast("int"))
+    attempts = F.sequence(F.lit(1), F.when(F.col("value") < 10, 1).when(F.col("value") < 40, 2).otherwise(3))
     outcomes = events.select(
         F.col("event_id").cast("string").alias("idem_key"),
         F.concat(F.lit("b"), "event_id").alias("batch_id"),
@@ -420,19 +428,20 @@ def event_requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 
 @query("""
-SELECT CAST(event_id AS VARCHAR) AS idem_key, CAST(user_id % 4 + 2 AS INTEGER) AS next_attempt,
+SELECT CAST(event_id AS VARCHAR) AS idem_key, CAST(a + 1 AS INTEGER) AS next_attempt,
        CAST(CASE event_type WHEN 'error' THEN 503 ELSE 429 END AS INTEGER) AS status,
-       ts + (user_id % 4 + 1) * INTERVAL 1 SECOND + (2 ** (user_id % 4 + 1))::INTEGER * INTERVAL 1 SECOND AS next_at
-FROM events WHERE event_type IN ('error', 'signup') AND user_id % 4 + 1 < 3""")
+       ts + a * INTERVAL 1 SECOND + (2 ** a)::INTEGER * INTERVAL 1 SECOND AS next_at
+FROM (SELECT *, CASE WHEN value < 10 THEN 1 WHEN value < 40 THEN 2 ELSE 3 END AS a FROM events)
+WHERE event_type IN ('error', 'signup') AND a < 3""")
 def retry_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     outbox, outcomes = event_requests(spark, sf_dir)
     planned = plan_retries(outbox, outcomes)
     return planned.select("idem_key", "next_attempt", "status", ntz("next_at").alias("next_at"))
 
 
-@query("""
+@query(f"""
 SELECT o_orderkey AS record, '/sobjects/Order' AS path, CAST(1 AS INTEGER) AS n_records, o_orderpriority AS name
-FROM orders WHERE o_orderkey // 200 % 5 IN (1, 2, 4)""")
+FROM orders JOIN ({BATCHES_SQL}) ON o_orderkey // 200 = b WHERE p IN ('1-URGENT', '2-HIGH', '5-LOW')""")
 def retry_singletons(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("Number"), F.col("o_orderpriority").alias("Name"), F.col("o_totalprice").alias("Total")
