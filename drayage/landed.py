@@ -32,7 +32,9 @@ def fetch(requests: DataFrame, source: str, get: Get, max_in_flight: int | None
     return _fetch(requests, source, get, lambda request, status, body: None, max_in_flight)
 
 
-def fetch_chain(requests: DataFrame, source: str, get: Get, follow: Follow, max_in_flight: int | None = None) -> DataFrame:
+def fetch_chain(
+    requests: DataFrame, source: str, get: Get, follow: Follow, max_in_flight: int | None = None
+) -> DataFrame:
     """Fetch page after page from each starting request until ``follow`` returns None.
 
     A chain is sequential by nature; parallelism comes from many chains, one per shard,
@@ -95,7 +97,8 @@ def bodies(landed: DataFrame, on_error: str = "fail") -> DataFrame:
         F.lit(" failed with status "),
         F.coalesce(F.col("status").cast("string"), F.lit("unknown")),
     )
-    return landed.withColumn("body", F.when(_answered(), F.col("body")).otherwise(F.raise_error(problem).cast("string")))
+    checked = F.when(_answered(), F.col("body")).otherwise(F.raise_error(problem).cast("string"))
+    return landed.withColumn("body", checked)
 
 
 def failures(landed: DataFrame) -> DataFrame:

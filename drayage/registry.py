@@ -29,8 +29,10 @@ from drayage.plans.paging import offset_pages
 from drayage.plans.ranges import symbol_rows
 from drayage.plans.regions import DEFAULT_REGION, REGIONS
 from drayage.scratch import new_path, stage
-from drayage.sinks import events, files as file_sinks, issues, list_items, pages as page_sink, points as point_sink
-from drayage.sinks import records, versions
+from drayage.sinks import events, issues, list_items, records, versions
+from drayage.sinks import files as file_sinks
+from drayage.sinks import pages as page_sink
+from drayage.sinks import points as point_sink
 from drayage.sources import aircraft, arrow_ipc, files, generate, jdbc, market, pages, points, rest_demo, tracker, weather
 from drayage.streaming.outboxes import outbox_stream
 from drayage.streaming.readers import counter_stream, landed_stream, new_file_stream, rate_stream
@@ -40,11 +42,15 @@ ISSUES_PER_PAGE = 50
 PAGES_PER_QUERY = 100
 NOTION_VERSION = {"Notion-Version": "2022-06-28"}
 
-DATABASE_OPTIONS = {"dbtable": None, "query": None, "partition_column": None, "lower": None, "upper": None}
+DATABASE_OPTIONS = dict.fromkeys(
+    ("dbtable", "query", "partition_column", "lower", "upper", "partitions", "custom_schema")
+)
 
 READ_OPTIONS = {
     "arrow": OptionSpec("arrow", ("path",), {"splitBytes": None}),
-    "fake": OptionSpec("fake", (), {"numRows": 3, "numPartitions": None, "seed": 0, "schema": None}, positive=("numRows",)),
+    "fake": OptionSpec(
+        "fake", (), {"numRows": 3, "numPartitions": None, "seed": 0, "schema": None}, positive=("numRows",)
+    ),
     "github": OptionSpec("github", ("path",), {"token": None}),
     "googlesheets": OptionSpec(
         "googlesheets",
@@ -57,7 +63,10 @@ READ_OPTIONS = {
     "huggingface": OptionSpec("huggingface", ("path",), {"split": "train", "schema": None}),
     "jira": OptionSpec("jira", ("url", "username", "token", "jql")),
     "jsonplaceholder": OptionSpec(
-        "jsonplaceholder", (), {"endpoint": "posts", "limit": None, "id": None}, choices={"endpoint": tuple(rest_demo.ENDPOINTS)}
+        "jsonplaceholder",
+        (),
+        {"endpoint": "posts", "limit": None, "id": None},
+        choices={"endpoint": tuple(rest_demo.ENDPOINTS)},
     ),
     "kaggle": OptionSpec("kaggle", ("path",), {"csv_options": None}),
     "lance": OptionSpec("lance", ("path",), {"version": None}),
@@ -68,7 +77,7 @@ READ_OPTIONS = {
     "oracle": OptionSpec(
         "oracle",
         ("url",),
-        {**DATABASE_OPTIONS, "partitions": None, "custom_schema": None, "user": None, "password": None, "driver": None},
+        {**DATABASE_OPTIONS, "user": None, "password": None, "driver": None},
         any_of=(("dbtable", "query"),),
     ),
     "qdrant": OptionSpec(
@@ -196,18 +205,31 @@ def read(
     return plan.shape(staged) if on_error is None else plan.shape(staged, on_error=on_error)
 
 
-def write(df: DataFrame, name: str, send: Send | None = None, max_in_flight: int | None = None, **options: Any) -> DataFrame | None:
-    """Write a batch frame.  Service sinks return one row of delivery totals, file sinks nothing."""
+def write(
+    df: DataFrame,
+    name: str,
+    send: Send | None = None,
+    max_in_flight: int | None = None,
+    outcomes_path: str | None = None,
+    fail_fast: bool = False,
+    **options: Any,
+) -> DataFrame | None:
+    """Write a batch frame.  Service sinks return one row of delivery totals, file sinks nothing.
+
+    With ``outcomes_path`` the outcomes are kept there, rows are batched in an order of their
+    own, and writing the same rows again sends only what was not accepted.
+    """
     name = ALIASES.get(name, name)
     if name in STREAM_ONLY_SINKS:
         raise ValueError(f"{name} does not support batch write; use write_stream")
     given = _check(WRITE_OPTIONS, "write", name, options)
     if name in _FILE_WRITERS:
         return _FILE_WRITERS[name](df, given)
-    outbox = stage(build_outbox(df, name, given), f"outbox-{name}")
+    order_by = orderable(df.schema) if outcomes_path else []
+    outbox = stage(build_outbox(df, name, given, *order_by), f"outbox-{name}")
     send = send or service_sender(name, given)
-    outcomes = deliver(outbox, send, new_path(df.sparkSession, f"outcomes-{name}"), max_in_flight)
-    return delivery_stats(outbox, outcomes)
+    path = outcomes_path or new_path(df.sparkSession, f"outcomes-{name}")
+    return delivery_stats(outbox, deliver(outbox, send, path, max_in_flight, fail_fast=fail_fast))
 
 
 def read_stream(spark: SparkSession, name: str, **options: Any) -> DataFrame:
@@ -495,7 +517,10 @@ def _googlesheets(spark: SparkSession, given: dict[str, Any]) -> Plan:
         book, sheet = F.lit(given["path"]), F.lit(given["sheet_id"]).cast("string")
     export = csv_export_url(book, sheet, F.lit(None).cast("string"))
     asked = spark.range(1).select(
-        book.alias("request_key"), F.lit(0).cast("long").alias("page_no"), export.alias("url"), F.lit(None).cast("string").alias("body")
+        book.alias("request_key"),
+        F.lit(0).cast("long").alias("page_no"),
+        export.alias("url"),
+        F.lit(None).cast("string").alias("body"),
     )
 
     def shape(landed: DataFrame, on_error: str = "fail") -> DataFrame:

@@ -34,7 +34,10 @@ def read_options(
         if any(s is None for s in split):
             raise ValueError("partition_column, lower, upper and partitions must be provided together")
         options.update(
-            partitionColumn=partition_column, lowerBound=str(lower), upperBound=str(upper), numPartitions=str(partitions)
+            partitionColumn=partition_column,
+            lowerBound=str(lower),
+            upperBound=str(upper),
+            numPartitions=str(partitions),
         )
     if dbtable:
         options["dbtable"] = dbtable
@@ -71,7 +74,9 @@ def write_options(url: str, dbtable: str, batch_size: int = INSERT_BATCH, trunca
     return {"url": url, "dbtable": dbtable, "batchsize": str(batch_size), "truncate": str(truncate).lower()}
 
 
-def write_database(df: DataFrame, mode: str = "append", connection: Mapping[str, str] | None = None, **what: Any) -> None:
+def write_database(
+    df: DataFrame, mode: str = "append", connection: Mapping[str, str] | None = None, **what: Any
+) -> None:
     """Insert the rows.  Each task commits on its own, so a failed append can leave part of the rows."""
     if mode not in SAVE_MODES:
         raise ValueError(f"mode must be one of: {', '.join(SAVE_MODES)}")

@@ -11,7 +11,9 @@ from drayage.outbox import write_batch
 from drayage.scratch import stage, staging_scope
 
 
-def outbox_stream(rows: DataFrame, build: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> DataStreamWriter:
+def outbox_stream(
+    rows: DataFrame, build: Callable[[DataFrame], DataFrame], path: str, checkpoint: str
+) -> DataStreamWriter:
     """A stream writer that turns every micro-batch into requests; start it with the trigger of choice.
 
     ``build`` is one of the outbox functions of ``drayage.sinks``.  The keys of the requests

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from drayage import registry
+from drayage.operators.deliver import DeliveryFailed
 from drayage.plans.paging import missing_pages
 from drayage.scratch import new_path
 
@@ -210,6 +211,23 @@ def test_event_batches_do_not_fail_the_job(spark):
     assert (stats["processed"], stats["succeeded"], stats["failed"]) == (2500, 1500, 1000)
 
 
+def test_a_repeated_write_sends_only_the_rest(spark):
+    df = spark.range(500).selectExpr("'Purchase' event_name", "id event_id", "1600000000L event_time")
+    path = new_path(spark, "outcomes")
+    options = {"access_token": "t", "pixel_id": "p", "batch_size": 100, "outcomes_path": path}
+
+    def first(request):
+        return {"status": 200 if request["batch_id"] in ("events-p-0", "events-p-1") else 500}
+
+    def second(request):
+        return {"status": 200 if request["batch_id"] not in ("events-p-0", "events-p-1") else 400}
+
+    assert registry.write(df.repartition(3), "meta_capi", send=first, **options).first()["succeeded"] == 200
+    assert registry.write(df.repartition(5), "meta_capi", send=second, **options).first()["succeeded"] == 500
+    with pytest.raises(DeliveryFailed):
+        registry.write(df, "meta_capi", send=lambda r: {"status": 400}, fail_fast=True, access_token="t", pixel_id="p")
+
+
 def test_secrets_stay_out_of_the_tables(spark):
     df = spark.createDataFrame([("Purchase",)], "event_name string")
     given = registry._check(registry.WRITE_OPTIONS, "write", "meta_capi", {"access_token": "secret", "pixel_id": "p"})
