@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from drayage.plans.ranges import NUMBERS_PER_ROW, number_rows
+
 COLUMNS = ("batch_id", "seq", "method", "path", "body", "n_records", "idem_key")
 
 
@@ -22,14 +24,16 @@ def batch_requests(batches: DataFrame, target: str, method: str, path: str, pref
         .withColumn("seq", F.lit(0))
         .withColumn("method", F.lit(method))
         .withColumn("path", F.lit(path))
-        .withColumn("idem_key", content_key(F.lit(target), F.col("body")))
+        .withColumn("idem_key", content_key(F.col("batch_id"), F.col("body")))
         .drop("payloads")
     )
 
 
-def single_requests(rows: DataFrame, target: str, method: Column, path: Column, body: Column, key: Column) -> DataFrame:
-    """One request per row."""
-    return rows.select(
+def single_requests(
+    rows: DataFrame, target: str, method: Column, path: Column, body: Column, key: Column, distinct: bool
+) -> DataFrame:
+    """One request per row.  Unless the keys are ``distinct``, equal requests are numbered apart."""
+    requests = rows.select(
         F.concat(F.lit(f"{target}-"), key.cast("string")).alias("batch_id"),
         F.lit(0).alias("seq"),
         method.alias("method"),
@@ -38,6 +42,25 @@ def single_requests(rows: DataFrame, target: str, method: Column, path: Column,
         F.lit(1).alias("n_records"),
         content_key(F.lit(target), key.cast("string"), body).alias("idem_key"),
     )
+    return requests if distinct else number_copies(requests)
+
+
+def number_copies(requests: DataFrame) -> DataFrame:
+    """The same requests, where each copy of one has an idempotency key of its own.
+
+    Copies are counted before the shuffle and written out again after it, a great number of
+    them by several tasks.
+    """
+    counted = requests.groupBy(*requests.columns).agg((F.count("*") - 1).alias("_last"))
+    few = counted.where(F.col("_last") < NUMBERS_PER_ROW)
+    few = few.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last"))))
+    many = number_rows(counted.where(F.col("_last") >= NUMBERS_PER_ROW), F.col("_last"), "_copy")
+    copy_key = content_key(F.col("idem_key"), F.col("_copy").cast("string"))
+    return (
+        few.unionByName(many)
+        .withColumn("idem_key", F.when(F.col("_copy") == 0, F.col("idem_key")).otherwise(copy_key))
+        .drop("_last", "_copy")
+    )
 
 
 def content_key(*parts: Column) -> Column:
@@ -45,5 +68,9 @@ def content_key(*parts: Column) -> Column:
 
 
 def write_batch(outbox: DataFrame, path: str, batch_id: int) -> None:
-    """Write the outbox of one micro-batch; a replay overwrites exactly the same folder."""
-    outbox.write.mode("overwrite").parquet(f"{path}/stream_batch={batch_id}")
+    """Write the outbox of one micro-batch; a replay overwrites exactly the same folder.
+
+    The batch is part of the keys: the same rows in a later batch are new requests.
+    """
+    keyed = outbox.withColumn("idem_key", content_key(F.lit(str(batch_id)), F.col("idem_key")))
+    keyed.write.mode("overwrite").parquet(f"{path}/stream_batch={batch_id}")

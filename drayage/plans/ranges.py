@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Numbers produced from one row of an intermediate step; bounds the array behind it.
-_NUMBERS_PER_ROW = 10_000
+NUMBERS_PER_ROW = 10_000
 
 
 def range_plan(df: DataFrame, column: str, pieces: int) -> DataFrame:
@@ -34,7 +34,7 @@ def range_plan(df: DataFrame, column: str, pieces: int) -> DataFrame:
 
 def number_rows(df: DataFrame, last: Column, name: str) -> DataFrame:
     """Each row once per number 0..``last``; long runs are spread over the cluster in blocks."""
-    block = _NUMBERS_PER_ROW
+    block = NUMBERS_PER_ROW
     blocks = (
         df.withColumn("_to", last.cast("long"))
         .where(F.col("_to") >= 0)

@@ -44,7 +44,7 @@ def event_json(schema: T.StructType) -> Column:
     action = _filled(schema, "action_source")
     source = F.lit(DEFAULT_ACTION_SOURCE)
     base = [
-        F.col("event_name").cast("string").alias("event_name"),
+        (F.col("event_name") if "event_name" in names else F.lit(None)).cast("string").alias("event_name"),
         event_time.alias("event_time"),
         (source if action is None else F.coalesce(action, source)).alias("action_source"),
     ]

@@ -21,8 +21,8 @@ def issue_outbox(
 ) -> DataFrame:
     """A row with a key becomes an update of the fields it fills, any other a new issue.
 
-    Updates that fill no field are left out.  ``content_keys`` tell new issues apart; without
-    them the body does, and two equal rows share one idempotency key.
+    Updates that fill no field are left out.  ``content_keys`` are columns that tell rows apart;
+    without them equal rows are counted and numbered.
     """
     names = rows.columns
     has_key = F.coalesce(F.col("key").cast("string") != "", F.lit(False)) if "key" in names else F.lit(False)
@@ -45,6 +45,7 @@ def issue_outbox(
         F.when(has_key, F.concat(F.lit("/rest/api/2/issue/"), key)).otherwise("/rest/api/2/issue"),
         F.concat(F.lit('{"fields":'), F.col("_fields"), F.lit("}")),
         F.when(has_key, key).otherwise(new_key),
+        distinct=bool(content_keys),
     )
 
 

@@ -46,6 +46,7 @@ def list_item_outbox(rows: DataFrame, site_id: str, list_id: str, fields: Mappin
         F.lit(f"/sites/{site_id}/lists/{list_id}/items"),
         F.concat(F.lit('{"fields":'), F.col("_item"), F.lit("}")),
         key,
+        distinct=bool(content_keys),
     )
 
 

@@ -30,4 +30,4 @@ def page_outbox(rows: DataFrame, database_id: str, *content_keys: str) -> DataFr
     parent = F.concat(F.lit("{"), members(F.lit(database_id).alias("database_id")), F.lit("}"))
     body = F.concat(F.lit('{"parent":'), parent, F.lit(',"properties":'), F.col("properties"), F.lit("}"))
     key = F.sha2(F.concat_ws("\u001f", *[F.col(c).cast("string") for c in content_keys], "properties"), 256)
-    return outbox.single_requests(good, "page", F.lit("POST"), F.lit("/v1/pages"), body, key)
+    return outbox.single_requests(good, "page", F.lit("POST"), F.lit("/v1/pages"), body, key, bool(content_keys))

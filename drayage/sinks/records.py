@@ -59,5 +59,5 @@ def single_record_outbox(failed: DataFrame, schema: T.StructType, sobject: str,
     """Records of failed tree requests, one request each; the key is the same on every retry."""
     body = json_object(record_members(schema))
     return outbox.single_requests(
-        failed, f"record-{sobject}", F.lit("POST"), F.lit(f"/sobjects/{sobject}"), body, F.col(key)
+        failed, f"record-{sobject}", F.lit("POST"), F.lit(f"/sobjects/{sobject}"), body, F.col(key), distinct=True
     )

@@ -54,6 +54,12 @@ def test_event_aliases_and_empty_parts(spark):
     assert second["event_time"] > 1_700_000_000
 
 
+def test_events_need_a_name(spark):
+    good, bad = events.split_events(spark.range(2))
+    assert good.count() == 0 and bad.count() == 2
+    assert events.event_outbox(spark.range(2), "p").count() == 0
+
+
 def test_event_rejects(spark):
     df = spark.createDataFrame([("a", "5"), ("", "5"), (None, "5"), ("b", "x")], "event_name string, event_time string")
     good, bad = events.split_events(df)
@@ -146,6 +152,16 @@ def test_list_items(spark):
         list_items.resource_outbox(df, "drive")
 
 
+def test_copies_are_requests_of_their_own(spark):
+    df = spark.range(25_100).select(F.when(F.col("id") < 25_000, "same").otherwise(F.col("id").cast("string")).alias("s"))
+    made = list_items.list_item_outbox(df, "s", "l", {"s": "Title"})
+    assert made.count() == 25_100 and made.select("idem_key").distinct().count() == 25_100
+    again = list_items.list_item_outbox(df.repartition(3), "s", "l", {"s": "Title"})
+    assert made.select("idem_key").subtract(again.select("idem_key")).count() == 0
+    batches = records.record_outbox(spark.range(1000).select(F.lit("same").alias("Name")), "Account", batch_size=100)
+    assert batches.select("idem_key").distinct().count() == 10
+
+
 def test_resources_can_be_added(spark):
     list_items.register_resource("echo", lambda rows, **options: rows.withColumn("option", F.lit(options["x"])))
     try:

@@ -138,6 +138,9 @@ def test_replayed_batch_leaves_the_outbox_as_it_was(spark):
     requests = read_outbox(spark, path)
     assert requests.count() == 3 and requests.select("idem_key").distinct().count() == 3
     assert requests.agg(F.sum("n_records")).first()[0] == 500
+    # The same rows in the next micro-batch are new requests.
+    write_batch(records.record_outbox(rows, "Account", "id"), path, 8)
+    assert read_outbox(spark, path).select("idem_key").distinct().count() == 6
 
 
 def test_only_new_files(spark):
