@@ -2,12 +2,11 @@
 
 A staged table replaces lineage: it is written once, survives the loss of any
 executor and is read back by column.  The folder is the one the cluster names in
-``spark.checkpoint.dir``; only a local session may fall back to a temporary one.
+``spark.checkpoint.dir``, or the one the session set with ``setCheckpointDir``.
 """
 
 from __future__ import annotations
 
-import tempfile
 import threading
 import uuid
 from collections.abc import Iterator
@@ -15,22 +14,16 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_FOLDERS: dict[str, str] = {}
 _SCOPE = threading.local()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        system, folder = _hadoop_path(spark, configured)
-        return system.makeQualified(folder).toString()
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    """The folder every executor can reach; it is never guessed."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    app = context.applicationId
-    if app not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[app] = "file://" + tempfile.mkdtemp(prefix="drayage-")
-    return _LOCAL_FOLDERS[app]
+    system, folder = _hadoop_path(spark, configured)
+    return system.makeQualified(folder).toString()
 
 
 def run_folder(spark: SparkSession) -> str:
