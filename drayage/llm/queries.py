@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from drayage.llm.decontaminate import build_index, find_phrases
 from drayage.llm.exact_dedup import duplicate_groups
 from drayage.llm.simhash import near_duplicate_groups
 
@@ -30,6 +31,52 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Words, then every run of as many words as some item's phrases have, as text.
+_PHRASES_SQL = r"""
+    WITH word AS (
+        SELECT 'd' AS kind, doc_id AS id, row_number() OVER () AS r, regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents
+        UNION ALL
+        SELECT 'i', item_id, row_number() OVER (), regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[0-9a-z\x{80}-\x{10FFFF}]+') FROM benchmark),
+    phrase AS (
+        SELECT DISTINCT id, size, array_to_string(w[pos : pos + size - 1], ' ') AS p FROM (
+            SELECT id, w, least(10, len(w)) AS size, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS pos
+            FROM word WHERE kind = 'i' AND len(w) > 0)),
+    run AS (
+        SELECT r, pos, size, array_to_string(w[pos : pos + size - 1], ' ') AS p FROM (
+            SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS pos
+            FROM word, (SELECT DISTINCT size FROM phrase) WHERE kind = 'd' AND len(w) >= size)),
+    hit AS (SELECT r, id AS item, pos, run.size FROM run JOIN phrase USING (size, p)),
+    items AS (SELECT r, count(DISTINCT item) AS n_items,
+                     string_agg(DISTINCT item::VARCHAR, ',' ORDER BY item::VARCHAR) AS list FROM hit GROUP BY r),
+    words AS (SELECT r, count(DISTINCT pos) AS n_hit FROM (
+        SELECT r, unnest(range(pos, pos + size)) AS pos FROM hit) GROUP BY r)
+    SELECT word.id AS doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
+           coalesce(n_items, 0) AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AS contaminated
+    FROM word LEFT JOIN items USING (r) LEFT JOIN words USING (r) WHERE kind = 'd'
+"""
+
+
+@query(_PHRASES_SQL)
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark texts in the documents, by phrases of ten words."""
+    index = build_index(table(spark, sf_dir, "documents"))
+    found = find_phrases(index, table(spark, sf_dir, "benchmark"))
+    names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return found.select(
+        F.col("key").alias("doc_id"),
+        F.col("n_words").cast("long").alias("n_words"),
+        F.size("hits").cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
 @query()
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of three-word shingles, linked at two differing bits."""
