@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from drayage.llm.decontaminate import build_index, find_phrases
 from drayage.llm.exact_dedup import duplicate_groups
+from drayage.llm.language import fit, predict
+from drayage.llm.pii import KINDS, find_identifiers
 from drayage.llm.simhash import near_duplicate_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +104,37 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("key <=> keep").alias("kept"),
         F.col("digest").alias("text_sha256"),
     )
+
+
+def _of_kind(kind: str):
+    return lambda span: span["kind"] == kind
+
+
+@query()
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identifiers in the documents, plain and disguised."""
+    found = find_identifiers(table(spark, sf_dir, "documents"))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        F.col("key").alias("doc_id"),
+        *[F.size(F.filter("spans", _of_kind(k))).cast("long").alias(f"n_{k}") for k in KINDS],
+        F.sha2(listed(F.filter("spans", lambda s: s["base"])), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
+@query()
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from two thirds of them."""
+    fold = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(3))
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs.where(fold != 1))
+    return predict(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        (fold == 1).alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+    )
