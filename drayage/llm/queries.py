@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from drayage.llm.bpe import with_token_counts
 from drayage.llm.decontaminate import build_index, find_phrases
 from drayage.llm.exact_dedup import duplicate_groups
 from drayage.llm.language import fit, predict
@@ -126,6 +128,19 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents, and the text they decode to."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return with_token_counts(texts, path).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query()
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents, learned from two thirds of them."""
