@@ -27,9 +27,11 @@ from pyspark.sql import functions as F
 from drayage.llm.words import slices
 
 _SLICE_BYTES = 4 << 20
-_CACHED = 300_000  # chunks whose tokens a task keeps
+_CACHED = 200_000  # chunks whose tokens a worker keeps
 _LONG = 200  # characters; longer chunks are not kept
-_NEVER = np.iinfo(np.int64).max
+_SHORT = 64  # symbols; longer words are merged with a heap
+_NEVER = int(np.iinfo(np.int64).max)
+_LAST = 0xE000  # added to a last character; byte characters are below it
 
 
 @cache
@@ -80,12 +82,22 @@ class Vocabulary:
 
     @cached_property
     def whole(self) -> dict[str, int]:
-        """Tokens that encode themselves, by their text; only these are proposed."""
-        return {t: n for t, n in self.ids.items() if self.merge(self.symbols_of(t)) == [n]}
+        """Tokens that encode themselves, by their text; only these are proposed.
+
+        The last character of a word and the word end are one character here.
+        """
+        own = {t: n for t, n in self.ids.items() if self.merge(self.symbols_of(t)) == [n]}
+        return {self._marked(t): n for t, n in own.items()}
+
+    def _marked(self, token: str) -> str:
+        body = token.removesuffix(self.end)
+        return body[:-1] + chr(_LAST + ord(body[-1])) if body and len(body) < len(token) else token
 
     @cached_property
-    def longest(self) -> int:
-        return max(map(len, self.whole))
+    def prefixes(self) -> dict[str, int]:
+        """Every beginning of a proposed token: the token it is, or -1."""
+        found = {t[:n]: -1 for t in self.whole for n in range(1, len(t))}
+        return found | self.whole
 
     def symbols_of(self, token: str) -> list[int]:
         body = token.removesuffix(self.end) if self.end and token != self.end else token
@@ -95,8 +107,25 @@ class Vocabulary:
         return [self.ids[m] for m in marks]
 
     def merge(self, symbols: list[int]) -> list[int]:
-        """Exact merging: the earliest merge first, from the left, in n log n steps."""
+        """Exact merging: the earliest merge first, and of equal ones that on the left."""
         symbols = list(symbols)
+        return self._merge_short(symbols) if len(symbols) <= _SHORT else self._merge_long(symbols)
+
+    def _merge_short(self, symbols: list[int]) -> list[int]:
+        rank = self.rank
+        due = [rank.get(pair, _NEVER) for pair in zip(symbols, symbols[1:])]
+        while due and (first := min(due)) < _NEVER:
+            i = due.index(first)
+            symbols[i : i + 2] = [self.made[symbols[i], symbols[i + 1]]]
+            del due[i]
+            if i:
+                due[i - 1] = rank.get((symbols[i - 1], symbols[i]), _NEVER)
+            if i < len(due):
+                due[i] = rank.get((symbols[i], symbols[i + 1]), _NEVER)
+        return symbols
+
+    def _merge_long(self, symbols: list[int]) -> list[int]:
+        """The same in n log n steps."""
         after = [*range(1, len(symbols)), -1]
         before = list(range(-1, len(symbols) - 1))
         heap = [(r, i, p) for i, p in enumerate(zip(symbols, symbols[1:])) if (r := self.rank.get(p)) is not None]
@@ -118,15 +147,18 @@ class Vocabulary:
         return [s for s in symbols if s >= 0]
 
     def propose(self, word: str) -> list[int]:
-        """Greedy longest match; ``word`` ends with the word end."""
-        out, at, whole = [], 0, self.whole
+        """Greedy longest match; every last character is a token, so some token always fits."""
+        out, at, prefixes, word = [], 0, self.prefixes, self._marked(word)
         while at < len(word):
-            stop = min(len(word), at + self.longest)
-            # The word end is part of the last token and never stands alone.
-            while word[at:stop] not in whole or len(word) - len(self.end) <= stop < len(word):
-                stop -= 1
-            out.append(whole[word[at:stop]])
-            at = stop
+            token, end, stop = -1, at, at + 1
+            while (found := prefixes.get(word[at:stop])) is not None:
+                if found >= 0:
+                    token, end = found, stop
+                if stop == len(word):
+                    break
+                stop += 1
+            out.append(token)
+            at = end
         return out
 
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -161,10 +193,14 @@ class Vocabulary:
 
     def words_of(self, chunk: str) -> list[str | int]:
         """The words of a text without white space in byte characters; special tokens as their ids."""
+        if chunk.isascii() and chunk.isalpha():
+            return [chunk.lower() + self.end]
         out: list[str | int] = []
         for part in self.cut.split(chunk) if self.cut else [chunk]:
             if part in self.special:
                 out.append(self.special[part])
+            elif part.isascii() and part.isprintable():
+                out += [piece + self.end for piece in self.pieces.findall(part.lower())]
             elif part:
                 plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
                 for piece in self.pieces.findall(plain):
@@ -210,6 +246,10 @@ def _chunks(text: str) -> list[str]:
     return text.split()
 
 
+# Tokens of chunks by tokenizer, kept by a Python worker from task to task and bounded by _CACHED.
+_KNOWN: dict[str, dict[str, list[int]]] = {}
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", column: str = "ids") -> DataFrame:
     """``docs`` with ``column``: the token ids of the whole text.
 
@@ -220,7 +260,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", column: str = "ids")
 
     @F.arrow_udf("array<int>")
     def ids(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        vocabulary, known = load(path), {}
+        vocabulary, known = load(path), _KNOWN.setdefault(path, {})
         for part in parts:
             batch = pa.RecordBatch.from_arrays([part], ["text"])
             lists = [_encoded(vocabulary, run.column("text"), known) for run in slices(batch, "text", _SLICE_BYTES)]
@@ -238,11 +278,10 @@ def _encoded(vocabulary: Vocabulary, texts: pa.Array, known: dict[str, list[int]
     coded = pa.array(chunks, pa.large_string()).dictionary_encode()
     distinct = coded.dictionary.to_pylist()
     fresh = [c for c in distinct if c not in known]
-    if len(known) + len(fresh) > _CACHED:
-        known.clear()
-        fresh = distinct
     found = dict(zip(fresh, vocabulary.encode_chunks(fresh)))
-    known.update((c, t) for c, t in found.items() if len(c) <= _LONG)
+    # What is common comes early, so it is kept until the space is used up.
+    room = _CACHED - len(known)
+    known.update((c, found[c]) for c in fresh[: max(0, room)] if len(c) <= _LONG)
     tokens = [found[c] if c in found else known[c] for c in distinct]
     # Lay the distinct chunks' tokens out for every chunk of the texts.
     lengths = np.array([len(t) for t in tokens], dtype=np.int64)
