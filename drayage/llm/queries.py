@@ -13,7 +13,10 @@ from drayage.llm.decontaminate import build_index, find_phrases
 from drayage.llm.exact_dedup import duplicate_groups
 from drayage.llm.language import fit, predict
 from drayage.llm.pii import KINDS, find_identifiers
+from drayage.llm.shards import assign_shards
 from drayage.llm.simhash import near_duplicate_groups
+from drayage.llm.warc import read_archives, transactions, with_referred, write_archives
+from drayage.scratch import new_path, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,6 +84,34 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+    SELECT page_id, strlen(h) AS payload_bytes, sha256(h) AS payload_digest,
+           CASE WHEN strlen(h) >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN strlen(h) >= 100 AND page_id <> first THEN first END AS refers_to
+    FROM (SELECT page_id, coalesce(html, '') AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+          FROM pages)
+""")
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives, read back and put together by transaction."""
+    path = new_path(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    # The digests come from the payloads read; the payloads themselves are not needed any more.
+    found = transactions(stage(read_archives(spark, path).drop("payload"), "warc-records"))
+    fields = F.get(F.col("metadata"), F.lit(0))["fields"]
+    page = F.get(F.filter(fields, lambda f: f["name"] == "capture"), F.lit(0))["value"]
+    pages = found.select(
+        "record_id",
+        F.col("capture.type").alias("record_type"),
+        F.col("capture.refers_to").alias("target"),
+        F.col("capture.payload_bytes").alias("payload_bytes"),
+        F.substring_index("capture.payload_digest", ":", -1).alias("payload_digest"),
+        page.cast("long").alias("page_id"),
+    )
+    return with_referred(pages, "record_id", "target", "page_id", "refers_to").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 @query()
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of three-word shingles, linked at two differing bits."""
@@ -141,6 +172,21 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of nearly equal bytes, equal texts together."""
+    found = assign_shards(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("key").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query()
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents, learned from two thirds of them."""
