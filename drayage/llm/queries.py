@@ -13,6 +13,7 @@ from drayage.llm.decontaminate import build_index, find_phrases
 from drayage.llm.exact_dedup import duplicate_groups
 from drayage.llm.language import fit, predict
 from drayage.llm.pii import KINDS, find_identifiers
+from drayage.llm.secrets import find_secrets
 from drayage.llm.shards import assign_shards
 from drayage.llm.simhash import near_duplicate_groups
 from drayage.llm.warc import read_archives, transactions, with_referred, write_archives
@@ -112,6 +113,12 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of every document, with the forest's score."""
+    return find_secrets(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+
+
 @query()
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of three-word shingles, linked at two differing bits."""
