@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from drayage.llm.bpe import with_token_counts
+from drayage.llm.context_tree import score_texts
 from drayage.llm.decontaminate import build_index, find_phrases
 from drayage.llm.exact_dedup import duplicate_groups
 from drayage.llm.language import fit, predict
@@ -85,6 +86,22 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code lengths of all documents, learned from four fifths of them."""
+    fold = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(5))
+    return score_texts(table(spark, sf_dir, "documents"), fold != 1).select(
+        F.col("key").alias("doc_id"),
+        (~F.col("trained")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+        "bits_per_byte",
+    )
+
+
 @query("""
     SELECT page_id, strlen(h) AS payload_bytes, sha256(h) AS payload_digest,
            CASE WHEN strlen(h) >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,

@@ -80,7 +80,9 @@ def _share(pattern: str) -> Column:
 def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
     """``found`` with a column for each of FEATURES; ``words`` is a dictionary of bounded size."""
     letters = F.filter(F.split(F.lower("candidate"), "[^a-z]+"), lambda w: F.length(w) >= 3)
-    known = F.array_intersect(letters, words.agg(F.collect_set("word")).scalar())
+    # At most MAX_DICTIONARY short words.
+    dictionary = F.lit(sorted(r["word"] for r in words.collect())).cast("array<string>")
+    known = F.array_intersect(letters, dictionary)
     covered = F.aggregate(known, F.lit(0), lambda total, w: total + F.length(w))
     flag = {
         "in_address": F.col("before").rlike(r"(://|www\.|[A-Za-z0-9._-]+/)\S*$") | F.col("after").rlike(r"^\.(html?|php|png|jpe?g|js)\b"),
