@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from drayage.llm.words import NOT_SPACE, slices, split_words
 from drayage.scratch import stage
 
-DEPTH = 4  # bytes of context; a run of DEPTH + 1 bytes must fit in 56 bits
+DEPTH = 5  # bytes of context; a run of DEPTH + 1 bytes must fit in 56 bits
 TOP = 2  # bytes of context by which runs are solved together
 BLOCK_BYTES = 16 << 20  # text in a block, unless a single text is longer
 _PIECE_BYTES = 2 << 20  # text whose runs are laid out at once
