@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from drayage.llm.words import slices
 
-_SLICE_BYTES = 4 << 20
-_CACHED = 200_000  # chunks whose tokens a worker keeps
+_SLICE_BYTES = 2 << 20
+_CACHED = 120_000  # chunks whose tokens a worker keeps
 _LONG = 200  # characters; longer chunks are not kept
 _SHORT = 64  # symbols; longer words are merged with a heap
 _NEVER = int(np.iinfo(np.int64).max)
