@@ -24,13 +24,14 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from drayage.llm.words import NOT_SPACE, slices, split_words
 from drayage.scratch import stage
 
-DEPTH = 5  # bytes of context; a run of DEPTH + 1 bytes must fit in 56 bits
+DEPTH = 4  # bytes of context; a run of DEPTH + 1 bytes must fit in 56 bits
 TOP = 2  # bytes of context by which runs are solved together
 BLOCK_BYTES = 16 << 20  # text in a block, unless a single text is longer
 _PIECE_BYTES = 2 << 20  # text whose runs are laid out at once
@@ -208,13 +209,16 @@ def _blocks(docs: DataFrame, key: str, text: str, train: Column) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", BLOCK_BYTES):
-                found = [split_words(p.column("text"), NOT_SPACE) for p in slices(part, "text", _PIECE_BYTES)]
-                words = b"\n".join(b"\n".join(w.words.cast(pa.large_binary()).to_pylist()) for w in found if len(w.words))
-                sizes = np.concatenate([np.diff(w.rows) for w in found]).astype(np.int32)
+                words, sizes = [], []
+                for piece in slices(part, "text", _PIECE_BYTES):
+                    found, at = split_words(piece.column("text"), NOT_SPACE)
+                    words.append(_joined(found))
+                    sizes.append(np.diff(at).astype(np.int32))
                 whole = pa.array([0, part.num_rows], pa.int32())
-                lists = [part.column("key"), part.column("train"), pa.array(sizes)]
+                lists = [part.column("key"), part.column("train"), pa.array(np.concatenate(sizes))]
+                packed = zstandard.compress(b"".join(words))
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.ListArray.from_arrays(whole, x) for x in lists], pa.array([words], pa.binary())],
+                    [*[pa.ListArray.from_arrays(whole, x) for x in lists], pa.array([packed], pa.binary())],
                     ["keys", "train", "sizes", "words"],
                 )
 
@@ -222,9 +226,24 @@ def _blocks(docs: DataFrame, key: str, text: str, train: Column) -> DataFrame:
     return stage(rows.mapInArrow(run, schema).withColumn("block", F.monotonically_increasing_id()), "text-blocks")
 
 
+def _joined(words: pa.Array) -> bytes:
+    """The words, a line each."""
+    _, offsets, data = words.buffers()
+    cuts = np.frombuffer(offsets, dtype=np.int64)[: len(words) + 1]
+    out = np.full(cuts[-1] + len(words), _END, dtype=np.uint8)
+    if len(words):
+        out[np.repeat(np.arange(len(words)), np.diff(cuts)) + np.arange(cuts[-1])] = np.frombuffer(data, dtype=np.uint8)
+    return out.tobytes()
+
+
+def _words_of(packed: bytes) -> pa.Array:
+    lines = zstandard.decompress(packed)
+    return split_words(pa.array([lines], pa.large_binary()), NOT_SPACE).words
+
+
 def _pieces(sizes: np.ndarray, words: bytes) -> Iterator[tuple[int, int, pa.Array, np.ndarray]]:
     """A block's texts in runs of about ``_PIECE_BYTES``: from, to, words, and where each text's begin."""
-    everything = pa.array(words.split(b"\n") if sizes.sum() else [], pa.large_binary())
+    everything = _words_of(words)
     lengths = np.concatenate([[0], np.cumsum(pc.binary_length(everything).to_numpy(zero_copy_only=False) + 1)])
     rows = np.concatenate([[0], np.cumsum(sizes)])
     piece = lengths[rows[1:]] // _PIECE_BYTES
@@ -252,7 +271,7 @@ def _questions(blocks: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, sizes, train, words in _rows(batches):
-            everything = pa.array(words.split(b"\n") if sizes.sum() else [], pa.large_binary()).dictionary_encode()
+            everything = _words_of(words).dictionary_encode()
             n = np.bincount(
                 everything.indices.to_numpy(), weights=np.repeat(train, sizes), minlength=len(everything.dictionary)
             )
@@ -324,7 +343,7 @@ def score_texts(
             scores, n_bytes = np.zeros(len(sizes)), np.zeros(len(sizes))
             for a, b, words, rows in _pieces(sizes, block["words"][row].as_py()):
                 text_of = np.repeat(np.arange(a, b), np.diff(rows))
-                c = seen[pc.index_in(words, names).to_numpy(zero_copy_only=False).astype(np.int64)]
+                c = seen[pc.index_in(words.cast(pa.large_binary()), names).to_numpy(zero_copy_only=False).astype(np.int64)]
                 known_words += np.bincount(text_of, weights=c > 0, minlength=len(sizes))
                 base += np.bincount(text_of, weights=np.log10((c + 0.5) * 2 * least), minlength=len(sizes))
                 found, begins = runs_of(words, rows, depth)

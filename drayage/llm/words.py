@@ -30,7 +30,7 @@ class Words(NamedTuple):
 
 def split_words(texts: pa.Array, word_bytes: np.ndarray) -> Words:
     """The lower-cased words of each text; null and empty texts have none."""
-    texts = texts.cast(pa.large_binary())
+    texts = texts.cast(pa.large_binary())  # no copy of the text
     _, offsets, data = texts.buffers()
     bounds = np.frombuffer(offsets, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
     if len(texts) == 0 or bounds[-1] == bounds[0]:
