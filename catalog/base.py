@@ -46,7 +46,7 @@ def paged(rows: DataFrame, key: str, size: int, item: Column, *by: str, **extra:
 
     ``items`` holds the page's items as JSON text, in key order.
     """
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), item.alias("item"))))
+    ordered = F.sort_array(F.collect_list(F.struct(F.col(key).alias("k"), item.alias("item"))))
     return (
         rows.groupBy(*by, F.expr(f"{key} div {size}").alias("page_no"))
         .agg(ordered.alias("rows"), *[col.alias(name) for name, col in extra.items()])

@@ -43,6 +43,33 @@ def sheet_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_sheet(spark, path, "number double, label string, balance double")
 
 
+MESSY = {"escape": '"', "quoteAll": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+MESSY_SQL = """
+SELECT CAST(doc_id AS {kind}) AS "{key}", text || ', "" "q" \\' AS "a ""b"",
+c\\", '\\' AS slash FROM documents"""
+
+
+def messy_texts(spark: SparkSession, sf_dir: str, key: str, path: str, sep: str = ",") -> None:
+    """Documents as CSV: quotes, backslashes, separators and line breaks in cells and header."""
+    note = F.concat("text", F.lit(', "" "q" \\')).alias('a "b",\nc\\')
+    messy = table(spark, sf_dir, "documents").select(F.col("doc_id").alias(key), note, F.lit("\\").alias("slash"))
+    messy.write.options(header=True, sep=sep, **MESSY).csv(path)
+
+
+@query(MESSY_SQL.format(kind="VARCHAR", key="doc_id"))
+def sheet_messy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "sheet")
+    messy_texts(spark, sf_dir, "doc_id", path)
+    return sources.read_sheet(spark, path)
+
+
+@query(MESSY_SQL.format(kind="INTEGER", key="number"))
+def dataset_messy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "csv")
+    messy_texts(spark, sf_dir, "number", path, ";")
+    return sources.read_dataset_csv(spark, path, {"sep": "';'"})
+
+
 @query("""
 SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS "Unnamed: 2" FROM supplier""")
 def sheet_header_names(spark: SparkSession, sf_dir: str) -> DataFrame:

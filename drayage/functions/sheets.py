@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -43,9 +44,14 @@ def csv_export_url(spreadsheet: Column, worksheet: Column, query: Column) -> Col
 
 
 def header_names(line: str) -> list[str]:
-    """Column names of a header line: blanks become ``Unnamed: i``, repeats get ``.n``."""
+    """Column names of a header line."""
+    return unique_names(next(csv.reader([line]), []))
+
+
+def unique_names(cells: Iterable[str | None]) -> list[str]:
+    """Column names of header cells: blanks become ``Unnamed: i``, repeats get ``.n``."""
     names: list[str] = []
-    for position, raw in enumerate(next(csv.reader([line]), [])):
+    for position, raw in enumerate(cells):
         base = raw or f"Unnamed: {position}"
         name, repeat = base, 0
         while name in names:

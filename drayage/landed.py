@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 from typing import Any
@@ -17,6 +18,11 @@ LANDED_SCHEMA = (
 )
 LANDED_COLUMNS = ["source", "request_key", "page_no", "fetched_at", "status", "body"]
 
+# Answers worth another try, 0 being none at all.
+RETRIED = (0, 429, 500, 502, 503, 504)
+TRIES = 3
+WAIT_SECONDS = 0.5
+
 # get(request) -> (status, body)
 Get = Callable[[dict[str, Any]], tuple[int, str]]
 # follow(request, status, body) -> the next request of the chain, or None at its end
@@ -72,7 +78,7 @@ def _fetch(requests: DataFrame, source: str, get: Get, follow: Follow, max_in_fl
             for start in frame.to_dict("records"):
                 request, page_no = start, int(start.get("page_no") or 0)
                 while request is not None:
-                    status, body = get(request)
+                    status, body = _patiently(get, request)
                     row = (source, start["request_key"], page_no, datetime.now(timezone.utc), status, body)
                     yield pd.DataFrame([row], columns=columns)
                     request = follow(request, status, body)
@@ -81,6 +87,19 @@ def _fetch(requests: DataFrame, source: str, get: Get, follow: Follow, max_in_fl
     return requests.repartition(in_flight(requests, max_in_flight)).mapInPandas(run, LANDED_SCHEMA)
 
 
+def _patiently(get: Get, request: dict[str, Any]) -> tuple[int, str | None]:
+    """The answer after up to three tries; a call that fails for good is an answer with status 0."""
+    for attempt in range(TRIES):
+        try:
+            status, body = get(request)
+        except Exception as error:  # a failed call is a row, not a failed job
+            status, body = 0, f"{type(error).__name__}: {error}"
+        if status not in RETRIED or attempt == TRIES - 1:
+            break
+        time.sleep(WAIT_SECONDS * 2**attempt)
+    return status, body
+
+
 def bodies(landed: DataFrame, on_error: str = "fail") -> DataFrame:
     """Landed rows with a usable body.
 

@@ -78,7 +78,7 @@ def _has_order(data_type: T.DataType) -> bool:
 
 def collect_batches(batched: DataFrame, payload: Column, *keep: Column) -> DataFrame:
     """One row per batch with its payload texts in order; a group never exceeds the batch size."""
-    ordered = F.array_sort(F.collect_list(F.struct("seq", "_payload")))
+    ordered = F.sort_array(F.collect_list(F.struct("seq", "_payload")))
     return (
         batched.withColumn("_payload", payload)
         .groupBy("batch_no")

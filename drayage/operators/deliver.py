@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from drayage.landed import in_flight
 from drayage.operators.joins import join_keyed
-from drayage.operators.outcomes import NO_ANSWER, OUTCOME_SCHEMA, latest_outcome, succeeded
+from drayage.operators.outcomes import MAX_RETRIES, NO_ANSWER, OUTCOME_SCHEMA, RETRY_STATUSES, latest_outcome, succeeded
 from drayage.scratch import path_exists, stage
 
 # send(request) -> {"status": int, "n_accepted": int | None, "error": str | None}
@@ -70,7 +70,7 @@ def deliver(
     """Send what has not succeeded yet, append the outcomes to a table and return that table.
 
     Requests accepted earlier are skipped by ``idem_key``, so a run that died half-way can be
-    repeated.  A task lost between the call and its commit may send once more; receivers tell
+    repeated; so are those refused for good, and those that have used up their attempts.  A task lost between the call and its commit may send once more; receivers tell
     such copies by the same key.  Outcomes are committed after each of the ``waves``, equal
     parts of the outbox, so a failed job forgets no more than one of them.
 
@@ -80,7 +80,9 @@ def deliver(
     spark = outbox.sparkSession
     earlier = read_outcomes(spark, outcomes_path)
     if earlier is not None:
-        done = succeeded(F.col("status")).alias("_done")
+        # What was accepted is done, and so is what another try would not change.
+        again = F.col("status").isin(*RETRY_STATUSES, NO_ANSWER) & (F.col("attempt") < MAX_RETRIES)
+        done = (succeeded(F.col("status")) | ~again).alias("_done")
         tried = latest_outcome(earlier).select("idem_key", done, (F.col("attempt") + 1).alias("attempt"))
         tried = stage(tried, "tried")
         outbox = (
@@ -89,18 +91,20 @@ def deliver(
             .withColumn("attempt", F.coalesce("attempt", F.lit(1)))
             .drop("_done")
         )
-    if waves > 1:
+    if waves > 1 or fail_fast:
         outbox = stage(outbox, "outbox")
     for number in range(waves):
         wave = outbox if waves == 1 else outbox.where(F.pmod(F.xxhash64("idem_key"), F.lit(waves)) == number)
         attempt_all(wave, send, max_in_flight).write.mode("append").parquet(outcomes_path)
         if fail_fast:
-            _raise_on_failure(spark, outcomes_path)
+            _raise_on_failure(spark, outcomes_path, wave)
     return read_outcomes(spark, outcomes_path)
 
 
-def _raise_on_failure(spark: SparkSession, outcomes_path: str) -> None:
-    failed = latest_outcome(read_outcomes(spark, outcomes_path)).where(~succeeded(F.col("status")))
+def _raise_on_failure(spark: SparkSession, outcomes_path: str, sent: DataFrame) -> None:
+    # The table may hold outcomes of other outboxes too.
+    own = read_outcomes(spark, outcomes_path).join(sent.select("idem_key"), "idem_key", "left_semi")
+    failed = latest_outcome(own).where(~succeeded(F.col("status")))
     count, example = failed.agg(F.count("*"), F.any_value("error")).first()
     if count:
         raise DeliveryFailed(f"{count} requests failed, for instance with: {example}")

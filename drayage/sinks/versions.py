@@ -77,11 +77,17 @@ def _publish(spark: SparkSession, path: str, version: int, manifest: dict) -> No
     system, folder = _versions(spark, path)
     target = spark._jvm.org.apache.hadoop.fs.Path(folder, f"{version}.json")
     system.mkdirs(folder)
+    # Written aside first: a version is there in full or not at all.
+    aside = spark._jvm.org.apache.hadoop.fs.Path(folder, f".{version}-{uuid.uuid4().hex}")
+    out = system.create(aside, False)
+    out.write(bytearray(json.dumps(manifest).encode()))
+    out.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(folder.toUri(), spark._jsc.hadoopConfiguration())
+    no_options = spark._sc._gateway.new_array(getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
     try:
-        out = system.create(target, False)
+        context.rename(aside, target, no_options)
     except Exception as error:
+        system.delete(aside, False)
         if system.exists(target):
             raise VersionConflict(f"version {version} of {path} is already published") from error
         raise
-    out.write(bytearray(json.dumps(manifest).encode()))
-    out.close()

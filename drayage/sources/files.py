@@ -10,16 +10,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from drayage.functions.convert import strip_line_end
-from drayage.functions.sheets import header_names
+from drayage.functions.sheets import unique_names
+
+# A quote within a quoted cell is doubled; a backslash is a character like any other.
+_QUOTING = {"quote": '"', "escape": '"'}
 
 
 def sheet_schema(spark: SparkSession, path: str) -> T.StructType:
     """All-string columns named by the header line."""
-    # Every exported sheet of one read has the same header; one line is all the driver sees.
-    line = spark.read.text(path).limit(1).collect()
-    if not line or not line[0][0]:
+    # Every exported sheet of one read has the same header; one row is all the driver sees.
+    row = spark.read.options(**_QUOTING, multiLine=True).csv(path).limit(1).collect()
+    if not row or not any(row[0]):
         raise ValueError(f"no header line in {path}")
-    return T.StructType([T.StructField(n, T.StringType()) for n in header_names(line[0][0])])
+    return T.StructType([T.StructField(n, T.StringType()) for n in unique_names(row[0])])
 
 
 def read_sheet(spark: SparkSession, path: str, schema: T.StructType | str | None = None, has_header: bool = True):
@@ -30,6 +33,7 @@ def read_sheet(spark: SparkSession, path: str, schema: T.StructType | str | None
         schema = sheet_schema(spark, path)
     return (
         spark.read.schema(schema)
+        .options(**_QUOTING, multiLine=True)
         .option("header", has_header)
         .option("enforceSchema", True)
         .option("mode", "FAILFAST")
@@ -70,11 +74,14 @@ def stringify(df: DataFrame) -> DataFrame:
 def read_dataset_csv(
     spark: SparkSession, path: str, options: Mapping[str, str] | None = None, sampling_ratio: float = 1.0
 ) -> DataFrame:
-    """A CSV file of a downloaded dataset with inferred types; options are Python literals."""
+    """A CSV file of a downloaded dataset with inferred types; options are Python literals.
+
+    Cells may hold line breaks, so a file is read by one task.  ``multiLine`` false lets large
+    files without them be split.
+    """
     passed = {k: ast.literal_eval(v) if isinstance(v, str) else v for k, v in (options or {}).items()}
-    return spark.read.options(
-        header=True, inferSchema=True, samplingRatio=sampling_ratio, mode="FAILFAST", **passed
-    ).csv(path)
+    given = {"header": True, "inferSchema": True, "samplingRatio": sampling_ratio, "mode": "FAILFAST"}
+    return spark.read.options(**{**given, **_QUOTING, "multiLine": True, **passed}).csv(path)
 
 
 def read_lines(spark: SparkSession, path: str, recursive: bool = False, pattern: str | None = None) -> DataFrame:

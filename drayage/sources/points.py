@@ -14,7 +14,7 @@ from drayage.plans.point_filter import payload_predicate
 # Text fields take ids of any type, and vectors and payloads as the JSON they are.
 SCROLL_DDL = (
     "result STRUCT<points: ARRAY<STRUCT<id: STRING, vector: STRING, payload: STRING, "
-    "shard_key: STRING, order_value: BIGINT>>, next_page_offset: STRING>"
+    "shard_key: STRING, order_value: DOUBLE>>, next_page_offset: STRING>"
 )
 
 
@@ -29,7 +29,7 @@ def points(
     rows = (
         parsed(landed, SCROLL_DDL, on_error)
         .select(F.explode("doc.result.points").alias("p"))
-        .select("p.id", "p.vector", "p.payload", "p.shard_key", "p.order_value")
+        .select("p.id", "p.vector", "p.payload", "p.shard_key", F.col("p.order_value").cast("long").alias("order_value"))
     )
     if condition is not None:
         rows = rows.where(payload_predicate(condition, F.col("payload")))

@@ -2,6 +2,7 @@
 
 import re
 
+import catalog
 import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_cross_join_no_global_window_no_row_udf(spark, name):
     text = plan(contract.queries()[name](spark, SF_DIR))
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|Window|BatchEvalPython", text)
