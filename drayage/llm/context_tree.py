@@ -197,11 +197,11 @@ def log_probabilities(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     return dealt.mapInArrow(predict, "run long, log10p double")
 
 
-_BLOCK = "keys array<{key}>, train array<boolean>, sizes array<int>, words binary"
+_BLOCK = "keys array<{key}>, train array<boolean>, sizes array<int>, lengths array<int>, words binary"
 
 
 def _blocks(docs: DataFrame, key: str, text: str, train: Column) -> DataFrame:
-    """Blocks of texts: keys, whether each is learned from, how many words each has, and the words."""
+    """Blocks of texts: keys, whether each is learned from, its words and bytes, and all words packed."""
     rows = docs.select(
         F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"), train.alias("train")
     )
@@ -209,17 +209,19 @@ def _blocks(docs: DataFrame, key: str, text: str, train: Column) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", BLOCK_BYTES):
-                words, sizes = [], []
+                words, sizes, lengths = [], [], []
                 for piece in slices(part, "text", _PIECE_BYTES):
                     found, at = split_words(piece.column("text"), NOT_SPACE)
                     words.append(_joined(found))
                     sizes.append(np.diff(at).astype(np.int32))
+                    upto = np.concatenate([[0], np.cumsum(pc.binary_length(found).to_numpy(zero_copy_only=False) + 1)])
+                    lengths.append(np.diff(upto[at]).astype(np.int32))
                 whole = pa.array([0, part.num_rows], pa.int32())
-                lists = [part.column("key"), part.column("train"), pa.array(np.concatenate(sizes))]
+                lists = [part.column("key"), part.column("train"), *[pa.array(np.concatenate(x)) for x in (sizes, lengths)]]
                 packed = zstandard.compress(b"".join(words))
                 yield pa.RecordBatch.from_arrays(
                     [*[pa.ListArray.from_arrays(whole, x) for x in lists], pa.array([packed], pa.binary())],
-                    ["keys", "train", "sizes", "words"],
+                    ["keys", "train", "sizes", "lengths", "words"],
                 )
 
     schema = _BLOCK.format(key=rows.schema["key"].dataType.simpleString())
@@ -236,30 +238,28 @@ def _joined(words: pa.Array) -> bytes:
     return out.tobytes()
 
 
-def _words_of(packed: bytes) -> pa.Array:
-    lines = zstandard.decompress(packed)
-    return split_words(pa.array([lines], pa.large_binary()), NOT_SPACE).words
-
-
-def _pieces(sizes: np.ndarray, words: bytes) -> Iterator[tuple[int, int, pa.Array, np.ndarray]]:
+def _pieces(lengths: np.ndarray, packed: bytes) -> Iterator[tuple[int, int, pa.Array, np.ndarray]]:
     """A block's texts in runs of about ``_PIECE_BYTES``: from, to, words, and where each text's begin."""
-    everything = _words_of(words)
-    lengths = np.concatenate([[0], np.cumsum(pc.binary_length(everything).to_numpy(zero_copy_only=False) + 1)])
-    rows = np.concatenate([[0], np.cumsum(sizes)])
-    piece = lengths[rows[1:]] // _PIECE_BYTES
-    cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(sizes)]
+    lines = zstandard.decompress(packed)
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    piece = ends[1:] // _PIECE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(lengths)]
     for a, b in zip(cuts, cuts[1:]):
         if b > a:
-            yield a, b, everything[rows[a] : rows[b]], rows[a : b + 1] - rows[a]
+            texts = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), b - a, [None, pa.py_buffer(ends[a : b + 1].astype(np.int64)), pa.py_buffer(lines)]
+            )
+            words, rows = split_words(texts, NOT_SPACE)
+            yield a, b, words, rows
 
 
 def _questions(blocks: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
     """(block, run, n) and (block, token, n): what each block has, and how often in its training texts."""
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, sizes, train, words in _rows(batches):
+        for block, lengths, train, words in _rows(batches):
             keys, counts = np.zeros(0, dtype=np.int64), np.zeros(0)
-            for a, b, own, rows in _pieces(sizes, words):
+            for a, b, own, rows in _pieces(lengths, words):
                 found, begins = runs_of(own, rows, depth)
                 # The lowest bit tells whether the text is learned from, so one sort does for both.
                 marked = np.sort((found << 1) | np.repeat(train[a:b], np.diff(begins)))
@@ -270,15 +270,21 @@ def _questions(blocks: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
             yield _batch(block, "run", pa.array(keys), counts)
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, sizes, train, words in _rows(batches):
-            everything = _words_of(words).dictionary_encode()
-            n = np.bincount(
-                everything.indices.to_numpy(), weights=np.repeat(train, sizes), minlength=len(everything.dictionary)
-            )
-            names = pa.concat_arrays([everything.dictionary.cast(pa.binary()), pa.array([_END_TOKEN.encode()], pa.binary())])
-            yield _batch(block, "token", names, np.append(n, train.sum()))
+        for block, lengths, train, words in _rows(batches):
+            names, counts = pa.array([], pa.large_string()), np.zeros(0)
+            for a, b, own, rows in _pieces(lengths, words):
+                coded = own.dictionary_encode()
+                said = np.repeat(train[a:b], np.diff(rows))
+                n = np.bincount(coded.indices.to_numpy(), weights=said, minlength=len(coded.dictionary))
+                merged = pa.concat_arrays([names, coded.dictionary]).dictionary_encode()
+                names = merged.dictionary
+                counts = np.bincount(
+                    merged.indices.to_numpy(), weights=np.concatenate([counts, n]), minlength=len(names)
+                )
+            names = pa.concat_arrays([names.cast(pa.binary()), pa.array([_END_TOKEN.encode()], pa.binary())])
+            yield _batch(block, "token", names, np.append(counts, train.sum()))
 
-    wanted = blocks.select("block", "train", "sizes", "words")
+    wanted = blocks.select("block", "train", "lengths", "words")
     return (
         wanted.mapInArrow(runs, "block long, run long, n long"),
         wanted.mapInArrow(tokens, "block long, token binary, n long"),
@@ -288,9 +294,9 @@ def _questions(blocks: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, bytes]]:
     for batch in batches:
         for i in range(batch.num_rows):
-            sizes = batch.column("sizes")[i].values.to_numpy().astype(np.int64)
+            lengths = batch.column("lengths")[i].values.to_numpy().astype(np.int64)
             train = batch.column("train")[i].values.to_numpy(zero_copy_only=False).astype(np.int64)
-            yield batch.column("block")[i].as_py(), sizes, train, batch.column("words")[i].as_py()
+            yield batch.column("block")[i].as_py(), lengths, train, batch.column("words")[i].as_py()
 
 
 def _batch(block: int, name: str, keys: pa.Array, n: np.ndarray) -> pa.RecordBatch:
@@ -341,7 +347,8 @@ def score_texts(
             sizes = block["sizes"][row].values.to_numpy().astype(np.int64)
             known_words, base = np.zeros(len(sizes)), np.zeros(len(sizes))
             scores, n_bytes = np.zeros(len(sizes)), np.zeros(len(sizes))
-            for a, b, words, rows in _pieces(sizes, block["words"][row].as_py()):
+            lengths = block["lengths"][row].values.to_numpy().astype(np.int64)
+            for a, b, words, rows in _pieces(lengths, block["words"][row].as_py()):
                 text_of = np.repeat(np.arange(a, b), np.diff(rows))
                 c = seen[pc.index_in(words.cast(pa.large_binary()), names).to_numpy(zero_copy_only=False).astype(np.int64)]
                 known_words += np.bincount(text_of, weights=c > 0, minlength=len(sizes))
