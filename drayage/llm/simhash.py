@@ -119,7 +119,8 @@ def close_links(prints: DataFrame, radius: int, blocks: int, chunk: int = CHUNK)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("members")
-            flat = lists.flatten().to_numpy()
+            # Without sign, since bits of a negative number are counted in its absolute value.
+            flat = lists.flatten().to_numpy().view(np.uint64)
             ends = np.cumsum(pc.list_value_length(lists).to_numpy())
             starts = np.concatenate([[0], ends[:-1]])
             # Most groups are pairs; those are compared all at once.
@@ -129,7 +130,7 @@ def close_links(prints: DataFrame, radius: int, blocks: int, chunk: int = CHUNK)
             for a, b in zip(starts.tolist(), ends.tolist()):
                 if b - a > 2:
                     found.append(_spanning_links(flat[a:b], radius))
-            links = np.concatenate(found)
+            links = np.concatenate(found).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], ["a", "b"])
 
     return groups.where("size(members) > 1").select("members").mapInArrow(run, "a long, b long")
@@ -148,7 +149,7 @@ def _spanning_links(members: np.ndarray, radius: int) -> np.ndarray:
                 reached, left = left[near], left[~near]
                 links.append(np.stack([np.full_like(reached, at), reached], axis=1))
                 frontier.extend(reached)
-    return np.concatenate(links) if links else np.empty((0, 2), dtype=np.int64)
+    return np.concatenate(links) if links else np.empty((0, 2), dtype=np.uint64)
 
 
 def near_duplicate_groups(
