@@ -75,7 +75,7 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
         small = y < 8
         moved[small] -= np.log(y[small])
         y[small] += 1
-    return moved + (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + (1 / 12 - 1 / (360 * y * y)) / y
+    return moved + (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + (1 / 12 - (1 / 360 - 1 / (1260 * y * y)) / (y * y)) / y
 
 
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
