@@ -65,6 +65,9 @@ def test_a_cluster_must_name_its_folder():
     class Context:
         master, applicationId = "spark://host:7077", "app"
 
+        def getCheckpointDir(self):
+            return None
+
     class Conf:
         def get(self, name, default):
             return default
