@@ -100,6 +100,26 @@ def capi_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outbox.select("batch_id", "n_records", F.get_json_object("body", "$.data[0].event_id").alias("first_event"))
 
 
+@query("""
+WITH e AS (SELECT row_number() OVER (ORDER BY event_id) - 1 AS idx FROM events WHERE event_type <> 'error')
+SELECT 'events-pixel-' || (idx // 1000) AS batch_id, CAST(2 AS BIGINT) AS n_builds, CAST(1 AS BIGINT) AS n_keys,
+       CAST(count(*) AS INTEGER) AS n_timed
+FROM e GROUP BY idx // 1000""")
+def capi_untimed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events without a time, built twice: every event gets one, and the keys stay."""
+    rows = table(spark, sf_dir, "events").select(
+        F.when(F.col("event_type") != "error", F.col("event_type")).alias("event_name"), "event_id"
+    )
+    built = [stage(event_sink.event_outbox(rows, "pixel", "event_id"), "build") for _ in range(2)]
+    both = built[0].unionByName(built[1])
+    timed = F.from_json("body", "data ARRAY<STRUCT<event_time: BIGINT>>")["data"]["event_time"]
+    return both.groupBy("batch_id").agg(
+        F.count("*").alias("n_builds"),
+        F.count_distinct("idem_key").alias("n_keys"),
+        F.min(F.size(F.filter(timed, lambda t: t > 1_700_000_000))).alias("n_timed"),
+    )
+
+
 @query("""
 SELECT 'event_name missing' AS reject_reason, event_id FROM events JOIN customer ON user_id = c_custkey
 WHERE event_type = 'error'""")
@@ -339,6 +359,33 @@ def vector_upsert_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outbox.select("method", "path", "n_records", first.alias("first_id"))
 
 
+@query("""
+SELECT user_id AS id, count(*) AS n_versions, CAST(1 AS BIGINT) AS n_sent FROM events GROUP BY user_id""")
+def vector_upserts_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a version of its user's point: one version of each is sent."""
+    events = table(spark, sf_dir, "events")
+    rows = events.select(F.col("user_id").alias("id"), F.to_json(F.array("value")).alias("vector"))
+    outbox = points.point_outbox(rows, "c")
+    parsed = outbox.select(F.inline(F.from_json("body", "points ARRAY<STRUCT<id: BIGINT, vector: STRING>>")["points"]))
+    sent = parsed.groupBy("id").agg(F.count("*").alias("n_sent"))
+    return events.groupBy(F.col("user_id").alias("id")).agg(F.count("*").alias("n_versions")).join(sent, "id", "left")
+
+
+def partial_receiver() -> Send:
+    """A receiver that answers as the tree service does, and refuses records with a large total."""
+
+    def send(request: dict[str, Any]) -> dict[str, Any]:
+        import json
+
+        sent = json.loads(request["body"])["records"]
+        bad = [r["Total"] > 200_000 for r in sent]
+        results = [{"errors": [{"message": "too large"}]} if b else {"id": str(r["Number"])} for b, r in zip(bad, sent)]
+        answer = json.dumps({"hasErrors": any(bad), "results": results})
+        return {"status": 200, "n_accepted": records.accepted_records(answer, request["n_records"])}
+
+    return send
+
+
 def scripted_receiver() -> Send:
     """A receiver without a network: the answer follows from the priority of a batch's first order."""
 
@@ -398,6 +445,17 @@ def delivery_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats(outbox, outcomes, "method")
 
 
+@query("""
+SELECT 'tree-Order-' || (o_orderkey // 200) AS batch_id, CAST(count(*) AS BIGINT) AS processed,
+       CAST(count(*) FILTER (o_totalprice <= 200000) AS BIGINT) AS succeeded,
+       CAST(count(*) FILTER (o_totalprice > 200000) AS BIGINT) AS failed
+FROM orders GROUP BY 1""")
+def tree_partial_success(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outbox = record_batches(spark, sf_dir)
+    outcomes = deliver(outbox, partial_receiver(), new_path(spark, "outcomes"))
+    return stats(outbox, outcomes, "batch_id").drop("pending")
+
+
 def event_requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """One request per event, and up to three attempts at each."""
     events = table(spark, sf_dir, "events")

@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from drayage.operators.joins import BROADCAST_ROWS
 from drayage.scratch import stage
 
 # monotonically_increasing_id() keeps the partition above bit 33 and the position below it.
 _POSITION_BITS = 33
 
 
-def dense_index(df: DataFrame, *order_by: str, name: str = "idx") -> DataFrame:
+def dense_index(df: DataFrame, *order_by: str | Column, name: str = "idx") -> DataFrame:
     """Number the rows 0..n-1, in the order of ``order_by`` or else as they come.
 
     Rows are range-partitioned, so every executor numbers its own range.  The numbered
@@ -27,7 +28,7 @@ def dense_index(df: DataFrame, *order_by: str, name: str = "idx") -> DataFrame:
     """
     ranges = df
     if order_by:
-        order = [F.col(f"`{c}`") for c in order_by] + [F.col("_tie")]
+        order = [F.col(f"`{c}`") if isinstance(c, str) else c for c in order_by] + [F.col("_tie")]
         ranges = (
             df.withColumn("_tie", F.monotonically_increasing_id())
             .repartitionByRange(*order)
@@ -42,16 +43,18 @@ def dense_index(df: DataFrame, *order_by: str, name: str = "idx") -> DataFrame:
         [(r, start) for (r, _), start in zip(counts, starts)], "_range long, _start long"
     )
     position = F.col("_pos").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    # One row per shuffle partition, so the broadcast side cannot grow with the data.
+    # One row of 16 bytes per partition.  Beyond the bound the join shuffles by range, which is even.
+    if len(counts) <= BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
     return (
         staged.withColumn("_range", range_no)
-        .join(F.broadcast(offsets), "_range")
+        .join(offsets, "_range")
         .withColumn(name, F.col("_start") + position)
         .drop("_range", "_start", "_pos")
     )
 
 
-def batch_assign(df: DataFrame, size: int, *order_by: str) -> DataFrame:
+def batch_assign(df: DataFrame, size: int, *order_by: str | Column) -> DataFrame:
     """Add ``batch_no`` and ``seq``: full batches of ``size`` and one remainder."""
     if size <= 0:
         raise ValueError("batch size must be a positive integer")
@@ -68,6 +71,12 @@ def orderable(schema: T.StructType) -> list[str]:
     return [f.name for f in schema.fields if _has_order(f.dataType)]
 
 
+def row_order(schema: T.StructType) -> list[Column]:
+    """A digest of the row to order rows by: as sure as all columns, and short wherever it is sampled or sorted."""
+    names = orderable(schema)
+    return [F.sha2(F.to_json(F.struct(*[F.col(f"`{n}`") for n in names])), 256)] if names else []
+
+
 def _has_order(data_type: T.DataType) -> bool:
     if isinstance(data_type, T.StructType):
         return all(_has_order(f.dataType) for f in data_type.fields)

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from drayage.landed import in_flight
-from drayage.operators.joins import join_keyed
 from drayage.operators.outcomes import MAX_RETRIES, NO_ANSWER, OUTCOME_SCHEMA, RETRY_STATUSES, latest_outcome, succeeded
 from drayage.scratch import path_exists, stage
 
@@ -70,9 +69,10 @@ def deliver(
     """Send what has not succeeded yet, append the outcomes to a table and return that table.
 
     Requests accepted earlier are skipped by ``idem_key``, so a run that died half-way can be
-    repeated; so are those refused for good, and those that have used up their attempts.  A task lost between the call and its commit may send once more; receivers tell
-    such copies by the same key.  Outcomes are committed after each of the ``waves``, equal
-    parts of the outbox, so a failed job forgets no more than one of them.
+    repeated; so are those refused for good, and those that have used up their attempts.  A
+    task lost between the call and its commit may send once more; receivers tell such copies by
+    the same key.  Outcomes are committed after each of the ``waves``, equal parts of the
+    outbox, so a failed job forgets no more than one of them.
 
     With ``fail_fast`` a wave with failures ends the run in ``DeliveryFailed``; its outcomes
     are kept.
@@ -86,7 +86,7 @@ def deliver(
         tried = latest_outcome(earlier).select("idem_key", done, (F.col("attempt") + 1).alias("attempt"))
         tried = stage(tried, "tried")
         outbox = (
-            join_keyed(outbox, tried, "idem_key", "left")
+            outbox.join(tried, "idem_key", "left")
             .where(~F.coalesce("_done", F.lit(False)))
             .withColumn("attempt", F.coalesce("attempt", F.lit(1)))
             .drop("_done")

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drayage.operators.joins import join_keyed
-from drayage.scratch import stage
 
 # The statuses worth another try, and how often.
 RETRY_STATUSES = (429, 500, 502, 503, 504)
@@ -36,12 +34,13 @@ def latest_outcome(outcomes: DataFrame) -> DataFrame:
 
 def delivery_stats(outbox: DataFrame, outcomes: DataFrame, *by: str) -> DataFrame:
     """Records processed, succeeded, failed and still pending, per group of requests."""
-    latest = stage(latest_outcome(outcomes).select("idem_key", "status", "n_accepted"), "latest")
+    # Keys are unique on both sides, so an ordinary join is even.
+    latest = latest_outcome(outcomes).select("idem_key", "status", "n_accepted")
     accepted = F.coalesce(
         F.when(succeeded(F.col("status")), F.coalesce("n_accepted", "n_records")), F.lit(0)
     )
     return (
-        join_keyed(outbox, latest, "idem_key", "left")
+        outbox.join(latest, "idem_key", "left")
         .withColumn("_ok", accepted)
         .groupBy(*by)
         .agg(
@@ -63,13 +62,13 @@ def retry_plan(
     """The requests to send again, and not before when: the wait doubles with every attempt."""
     latest = latest_outcome(outcomes).select("idem_key", "attempt", "status", "finished_at")
     retryable = F.col("status").isin(list(statuses)) & (F.col("attempt") < max_attempts)
-    again = stage(latest.where(retryable), "retryable")
+    again = latest.where(retryable)
     wait = F.lit(base_seconds) * F.pow(F.lit(float(BACKOFF_FACTOR)), F.col("attempt"))
     due = F.timestamp_micros(
         F.unix_micros(F.col("finished_at").cast("timestamp")) + (wait * 1_000_000).cast("long")
     )
     return (
-        join_keyed(outbox, again, "idem_key")
+        outbox.join(again, "idem_key")
         .withColumn("next_attempt", F.col("attempt") + 1)
         .withColumn("next_at", due)
         .drop("attempt", "finished_at")

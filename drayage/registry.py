@@ -13,14 +13,14 @@ from functools import partial
 from typing import Any
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from drayage import wire
 from drayage.functions.sheets import csv_export_url, is_sheet_url, spreadsheet_id, worksheet_id
 from drayage.landed import Follow, Get, bodies, fetch, fetch_chain, parsed
-from drayage.operators.batching import orderable
+from drayage.operators.batching import row_order
 from drayage.operators.contract import check_against
 from drayage.operators.deliver import Send, deliver
 from drayage.operators.outcomes import delivery_stats
@@ -184,11 +184,17 @@ def read(
     """A batch frame from a connector.
 
     A response that failed raises, or with ``on_error="skip"`` adds no rows; quotes skip by default.
+    A listing that is read page after page ends at a failed page, so there leaving out the rest
+    must be asked for with ``on_error="incomplete"``.
     """
     given = _check(READ_OPTIONS, "read", name, options)
     if name in _FILE_READERS:
         return _FILE_READERS[name](spark, given)
     plan = _PLANS[name](spark, given)
+    if plan.follow is not None and on_error == "skip":
+        raise ValueError(f"{name} is read page after page; on_error must be: fail, incomplete")
+    if plan.follow is not None and on_error == "incomplete":
+        on_error = "skip"
     if get is None:
         if name == "robinhood":
             raise ValueError("robinhood requests are signed with your private key; pass a `get` that signs them")
@@ -225,7 +231,7 @@ def write(
     given = _check(WRITE_OPTIONS, "write", name, options)
     if name in _FILE_WRITERS:
         return _FILE_WRITERS[name](df, given)
-    order_by = orderable(df.schema) if outcomes_path else []
+    order_by = row_order(df.schema) if outcomes_path else []
     outbox = stage(build_outbox(df, name, given, *order_by), f"outbox-{name}")
     send = send or service_sender(name, given)
     path = outcomes_path or new_path(df.sparkSession, f"outcomes-{name}")
@@ -256,11 +262,11 @@ def write_stream(rows: DataFrame, name: str, path: str, checkpoint: str, **optio
     if name in _FILE_WRITERS:
         raise ValueError(f"{name} is no streaming sink")
     # Ordered, so that a replayed micro-batch fills the same requests with the same rows.
-    order_by = orderable(rows.schema)
+    order_by = row_order(rows.schema)
     return outbox_stream(rows, lambda batch: build_outbox(batch, name, given, *order_by), path, checkpoint)
 
 
-def build_outbox(df: DataFrame, name: str, given: dict[str, Any], *order_by: str) -> DataFrame:
+def build_outbox(df: DataFrame, name: str, given: dict[str, Any], *order_by: Column) -> DataFrame:
     if name == "meta_capi":
         return events.event_outbox(
             df,
@@ -297,7 +303,8 @@ def service_sender(name: str, given: dict[str, Any]) -> Send:
     if name == "qdrant":
         return wire.http_send(given["url"], {"api-key": given["api_key"]} if given["api_key"] else {})
     if name == "salesforce":
-        return wire.http_send(given["instance_url"].rstrip("/") + "/services/data/v59.0", wire.bearer(given["token"]))
+        base_url = given["instance_url"].rstrip("/") + "/services/data/v59.0"
+        return wire.http_send(base_url, wire.bearer(given["token"]), accepted=records.accepted_records)
     return wire.http_send(given["base_url"], wire.bearer(given["token"]))
 
 

@@ -24,11 +24,33 @@ def point_json(rows: DataFrame) -> Column:
     return json_object(*parts)
 
 
+def last_points(rows: DataFrame) -> DataFrame:
+    """The last row of each id and shard key, as they come; rows without an id all stay.
+
+    Requests are sent in no order, so of two versions of a point only one may be among them.
+    """
+    if "id" not in rows.columns:
+        return rows
+    keys = [c for c in ("id", "shard_key") if c in rows.columns]
+    others = ["_at", *[c for c in rows.columns if c not in keys]]
+    version = F.struct(*[F.col(f"`{c}`") for c in others])
+    return (
+        rows.withColumn("_at", F.monotonically_increasing_id())
+        .groupBy(*keys, F.when(F.col("id").isNull(), F.col("_at")).alias("_lone"))
+        .agg(F.max_by(version, "_at").alias("_last"))
+        .select(*keys, *[F.col("_last").getField(c).alias(c) for c in others[1:]])
+        .select(*[F.col(f"`{c}`") for c in rows.columns])
+    )
+
+
 def point_outbox(
-    rows: DataFrame, collection: str, *order_by: str, batch_size: int = DEFAULT_BATCH, wait: bool = True
+    rows: DataFrame, collection: str, *order_by: str | Column, batch_size: int = DEFAULT_BATCH, wait: bool = True
 ) -> DataFrame:
-    """Upserts of up to ``batch_size`` points each, in the order of ``order_by`` or else as they come."""
-    batched = batch_assign(rows, batch_size, *order_by)
+    """Upserts of up to ``batch_size`` points each, in the order of ``order_by`` or else as they come.
+
+    Of rows with the same id the last is sent.
+    """
+    batched = batch_assign(last_points(rows), batch_size, *order_by)
     batches = collect_batches(batched, point_json(rows))
     path = f"/collections/{collection}/points?wait={str(wait).lower()}"
     return outbox.batch_requests(batches, f"points-{collection}", "PUT", path, '{"points":[', "]}").select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +32,7 @@ def record_members(schema: T.StructType) -> Column:
     return members(*[record_value(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields])
 
 
-def assigned_records(rows: DataFrame, *order_by: str, batch_size: int = DEFAULT_BATCH) -> DataFrame:
+def assigned_records(rows: DataFrame, *order_by: str | Column, batch_size: int = DEFAULT_BATCH) -> DataFrame:
     """Rows that have content, with their batch and the reference id they carry in its request."""
     filled = rows.where(any_filled(rows.columns))
     batched = batch_assign(filled, batch_size, *order_by)
@@ -45,7 +47,7 @@ def record_json(schema: T.StructType, sobject: str) -> Column:
 
 
 def record_outbox(
-    rows: DataFrame, sobject: str = DEFAULT_OBJECT, *order_by: str, batch_size: int = DEFAULT_BATCH
+    rows: DataFrame, sobject: str = DEFAULT_OBJECT, *order_by: str | Column, batch_size: int = DEFAULT_BATCH
 ) -> DataFrame:
     batched = assigned_records(rows, *order_by, batch_size=batch_size)
     batches = collect_batches(batched, record_json(rows.schema, sobject))
@@ -55,6 +57,14 @@ def record_outbox(
     )
 
 
+def accepted_records(answer: str, n_records: int) -> int:
+    """How many records of a tree request were created, by the text of the answer."""
+    told = json.loads(answer)
+    if told.get("hasErrors", True) is False:
+        return n_records
+    return sum("id" in result for result in told.get("results", []))
+
+
 def single_record_outbox(failed: DataFrame, schema: T.StructType, sobject: str, key: str) -> DataFrame:
     """Records of failed tree requests, one request each; the key is the same on every retry."""
     body = json_object(record_members(schema))

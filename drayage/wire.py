@@ -7,7 +7,7 @@ a landed or outbox row.  ``requests`` is imported where it is used, on the execu
 from __future__ import annotations
 
 import base64
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from typing import Any
 
 from drayage.landed import Get
@@ -48,9 +48,15 @@ def http_get(headers: Mapping[str, str] | None = None, secret_params: Mapping[st
 
 
 def http_send(
-    base_url: str, headers: Mapping[str, str] | None = None, secret_params: Mapping[str, str] | None = None
+    base_url: str,
+    headers: Mapping[str, str] | None = None,
+    secret_params: Mapping[str, str] | None = None,
+    accepted: Callable[[str, int], int] | None = None,
 ) -> Send:
-    """Send an outbox request to ``base_url`` plus its path."""
+    """Send an outbox request to ``base_url`` plus its path.
+
+    ``accepted`` tells from the text of a good answer how many of so many records were taken.
+    """
     headers, secret_params = dict(headers or {}), dict(secret_params or {})
     timeout = TIMEOUT_SECONDS
 
@@ -65,7 +71,10 @@ def http_send(
             headers={"Content-Type": "application/json", **headers},
             timeout=timeout,
         )
-        error = None if answer.ok else answer.text
-        return {"status": answer.status_code, "error": error}
+        if not answer.ok:
+            return {"status": answer.status_code, "error": answer.text}
+        taken = request["n_records"] if accepted is None else accepted(answer.text, request["n_records"])
+        error = answer.text if taken < request["n_records"] else None
+        return {"status": answer.status_code, "n_accepted": taken, "error": error}
 
     return send

@@ -123,6 +123,16 @@ def test_failed_read_raises(spark):
         registry.read(spark, "github", get=lambda request: (404, "not found"), path="a/b").collect()
 
 
+def test_listing_is_not_cut_short_unasked(spark):
+    def get(request):
+        page = int(request["url"].rsplit("=", 1)[1])
+        return (200, json.dumps([{"number": i} for i in range(100)])) if page == 1 else (404, "gone")
+
+    with pytest.raises(ValueError, match="page after page"):
+        registry.read(spark, "github", get=get, on_error="skip", path="a/b")
+    assert registry.read(spark, "github", get=get, on_error="incomplete", path="a/b").count() == 100
+
+
 def test_failed_answers_can_be_skipped(spark):
     def get(request):
         return (200, json.dumps({"X": {}})) if request["request_key"] == "A" else (429, "slow down")

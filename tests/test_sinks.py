@@ -3,6 +3,7 @@
 import hashlib
 import json
 import os
+import time
 
 import pytest
 from pyspark.errors import PySparkException
@@ -218,3 +219,29 @@ def test_versions(spark):
         append_version(df, path, 1, mode="overwrite")
     with pytest.raises(ValueError, match="no dataset"):
         read_version(spark, new_path(spark, "versions"))
+
+
+def test_untimed_events_keep_their_keys(spark):
+    rows = spark.createDataFrame([("view", "a@now"), ("click", None)], "event_name string, event_id string")
+    first = events.event_outbox(rows, "p", "event_name").collect()
+    time.sleep(1.1)
+    second = events.event_outbox(rows, "p", "event_name").collect()
+    assert [r.idem_key for r in first] == [r.idem_key for r in second]
+    for r in first:
+        assert all(isinstance(e["event_time"], int) for e in json.loads(r.body)["data"])
+        assert '"event_id":"a@now"' in r.body
+
+
+def test_last_version_of_a_point_is_sent(spark):
+    rows = spark.createDataFrame(
+        [(1, "[1]"), (2, "[2]"), (1, "[3]"), (None, "[4]"), (None, "[4]")], "id long, vector string"
+    ).coalesce(1)
+    sent = [p for r in points.point_outbox(rows, "c").collect() for p in json.loads(r.body)["points"]]
+    assert sorted((p.get("id", 0), p["vector"][0]) for p in sent) == [(0, 4), (0, 4), (1, 3), (2, 2)]
+    assert points.point_outbox(rows.limit(0), "c").count() == 0
+
+
+def test_tree_answers_tell_what_was_accepted():
+    assert records.accepted_records('{"hasErrors": false}', 7) == 7
+    assert records.accepted_records('{"hasErrors": true, "results": [{"id": "x"}, {"errors": []}]}', 2) == 1
+    assert records.accepted_records('{"hasErrors": true}', 2) == 0
