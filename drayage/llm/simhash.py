@@ -42,22 +42,26 @@ def fingerprint(text: bytes | None, shingle: int = 5) -> int:
     joined by a blank, repeats included; fewer words are one shingle.  Each is hashed by XXH64
     with seed 42, and a bit is set where more than half of the hashes have it.
     """
+    return majority(shingle_hashes(text, shingle))
+
+
+def shingle_hashes(text: bytes | None, shingle: int) -> list[int]:
+    """The hash of each shingle of a text, repeats included; none without words."""
     words = (text or b"").translate(LOWER).split()
     if not words:
-        return 0
+        return []
     joined = b" ".join(words)
     ends = np.flatnonzero(np.frombuffer(joined, dtype=np.uint8) == 32)
     starts = [0, *(ends + 1).tolist()]
     ends = [*ends.tolist(), len(joined)]
     n = max(1, len(words) - shingle + 1)
     digest = xxhash.xxh64_intdigest
-    hashes = [digest(joined[a:b], 42) for a, b in zip(starts[:n], ends[-n:])]
-    return _majority(np.array(hashes, dtype=">u8"))
+    return [digest(joined[a:b], 42) for a, b in zip(starts[:n], ends[-n:])]
 
 
-def _majority(hashes: np.ndarray) -> int:
-    """Bits that more than half of the hashes have, counted byte by byte."""
-    octets = hashes.view(np.uint8).reshape(-1, 8) + np.arange(0, 2048, 256)
+def majority(hashes: list[int]) -> int:
+    """Bits that more than half of the hashes have, counted byte by byte; zero without hashes."""
+    octets = np.array(hashes, dtype=">u8").view(np.uint8).reshape(-1, 8) + np.arange(0, 2048, 256)
     counts = np.bincount(octets.ravel(), minlength=2048).reshape(8, 256)
     ones = counts @ _BIT_TABLE
     return int(np.packbits(2 * ones > len(hashes)).view(">i8")[0])
@@ -157,17 +161,23 @@ def near_duplicate_groups(
     key: str = "doc_id",
     text: str = "text",
     shingle: int = 5,
-    radius: int = 6,
+    radius: int | None = None,
     blocks: int = 9,
+    similarity: float = 0.8,
 ) -> DataFrame:
     """For every row: ``key``, ``fingerprint`` (long) and ``component`` (the smallest key reachable).
 
-    Rows are linked when their fingerprints differ in at most ``radius`` bits; components are
-    the connected rows.  Null and empty texts have fingerprint zero and are linked like others.
+    Rows are linked when their fingerprints differ in at most ``radius`` bits or, without a
+    radius, when they share at least ``similarity`` of their shingles (``overlap``); components
+    are the connected rows.  Null and empty texts have fingerprint zero and are linked like others.
     Null keys are passed over when the smallest key is taken; a component of null keys has null.
     Repeated rows are kept each.  An empty table gives an empty result.  Other columns are not
     read.  The wider the radius, the more blocks it needs for keys that tell texts apart.
     """
+    if radius is None:
+        from drayage.llm.overlap import similar_groups
+
+        return similar_groups(docs, key, text, shingle, similarity)
     rows = stage(fingerprints(docs, key, text, shingle).withColumn("salt", salt_of(F.col("key"))), "fingerprints")
     classes = stage(
         rows.groupBy("fingerprint").agg(F.min("key").alias("first"), salt_mask(F.col("salt")).alias("salts")),
@@ -188,8 +198,9 @@ def keep_one_of_each(
     key: str = "doc_id",
     text: str = "text",
     shingle: int = 5,
-    radius: int = 6,
+    radius: int | None = None,
     blocks: int = 9,
+    similarity: float = 0.8,
 ) -> DataFrame:
     """``docs`` with one row of each near-duplicate component, the one with the smallest key.
 
@@ -203,7 +214,7 @@ def keep_one_of_each(
     # From here a row is known by its key and digest; null keys are larger than all others.
     name = F.struct(F.col(f"`{key}`").isNull().alias("none"), F.col(f"`{key}`").alias("key"), F.col(digest).alias("digest"))
     groups = near_duplicate_groups(
-        rows.select(name.alias("row"), content.alias("text")), "row", "text", shingle, radius, blocks
+        rows.select(name.alias("row"), content.alias("text")), "row", "text", shingle, radius, blocks, similarity
     )
     winners = (
         groups.where("key = component")

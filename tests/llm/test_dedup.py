@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from drayage.llm import exact_dedup, simhash
+from drayage.llm import exact_dedup, overlap, simhash
 from drayage.llm.components import component_roots
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -133,3 +133,45 @@ def test_near_copies_leave_one(spark):
     assert sorted(r.doc_id for r in kept) == [2, 9, 11]
     found = {r.key: r.component for r in simhash.near_duplicate_groups(docs(spark, rows)).collect()}
     assert found[3] == found[2] == 2 and found[None] == found[12] == 11
+
+
+def jaccard(a, b, size=5):
+    sets = [{tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} for w in (a, b)]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def test_similar_rows_are_those_of_all_pairs(spark):
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(3000)]
+    texts = []
+    for length in (60, 80, 100, 150, 300) * 6:
+        text = rng.choices(words, k=length)
+        texts.append(text)
+        for _ in range(3):  # a word changed here and there: similarities from 0.6 to 0.95
+            near = list(text)
+            for _ in range(rng.randint(1, max(1, length // 50))):
+                near[rng.randrange(length)] = "changed"
+            texts.append(near)
+    # A long chain: neighbours are similar, its ends are not.
+    chain = rng.choices(words, k=120)
+    texts += [chain[i : i + 100] for i in range(0, 20, 2)]
+    values = [(jaccard(a, b), i, j) for i, a in enumerate(texts) for j, b in enumerate(texts) if j < i]
+    assert sum(0.8 <= v < 0.95 for v, _, _ in values) > 30
+    linked = {(i, j) for v, i, j in values if v >= 0.8}
+    root = list(range(len(texts)))
+    for _ in texts:
+        for i, j in linked:
+            root[i] = root[j] = min(root[i], root[j])
+    frame = docs(spark, [(i, " ".join(t)) for i, t in enumerate(texts)])
+    got = {r.key: r.component for r in overlap.similar_groups(frame, chunk=4).collect()}
+    assert [got[i] for i in range(len(texts))] == root
+    kept = simhash.keep_one_of_each(frame).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(root))
+
+
+def test_similar_rows_of_odd_tables(spark):
+    frame = docs(spark, [*ROWS, (7, " "), (8, "A  b C")]).withColumns({"_digest": F.lit(1), "key": F.lit(2)})
+    kept = simhash.keep_one_of_each(frame)
+    assert kept.columns == frame.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "5", "None"]
+    assert simhash.keep_one_of_each(docs(spark, [])).count() == 0
+    assert overlap.similar_groups(docs(spark, [])).count() == 0
