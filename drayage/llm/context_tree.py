@@ -31,10 +31,13 @@ from pyspark.sql import functions as F
 from drayage.llm.words import NOT_SPACE, slices, split_words
 from drayage.scratch import stage
 
-DEPTH = 4  # bytes of context; a run of DEPTH + 1 bytes must fit in 56 bits
+DEPTH = 6  # bytes of context; a run of DEPTH + 1 bytes must fit in 56 bits
 TOP = 2  # bytes of context by which runs are solved together
-BLOCK_BYTES = 16 << 20  # text in a block, unless a single text is longer
+BLOCK_BYTES = 8 << 20  # text in a block, unless a single text is longer
+PARTS = 4  # bytes of context whose runs are solved at once, in pieces
+TASK_RUNS = 500_000  # distinct runs for a task, unless one context has more
 _PIECE_BYTES = 2 << 20  # text whose runs are laid out at once
+_PIECE_RUNS = 1 << 16  # runs that are solved at once, unless one context of PARTS bytes has more
 _END, _BLANK = 10, 32
 _END_TOKEN = "\n"  # no word holds white space
 _HALF = np.log(0.5)
@@ -111,24 +114,24 @@ def _nodes(runs: np.ndarray, place: np.ndarray, length: int, depth: int) -> np.n
     return ((runs >> (8 * (depth - length + 1)))[:, None] << 8) | place
 
 
-def solve(runs: np.ndarray, n: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, Level]:
-    """Predictions of every run's eight decisions by contexts of ``TOP`` to ``depth`` bytes.
+def solve(runs: np.ndarray, n: np.ndarray, depth: int = DEPTH, top: int = TOP) -> tuple[np.ndarray, np.ndarray, Level]:
+    """Predictions of every run's eight decisions by contexts of ``top`` to ``depth`` bytes.
 
-    ``runs`` are all distinct runs of some contexts of ``TOP`` bytes, with their counts in
-    training, which may be zero.  Also returns the nodes of ``TOP`` bytes and their level.
+    ``runs`` are all distinct runs of some contexts of ``top`` bytes, with their counts in
+    training, which may be zero.  Also returns the nodes of ``top`` bytes and their level.
     """
     place, bit = _decisions(runs)
     weight = np.repeat(n.astype(np.float64), 8)
     flat = bit.ravel()
     prediction = level = children = None
     levels = []
-    for length in range(depth, TOP - 1, -1):
+    for length in range(depth, top - 1, -1):
         nodes, which = np.unique(_nodes(runs, place, length, depth).ravel(), return_inverse=True)
         ones = np.bincount(which, weights=weight * flat, minlength=len(nodes))
         zeros = np.bincount(which, weights=weight * (1 - flat), minlength=len(nodes))
         below = None
         if level is not None:
-            parent = np.searchsorted(nodes, (children >> 16 << 8) | (children & 255))
+            parent = np.searchsorted(nodes, _parents(children))
             below = np.bincount(parent, weights=level.weighted, minlength=len(nodes))
         level, children = _level(zeros, ones, below), nodes
         levels.append((which, level))
@@ -137,6 +140,36 @@ def solve(runs: np.ndarray, n: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarr
     return prediction.reshape(-1, 8), children, level
 
 
+def _parents(nodes: np.ndarray) -> np.ndarray:
+    return (nodes >> 16 << 8) | (nodes & 255)
+
+
+def _run_pieces(runs: np.ndarray, depth: int, parts: int) -> Iterator[slice]:
+    """Sorted runs in pieces of whole contexts of ``parts`` bytes."""
+    context = runs >> (8 * (depth - parts + 1))
+    starts = np.concatenate([[0], np.flatnonzero(np.diff(context)) + 1])
+    cuts = starts[np.concatenate([[0], np.flatnonzero(np.diff(starts // _PIECE_RUNS)) + 1])]
+    yield from map(slice, cuts, [*cuts[1:], len(runs)])
+
+
+def upper_levels(runs: np.ndarray, n: np.ndarray, depth: int = DEPTH) -> list[tuple[np.ndarray, Level]]:
+    """Nodes and levels of contexts below ``PARTS`` bytes down to ``TOP``, for sorted runs, piece by piece.
+
+    Where nothing lies between, the nodes of ``TOP`` bytes are the last ones too.
+    """
+    parts = max(TOP, min(PARTS, depth))
+    found = [solve(runs[at], n[at], depth, parts)[1:] for at in _run_pieces(runs, depth, parts)]
+    nodes = np.concatenate([x for x, _ in found])
+    level = Level(*(np.concatenate(x) for x in zip(*(level for _, level in found))))
+    levels = [(nodes, level)]
+    for _ in range(parts - TOP):
+        above, which = np.unique(_parents(nodes), return_inverse=True)
+        level = _level(*(np.bincount(which, weights=x, minlength=len(above)) for x in (level.zeros, level.ones, level.weighted)))
+        nodes = above
+        levels.append((nodes, level))
+    return levels
+
+
 def _mixed(deeper: np.ndarray | None, which: np.ndarray, bit: np.ndarray, level: Level) -> np.ndarray:
     zeros, ones = level.zeros[which], level.ones[which]
     own = (np.where(bit == 1, ones, zeros) + 0.5) / (zeros + ones + 1)
@@ -151,6 +184,11 @@ def _whole_partition(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]
     return [np.concatenate(p) for p in zip(*parts)] if parts else None
 
 
+def _sorted(runs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(runs)
+    return runs[order], n[order]
+
+
 def log_probabilities(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     """``run`` and ``log10p``: the probability of a run's byte after its context, for every run.
 
@@ -158,17 +196,16 @@ def log_probabilities(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     """
     # A task gets whole contexts of TOP bytes; each has at most 256 ** (depth - TOP + 1) runs.
     context = F.shiftright("run", 8 * (depth - TOP + 1))
-    dealt = stage(counts.repartition(context), "runs-by-context")
-    # Files are not cut by context, so tasks are dealt again for each reading.
-    dealt = dealt.repartition(context)
+    counts = stage(counts, "run-counts")
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")) + counts.count() // TASK_RUNS
+    dealt = counts.repartition(tasks, context)
 
     def upper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = _whole_partition(batches, ("run", "n"))
         if whole is not None:
-            _, nodes, level = solve(*whole, depth)
-            parent = (nodes >> 16 << 8) | (nodes & 255)
+            nodes, level = upper_levels(*_sorted(*whole), depth)[-1]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (parent, level.zeros, level.ones, level.weighted)], ["node", "zeros", "ones", "below"]
+                [pa.array(x) for x in (_parents(nodes), level.zeros, level.ones, level.weighted)], ["node", "zeros", "ones", "below"]
             )
 
     nodes = dealt.mapInArrow(upper, "node long, zeros double, ones double, below double")
@@ -185,14 +222,20 @@ def log_probabilities(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
         whole = _whole_partition(batches, ("run", "n"))
         if whole is None:
             return
-        runs, n = whole
-        prediction, _, _ = solve(runs, n, depth)
-        place, bit = _decisions(runs)
-        for length, level in ((1, top[0]), (0, top[1])):
-            which = _nodes(runs, place, length, depth)
-            prediction = _mixed(prediction.ravel(), which.ravel(), bit.ravel(), level).reshape(-1, 8)
-        log10p = np.log10(prediction).sum(axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(runs), pa.array(log10p)], ["run", "log10p"])
+        runs, n = _sorted(*whole)
+        levels = upper_levels(runs, n, depth)
+        parts = TOP + len(levels) - 1
+        for at in _run_pieces(runs, depth, parts):
+            prediction, _, _ = solve(runs[at], n[at], depth, parts)
+            place, bit = _decisions(runs[at])
+            for length, (nodes, level) in zip(range(parts - 1, TOP - 1, -1), levels[1:]):
+                which = np.searchsorted(nodes, _nodes(runs[at], place, length, depth).ravel())
+                prediction = _mixed(prediction.ravel(), which, bit.ravel(), level).reshape(-1, 8)
+            for length, level in ((1, top[0]), (0, top[1])):
+                which = _nodes(runs[at], place, length, depth)
+                prediction = _mixed(prediction.ravel(), which.ravel(), bit.ravel(), level).reshape(-1, 8)
+            log10p = np.log10(prediction).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(runs[at]), pa.array(log10p)], ["run", "log10p"])
 
     return dealt.mapInArrow(predict, "run long, log10p double")
 

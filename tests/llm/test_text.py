@@ -259,6 +259,13 @@ def test_code_lengths_follow_the_definition(spark, monkeypatch):
         assert got[i].base_score == pytest.approx(base) and got[i].train_tokens == total
 
 
+def test_code_lengths_take_six_bytes_of_context(spark, monkeypatch):
+    monkeypatch.setattr(context_tree, "_PIECE_RUNS", 7)  # several pieces of runs in a task
+    texts = ["the cat sat on the mat", "abcdefg abcdefh abcdxfg", None, "the catalogue", "abcdefg"]
+    got = {r.key: r.score for r in context_tree.score_texts(docs(spark, texts), F.col("doc_id") < 3).collect()}
+    assert [got[i] for i in range(len(texts))] == pytest.approx(plain_tree(texts[:3], texts, 6), rel=1e-9)
+
+
 def test_scores_without_training_and_without_rows(spark):
     frame = docs(spark, ["ab", None])
     got = {r.key: r.score for r in context_tree.score_texts(frame, F.lit(None).cast("boolean")).collect()}
