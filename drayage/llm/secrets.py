@@ -1,13 +1,15 @@
 """Secrets in text: candidates by pattern, false positives removed by a random forest.
 
 Everything on the way is a DataFrame expression or Spark's own classifier.  A candidate is a run
-of at least 16 letters, digits and ``+/_=-`` with a digit in it.  The forest looks at its length,
-its changes between kinds of characters, how much of it common words cover, the path around it
-and the path of its document, and the words next to it.
-
-Labelled findings may be given; otherwise they are derived: a value in quotes that is assigned
-to a name such as ``token`` or ``api_key`` is a secret, a candidate with no such name near it is
-none, and what is in between is left out of training.
+of at least 16 letters, digits and ``+/_-`` with a digit in it, ``=`` only as its end, or any
+value of at least 6 characters that a secret's name with ``=`` or ``:`` precedes.  The forest
+looks at its length, its changes between kinds of characters, how much of it common words cover,
+the path around it and the path of its document, and the words next to it.
+
+Labelled findings may be given; otherwise they are derived: a value with letters and digits that
+is assigned to a name such as ``token`` or ``api_key``, in quotes or of at least 16 characters,
+is a secret, a candidate with no such name in or near it is none, and what is in between is left
+out of training.
 """
 
 from __future__ import annotations
@@ -24,9 +26,17 @@ from drayage.scratch import stage
 MAX_DICTIONARY = 2_000  # a word is common when it makes up at least one of so many words
 MAX_FINDINGS = 10_000  # labelled findings of each class that a forest is trained on
 NEAR = 60  # characters before and after a candidate that are looked at
-_CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{16,}+"
+_SECRET = r"(?:token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|auth|credentials?|private[_-]?key|access[_-]?key)"
+# A name may go on after a sign or with a number, as in secret_access_key_1.
+_NAME = _SECRET + r"(?:[_-][A-Za-z0-9_-]{0,20}|[0-9]{1,4})?[\"'`]?\s{0,3}(?::|=>?|:=)\s{0,3}"
+# The cheap look at the character before comes first, so that the name is looked for at few places.
+_VALUE = rf"(?<=[:=>\s\"'`])(?<=[:=>]\s{{0,3}}[\"'`]?)(?<=(?i:{_NAME})[\"'`]?)[^\s\"'`<>,;(){{}}\[\]&=:]" r"[^\s\"'`<>,;(){}\[\]&]{5,}+"
+_CANDIDATE = (
+    rf"{_VALUE}|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{{16,}}+(?:={{1,2}}(?![A-Za-z0-9+/_=-]))?"
+)
+_PIECES = 21  # pieces of text that surely hold NEAR characters: a candidate has at least six, what follows it one
 _NAMES = r"(?i)(token|secret|passw|pwd|api|auth|bearer|credential|private|access|key)"
-_ASSIGNED = r"(?i)(token|secret|passw(or)?d|pwd|api[_-]?key|auth|credential|private[_-]?key|access[_-]?key)[\"']?\s*[:=]>?\s*[\"']$"
+_ASSIGNED = rf"(?i){_NAME}[\"'`]?$"
 FEATURES = (
     "length", "runs", "digits", "capitals", "distinct", "coverage", "longest_word", "slashes", "in_address",
     "sample_path", "named", "assigned", "quoted", "hex_only", "digits_only",
@@ -59,12 +69,28 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", path: s
         # What lies between the candidates: one more piece than there are candidates.
         F.split("text", _CANDIDATE, -1).alias("between"),
     )
+    # The text again, piece by piece; only the ends of a piece can be near a candidate.
+    pieces = F.flatten(
+        F.transform("between", lambda b, i: F.array(b, F.coalesce(F.get("found", i), F.lit(""))))
+    )
+    parts = parts.select(
+        "key",
+        "path",
+        "found",
+        F.transform(pieces, lambda p: F.right(p, F.lit(NEAR))).alias("ends"),
+        F.transform(pieces, lambda p: F.left(p, F.lit(NEAR))).alias("starts"),
+    )
+
+    def before(i: Column) -> Column:
+        first = F.greatest(2 * i + 2 - _PIECES, F.lit(1))
+        return F.right(F.array_join(F.slice("ends", first, 2 * i + 2 - first), ""), F.lit(NEAR))
+
     around = F.transform(
         "found",
         lambda c, i: F.struct(
             c.alias("candidate"),
-            F.right(F.get("between", i), F.lit(NEAR)).alias("before"),
-            F.left(F.get("between", i + 1), F.lit(NEAR)).alias("after"),
+            before(i).alias("before"),
+            F.left(F.array_join(F.slice("starts", 2 * i + 3, F.lit(_PIECES)), ""), F.lit(NEAR)).alias("after"),
         ),
     )
     return parts.select("key", "path", F.posexplode(around).alias("nth", "x")).select(
@@ -87,7 +113,7 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
     flag = {
         "in_address": F.col("before").rlike(r"(://|www\.|[A-Za-z0-9._-]+/)\S*$") | F.col("after").rlike(r"^\.(html?|php|png|jpe?g|js)\b"),
         "sample_path": F.coalesce(F.col("path").rlike(r"(?i)(test|example|sample|fixture|mock|docs?)"), F.lit(False)),
-        "named": F.concat("before", F.lit(" "), F.substring("after", 1, 20)).rlike(_NAMES),
+        "named": F.concat_ws(" ", "before", "candidate", F.substring("after", 1, 20)).rlike(_NAMES),
         "assigned": F.col("before").rlike(_ASSIGNED),
         "quoted": F.col("before").rlike("[\"'`]$") & F.col("after").rlike("^[\"'`]"),
         "hex_only": F.col("candidate").rlike("^[0-9a-fA-F]+$"),
@@ -108,9 +134,9 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def labelled(found: DataFrame) -> DataFrame:
-    """``found`` with ``label``: 1 where a quoted value is assigned to a secret's name, 0 where no such name is near."""
+    """``found`` with ``label``: 1 where a value is assigned to a secret's name, 0 where no such name is in or near it."""
     mixed = (F.col("digits") > 0) & (F.col("digits") < 1)
-    secret = (F.col("assigned") == 1) & (F.col("quoted") == 1) & mixed
+    secret = (F.col("assigned") == 1) & mixed & ((F.col("quoted") == 1) | (F.col("length") >= 16))
     label = F.when(secret, 1.0).when((F.col("named") == 0) & (F.col("assigned") == 0), 0.0)
     return found.withColumn("label", label).where("label IS NOT NULL")
 
@@ -148,7 +174,7 @@ def find_secrets(
 
     ``score`` is the forest's share of trees for a secret.  ``findings`` are labelled rows with
     the columns of ``candidates`` and ``label``; without them labels are derived.  Where only
-    one label occurs there is nothing to learn, and the score is whether the derived rule holds.
+    one label occurs there is nothing to learn, and the score is whether it is assigned to a secret's name.
     Null texts have no candidates, a null path counts as no sample path, null keys and repeated
     rows are kept.  An empty table gives an empty result.
     """
@@ -157,7 +183,7 @@ def find_secrets(
     train = labelled(found) if findings is None else with_features(findings, words)
     model = fit(train)
     if model is None:
-        score = ((F.col("assigned") == 1) & (F.col("quoted") == 1)).cast("double")
+        score = F.col("assigned")
         scored = found.withColumn("score", score)
     else:
         scored = model.transform(found).withColumn("score", vector_to_array("_probability")[1])

@@ -72,6 +72,22 @@ def test_candidates_and_forest(spark):
     assert secrets.find_secrets(frame.limit(0)).count() == 0
 
 
+def test_secrets_of_all_forms_are_candidates_of_their_own(spark):
+    value = "sk_live_51HabcQ9xZ"
+    texts = [f"API_KEY={value}", f"https://a.b/c?access_token={value}&x=1", f'"aws_secret_access_key_1": "{value}"',
+             'password = "hunterx"', "api_key: abcdefghijklmnopqrst", "nothing is here of that kind 1234567890123456"]
+    frame = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "key long, text string, source string")
+    found = secrets.candidates(frame, "key")
+    featured = secrets.with_features(found, secrets.common_words(frame))
+    got = {(r.key, r.candidate): r.assigned for r in featured.collect()}
+    wanted = [(0, value), (1, value), (2, value), (3, "hunterx"), (4, "abcdefghijklmnopqrst")]
+    assert [got.get(w) for w in wanted] == [1.0] * 5
+    labels = {(r.key, r.candidate): r.label for r in secrets.labelled(featured).collect()}
+    assert [labels.get(w) for w in wanted] == [1.0, 1.0, 1.0, None, None] and (2, "aws_secret_access_key_1") not in labels
+    text = {r.key: r for r in found.where(F.col("candidate") == value).collect()}
+    assert all(texts[k].endswith((r.before + value + r.after)[-40:]) for k, r in text.items())
+
+
 def test_forest_plan_has_no_python(spark):
     plan = queries.QUERIES["op4_secrets"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
