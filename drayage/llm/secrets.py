@@ -144,19 +144,23 @@ def labelled(found: DataFrame) -> DataFrame:
 def fit(findings: DataFrame, most: int = MAX_FINDINGS, trees: int = 20, depth: int = 6) -> PipelineModel | None:
     """A forest from findings with FEATURES and ``label`` (0 or 1); None unless both labels occur.
 
-    At most ``most`` findings of each label are used, those with the smallest hashes, so that
-    the same table always gives the same forest.
+    Findings that agree in all features are one row with their number as its weight.  At most
+    ``most`` such rows of each label are used, those with the smallest hashes, so that the same
+    table always gives the same forest and copies do not crowd out the rest.
     """
+    distinct = stage(
+        findings.groupBy("label", *FEATURES).agg(F.count("*").cast("double").alias("_weight")), "distinct-findings"
+    )
     parts = []
     for label in (0.0, 1.0):
-        own = findings.where(F.col("label") == label).select("label", *FEATURES)
+        own = distinct.where(F.col("label") == label)
         parts.append(own.orderBy(F.xxhash64(*FEATURES), *FEATURES).limit(most))
     sample = stage(parts[0].unionByName(parts[1]), "labelled-findings")
     if sample.select("label").distinct().count() < 2:
         return None
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
     forest = RandomForestClassifier(
-        featuresCol="_features", labelCol="label", numTrees=trees, maxDepth=depth, seed=7, probabilityCol="_probability",
+        featuresCol="_features", labelCol="label", weightCol="_weight", numTrees=trees, maxDepth=depth, seed=7, probabilityCol="_probability",
         rawPredictionCol="_raw", predictionCol="_prediction",
     )
     return PipelineModel([rows, forest.fit(rows.transform(sample))])

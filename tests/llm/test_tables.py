@@ -88,6 +88,23 @@ def test_secrets_of_all_forms_are_candidates_of_their_own(spark):
     assert all(texts[k].endswith((r.before + value + r.after)[-40:]) for k, r in text.items())
 
 
+def test_copies_do_not_crowd_out_other_findings(spark, monkeypatch):
+    rows = [(float(label), float(i)) for label in (0, 1) for i in range(40) for _ in range(50)]
+    frame = spark.createDataFrame(rows, "label double, length double")
+    frame = frame.withColumns({f: F.lit(0.0) for f in secrets.FEATURES[1:]})
+    staged = {}
+
+    def kept(rows, name):
+        staged[name] = rows.cache()
+        return staged[name]
+
+    monkeypatch.setattr(secrets, "stage", kept)
+    assert secrets.fit(frame, most=30, trees=2)
+    sample = staged["labelled-findings"]
+    assert sample.select("label", "length").distinct().count() == sample.count() == 60
+    assert sample.agg(F.sum("_weight")).first()[0] == 60 * 50
+
+
 def test_forest_plan_has_no_python(spark):
     plan = queries.QUERIES["op4_secrets"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
