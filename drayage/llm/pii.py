@@ -126,33 +126,39 @@ _DIGIT_WORDS = {
 _SIGN_WORDS = {"plus": "+", "dot": ".", "point": ".", "punkt": ".", "punto": "."}
 _SPOKEN = "|".join(sorted([*_DIGIT_WORDS, *_SIGN_WORDS], key=len, reverse=True))
 _AT, _DOT = r"at|arroba|@|a", r"dot|point|punkt|punto|\."
-_ENDINGS = "com|net|org|edu|gov|info|example|test|io|eu|de|fr|es|uk|us|ca|co|ch|at"
+_GAP = r"[\s,-]{1,3}"
 _DISGUISE = re.compile(
     # [at], (dot) and the like
     rf"(?P<sign>[\s_]{{0,3}}[\[({{<]\s{{0,3}}(?:(?P<at>{_AT})|(?P<dot>{_DOT}))\s{{0,3}}[\])}}>][\s_]{{0,3}})"
-    # three or more spoken digits or signs in a row
-    rf"|(?P<spoken>\b(?:{_SPOKEN})(?:[\s,-]{{1,3}}(?:{_SPOKEN})\b){{2,}})"
-    # name at host dot com
-    rf"|(?P<plain>(?<=\w)[\s_]{{1,3}}at[\s_]{{1,3}}(?=(?:[a-z0-9-]{{1,63}}[\s_]{{1,3}}dot[\s_]{{1,3}}){{1,5}}(?:{_ENDINGS})\b))"
+    # spoken digits or signs next to others or to digits
+    rf"|(?P<spoken>\b(?:[0-9]+{_GAP}(?:{_SPOKEN})\b|(?:{_SPOKEN}){_GAP}(?:{_SPOKEN}|[0-9]+)\b)(?:{_GAP}(?:{_SPOKEN}|[0-9]+)\b)*)"
+    # name at host.com, name at host dot com
+    rf"|(?P<plain>(?<=\w)[\s_]{{1,3}}at[\s_]{{1,3}}(?=(?:[a-z0-9-]{{1,63}}(?:[\s_]{{1,3}}dot[\s_]{{1,3}}|\.)){{1,5}}[a-z]{{2}}))"
     r"|(?P<stop>(?<=\w)[\s_]{1,3}dot[\s_]{1,3}(?=[a-z0-9-]))"
     # characters that do not show
     rf"|(?P<hidden>[{_HIDDEN}]+)",
     re.IGNORECASE,
 )
-_WORD = re.compile(_SPOKEN, re.IGNORECASE)
+_WORD = re.compile(rf"(?:{_SPOKEN})\b|[0-9]+", re.IGNORECASE)
 _LOOKS = frozenset(map(chr, _TABLE)) | frozenset(_HIDDEN)
 _BRACKETS = re.compile(r"[\[({<]\s{0,3}(?:[aA]|[dD][oO]|[pP][uUoO]|@|\.)")
 _SPOKEN_WORDS = pa.array([*_DIGIT_WORDS, *_SIGN_WORDS], pa.large_string())
 _DOT_WORD = pa.array(["dot"], pa.large_string())
+_AT_HOST = r"[\s_][aA][tT][\s_]{1,3}[A-Za-z0-9-]+\.[A-Za-z0-9]"
 
 
 def may_be_spoken(texts: pa.Array) -> np.ndarray:
-    """Which texts have three spoken digits or signs in a row, or the word dot."""
+    """Which texts have a spoken digit or sign next to another or to digits, the word dot, or at before a dotted host."""
     words, rows = split_words(pc.utf8_lower(texts), ALNUM)
-    said = pc.is_in(words, _SPOKEN_WORDS).to_numpy(zero_copy_only=False).astype(np.int8)
+    said = pc.is_in(words, _SPOKEN_WORDS).to_numpy(zero_copy_only=False)
     hits = pc.is_in(words, _DOT_WORD).to_numpy(zero_copy_only=False).copy()
-    hits[2:] |= said[2:] + said[1:-1] + said[:-2] == 3
-    return np.diff(np.concatenate([[0], np.cumsum(hits)])[rows]) > 0
+    if len(words):
+        _, offsets, data = words.buffers()
+        first = np.frombuffer(data, dtype=np.uint8)[np.frombuffer(offsets, dtype=np.int64)[: len(words)]]
+        figure = (first >= 48) & (first <= 57)
+        hits[1:] |= said[1:] & (said[:-1] | figure[:-1]) | figure[1:] & said[:-1]
+    hosts = pc.fill_null(pc.match_substring_regex(texts, _AT_HOST), False).to_numpy(zero_copy_only=False)
+    return (np.diff(np.concatenate([[0], np.cumsum(hits)])[rows]) > 0) | hosts
 
 
 class Normalised(NamedTuple):
@@ -200,16 +206,30 @@ def normalise(text: str, spoken: bool = True) -> Normalised | None:
     done = 0
     for match in _DISGUISE.finditer(plain):
         add(plain[done : match.start()], done, match.start(), False)
-        add(_undisguised(match), *match.span(), True)
+        if match["spoken"]:
+            for piece in _said(match["spoken"], match.start()):
+                add(*piece)
+        else:
+            add(_undisguised(match), *match.span(), True)
         done = match.end()
     add(plain[done:], done, len(plain), False)
     return Normalised("".join(out), begins, pieces)
 
 
+def _said(run: str, at: int) -> Iterator[tuple[str, int, int, bool]]:
+    """Spoken digits and signs as such; what lies between figures and spoken digits stays."""
+    end, last = 0, ""
+    for match in _WORD.finditer(run):
+        word = match.group().lower()
+        plain = _DIGIT_WORDS.get(word) or _SIGN_WORDS.get(word)
+        kind = "figure" if plain is None else "digit" if plain.isdigit() else "sign"
+        if {kind, last} == {"figure", "digit"} or kind == last == "figure":
+            yield run[end : match.start()], at + end, at + match.start(), False
+        yield plain or match.group(), at + match.start(), at + match.end(), plain is not None
+        end, last = match.end(), kind
+
+
 def _undisguised(match: re.Match) -> str:
-    if match["spoken"]:
-        words = (w.lower() for w in _WORD.findall(match["spoken"]))
-        return "".join(_DIGIT_WORDS.get(w) or _SIGN_WORDS[w] for w in words)
     if match["hidden"]:
         return ""
     return "@" if match["at"] or match["plain"] else "."

@@ -132,6 +132,30 @@ def test_disguises_are_mapped_back(text, kind, value):
     assert pii.may_be_spoken(pa.array([text])).tolist()[0] or pii.normalise(text, spoken=False)
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "value"),
+    [
+        ("write joe at example dot it now", "email", "joe at example dot it"),
+        ("write joe at mail dot example dot museum", "email", "joe at mail dot example dot museum"),
+        ("write joe at example.com now", "email", "joe at example.com"),
+        ("write joe_at_example.nl", "email", "joe_at_example.nl"),
+        ("call +49 one five 1 two 3456789 now", "phone", "+49 one five 1 two 3456789"),
+        ("call +49 151 2 three 456789", "phone", "+49 151 2 three 456789"),
+        ("at 192 dot one six eight dot 1 dot one.", "ip", "192 dot one six eight dot 1 dot one"),
+        ("4111 1111 one 111 1111", "card", "4111 1111 one 111 1111"),
+    ],
+)
+def test_any_ending_and_single_spoken_digits_are_undone(text, kind, value):
+    assert pii.may_be_spoken(pa.array([text])).tolist() == [True]
+    found = [(pii.KINDS[s.kind], text[s.start : s.end]) for s in pii.find_spans(text) if not s.base]
+    assert found == [(kind, value)]
+
+
+def test_figures_near_spoken_digits_stay_plain():
+    for text in ("one 10.0.0.1 or two 10.0.0.2", "one five 10.0.0.1", "look at home. Then one 4111 1111 1111 1111"):
+        assert not [s for s in pii.find_spans(text) if not s.base]
+
+
 def test_clean_texts_have_no_spans(spark):
     texts = [None, "", "look at the polka dot dress", "um um dos tres", "x" * 300_000, "1" * 100_000, "a@" * 50_000, "one " * 40_000]
     rows = pii.find_identifiers(docs(spark, texts)).collect()
