@@ -73,7 +73,9 @@ def http_send(
         )
         if not answer.ok:
             return {"status": answer.status_code, "error": answer.text}
-        taken = request["n_records"] if accepted is None else accepted(answer.text, request["n_records"])
+        if accepted is None:
+            return {"status": answer.status_code, "error": None}
+        taken = accepted(answer.text, request["n_records"])
         error = answer.text if taken < request["n_records"] else None
         return {"status": answer.status_code, "n_accepted": taken, "error": error}
 
