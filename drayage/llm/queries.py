@@ -17,6 +17,7 @@ from drayage.llm.pii import KINDS, find_identifiers
 from drayage.llm.secrets import find_secrets
 from drayage.llm.shards import assign_shards
 from drayage.llm.simhash import near_duplicate_groups
+from drayage.llm.vector_codes import compress
 from drayage.llm.warc import read_archives, transactions, with_referred, write_archives
 from drayage.scratch import new_path, stage
 
@@ -223,3 +224,45 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("language.lang").alias("lang_pred"),
         F.col("language.score").alias("score"),
     )
+
+
+def _codebook_sql(rounds: int) -> str:
+    """Plain k-means, a few tables for each round."""
+    steps = [
+        """kept AS (SELECT row_number() OVER () AS r, vec_id, label, embedding FROM embeddings WHERE embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        """number AS MATERIALIZED (SELECT r, pos * 8 // size AS part, pos % (size // 8) AS place, x FROM (
+            SELECT r, len(embedding) AS size, unnest(range(len(embedding))) AS pos,
+                   unnest(list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT)) AS x FROM kept))""",
+        """first AS (SELECT r, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT 16)""",
+        """book0 AS MATERIALIZED (SELECT part, entry, place, x FROM number JOIN first USING (r))""",
+    ]
+    for n in range(rounds + 1):
+        steps.append(f"""near{n} AS MATERIALIZED (
+            SELECT r, part, min((d, entry)) AS best FROM (
+                SELECT r, part, entry, sum((number.x - book{n}.x) ** 2)::BIGINT AS d
+                FROM number JOIN book{n} USING (part, place) GROUP BY ALL) GROUP BY ALL)""")
+        steps.append(f"""book{n + 1} AS MATERIALIZED (
+            SELECT part, entry, place, coalesce(floor_x, x) AS x FROM book{n} LEFT JOIN (
+                SELECT part, best[2] AS entry, place,
+                       ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS floor_x
+                FROM number JOIN near{n} USING (r, part) GROUP BY ALL) USING (part, entry, place))""")
+    return f"""WITH {", ".join(steps[:-1])},
+        book AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, place)) AS digest FROM book{rounds}),
+        code AS (SELECT r, string_agg(printf('%02x', best[2]::INT), '' ORDER BY part) AS code,
+                        sum(best[1])::BIGINT AS error FROM near{rounds} GROUP BY r)
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+               (SELECT digest FROM book) AS codebooks_sha256
+        FROM kept JOIN code USING (r)"""
+
+
+@query(_codebook_sql(6))
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors as eight entries of sixteen, after six rounds."""
+    return compress(table(spark, sf_dir, "embeddings")).select(
+        F.col("key").alias("vec_id"),
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.col("codebooks").alias("codebooks_sha256"),
+    )
