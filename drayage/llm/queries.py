@@ -17,6 +17,7 @@ from drayage.llm.pii import KINDS, find_identifiers
 from drayage.llm.secrets import find_secrets
 from drayage.llm.shards import assign_shards
 from drayage.llm.simhash import near_duplicate_groups
+from drayage.llm.url_filter import judge_urls
 from drayage.llm.vector_codes import compress
 from drayage.llm.warc import read_archives, transactions, with_referred, write_archives
 from drayage.scratch import new_path, stage
@@ -266,3 +267,34 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "label_error",
         F.col("codebooks").alias("codebooks_sha256"),
     )
+
+
+RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+@query(f"""
+    WITH part AS (
+        SELECT row_number() OVER () AS r, page_id,
+               translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1),
+                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+    rule(of, start, verdict) AS (VALUES {", ".join(map(str, RULES))}),
+    fit AS (SELECT r, arg_max(of || start, len(of || start)) AS rule, arg_max(verdict, len(of || start)) AS verdict
+            FROM part JOIN rule ON (host = of OR suffix(host, '.' || of)) AND starts_with(path, start) GROUP BY r),
+    listed AS (SELECT host FROM part JOIN fit USING (r) GROUP BY host
+               HAVING count(*) FILTER (verdict = 'block') > count(*) FILTER (verdict = 'allow'))
+    SELECT page_id, host, path, rule,
+           coalesce(verdict, CASE WHEN host IN (FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
+    FROM part LEFT JOIN fit USING (r)
+""")
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All urls by rules, and by hosts whose urls the rules mostly block."""
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    judged = judge_urls(table(spark, sf_dir, "pages"), rules)
+    return judged.select(F.col("key").alias("page_id"), "host", "path", "rule", "verdict")
