@@ -14,6 +14,8 @@ from drayage.llm.decontaminate import build_index, find_phrases
 from drayage.llm.exact_dedup import duplicate_groups
 from drayage.llm.language import fit, predict
 from drayage.llm.pii import KINDS, find_identifiers
+from drayage.llm.ranked_search import build_index as build_ranked_index
+from drayage.llm.ranked_search import search
 from drayage.llm.secrets import find_secrets
 from drayage.llm.shards import assign_shards
 from drayage.llm.simhash import near_duplicate_groups
@@ -298,3 +300,32 @@ def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
     judged = judge_urls(table(spark, sf_dir, "pages"), rules)
     return judged.select(F.col("key").alias("page_id"), "host", "path", "rule", "verdict")
+
+
+@query(r"""
+    WITH word AS (
+        SELECT 'd' AS kind, doc_id AS id, row_number() OVER () AS r, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[0-9a-z\x{80}-\x{10FFFF}]+')) AS t FROM documents
+        UNION ALL
+        SELECT 'i', item_id, row_number() OVER (), unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[0-9a-z\x{80}-\x{10FFFF}]+')) FROM benchmark),
+    held AS (SELECT kind, r, any_value(id) AS id, t, count(*) AS tf FROM word GROUP BY kind, r, t),
+    doc AS (SELECT r, any_value(id) AS doc_id, sum(tf)::BIGINT AS n FROM held WHERE kind = 'd' GROUP BY r),
+    total AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM doc),
+    weight AS (SELECT t, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+               FROM held, total WHERE kind = 'd' GROUP BY t, n_docs),
+    scored AS (SELECT item.r AS item, any_value(item.id) AS item_id, d.r, any_value(d.id) AS doc_id, sum(item.tf * w * (
+                   (1000000000 * d.tf) // (1000 * d.tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+               FROM held AS item JOIN held AS d USING (t) JOIN weight USING (t) JOIN doc ON doc.r = d.r, total
+               WHERE item.kind = 'i' AND d.kind = 'd' GROUP BY item.r, d.r)
+    SELECT item_id, (row_number() OVER best)::INT AS rank, doc_id, score FROM scored WHERE score > 0
+    WINDOW best AS (PARTITION BY item ORDER BY score DESC, doc_id) QUALIFY rank <= 20
+""")
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents for every benchmark item."""
+    index, totals = build_ranked_index(table(spark, sf_dir, "documents"))
+    return search(index, totals, table(spark, sf_dir, "benchmark")).select(
+        F.col("item").alias("item_id"), "rank", F.col("key").alias("doc_id"), "score"
+    )
