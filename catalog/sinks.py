@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from catalog.base import ntz, query, table
 from drayage.operators.batching import batch_assign as assign, dense_index
-from drayage.operators.deliver import Send, deliver
+from drayage.operators.deliver import Send, deliver, settle
 from drayage.operators.joins import join_keyed
 from drayage.operators.outcomes import (
     OUTCOME_SCHEMA,
     delivery_stats as stats,
+    record_outcomes,
     dispatch_schedule as schedule,
     retry_plan as plan_retries,
     retry_singletons as singletons,
@@ -441,10 +442,60 @@ def delivery_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "outcomes")
     deliver(outbox, scripted_receiver(), path)
     # A second run skips what was accepted and tries the rest again.
-    outcomes = deliver(outbox, scripted_receiver(), path)
+    outcomes = deliver(outbox, scripted_receiver(), path, base_seconds=0)
     return stats(outbox, outcomes, "method")
 
 
+def moody_receiver() -> Send:
+    """Whole batches, the first try of some, all of others, and single records are refused, by the number of the batch."""
+
+    def send(request: dict[str, Any]) -> dict[str, Any]:
+        import json
+
+        mood = int(request["batch_id"].rsplit("-", 1)[1]) % 5
+        bad = [r["Total"] > 350_000 for r in json.loads(request["body"])["records"]]
+        if mood == 1 and request["attempt"] == 1:
+            return {"status": 503, "error": "busy"}
+        if mood == 2:
+            raise ConnectionError("no answer")
+        if mood == 3 and any(bad):
+            return {"status": 400, "error": "too large"}
+        if mood == 4:
+            return {"status": 200, "refused": [n for n, b in enumerate(bad) if b], "error": "too large" if any(bad) else None}
+        return {"status": 201}
+
+    return send
+
+
+@query("""
+SELECT o_orderkey AS record, CASE WHEN mood = 2 THEN 'failed' WHEN mood >= 3 AND o_totalprice > 350000 THEN 'refused'
+                                  ELSE 'accepted' END AS verdict,
+       CAST(CASE mood WHEN 2 THEN 0 WHEN 4 THEN 200 WHEN 3 THEN CASE WHEN o_totalprice > 350000 THEN 400 ELSE 201 END
+                      ELSE 201 END AS INTEGER) AS status,
+       CAST(CASE WHEN mood = 2 OR mood >= 3 AND o_totalprice > 350000 THEN 0 ELSE 1 END AS BIGINT) AS times_accepted
+FROM (SELECT *, o_orderkey // 200 % 5 AS mood FROM orders)""")
+def settled_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Busy, dead, refusing and partly refusing receivers: every record ends with one outcome of its own."""
+    outbox = record_batches(spark, sf_dir)
+    outcomes = settle(outbox, moody_receiver(), new_path(spark, "outcomes"), base_seconds=0.01)
+    found = record_outcomes(outbox, outcomes)
+    numbers = F.from_json("body", "records ARRAY<STRUCT<Number: BIGINT>>")["records"]
+    ids = outbox.select("idem_key", F.posexplode(numbers["Number"]).alias("position", "record"))
+    # What the receiver has taken, answer by answer.
+    taken = outcomes.where("status BETWEEN 200 AND 299").select(
+        F.col("request_key").alias("idem_key"),
+        F.explode(
+            F.array_except(
+                F.coalesce("positions", F.sequence(F.lit(0), F.lit(199))),
+                F.coalesce("refused", F.array().cast("array<int>")),
+            )
+        ).alias("position"),
+    )
+    times = taken.groupBy("idem_key", "position").agg(F.count("*").alias("times_accepted"))
+    joined = ids.join(found, ["idem_key", "position"]).join(times, ["idem_key", "position"], "left")
+    return joined.select("record", "verdict", "status", F.coalesce("times_accepted", F.lit(0)).alias("times_accepted"))
+
+
 @query("""
 SELECT 'tree-Order-' || (o_orderkey // 200) AS batch_id, CAST(count(*) AS BIGINT) AS processed,
        CAST(count(*) FILTER (o_totalprice <= 200000) AS BIGINT) AS succeeded,
@@ -481,7 +532,8 @@ def event_requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
         F.lit(None).cast("string").alias("error"),
     )
     finished = F.timestamp_micros(F.unix_micros("t") + F.col("attempt") * 1_000_000)
-    outcomes = outcomes.withColumn("finished_at", finished)
+    whole = {"request_key": F.col("idem_key"), "positions": F.lit(None), "refused": F.lit(None)}
+    outcomes = outcomes.withColumns({"finished_at": finished, **whole})
     return outbox, outcomes.select(*[f.split()[0] for f in OUTCOME_SCHEMA.split(", ")])
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 from typing import Any
@@ -11,53 +13,173 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from drayage.landed import in_flight
-from drayage.operators.outcomes import MAX_RETRIES, NO_ANSWER, OUTCOME_SCHEMA, RETRY_STATUSES, latest_outcome, succeeded
+from drayage.operators.outcomes import (
+    NO_ANSWER,
+    OUTCOME_SCHEMA,
+    due_after,
+    latest_outcome,
+    succeeded,
+    worth_another_try,
+)
+from drayage.operators.pacing import Pace, lease, seconds_of
+from drayage.outbox import part_body
 from drayage.scratch import path_exists, stage
 
-# send(request) -> {"status": int, "n_accepted": int | None, "error": str | None}
+# send(request) -> {"status": int, "n_accepted": int | None, "refused": list[int] | None, "error": str | None}
 Send = Callable[[dict[str, Any]], dict[str, Any]]
 
+BASE_SECONDS = 1.0  # the wait before another try, doubled with every attempt
+IDLE_ROUNDS = 5  # rounds in a row without any answer after which ``settle`` gives up
 
-def attempt_all(outbox: DataFrame, send: Send, max_in_flight: int | None) -> DataFrame:
+
+def _request(row: dict[str, Any]) -> tuple[dict[str, Any], list[int] | None]:
+    """What to send for a row of work, and the positions of its records if it is a part."""
+    positions = row.get("positions")
+    if positions is None:
+        return row, None
+    positions = [int(p) for p in positions]
+    body = part_body(row["body"], int(row["head"]), [int(s) for s in row["sizes"]], positions)
+    return {**row, "body": body, "n_records": len(positions)}, positions
+
+
+def attempt_all(work: DataFrame, send: Send, max_in_flight: int | None) -> DataFrame:
     """One outcome row per request, at most ``max_in_flight`` at once; else the cluster sets the pace.
 
-    The frame is lazy and every evaluation sends again: write it once, as ``deliver`` does.
+    A request with a time in ``send_at`` is held back until then; if its task comes later than
+    ``send_until``, the slot has lapsed and nothing is sent.  The frame is lazy and every
+    evaluation sends again: write it once, as ``deliver`` does.
     """
-    if "attempt" not in outbox.columns:
-        outbox = outbox.withColumn("attempt", F.lit(1))
+    if "attempt" not in work.columns:
+        work = work.withColumn("attempt", F.lit(1))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
-            for request in frame.to_dict("records"):
+            for row in frame.to_dict("records"):
+                if not _slot_reached(row.get("send_at"), row.get("send_until")):
+                    continue
+                request, positions = _request(row)
                 try:
                     answer = send(request)
                 except Exception as error:  # a failed call is an outcome, not a failed job
                     answer = {"status": None, "error": f"{type(error).__name__}: {error}"}
+                refused, taken = answer.get("refused"), answer.get("n_accepted")
+                if refused is not None:
+                    size = int(request["n_records"])
+                    refused = sorted({int(n) for n in refused if 0 <= n < size})
+                    taken = size - len(refused)
+                    refused = [n if positions is None else positions[n] for n in refused]
                 rows.append(
                     (
                         request["idem_key"],
                         request["batch_id"],
                         int(request["attempt"]),
                         answer.get("status") or NO_ANSWER,
-                        answer.get("n_accepted"),
+                        taken,
                         datetime.now(timezone.utc),
                         answer.get("error"),
+                        row.get("request_key") or request["idem_key"],
+                        positions,
+                        refused,
                     )
                 )
-            columns = ["idem_key", "batch_id", "attempt", "status", "n_accepted", "finished_at", "error"]
-            out = pd.DataFrame(rows, columns=columns)
+            out = pd.DataFrame(rows, columns=[f.split()[0] for f in OUTCOME_SCHEMA.split(", ")])
             out["n_accepted"] = out["n_accepted"].astype("Int32")
+            out["finished_at"] = pd.to_datetime(out["finished_at"], utc=True)
             yield out
 
-    # Spread row by row, so that copies of one request do not gather in one task.
-    return outbox.repartition(in_flight(outbox, max_in_flight)).mapInPandas(run, OUTCOME_SCHEMA)
+    if "lane" in work.columns:
+        lanes = in_flight(work, max_in_flight)
+        spread = work.repartitionById(lanes, F.col("lane") % lanes).sortWithinPartitions("send_at")
+    else:
+        # Row by row, so that copies of one request do not gather in one task.
+        spread = work.repartition(in_flight(work, max_in_flight))
+    return spread.mapInPandas(run, OUTCOME_SCHEMA)
+
+
+def _slot_reached(send_at: float | None, send_until: float | None) -> bool:
+    """Wait for the time of a slot, in seconds since 1970; whether it can still be used."""
+    if send_at is None or pd.isna(send_at):
+        return True
+    left = send_at - time.time()
+    if left > 0:
+        time.sleep(left)
+    return send_until is None or pd.isna(send_until) or time.time() <= send_until
 
 
 class DeliveryFailed(RuntimeError):
     """Some requests were not accepted; the outcomes table says which and why."""
 
 
+def open_work(
+    outbox: DataFrame, outcomes: DataFrame | None, base_seconds: float = BASE_SECONDS, split: bool = True
+) -> DataFrame:
+    """What is still to be sent, and not before when.
+
+    Adds ``request_key``, ``positions`` (null for a whole request), ``attempt`` and ``due``.  Requests
+    without an outcome are open; of the others what ``following`` says.
+    """
+    fresh = outbox.withColumns(
+        {
+            "request_key": F.col("idem_key"),
+            "positions": F.lit(None).cast("array<int>"),
+            "attempt": F.lit(1),
+            "due": F.lit(None).cast("timestamp"),
+        }
+    )
+    if outcomes is None:
+        return fresh
+    latest = stage(latest_outcome(outcomes), "latest-outcomes")
+    keys = latest.select("idem_key")
+    again = following(outbox, latest, base_seconds, split)
+    # A part that was sent already has an outcome of its own.
+    known = keys.withColumn("_known", F.lit(True))
+    again = again.join(known, "idem_key", "left").where(F.col("_known").isNull() | (F.col("attempt") > 1)).drop("_known")
+    return fresh.join(keys, "idem_key", "left_anti").unionByName(again)
+
+
+def following(outbox: DataFrame, latest: DataFrame, base_seconds: float, split: bool = True) -> DataFrame:
+    """What the latest outcomes leave to be sent.
+
+    A request without a usable answer is sent again while attempts are left.  One that was refused is
+    halved, and so are the records that a partly accepted one did not take, until each refused
+    record has been sent alone and has an outcome of its own; records that were taken are never sent
+    again.  Requests that cannot be split are refused as a whole.
+    """
+    roots = outbox.withColumnRenamed("idem_key", "request_key")
+    held = latest.select(
+        F.coalesce("request_key", "idem_key").alias("request_key"),
+        *["idem_key", "positions", "attempt", "status", "refused", "finished_at"],
+    ).join(roots, "request_key")
+    status, attempt = F.col("status"), F.col("attempt")
+    unanswered = worth_another_try(status, attempt)
+    again = held.where(unanswered).withColumn("due", due_after(F.col("finished_at"), attempt, base_seconds))
+    again = again.withColumn("attempt", attempt + 1)
+    wanted = [*outbox.columns, "request_key", "positions", "attempt", "due"]
+    if not split or "sizes" not in outbox.columns:
+        return again.select(*wanted)
+    here = F.coalesce("positions", F.sequence(F.lit(0), F.col("n_records") - 1))
+    # An answer of another kind than "try again" is about the records themselves.
+    final = ~worth_another_try(status, F.lit(0))
+    lost = F.when(succeeded(status), F.coalesce("refused", F.array().cast("array<int>"))).when(final, here)
+    middle = F.ceil(F.size("_lost") / 2).cast("int")
+    halves = F.array(F.slice("_lost", 1, middle), F.slice("_lost", middle + 1, F.size("_lost")))
+    parts = (
+        F.when(F.size("_here") <= 1, F.array().cast("array<array<int>>"))
+        .when(F.size("_lost") > 1, halves)
+        .when(F.size("_lost") == 1, F.array("_lost"))
+        .otherwise(F.array().cast("array<array<int>>"))
+    )
+    parted = (
+        held.where(F.col("sizes").isNotNull())
+        .withColumns({"_here": here, "_lost": lost})
+        .withColumn("positions", F.explode(parts))
+        .withColumn("idem_key", F.sha2(F.concat_ws(":", "request_key", F.array_join("positions", ",")), 256))
+        .withColumns({"attempt": F.lit(1), "due": F.lit(None).cast("timestamp")})
+    )
+    return again.select(*wanted).unionByName(parted.select(*wanted))
+
+
 def deliver(
     outbox: DataFrame,
     send: Send,
@@ -65,42 +187,80 @@ def deliver(
     max_in_flight: int | None = None,
     waves: int = 1,
     fail_fast: bool = False,
+    base_seconds: float = BASE_SECONDS,
+    split: bool = False,
 ) -> DataFrame:
-    """Send what has not succeeded yet, append the outcomes to a table and return that table.
+    """Send what is open once, append the outcomes to a table and return that table.
 
     Requests accepted earlier are skipped by ``idem_key``, so a run that died half-way can be
-    repeated; so are those refused for good, and those that have used up their attempts.  A
-    task lost between the call and its commit may send once more; receivers tell such copies by
-    the same key.  Outcomes are committed after each of the ``waves``, equal parts of the
-    outbox, so a failed job forgets no more than one of them.
+    repeated; so are those refused for good, and those that have used up their attempts.  What is
+    worth another try waits until it is due.  A task lost between the call and its commit may send
+    once more; receivers tell such copies by the same key.  Outcomes are committed after each of the
+    ``waves``, equal parts of the outbox, so a failed job forgets no more than one of them.
+
+    With ``split``, requests refused earlier are sent again in halves, and of those taken in part the
+    records that were not taken; ``settle`` goes on with that to the end.
 
     With ``fail_fast`` a wave with failures ends the run in ``DeliveryFailed``; its outcomes
     are kept.
     """
     spark = outbox.sparkSession
-    earlier = read_outcomes(spark, outcomes_path)
-    if earlier is not None:
-        # What was accepted is done, and so is what another try would not change.
-        again = F.col("status").isin(*RETRY_STATUSES, NO_ANSWER) & (F.col("attempt") < MAX_RETRIES)
-        done = (succeeded(F.col("status")) | ~again).alias("_done")
-        tried = latest_outcome(earlier).select("idem_key", done, (F.col("attempt") + 1).alias("attempt"))
-        tried = stage(tried, "tried")
-        outbox = (
-            outbox.join(tried, "idem_key", "left")
-            .where(~F.coalesce("_done", F.lit(False)))
-            .withColumn("attempt", F.coalesce("attempt", F.lit(1)))
-            .drop("_done")
-        )
+    work = open_work(outbox, read_outcomes(spark, outcomes_path), base_seconds, split)
+    work = work.withColumn("send_at", seconds_of(F.col("due")))
     if waves > 1 or fail_fast:
-        outbox = stage(outbox, "outbox")
+        work = stage(work, "outbox")
     for number in range(waves):
-        wave = outbox if waves == 1 else outbox.where(F.pmod(F.xxhash64("idem_key"), F.lit(waves)) == number)
-        attempt_all(wave, send, max_in_flight).write.mode("append").parquet(outcomes_path)
+        wave = work if waves == 1 else work.where(F.pmod(F.xxhash64("idem_key"), F.lit(waves)) == number)
+        attempt_all(wave, send, max_in_flight).write.parquet(_new_run(outcomes_path))
         if fail_fast:
             _raise_on_failure(spark, outcomes_path, wave)
     return read_outcomes(spark, outcomes_path)
 
 
+def settle(
+    outbox: DataFrame,
+    send: Send,
+    outcomes_path: str,
+    max_in_flight: int | None = None,
+    base_seconds: float = BASE_SECONDS,
+    pace: Pace | None = None,
+) -> DataFrame:
+    """Send until nothing is open, and return the outcomes table.
+
+    Round by round, what a round leaves open is the next one's work: another try of what had no usable
+    answer, halves of what was refused.  Only the outcomes of the last round are read for it.
+    Every round commits its outcomes, so a run that is repeated after a crash takes up at the last
+    committed round.  With a ``pace``, a round is a lease of slots (see ``pacing``); what lapses stays open.
+    """
+    spark = outbox.sparkSession
+    work = stage(open_work(outbox, read_outcomes(spark, outcomes_path), base_seconds), "open-work")
+    idle = 0
+    while not work.isEmpty():
+        if pace is None:
+            now = work.withColumn("send_at", seconds_of(F.col("due")))
+        else:
+            # A round in which every slot lapsed leaves its tasks twice the time.
+            lead = pace.lead_seconds * 2**idle
+            now = lease(work, read_outcomes(spark, outcomes_path), pace, max_in_flight, lead)
+        path = _new_run(outcomes_path)
+        attempt_all(now, send, max_in_flight).write.parquet(path)
+        answered = spark.read.schema(OUTCOME_SCHEMA).parquet(path)
+        idle = idle + 1 if answered.isEmpty() else 0
+        if idle == IDLE_ROUNDS:
+            raise DeliveryFailed(f"nothing was sent in {IDLE_ROUNDS} rounds; the pace leaves its tasks too little time")
+        left = following(outbox, answered, base_seconds)
+        if pace is not None:
+            left = left.unionByName(work.join(answered.select("idem_key"), "idem_key", "left_anti"))
+        work = stage(left, "open-work")
+    found = read_outcomes(spark, outcomes_path)
+    return spark.createDataFrame([], OUTCOME_SCHEMA) if found is None else found
+
+
+def _new_run(outcomes_path: str) -> str:
+    """A folder for the outcomes of one job."""
+    return f"{outcomes_path}/run-{uuid.uuid4().hex}"
+
+
 def _raise_on_failure(spark: SparkSession, outcomes_path: str, sent: DataFrame) -> None:
     # The table may hold outcomes of other outboxes too.
     own = read_outcomes(spark, outcomes_path).join(sent.select("idem_key"), "idem_key", "left_semi")
@@ -111,4 +271,7 @@ def _raise_on_failure(spark: SparkSession, outcomes_path: str, sent: DataFrame)
 
 
 def read_outcomes(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.schema(OUTCOME_SCHEMA).parquet(path) if path_exists(spark, path) else None
+    """All outcomes under ``path``, whatever job or micro-batch wrote them."""
+    if not path_exists(spark, path):
+        return None
+    return spark.read.schema(OUTCOME_SCHEMA).option("recursiveFileLookup", "true").parquet(path)

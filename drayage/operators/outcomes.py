@@ -13,8 +13,11 @@ MAX_RETRIES = 3
 BACKOFF_FACTOR = 2
 SECONDS_PER_DAY = 86_400
 
+# A part of a request has a key of its own, that of its request, and the positions of its records;
+# ``positions`` is null for a whole request, ``refused`` unless the answer tells which records.
 OUTCOME_SCHEMA = (
-    "idem_key string, batch_id string, attempt int, status int, n_accepted int, finished_at timestamp, error string"
+    "idem_key string, batch_id string, attempt int, status int, n_accepted int, finished_at timestamp, error string, "
+    "request_key string, positions array<int>, refused array<int>"
 )
 
 
@@ -32,26 +35,64 @@ def latest_outcome(outcomes: DataFrame) -> DataFrame:
     )
 
 
+def worth_another_try(status: Column, attempt: Column, max_attempts: int = MAX_RETRIES) -> Column:
+    return status.isin(*RETRY_STATUSES, NO_ANSWER) & (attempt < max_attempts)
+
+
 def delivery_stats(outbox: DataFrame, outcomes: DataFrame, *by: str) -> DataFrame:
-    """Records processed, succeeded, failed and still pending, per group of requests."""
+    """Records processed, succeeded, failed and still pending, per group of requests.
+
+    A request that was split has succeeded with as many records as its parts.
+    """
+    latest = latest_outcome(outcomes)
+    told = F.coalesce("n_accepted", F.when(F.col("positions").isNotNull(), F.size("positions")))
     # Keys are unique on both sides, so an ordinary join is even.
-    latest = latest_outcome(outcomes).select("idem_key", "status", "n_accepted")
-    accepted = F.coalesce(
-        F.when(succeeded(F.col("status")), F.coalesce("n_accepted", "n_records")), F.lit(0)
+    by_request = latest.groupBy(F.coalesce("request_key", "idem_key").alias("idem_key")).agg(
+        F.sum(F.when(succeeded(F.col("status")), told)).alias("_told"),
+        F.max(succeeded(F.col("status")) & told.isNull()).alias("_whole"),
     )
+    accepted = F.when(F.col("_whole"), F.col("n_records")).otherwise(F.coalesce("_told", F.lit(0)))
+    answered = F.col("_whole").isNotNull()
     return (
-        outbox.join(latest, "idem_key", "left")
+        outbox.join(by_request, "idem_key", "left")
         .withColumn("_ok", accepted)
         .groupBy(*by)
         .agg(
             F.sum("n_records").alias("processed"),
             F.sum("_ok").alias("succeeded"),
-            F.sum(F.when(F.col("status").isNotNull(), F.col("n_records") - F.col("_ok")).otherwise(0)).alias("failed"),
-            F.sum(F.when(F.col("status").isNull(), F.col("n_records")).otherwise(0)).alias("pending"),
+            F.sum(F.when(answered, F.col("n_records") - F.col("_ok")).otherwise(0)).alias("failed"),
+            F.sum(F.when(answered, 0).otherwise(F.col("n_records"))).alias("pending"),
         )
     )
 
 
+def record_outcomes(outbox: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """One row per record: ``idem_key`` of its request, ``position``, and what became of it.
+
+    ``verdict`` is ``accepted``, ``refused`` (by an answer that another try would not change),
+    ``failed`` (worth another try, whether any is left or not) or ``pending``.  Where an answer tells only how many records it took, the
+    first so many count as accepted.
+    """
+    requests = outbox.select("idem_key", "n_records")
+    latest = latest_outcome(outcomes).withColumn("request_key", F.coalesce("request_key", "idem_key"))
+    joined = requests.join(latest.drop("idem_key").withColumnRenamed("request_key", "idem_key"), "idem_key", "left")
+    held = F.coalesce("positions", F.sequence(F.lit(0), F.col("n_records") - 1))
+    ok = succeeded(F.col("status"))
+    lost = F.coalesce("refused", F.slice(held, F.coalesce("n_accepted", F.size(held)) + 1, F.size(held)))
+    said = (
+        F.when(F.col("status").isNull(), "pending")
+        .when(ok, F.when(F.array_contains("_lost", F.col("position")), "refused").otherwise("accepted"))
+        .when(F.col("status").isin(*RETRY_STATUSES, NO_ANSWER), "failed")
+        .otherwise("refused")
+    )
+    each = joined.withColumn("_lost", F.when(ok, lost)).withColumn("position", F.explode(held))
+    each = each.withColumn("verdict", said)
+    # A record sent in several parts counts as in the smallest of them, which came last.
+    return each.groupBy("idem_key", "position").agg(
+        F.min_by(F.struct("verdict", "status", "error"), F.struct(F.size(held), "verdict")).alias("o")
+    ).select("idem_key", "position", "o.*")
+
+
 def retry_plan(
     outbox: DataFrame,
     outcomes: DataFrame,
@@ -63,10 +104,7 @@ def retry_plan(
     latest = latest_outcome(outcomes).select("idem_key", "attempt", "status", "finished_at")
     retryable = F.col("status").isin(list(statuses)) & (F.col("attempt") < max_attempts)
     again = latest.where(retryable)
-    wait = F.lit(base_seconds) * F.pow(F.lit(float(BACKOFF_FACTOR)), F.col("attempt"))
-    due = F.timestamp_micros(
-        F.unix_micros(F.col("finished_at").cast("timestamp")) + (wait * 1_000_000).cast("long")
-    )
+    due = due_after(F.col("finished_at"), F.col("attempt"), base_seconds)
     return (
         outbox.join(again, "idem_key")
         .withColumn("next_attempt", F.col("attempt") + 1)
@@ -75,6 +113,12 @@ def retry_plan(
     )
 
 
+def due_after(finished_at: Column, attempt: Column, base_seconds: float) -> Column:
+    """When an attempt that failed may be repeated."""
+    wait = F.lit(float(base_seconds)) * F.pow(F.lit(float(BACKOFF_FACTOR)), attempt)
+    return F.timestamp_micros(F.unix_micros(finished_at.cast("timestamp")) + (wait * 1_000_000).cast("long"))
+
+
 def retry_singletons(batched: DataFrame, outcomes: DataFrame, record_key: Column) -> DataFrame:
     """Records of failed batches, one request each, under a key that stays the same on every retry."""
     failed = latest_outcome(outcomes).where(~succeeded(F.col("status"))).select("batch_id")

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from drayage.plans.ranges import NUMBERS_PER_ROW, number_rows
 
 COLUMNS = ("batch_id", "seq", "method", "path", "body", "n_records", "idem_key")
+# Of requests that can be split: characters before the first record, and of each record.
+SPLIT_COLUMNS = (*COLUMNS, "head", "sizes")
 
 
 def batch_requests(batches: DataFrame, target: str, method: str, path: str, prefix: str, suffix: str) -> DataFrame:
@@ -25,6 +27,8 @@ def batch_requests(batches: DataFrame, target: str, method: str, path: str, pref
         .withColumn("method", F.lit(method))
         .withColumn("path", F.lit(path))
         .withColumn("idem_key", content_key(F.col("batch_id"), F.col("body")))
+        .withColumn("head", F.lit(len(prefix)))
+        .withColumn("sizes", F.transform("payloads", F.length))
         .drop("payloads")
     )
 
@@ -63,6 +67,15 @@ def number_copies(requests: DataFrame) -> DataFrame:
     )
 
 
+def part_body(body: str, head: int, sizes: list[int], positions: list[int]) -> str:
+    """The request with only some of its records; ``head`` and ``sizes`` say where each lies."""
+    starts = [head]
+    for size in sizes:
+        starts.append(starts[-1] + size + 1)
+    kept = ",".join(body[starts[p] : starts[p] + sizes[p]] for p in positions)
+    return body[:head] + kept + body[starts[-1] - 1 :]
+
+
 def content_key(*parts: Column) -> Column:
     return F.sha2(F.concat_ws("\u001f", *parts), 256)
 

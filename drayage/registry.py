@@ -223,7 +223,8 @@ def write(
     """Write a batch frame.  Service sinks return one row of delivery totals, file sinks nothing.
 
     With ``outcomes_path`` the outcomes are kept there, rows are batched in an order of their
-    own, and writing the same rows again sends only what was not accepted.
+    own, and writing the same rows again sends only what was not accepted: refused requests in
+    halves, where they can be split.
     """
     name = ALIASES.get(name, name)
     if name in STREAM_ONLY_SINKS:
@@ -235,7 +236,7 @@ def write(
     outbox = stage(build_outbox(df, name, given, *order_by), f"outbox-{name}")
     send = send or service_sender(name, given)
     path = outcomes_path or new_path(df.sparkSession, f"outcomes-{name}")
-    return delivery_stats(outbox, deliver(outbox, send, path, max_in_flight, fail_fast=fail_fast))
+    return delivery_stats(outbox, deliver(outbox, send, path, max_in_flight, fail_fast=fail_fast, split=True))
 
 
 def read_stream(spark: SparkSession, name: str, **options: Any) -> DataFrame:
@@ -304,7 +305,7 @@ def service_sender(name: str, given: dict[str, Any]) -> Send:
         return wire.http_send(given["url"], {"api-key": given["api_key"]} if given["api_key"] else {})
     if name == "salesforce":
         base_url = given["instance_url"].rstrip("/") + "/services/data/v59.0"
-        return wire.http_send(base_url, wire.bearer(given["token"]), accepted=records.accepted_records)
+        return wire.http_send(base_url, wire.bearer(given["token"]), refused=records.refused_records)
     return wire.http_send(given["base_url"], wire.bearer(given["token"]))
 
 

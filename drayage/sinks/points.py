@@ -54,5 +54,5 @@ def point_outbox(
     batches = collect_batches(batched, point_json(rows))
     path = f"/collections/{collection}/points?wait={str(wait).lower()}"
     return outbox.batch_requests(batches, f"points-{collection}", "PUT", path, '{"points":[', "]}").select(
-        *outbox.COLUMNS
+        *outbox.SPLIT_COLUMNS
     )

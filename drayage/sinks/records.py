@@ -53,7 +53,7 @@ def record_outbox(
     batches = collect_batches(batched, record_json(rows.schema, sobject))
     path = f"/composite/tree/{sobject}"
     return outbox.batch_requests(batches, f"tree-{sobject}", "POST", path, '{"records":[', "]}").select(
-        *outbox.COLUMNS
+        *outbox.SPLIT_COLUMNS
     )
 
 
@@ -65,6 +65,22 @@ def accepted_records(answer: str, n_records: int) -> int:
     return sum("id" in result for result in told.get("results", []))
 
 
+def refused_records(answer: str, request: dict) -> list[int]:
+    """Which records of a tree request were not created, counted from 0.
+
+    Results carry the reference id of their record; without one they stand in the order of the records.
+    """
+    told = json.loads(answer)
+    if told.get("hasErrors", True) is False:
+        return []
+    sent = [record["attributes"]["referenceId"] for record in json.loads(request["body"])["records"]]
+    results = told.get("results", [])
+    if len(results) == len(sent) and any("referenceId" not in result for result in results):
+        return [n for n, result in enumerate(results) if "id" not in result]
+    created = {result.get("referenceId") for result in results if "id" in result}
+    return [n for n, reference in enumerate(sent) if reference not in created]
+
+
 def single_record_outbox(failed: DataFrame, schema: T.StructType, sobject: str, key: str) -> DataFrame:
     """Records of failed tree requests, one request each; the key is the same on every retry."""
     body = json_object(record_members(schema))

@@ -51,11 +51,11 @@ def http_send(
     base_url: str,
     headers: Mapping[str, str] | None = None,
     secret_params: Mapping[str, str] | None = None,
-    accepted: Callable[[str, int], int] | None = None,
+    refused: Callable[[str, dict[str, Any]], list[int]] | None = None,
 ) -> Send:
     """Send an outbox request to ``base_url`` plus its path.
 
-    ``accepted`` tells from the text of a good answer how many of so many records were taken.
+    ``refused`` tells from the text of a good answer which records of the request were not taken.
     """
     headers, secret_params = dict(headers or {}), dict(secret_params or {})
     timeout = TIMEOUT_SECONDS
@@ -73,10 +73,10 @@ def http_send(
         )
         if not answer.ok:
             return {"status": answer.status_code, "error": answer.text}
-        if accepted is None:
+        if refused is None:
             return {"status": answer.status_code, "error": None}
-        taken = accepted(answer.text, request["n_records"])
-        error = answer.text if taken < request["n_records"] else None
-        return {"status": answer.status_code, "n_accepted": taken, "error": error}
+        lost = refused(answer.text, request)
+        error = answer.text if lost else None
+        return {"status": answer.status_code, "refused": lost, "error": error}
 
     return send
