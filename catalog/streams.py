@@ -5,15 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.base import query, table
+from catalog.base import body, landed, obj, paged, query, table
 from catalog.reads import OFFSET_SQL, STATES_SQL, flat_states, state_responses, timeline_responses, user_offsets
 from catalog.sinks import EVENTS_SQL, LIST_FIELDS, LIST_SQL, conversion_rows, customer_records, event_fields
 from catalog.sinks import list_fields, list_rows
-from drayage.scratch import new_path, stage
+from drayage.operators.outcomes import record_outcomes
+from drayage.scratch import delete, new_path, stage
 from drayage.sinks import events as event_sink, list_items, records
 from drayage.sources import weather
 from drayage.streaming.outboxes import outbox_stream, read_outbox
-from drayage.streaming.readers import aircraft_stream, incremental_stream, landed_stream, new_file_stream
+from drayage.streaming.pollers import polling_stream
+from drayage.streaming.readers import (
+    aircraft_stream,
+    incremental_stream,
+    landed_stream,
+    new_file_stream,
+    weather_stream,
+)
+from drayage.streaming.senders import sending_stream, sent
 
 
 def run_to_table(stream: DataFrame, label: str) -> DataFrame:
@@ -74,6 +83,125 @@ def weather_stream_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("location", "latitude", "timestamp")
 
 
+def run_now(writer) -> None:
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
+# One reading per user and second, a year later than its event; every third is in the early polls.
+READINGS_SQL = """
+SELECT user_id, strftime(ts + INTERVAL 366 DAY, '%Y-%m-%dT%H:%M:%SZ') AS t, max(value) AS v, max(event_id) % 3 = 0 AS early
+FROM events GROUP BY 1, 2"""
+
+
+def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    late = F.date_format(F.col("ts") + F.expr("INTERVAL 366 DAYS"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    rows = events.groupBy("user_id", late.alias("t")).agg(F.max("value").alias("v"), F.max("event_id").alias("event_id"))
+    return rows.withColumn("early", F.col("event_id") % 3 == 0)
+
+
+def reading_answers(rows: DataFrame, added: int, minute: int) -> DataFrame:
+    """A poll in which every reading is so much larger, as landed responses."""
+    item = obj(F.col("t").alias("time"), F.struct((F.col("v") + added).alias("temperature")).alias("values"))
+    answers = paged(rows, "event_id", 100, item, "user_id")
+    answers = answers.withColumn("body", body('{"timelines":{"minutely":', F.col("items"), "}}"))
+    place = F.concat("user_id", F.lit(".5,-"), "user_id", F.lit(".25"))
+    return landed(answers, "weather", place).withColumn("fetched_at", F.expr(f"fetched_at + INTERVAL {minute} MINUTES"))
+
+
+@query(f"""
+SELECT user_id + 0.5::DOUBLE AS latitude, t AS timestamp, v + CASE WHEN early THEN 2 ELSE 3 END AS temperature
+FROM (SELECT *, max(CASE WHEN early THEN t END) OVER (PARTITION BY user_id) AS seen FROM ({READINGS_SQL}))
+WHERE early OR seen IS NULL OR t > seen""")
+def weather_stream_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping polls in one micro-batch, of which the later counts, and a third in the next."""
+    path, out, checkpoint = (new_path(spark, n) for n in ("landed", "entries", "checkpoint"))
+    rows = stage(readings(spark, sf_dir), "readings")
+    early = rows.where("early")
+    polls = [reading_answers(early, 1, 0).unionByName(reading_answers(early, 2, 1)), reading_answers(rows, 3, 2)]
+    for poll in polls:
+        poll.write.mode("append").parquet(path)
+        fresh = weather_stream(spark, path)
+        run_now(fresh.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint))
+    temperature = F.from_json("weather", "temperature DOUBLE")["temperature"]
+    found = spark.read.schema(fresh.schema).parquet(out)
+    return found.select("latitude", "timestamp", temperature.alias("temperature"))
+
+
+@query(f"""
+SELECT user_id + 0.5::DOUBLE AS latitude, t AS timestamp, v AS temperature FROM ({READINGS_SQL})""")
+def weather_polled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three polls of all locations, one half failed and one without any answer: every entry comes once."""
+    path, out, checkpoint, polls = (new_path(spark, n) for n in ("landed", "entries", "checkpoint", "polls"))
+    answers = reading_answers(readings(spark, sf_dir), 0, 0)
+    # All pages of a place are one answer here, as its timeline is.
+    entry = "STRUCT<time: STRING, values: STRING>"
+    lists = F.collect_list(F.from_json("body", f"timelines STRUCT<minutely: ARRAY<{entry}>>")["timelines"]["minutely"])
+    places = answers.groupBy("request_key").agg(F.flatten(lists).alias("minutely"))
+    values = F.transform("minutely", lambda e: F.concat(F.lit('{"time":"'), e["time"], F.lit('","values":'), e["values"], F.lit("}")))
+    timeline = F.concat(F.lit('{"timelines":{"minutely":['), F.array_join(values, ","), F.lit("]}}"))
+    requests = stage(places.select("request_key", F.lit(0).cast("long").alias("page_no"), timeline.alias("answer")), "places")
+
+    def half(request: dict) -> tuple[int, str]:
+        return (404, "gone") if int(request["request_key"].split(".")[0]) % 2 else (200, request["answer"])
+
+    def every(request: dict) -> tuple[int, str]:
+        return 200, request["answer"]
+
+    def none(request: dict) -> tuple[int, str]:
+        return 403, "forbidden"
+
+    for get in (half, none, every):
+        run_now(polling_stream(spark, requests, "weather", get, path, polls))
+        fresh = weather_stream(spark, path)
+        run_now(fresh.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint))
+    temperature = F.from_json("weather", "temperature DOUBLE")["temperature"]
+    found = spark.read.schema(fresh.schema).parquet(out)
+    return found.select("latitude", "timestamp", temperature.alias("temperature"))
+
+
+def last_commit(spark: SparkSession, checkpoint: str) -> int:
+    commits = spark.read.format("binaryFile").load(f"{checkpoint}/commits").select("path").collect()
+    return max(int(row[0].rsplit("/", 1)[1]) for row in commits)
+
+
+@query("""
+SELECT c_custkey AS record, CASE WHEN c_acctbal > 9500 THEN 'refused' ELSE 'accepted' END AS verdict,
+       CAST(CASE WHEN c_acctbal > 9500 THEN 0 ELSE 1 END AS BIGINT) AS times_accepted FROM customer""")
+def records_sent_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records streamed into an outbox and sent by a second stream, the last batch of which runs twice."""
+    outbox, outcomes, checkpoint = (new_path(spark, n) for n in ("outbox", "outcomes", "sender"))
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("Number"), F.col("c_name").alias("Name"), F.col("c_acctbal").alias("Balance")
+    )
+    build = lambda batch: records.record_outbox(batch, "Account", "Number", batch_size=25)
+    run_now(outbox_stream(stream_of(customers, "records"), build, outbox, new_path(spark, "checkpoint")))
+
+    def send(request: dict) -> dict:
+        import json
+
+        if request["attempt"] == 1 and request["batch_id"].endswith("1"):
+            return {"status": 503, "error": "busy"}
+        bad = any(r["Balance"] > 9500 for r in json.loads(request["body"])["records"])
+        return {"status": 400, "error": "no"} if bad else {"status": 201}
+
+    for _ in range(2):
+        run_now(sending_stream(spark, outbox, outcomes, checkpoint, send, base_seconds=0.01))
+        # As if the driver had died before the last commit: the next run starts with that batch again.
+        delete(spark, f"{checkpoint}/commits/{last_commit(spark, checkpoint)}")
+    requests = read_outbox(spark, outbox)
+    answers = sent(spark, outcomes)
+    found = record_outcomes(requests, answers)
+    numbers = F.from_json("body", "records ARRAY<STRUCT<Number: BIGINT>>")["records"]
+    ids = requests.select("idem_key", F.posexplode(numbers["Number"]).alias("position", "record"))
+    whole = requests.select(F.col("idem_key").alias("request_key"), F.sequence(F.lit(0), F.col("n_records") - 1).alias("_all"))
+    taken = answers.where("status = 201").join(whole, "request_key")
+    taken = taken.select(F.col("request_key").alias("idem_key"), F.explode(F.coalesce("positions", "_all")).alias("position"))
+    times = taken.groupBy("idem_key", "position").agg(F.count("*").alias("times_accepted"))
+    joined = ids.join(found, ["idem_key", "position"]).join(times, ["idem_key", "position"], "left")
+    return joined.select("record", "verdict", F.coalesce("times_accepted", F.lit(0)).alias("times_accepted"))
+
+
 @query(EVENTS_SQL)
 def capi_stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "outbox")

@@ -11,10 +11,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from drayage.plans.ranges import NUMBERS_PER_ROW, number_rows
+from drayage.scratch import publish
 
 COLUMNS = ("batch_id", "seq", "method", "path", "body", "n_records", "idem_key")
 # Of requests that can be split: characters before the first record, and of each record.
 SPLIT_COLUMNS = (*COLUMNS, "head", "sizes")
+OUTBOX_SCHEMA = (
+    "batch_id string, seq int, method string, path string, body string, n_records int, idem_key string, head int, "
+    "sizes array<int>"
+)
 
 
 def batch_requests(batches: DataFrame, target: str, method: str, path: str, prefix: str, suffix: str) -> DataFrame:
@@ -81,9 +86,10 @@ def content_key(*parts: Column) -> Column:
 
 
 def write_batch(outbox: DataFrame, path: str, batch_id: int) -> None:
-    """Write the outbox of one micro-batch; a replay overwrites exactly the same folder.
+    """Write the outbox of one micro-batch as one folder, which appears whole or not at all.
 
-    The batch is part of the keys: the same rows in a later batch are new requests.
+    A replay finds the folder and leaves it.  The batch is part of the keys: the same rows in a later
+    batch are new requests.
     """
     keyed = outbox.withColumn("idem_key", content_key(F.lit(str(batch_id)), F.col("idem_key")))
-    keyed.write.mode("overwrite").parquet(f"{path}/stream_batch={batch_id}")
+    publish(keyed, f"{path}/stream_batch={batch_id}")

@@ -1,4 +1,4 @@
-"""Connectors by name: ``read``, ``write``, ``read_stream`` and ``write_stream``.
+"""Connectors by name: ``read``, ``write``, ``read_stream``, ``poll_stream``, ``write_stream``, ``send_stream``.
 
 Options carry the names users know.  ``get`` and ``send`` replace the HTTP functions, for
 tests or for clients of one's own.
@@ -24,6 +24,7 @@ from drayage.operators.batching import row_order
 from drayage.operators.contract import check_against
 from drayage.operators.deliver import Send, deliver
 from drayage.operators.outcomes import delivery_stats
+from drayage.operators.pacing import Pace
 from drayage.options import OptionSpec
 from drayage.plans.paging import offset_pages
 from drayage.plans.ranges import symbol_rows
@@ -35,7 +36,16 @@ from drayage.sinks import pages as page_sink
 from drayage.sinks import points as point_sink
 from drayage.sources import aircraft, arrow_ipc, files, generate, jdbc, market, pages, points, rest_demo, tracker, weather
 from drayage.streaming.outboxes import outbox_stream
-from drayage.streaming.readers import counter_stream, landed_stream, new_file_stream, rate_stream
+from drayage.streaming.pollers import polling_stream
+from drayage.streaming.readers import (
+    aircraft_stream,
+    counter_stream,
+    landed_stream,
+    new_file_stream,
+    rate_stream,
+    weather_stream,
+)
+from drayage.streaming.senders import sending_stream
 
 PULLS_PER_PAGE = 100
 ISSUES_PER_PAGE = 50
@@ -151,10 +161,16 @@ WRITE_OPTIONS = {
 STREAM_OPTIONS = {
     "fake": OptionSpec("fake", (), {"numRows": 3, "seed": 0, "schema": None}, positive=("numRows",)),
     "opensky": OptionSpec(
-        "opensky", ("path",), {"region": DEFAULT_REGION}, choices={"region": tuple(REGIONS)}
+        "opensky",
+        ("path",),
+        {"region": DEFAULT_REGION, "dedupe_within": None},
+        choices={"region": tuple(REGIONS)},
     ),
     "weather": OptionSpec(
-        "weather", ("path",), {"frequency": "minutely"}, choices={"frequency": weather.FREQUENCIES}
+        "weather",
+        ("path",),
+        {"frequency": "minutely", "locations": None, "forget_after": None},
+        choices={"frequency": weather.FREQUENCIES},
     ),
     "files": OptionSpec("files", ("path",), {"pattern": "*"}),
     "rate": OptionSpec("rate", ("rowsPerSecond",), positive=("rowsPerSecond",)),
@@ -240,15 +256,16 @@ def write(
 
 
 def read_stream(spark: SparkSession, name: str, **options: Any) -> DataFrame:
-    """A streaming frame.  Service streams read responses that another job lands under ``path``."""
+    """A streaming frame.  Service streams read responses that ``poll_stream`` or another job lands under ``path``."""
     given = _check(STREAM_OPTIONS, "stream", name, options)
     if name == "fake":
         schema = given["schema"] or generate.DEFAULT_SCHEMA
         return generate.generate_stream(spark, given["numRows"], schema, int(given["seed"]))
     if name == "opensky":
-        return aircraft.aircraft_states(landed_stream(spark, given["path"]), given["region"], "skip")
+        return aircraft_stream(landed_stream(spark, given["path"]), given["region"], given["dedupe_within"])
     if name == "weather":
-        return weather.timeline_entries(landed_stream(spark, given["path"]), given["frequency"], "skip")
+        forget = None if given["forget_after"] is None else int(given["forget_after"])
+        return weather_stream(spark, given["path"], given["frequency"], given["locations"], forget)
     if name == "files":
         return new_file_stream(spark, given["path"], given["pattern"])
     if name == "rate":
@@ -257,7 +274,7 @@ def read_stream(spark: SparkSession, name: str, **options: Any) -> DataFrame:
 
 
 def write_stream(rows: DataFrame, name: str, path: str, checkpoint: str, **options: Any) -> DataStreamWriter:
-    """A stream writer into the outbox at ``path``; ``deliver`` sends what is there."""
+    """A stream writer into the outbox at ``path``; ``send_stream`` sends what is there."""
     name = ALIASES.get(name, name)
     given = _check(WRITE_OPTIONS, "write_stream", name, options)
     if name in _FILE_WRITERS:
@@ -267,6 +284,56 @@ def write_stream(rows: DataFrame, name: str, path: str, checkpoint: str, **optio
     return outbox_stream(rows, lambda batch: build_outbox(batch, name, given, *order_by), path, checkpoint)
 
 
+def poll_stream(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    checkpoint: str,
+    get: Get | None = None,
+    max_in_flight: int | None = None,
+    gap_seconds: float | None = None,
+    daily_quota: int | None = None,
+    **options: Any,
+) -> DataStreamWriter:
+    """A stream that asks a service once for each trigger and lands the answers under ``path``.
+
+    Aircraft polls keep the service's own gap and quota unless others are given.
+    """
+    if name not in ("opensky", "weather"):
+        raise ValueError("only opensky and weather are polled")
+    given = _check(READ_OPTIONS, "poll", name, options)
+    plan = _PLANS[name](spark, given)
+    if name == "opensky":
+        gap_seconds = aircraft.MINIMUM_GAP_SECONDS if gap_seconds is None else gap_seconds
+        own = aircraft.DAILY_QUOTA["authenticated" if given["token"] else "anonymous"]
+        daily_quota = own if daily_quota is None else daily_quota
+    get = get or wire.http_get(plan.headers, _secret_params(name, given))
+    requests = stage(plan.requests, f"requests-{name}")
+    return polling_stream(
+        spark, requests, name, get, path, checkpoint, max_in_flight, gap_seconds or 0.0, daily_quota
+    )
+
+
+def send_stream(
+    spark: SparkSession,
+    name: str,
+    outbox_path: str,
+    outcomes_path: str,
+    checkpoint: str,
+    send: Send | None = None,
+    max_in_flight: int | None = None,
+    pace: Pace | None = None,
+    **options: Any,
+) -> DataStreamWriter:
+    """A stream that sends what ``write_stream`` puts into the outbox at ``outbox_path``."""
+    name = ALIASES.get(name, name)
+    given = _check(WRITE_OPTIONS, "send_stream", name, options)
+    if name in _FILE_WRITERS:
+        raise ValueError(f"{name} is no streaming sink")
+    send = send or service_sender(name, given)
+    return sending_stream(spark, outbox_path, outcomes_path, checkpoint, send, max_in_flight, pace=pace)
+
+
 def build_outbox(df: DataFrame, name: str, given: dict[str, Any], *order_by: Column) -> DataFrame:
     if name == "meta_capi":
         return events.event_outbox(

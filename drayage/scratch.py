@@ -72,6 +72,28 @@ def batch_numbers(spark: SparkSession, path: str) -> list[int]:
     return [int(n.removeprefix("stream_batch=")) for n in names if n.startswith("stream_batch=")]
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, folder = _hadoop_path(spark, path)
+    system.mkdirs(folder)
+
+
+def publish(df: DataFrame, path: str) -> bool:
+    """Write ``df`` as the folder ``path``, all at once: aside first, then renamed; not if it is there already.
+
+    Readers of the parent folder never see a part of it, nor what was written aside.
+    """
+    spark = df.sparkSession
+    if path_exists(spark, path):
+        return False
+    parent, _, _ = path.rpartition("/")
+    aside = f"{parent}/_aside/{uuid.uuid4().hex}"
+    df.write.parquet(aside)
+    system, source = _hadoop_path(spark, aside)
+    if not system.rename(source, spark._jvm.org.apache.hadoop.fs.Path(path)):
+        raise RuntimeError(f"{aside} could not be renamed to {path}")
+    return True
+
+
 def release(spark: SparkSession) -> None:
     """Delete everything this application has staged."""
     delete(spark, run_folder(spark))

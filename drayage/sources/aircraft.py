@@ -14,6 +14,10 @@ STATE_LENGTH = 17
 # The slots without which a state is dropped - address, longitude and latitude.
 MANDATORY_SLOTS = (0, 5, 6)
 
+# What the service allows.
+MINIMUM_GAP_SECONDS = 5.0
+DAILY_QUOTA = {"anonymous": 100, "authenticated": 4000}
+
 SCHEMA = (
     "time_ingest timestamp, icao24 string, callsign string, origin_country string, time_position timestamp, "
     "last_contact timestamp, longitude double, latitude double, geo_altitude double, on_ground boolean, "

@@ -37,20 +37,30 @@ def initial_offsets(locations: DataFrame) -> DataFrame:
     return locations.select("location", F.lit(FIRST_OFFSET).alias("last_time"))
 
 
-def timeline_entries(landed: DataFrame, frequency: str = "minutely", on_error: str = "fail") -> DataFrame:
-    """``location, latitude, longitude, weather, timestamp`` for every entry of the chosen timeline."""
+def timeline_entries(
+    landed: DataFrame, frequency: str = "minutely", on_error: str = "fail", polled: bool = False
+) -> DataFrame:
+    """``location, latitude, longitude, weather, timestamp`` for every entry of the chosen timeline.
+
+    With ``polled`` the time the response was fetched stays as ``fetched_at``.
+    """
     if frequency not in FREQUENCIES:
         raise ValueError(f"Unsupported frequency: {frequency}; must be one of: {', '.join(FREQUENCIES)}")
     parts = F.split("location", ",")
     return (
         parsed(landed, TIMELINES_DDL, on_error)
-        .select(F.col("request_key").alias("location"), F.explode(F.col("doc.timelines")[frequency]).alias("e"))
+        .select(
+            F.col("request_key").alias("location"),
+            "fetched_at",
+            F.explode(F.col("doc.timelines")[frequency]).alias("e"),
+        )
         .select(
             "location",
             F.get(parts, F.lit(0)).cast("double").alias("latitude"),
             F.get(parts, F.lit(1)).cast("double").alias("longitude"),
             F.col("e.values").alias("weather"),
             F.col("e.time").alias("timestamp"),
+            *(["fetched_at"] if polled else []),
         )
     )
 

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from drayage.landed import LANDED_COLUMNS, LANDED_SCHEMA
 from drayage.scratch import batch_numbers, delete, stage, staging_scope
 from drayage.sources.aircraft import aircraft_states
-from drayage.sources.weather import next_offsets, newer_than
+from drayage.sources.weather import FIRST_OFFSET, location_key, newer_than, next_offsets, parse_locations, timeline_entries
+from drayage.streaming.keyed import newest_stream
 
 
 def landed_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -41,12 +43,15 @@ def incremental_stream(
     path: str,
     offsets_path: str,
     checkpoint: str,
+    polled: str | None = None,
 ) -> DataStreamWriter:
     """Keep the entries later than the offset of their key, and move the offsets on.
 
     Offsets are a table with one version per micro-batch.  A batch always starts from the
     version before its own, so running it again gives the same rows and offsets.  No key is
-    gathered in one task: the filter is a join, the new offsets a pre-aggregated maximum.
+    gathered in one task: the filter is a join, the new offsets a pre-aggregated maximum.  Of
+    entries with the same key and time the one with the largest ``polled`` stays, or without that
+    column, the largest of the others.
     """
     spark = entries.sparkSession
 
@@ -58,7 +63,7 @@ def incremental_stream(
         with staging_scope(spark):
             staged = stage(batch, "batch")
             # Polls overlap, so one batch may hold an entry more than once.
-            fresh = newer_than(staged, offsets, key, time).dropDuplicates([key, time])
+            fresh = latest_polls(newer_than(staged, offsets, key, time), key, time, polled)
             fresh.write.mode("overwrite").parquet(f"{path}/stream_batch={batch_id}")
             moved = next_offsets(staged, offsets, key, time)
             moved.write.mode("overwrite").parquet(f"{offsets_path}/stream_batch={batch_id}")
@@ -69,6 +74,32 @@ def incremental_stream(
     return entries.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
+def latest_polls(entries: DataFrame, key: str, time: str, polled: str | None = None) -> DataFrame:
+    """One entry of each key and time, that of the latest poll; ``polled`` itself is not kept."""
+    others = [c for c in entries.columns if c not in (key, time, polled)]
+    rank = F.struct(*[F.col(c) for c in ([polled] if polled else []) + others])
+    best = entries.groupBy(key, time).agg(F.max(rank).alias("_best"))
+    columns = [F.col(c) if c in (key, time) else F.col(f"_best.{c}").alias(c) for c in entries.columns if c != polled]
+    return best.select(*columns)
+
+
+def weather_stream(
+    spark: SparkSession,
+    path: str,
+    frequency: str = "minutely",
+    locations: str | None = None,
+    forget_after: int | None = None,
+) -> DataFrame:
+    """``latitude, longitude, weather, timestamp`` of every entry later than those of its location before."""
+    landed = landed_stream(spark, path)
+    if locations is not None:
+        wanted = [location_key(*place) for place in parse_locations(locations)]
+        landed = landed.where(F.col("request_key").isin(wanted))
+    entries = timeline_entries(landed, frequency, "skip", polled=True)
+    fresh = newest_stream(entries, "location", "timestamp", "fetched_at", FIRST_OFFSET, forget_after)
+    return fresh.drop("location")
+
+
 def new_file_stream(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """``path, modificationTime, length, content`` of files not seen before."""
     return (
