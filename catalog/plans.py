@@ -225,3 +225,60 @@ def pii_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer.select(
         "c_custkey", convert.hashed_email(email).alias("em"), convert.hashed_phone(phone).alias("ph")
     )
+
+
+@query("""
+SELECT event_id, c_custkey
+FROM (SELECT event_id, event_id * 37 % 18000 / 100.0 - 90 AS lat, event_id * 7919 % 36000 / 100.0 - 180 AS lon FROM events)
+JOIN (SELECT c_custkey, c_custkey * 131 % 17000 / 100.0 - 90 AS south, c_custkey * 173 % 36000 / 100.0 - 180 AS west,
+             1 + c_nationkey * (CASE WHEN c_custkey % 500 = 0 THEN 3 ELSE 0.1 END) AS size FROM customer)
+  ON lat BETWEEN south AND south + size
+ AND (lon BETWEEN west AND west + size OR lon + 360 BETWEEN west AND west + size)""")
+def points_in_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as points, a box of one to many degrees for every customer; some reach over the date line."""
+    points = table(spark, sf_dir, "events").select(
+        "event_id",
+        (F.col("event_id") * 37 % 18000 / 100 - 90).alias("latitude"),
+        (F.col("event_id") * 7919 % 36000 / 100 - 180).alias("longitude"),
+    )
+    size = 1 + F.col("c_nationkey") * F.when(F.col("c_custkey") % 500 == 0, 3.0).otherwise(0.1)
+    south, west = F.col("c_custkey") * 131 % 17000 / 100 - 90, F.col("c_custkey") * 173 % 36000 / 100 - 180
+    east = west + size
+    boxes = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        south.alias("south"),
+        (south + size).alias("north"),
+        west.alias("west"),
+        F.when(east >= 180, east - 360).otherwise(east).alias("east"),
+    )
+    return regions.in_boxes(points, boxes).select("event_id", "c_custkey")
+
+
+@query("""
+WITH page AS (SELECT p_partkey // 5 AS n, p_partkey // 5 % 3 AS kind, max(p_size) AS size FROM part GROUP BY 1, 2),
+     there AS (SELECT *, lead(n) OVER chain AS later, n + 3 AS next FROM page
+               WHERE NOT (kind = 1 AND size % 7 = 0) WINDOW chain AS (PARTITION BY kind ORDER BY n)),
+     final AS (SELECT max(n) AS n FROM page),
+     cut AS (SELECT *, next > (SELECT n FROM final) AS over,
+                    sum(CASE WHEN later IS DISTINCT FROM next THEN 1 ELSE 0 END) OVER
+                        (PARTITION BY kind ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS part FROM there),
+     placed AS (SELECT *, row_number() OVER w - 1 AS position, last_value(n) OVER w AS last_n,
+                       count(*) OVER w - row_number() OVER w AS following, last_value(over) OVER w AS ended
+                FROM cut WINDOW w AS (PARTITION BY kind, coalesce(part, 0) ORDER BY n
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+SELECT 'list-' || kind AS request_key, n AS "offset",
+       CASE WHEN kind = 2 THEN 'cycle' WHEN ended THEN 'complete' ELSE 'broken' END AS state,
+       CASE WHEN kind <> 2 THEN last_n END AS last,
+       CASE WHEN kind <> 2 THEN following END AS following, CASE WHEN kind <> 2 THEN position END AS position
+FROM placed""")
+def pages_chain_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three listings: one whole, one with pages missing, one whose last page leads back to its first."""
+    number = F.expr("p_partkey div 5")
+    pages = table(spark, sf_dir, "part").groupBy(number.alias("offset")).agg(F.max("p_size").alias("size"))
+    kind = F.col("offset") % 3
+    (final,) = pages.agg(F.max("offset")).first()
+    after = F.when(F.col("offset") + 3 <= final, F.col("offset") + 3).when(kind == 2, F.lit(2).cast("long"))
+    links = pages.where(~((kind == 1) & (F.col("size") % 7 == 0))).select(
+        F.concat(F.lit("list-"), kind).alias("request_key"), "offset", after.alias("next_offset")
+    )
+    return paging.chain_order(links)

@@ -22,7 +22,7 @@ def in_region(region: str, latitude: Column, longitude: Column) -> Column:
     """A plain range predicate, so it reaches the scan."""
     name = region.upper()
     if name not in REGIONS:
-        raise ValueError(f"Invalid region. Must be one of: {', '.join(REGIONS)}")
+        raise ValueError(f"no region is called '{region}'; there are {', '.join(REGIONS)}")
     south, north, west, east = REGIONS[name]
     return latitude.between(south, north) & longitude.between(west, east)
 
@@ -37,3 +37,61 @@ def regions_of(latitude: Column, longitude: Column) -> Column:
 def with_regions(points: DataFrame, latitude: str = "latitude", longitude: str = "longitude") -> DataFrame:
     """One row per point and region it lies in."""
     return points.withColumn("region", F.explode(regions_of(F.col(latitude), F.col(longitude))))
+
+
+FINEST_LEVEL = 20
+SALTS = 16
+
+
+def in_boxes(
+    points: DataFrame, boxes: DataFrame, latitude: str = "latitude", longitude: str = "longitude", salts: int = SALTS
+) -> DataFrame:
+    """One row per point and box it lies in, for any table of boxes.
+
+    ``boxes`` has ``south``, ``north``, ``west`` and ``east``, edges included, and whatever else is wanted from it;
+    names of columns must not clash.  A box whose west is larger than its east reaches over the date line;
+    one whose south is larger than its north, or with a null, holds nothing.  Points without a
+    latitude or longitude are in no box.
+
+    The sphere is cut into square cells, half as wide on every further level.  A box is listed on the
+    level whose cells are at least half its size, under the nine cells at most that cover it; a point is
+    asked for once on every level that has a box.  The join is one of equal cells, so no point meets
+    boxes far away, and the exact test follows.  Cells where many points lie, and the few of the
+    coarse levels, are spread by a salt.
+    """
+    parts = F.when(
+        F.col("west") > F.col("east"),
+        F.array(
+            F.struct(F.col("west").alias("w"), F.lit(180.0).alias("e")),
+            F.struct(F.lit(-180.0).alias("w"), F.col("east").alias("e")),
+        ),
+    ).otherwise(F.array(F.struct(F.col("west").cast("double").alias("w"), F.col("east").cast("double").alias("e"))))
+    one = boxes.withColumn("_part", F.explode(parts)).where("south <= north")
+    extent = F.greatest(F.col("north") - F.col("south"), F.col("_part.e") - F.col("_part.w"), F.lit(1e-9))
+    level = F.greatest(F.lit(0), F.least(F.lit(FINEST_LEVEL), F.floor(F.log2(F.lit(720.0) / extent)))).cast("int")
+    listed = one.withColumn("_level", level)
+
+    def cell(degrees: str) -> Column:
+        return F.floor(F.col(degrees) * F.pow(F.lit(2.0), F.col("_level")) / 360)
+
+    listed = (
+        listed.withColumn("_y", F.explode(F.sequence(cell("south"), cell("north"))))
+        .withColumn("_x", F.explode(F.sequence(cell("_part.w"), cell("_part.e"))))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    )
+    # At most one number for each level, whatever the number of boxes.
+    levels = sorted(row[0] for row in one.select(level.alias("l")).distinct().collect())
+    asked = points.where(F.col(latitude).isNotNull() & F.col(longitude).isNotNull())
+    asked = asked.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>")))
+    asked = asked.withColumns(
+        {
+            "_y": cell(latitude),
+            "_x": cell(longitude),
+            "_salt": F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int"),
+        }
+    )
+    inside = F.col(latitude).between(F.col("south"), F.col("north")) & F.col(longitude).between(
+        F.col("_part.w"), F.col("_part.e")
+    )
+    found = asked.join(listed, ["_level", "_y", "_x", "_salt"]).where(inside)
+    return found.drop("_level", "_y", "_x", "_salt", "_part")

@@ -35,6 +35,7 @@ from drayage.sinks import files as file_sinks
 from drayage.sinks import pages as page_sink
 from drayage.sinks import points as point_sink
 from drayage.sources import aircraft, arrow_ipc, files, generate, jdbc, market, pages, points, rest_demo, tracker, weather
+from drayage.sources.arrow_schema import merged_schema
 from drayage.streaming.outboxes import outbox_stream
 from drayage.streaming.pollers import polling_stream
 from drayage.streaming.readers import (
@@ -57,7 +58,7 @@ DATABASE_OPTIONS = dict.fromkeys(
 )
 
 READ_OPTIONS = {
-    "arrow": OptionSpec("arrow", ("path",), {"splitBytes": None}),
+    "arrow": OptionSpec("arrow", ("path",), {"splitBytes": None, "mergeSchema": "false"}, flags=("mergeSchema",)),
     "fake": OptionSpec(
         "fake", (), {"numRows": 3, "numPartitions": None, "seed": 0, "schema": None}, positive=("numRows",)
     ),
@@ -393,8 +394,12 @@ def _secret_params(name: str, given: dict[str, Any]) -> dict[str, str]:
 
 def _read_arrow(spark: SparkSession, given: dict[str, Any]) -> DataFrame:
     register(spark)
-    passed = {k: v for k, v in given.items() if k != "path" and v is not None}
-    return spark.read.format("arrow").options(**passed).load(given["path"])
+    reader = spark.read.format("arrow")
+    if given["splitBytes"] is not None:
+        reader = reader.option("splitBytes", given["splitBytes"])
+    if given["mergeSchema"]:
+        reader = reader.schema(merged_schema(spark, given["path"]))
+    return reader.load(given["path"])
 
 
 def _read_fake(spark: SparkSession, given: dict[str, Any]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from drayage.landed import parsed
@@ -14,7 +14,7 @@ from drayage.plans.point_filter import payload_predicate
 # Text fields take ids of any type, and vectors and payloads as the JSON they are.
 SCROLL_DDL = (
     "result STRUCT<points: ARRAY<STRUCT<id: STRING, vector: STRING, payload: STRING, "
-    "shard_key: STRING, order_value: DOUBLE>>, next_page_offset: STRING>"
+    "shard_key: STRING, order_value: STRING>>, next_page_offset: STRING>"
 )
 
 
@@ -29,7 +29,7 @@ def points(
     rows = (
         parsed(landed, SCROLL_DDL, on_error)
         .select(F.explode("doc.result.points").alias("p"))
-        .select("p.id", "p.vector", "p.payload", "p.shard_key", F.col("p.order_value").cast("long").alias("order_value"))
+        .select("p.id", "p.vector", "p.payload", "p.shard_key", _whole("p.order_value").alias("order_value"))
     )
     if condition is not None:
         rows = rows.where(payload_predicate(condition, F.col("payload")))
@@ -41,6 +41,12 @@ def points(
     return rows
 
 
+def _whole(number: str) -> Column:
+    """A number given as text, cut to a whole one; whole numbers of any length stay exact."""
+    exact = F.col(number).try_cast("long")
+    return F.coalesce(exact, F.col(number).try_cast("double").try_cast("long"))
+
+
 def typed_points(rows: DataFrame) -> DataFrame:
     """Points with the vector as ``array<float>``, for unnamed vectors."""
     return rows.withColumn("vector", F.from_json("vector", "ARRAY<FLOAT>"))
