@@ -9,6 +9,9 @@ Work is done on distinct sets of shingles.  First all members of a key are compa
 smallest one.  Members that are connected then need no comparison, so what is left are keys whose
 members are not all connected; these are cut into chunks, and every pair of chunks is a group of
 its own.  A sketch of a byte for each minimum leaves out pairs that cannot be similar enough.
+
+Sets of shingles are as large as the texts, so none is stored: those of proposed pairs are made again from
+their texts.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +28,7 @@ from pyspark.sql import functions as F
 from drayage.llm.components import component_roots
 from drayage.llm.salted import join_back, salt_mask, salt_of
 from drayage.llm.simhash import CHUNK, majority, shingle_hashes
+from drayage.llm.url_filter import likely
 from drayage.llm.words import slices
 from drayage.scratch import stage
 
@@ -57,38 +62,65 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
 
 
 def _described(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """Every row's ``key``, ``fingerprint`` by SimHash, ``digest`` of its set of shingles, the set, keys by band, and sketch."""
+    """Every row's ``key``, ``text_hash``, ``fingerprint`` by SimHash, ``digest`` of its shingles, keys by band, and sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", _SLICE_BYTES):
-                prints, digests, sets, bands, sketches = [], [], [], [], []
+                prints, digests, bands, sketches = [], [], [], []
                 for cell in part.column("text").cast(pa.binary()):
                     hashes = shingle_hashes(cell.as_py(), shingle)
                     prints.append(majority(hashes))
                     found = np.unique(np.array(hashes, dtype=np.uint64))
                     least = minima(found)
-                    packed = found.tobytes()
-                    digests.append(xxhash.xxh3_128_digest(packed))
-                    sets.append(packed)
+                    digests.append(xxhash.xxh3_128_digest(found.tobytes()))
                     blocks = least.reshape(BANDS, ROWS)
                     bands.append(np.array([xxhash.xxh64_intdigest(b.tobytes()) for b in blocks], np.uint64).view(np.int64))
                     sketches.append(least.astype(np.uint8).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("key"), pa.array(prints, pa.int64()), pa.array(digests, pa.binary()),
-                        pa.array(sets, pa.binary()),
-                        pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary()),
+                        part.column("key"), part.column("text_hash"), pa.array(prints, pa.int64()),
+                        pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64())),
+                        pa.array(sketches, pa.binary()),
                     ],
-                    ["key", "fingerprint", "digest", "shingles", "bands", "sketch"],
+                    ["key", "text_hash", "fingerprint", "digest", "bands", "sketch"],
                 )
 
-    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
+    rows = _texts(docs, text).withColumn("key", F.col(f"`{key}`")).select("key", "text_hash", "text")
     kind = rows.schema["key"].dataType.simpleString()
-    schema = f"key {kind}, fingerprint long, digest binary, shingles binary, bands array<long>, sketch binary"
+    schema = f"key {kind}, text_hash long, fingerprint long, digest binary, bands array<long>, sketch binary"
     return rows.mapInArrow(run, schema)
 
 
+def _texts(docs: DataFrame, text: str) -> DataFrame:
+    content = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    return docs.withColumns({"text": content, "text_hash": F.xxhash64(content)})
+
+
+def _sets_of(wanted: DataFrame, docs: DataFrame, text: str, shingle: int) -> DataFrame:
+    """The shingles of the ``wanted`` texts (``text_hash``, ``digest``), made again from the text.
+
+    A Bloom filter leaves the other texts where they are, so only wanted ones are shuffled, and of each
+    only one copy by every task.  The filter has a bounded size; beyond it more texts than needed are moved.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", _SLICE_BYTES):
+                sets = [
+                    np.unique(np.array(shingle_hashes(cell.as_py(), shingle), dtype=np.uint64)).tobytes()
+                    for cell in part.column("text").cast(pa.binary())
+                ]
+                digests = pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary())
+                made = pa.RecordBatch.from_arrays([digests, pa.array(sets, pa.binary())], ["digest", "shingles"])
+                yield made.filter(pa.compute.equal(digests, part.column("digest").cast(pa.binary())))
+
+    asked = likely(wanted, "text_hash")
+    texts = _texts(docs, text).where(asked(F.col("text_hash"))).groupBy("text_hash").agg(F.first("text").alias("text"))
+    named = texts.join(wanted, "text_hash").select("digest", "text")
+    return stage(named.mapInArrow(run, "digest binary, shingles binary"), "overlap-sets")
+
+
 def _matrix(sketches: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(sketches.to_pylist()), dtype=np.uint8).reshape(-1, MINIMA)
 
@@ -158,12 +190,11 @@ def _unconnected(members: DataFrame, roots: DataFrame, agreeing: int, chunk: int
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _verified(links: DataFrame, rows: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+def _verified(links: DataFrame, classes: DataFrame, docs: DataFrame, text: str, shingle: int, similarity: float) -> DataFrame:
     """The ``links`` whose two sets of shingles are similar enough."""
     ends = links.select(F.col("a").alias("digest")).union(links.select("b")).distinct()
-    wanted = classes.select("digest", "salts").join(ends, "digest")
-    sets = join_back(rows.select("digest", "salt", "shingles"), wanted, "digest", "salt", "salts", "inner")
-    sets = stage(sets.drop("salt").dropDuplicates(["digest"]), "overlap-sets")
+    wanted = stage(classes.select("text_hash", "digest").join(ends, "digest"), "overlap-wanted")
+    sets = _sets_of(wanted, docs, text, shingle)
 
     def fetched(pairs: DataFrame, own: str, other: str) -> DataFrame:
         salted = pairs.withColumn("salt", salt_of(F.col(other)))
@@ -200,16 +231,17 @@ def similar_groups(
     rows = stage(described, "overlap-rows")
     classes = stage(
         rows.groupBy("digest").agg(
-            F.min("key").alias("first"), salt_mask(F.col("salt")).alias("salts"), F.first("bands").alias("bands"),
-            F.first("sketch").alias("sketch"),
+            F.min("key").alias("first"), F.min("text_hash").alias("text_hash"), salt_mask(F.col("salt")).alias("salts"),
+            F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
         ),
         "overlap-classes",
     )
     agreeing = least_agreeing(similarity)
     members = stage(_members(classes), "overlap-members")
-    links = _verified(stage(_with_least(members, agreeing), "overlap-pairs"), rows, classes, similarity)
+    proposed = stage(_with_least(members, agreeing), "overlap-pairs")
+    links = _verified(proposed, classes, docs, text, shingle, similarity)
     pairs = stage(_unconnected(members, _roots(links), agreeing, chunk), "overlap-pairs")
-    links = links.unionByName(_verified(pairs, rows, classes, similarity))
+    links = links.unionByName(_verified(pairs, classes, docs, text, shingle, similarity))
     placed = classes.select("digest", "first", "salts").join(_roots(links).withColumnRenamed("node", "digest"), "digest", "left")
     # Most sets are components of their own and take no part in the join by root.
     alone = placed.where("root IS NULL").select("digest", "salts", F.col("first").alias("component"))

@@ -196,6 +196,24 @@ def with_membership(rows: DataFrame, keys: Column, name: str, cascade: Cascade)
     return rows
 
 
+def likely(keys: DataFrame, name: str):
+    """A function on columns: whether a whole number may be among those in column ``name``.
+
+    One Bloom filter of at most the size for ``GROUP_KEYS`` keys; with more keys more foreign numbers pass.
+    """
+    spark = keys.sparkSession
+    hashed = keys.select(*[h.alias(n) for h, n in zip(hashes(F.col(name)), "ab")])
+    held = spark.sparkContext.broadcast(
+        [_loaded(spark, _build_level(hashed, max(1, min(keys.count(), GROUP_KEYS)), 0))]
+    )
+
+    def ask(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array(is_listed(held.value, *(x.to_numpy().view(np.uint64) for x in (a, b))))
+
+    answer = F.arrow_udf(ask, "boolean")
+    return lambda number: answer(*hashes(number))
+
+
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """What follows the first ``://``: up to ``/``, ``?`` or ``#``, A-Z lower-cased; then up to ``?`` or ``#``."""
     text = F.coalesce(url.cast("string"), F.lit(""))
