@@ -29,7 +29,7 @@ from drayage.llm.components import component_roots
 from drayage.llm.salted import join_back, salt_mask, salt_of
 from drayage.llm.simhash import CHUNK, majority, shingle_hashes
 from drayage.llm.url_filter import likely
-from drayage.llm.words import slices
+from drayage.llm.words import give_back, slices
 from drayage.scratch import stage
 
 BANDS, ROWS = 20, 4
@@ -65,6 +65,7 @@ def _described(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
     """Every row's ``key``, ``text_hash``, ``fingerprint`` by SimHash, ``digest`` of its shingles, keys by band, and sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             for part in slices(batch, "text", _SLICE_BYTES):
                 prints, digests, bands, sketches = [], [], [], []
@@ -126,15 +127,21 @@ def _matrix(sketches: pa.Array) -> np.ndarray:
 
 
 def _members(classes: DataFrame) -> DataFrame:
-    """A row for each set and band whose key other sets have too, with the smallest of them."""
-    keyed = classes.select("digest", "sketch", F.posexplode("bands").alias("band", "block"))
+    """A row for each set and band whose key other sets have too, with the smallest of them.
+
+    Only keys and digests are shuffled for all sets; sketches join the few that share a key.
+    """
+    keyed = classes.select("digest", F.posexplode("bands").alias("band", "block"))
     keyed = keyed.withColumn("salt", salt_of(F.col("digest")))
     shared = (
         keyed.groupBy("band", "block")
-        .agg(F.count("*").alias("n"), F.min(F.struct("digest", "sketch")).alias("least"), salt_mask(F.col("salt")).alias("salts"))
+        .agg(F.count("*").alias("n"), F.min("digest").alias("first"), salt_mask(F.col("salt")).alias("salts"))
         .where("n > 1")
     )
-    return join_back(keyed, shared, ["band", "block"], "salt", "salts", "inner")
+    least = classes.select(F.col("digest").alias("first"), F.struct("digest", "sketch").alias("least"))
+    shared = shared.join(least, "first").drop("first")
+    members = join_back(keyed, shared, ["band", "block"], "salt", "salts", "inner")
+    return members.join(classes.select("digest", "sketch"), "digest")
 
 
 def _with_least(members: DataFrame, agreeing: int) -> DataFrame:

@@ -6,6 +6,7 @@ cut on bytes.  Only A-Z are lower-cased.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -66,6 +67,14 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[pa.Re
             yield batch.slice(start, end - start)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker goes from stage to stage and keeps what it once needed."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def _sizes(texts: pa.Array) -> np.ndarray:
     import pyarrow.compute as pc
 
