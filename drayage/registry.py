@@ -26,6 +26,7 @@ from drayage.operators.deliver import Send, deliver
 from drayage.operators.outcomes import delivery_stats
 from drayage.operators.pacing import Pace
 from drayage.options import OptionSpec
+from drayage.plans.cursors import fetch_split, next_page_offset
 from drayage.plans.paging import offset_pages
 from drayage.plans.ranges import symbol_rows
 from drayage.plans.regions import DEFAULT_REGION, REGIONS
@@ -208,9 +209,10 @@ def read(
     if name in _FILE_READERS:
         return _FILE_READERS[name](spark, given)
     plan = _PLANS[name](spark, given)
-    if plan.follow is not None and on_error == "skip":
+    paged = plan.follow is not None or plan.split is not None
+    if paged and on_error == "skip":
         raise ValueError(f"{name} is read page after page; on_error must be: fail, incomplete")
-    if plan.follow is not None and on_error == "incomplete":
+    if paged and on_error == "incomplete":
         on_error = "skip"
     if get is None:
         if name == "robinhood":
@@ -220,6 +222,9 @@ def read(
     requests = plan.requests
     if plan.expand is not None:
         requests = plan.expand(stage(fetch(requests, name, get, max_in_flight), f"landed-{name}"))
+    if plan.split is not None:
+        staged = plan.split(get, max_in_flight)
+        return plan.shape(staged) if on_error is None else plan.shape(staged, on_error=on_error)
     if plan.follow is None:
         landed = fetch(requests, name, get, max_in_flight)
     else:
@@ -461,7 +466,8 @@ class Plan:
     """What to ask, and the shape of the rows in the answers.
 
     ``follow`` names the next request of a chain.  ``expand`` turns the answers to
-    ``requests`` into the requests proper, which then run all at once.
+    ``requests`` into the requests proper, which then run all at once.  ``split`` fetches a listing that is read
+    by many cursors, and stages it.
     """
 
     requests: DataFrame
@@ -469,6 +475,7 @@ class Plan:
     headers: dict[str, str] = field(default_factory=dict)
     follow: Follow | None = None
     expand: Callable[[DataFrame], DataFrame] | None = None
+    split: Callable[[Get, int | None], DataFrame] | None = None
 
 
 def _one_request(spark: SparkSession, key: str, url: str, body: str | None = None) -> DataFrame:
@@ -537,17 +544,23 @@ def _notion(spark: SparkSession, given: dict[str, Any]) -> Plan:
 
 
 def _qdrant(spark: SparkSession, given: dict[str, Any]) -> Plan:
+    """Scrolled in ranges of ids; see ``plans.cursors``."""
     ask = {"limit": given["limit"], "with_payload": given["with_payload"], "with_vector": given["with_vector"]}
     if given["filter"]:
         ask["filter"] = given["filter"]
 
-    def follow(request: dict[str, Any], status: int, body: str) -> dict[str, Any] | None:
-        offset = json.loads(body).get("result", {}).get("next_page_offset") if status == 200 else None
-        return None if offset is None else {**request, "body": json.dumps({**ask, "offset": offset})}
+    def body_of(cursor: Any) -> str:
+        return json.dumps(ask if cursor is None else {**ask, "offset": cursor})
 
     url = f"{given['url'].rstrip('/')}/collections/{given['collection']}/points/scroll"
     headers = {"api-key": given["api_key"]} if given["api_key"] else {}
-    return Plan(_one_request(spark, given["collection"], url, json.dumps(ask)), points.points, headers, follow)
+
+    def split(get: Get, max_in_flight: int | None) -> DataFrame:
+        return fetch_split(
+            spark, given["collection"], url, body_of, next_page_offset, "qdrant", get, max_in_flight
+        )
+
+    return Plan(_one_request(spark, given["collection"], url, body_of(None)), points.points, headers, split=split)
 
 
 def _per_symbol(spark: SparkSession, text: str, url: str, pairs: bool) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from drayage.landed import parsed
+from drayage.plans.cursors import in_range
 from drayage.plans.point_filter import payload_predicate
 
 # Text fields take ids of any type, and vectors and payloads as the JSON they are.
@@ -28,7 +29,8 @@ def points(
     """``id, vector, payload, shard_key, order_value``; a part not asked for is null."""
     rows = (
         parsed(landed, SCROLL_DDL, on_error)
-        .select(F.explode("doc.result.points").alias("p"))
+        .select("request_key", F.explode("doc.result.points").alias("p"))
+        .where(in_range(F.col("request_key"), F.col("p.id")))
         .select("p.id", "p.vector", "p.payload", "p.shard_key", _whole("p.order_value").alias("order_value"))
     )
     if condition is not None:
