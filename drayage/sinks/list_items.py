@@ -21,7 +21,7 @@ def register_resource(name: str, build: Resource) -> None:
 
 def resource_outbox(rows: DataFrame, resource: str, **options) -> DataFrame:
     if resource not in RESOURCES:
-        raise ValueError(f"Unsupported resource: {resource}. Supported resources are: {', '.join(RESOURCES)}")
+        raise ValueError(f"nothing can be written to {resource}; resources are {', '.join(RESOURCES)}")
     return RESOURCES[resource](rows, **options)
 
 
@@ -29,7 +29,7 @@ def mapped_records(rows: DataFrame, fields: Mapping[str, str]) -> DataFrame:
     """The mapped columns under their new names."""
     unknown = [name for name in fields if name not in rows.columns]
     if unknown:
-        raise ValueError(f"Field(s) {', '.join(unknown)} not found in row with keys {', '.join(rows.columns)}")
+        raise ValueError(f"rows have no column {', '.join(unknown)}; theirs are {', '.join(rows.columns)}")
     return rows.select([F.col(f"`{old}`").alias(new) for old, new in fields.items()])
 
 

@@ -36,9 +36,9 @@ def read_version(spark: SparkSession, path: str, version: int | None = None) ->
 def append_version(df: DataFrame, path: str, based_on: int | None, mode: str = "append") -> int:
     """Write ``df`` as a new fragment and publish the version after ``based_on``."""
     if mode != "append":
-        raise ValueError("Overwrite mode is not supported")
+        raise ValueError("datasets are only appended to, not replaced")
     if not path:
-        raise ValueError("Dataset URI must be specified")
+        raise ValueError("a dataset needs the option path")
     spark = df.sparkSession
     if based_on is None:
         earlier, version = [], 0

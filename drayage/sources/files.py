@@ -29,7 +29,7 @@ def read_sheet(spark: SparkSession, path: str, schema: T.StructType | str | None
     """An exported sheet; a given schema renames columns by position and sets their types."""
     if schema is None:
         if not has_header:
-            raise ValueError("Custom schema is required when `has_header` is false")
+            raise ValueError("a sheet without a header needs a schema")
         schema = sheet_schema(spark, path)
     return (
         spark.read.schema(schema)

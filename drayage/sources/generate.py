@@ -160,7 +160,7 @@ def check_fields(schema: T.StructType) -> None:
                 f"Unable to find a provider called `{field.name}`; providers are {', '.join(sorted(PROVIDERS))}"
             )
         if not isinstance(field.dataType, T.StringType):
-            raise ValueError(f"Field `{field.name}` is not a StringType. Only StringType is supported.")
+            raise ValueError(f"`{field.name}` must be a string column, as all generated ones are")
 
 
 def fake_columns(df: DataFrame, row_id: str, schema: T.StructType | str = DEFAULT_SCHEMA, seed: int = 0) -> DataFrame:

@@ -68,7 +68,7 @@ def read_database_ranges(
 
 def write_options(url: str, dbtable: str, batch_size: int = INSERT_BATCH, truncate: bool = True) -> dict[str, str]:
     if not dbtable:
-        raise ValueError("Option 'dbtable' is required for writing.")
+        raise ValueError("a database is written to by dbtable")
     if batch_size <= 0:
         raise ValueError("batch size must be a positive integer")
     return {"url": url, "dbtable": dbtable, "batchsize": str(batch_size), "truncate": str(truncate).lower()}

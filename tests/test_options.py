@@ -45,7 +45,7 @@ def test_read_options(spark, name, options, words):
         ("meta_capi", {"access_token": "t", "pixel_id": "p", "batch_size": "0"}, "positive integer"),
         ("qdrant", {"url": "u", "collection": "c", "batch_size": "x"}, "positive integer"),
         ("lance", {}, "path required"),
-        ("lance", {"path": "p", "mode": "overwrite"}, "Overwrite mode is not supported"),
+        ("lance", {"path": "p", "mode": "overwrite"}, "only appended to"),
         ("simplejson", {}, "path required"),
         ("salesforce", {"instance_url": "u", "token": "t"}, "does not support batch write"),
         ("sharepoint", {}, "does not support batch write"),
