@@ -221,7 +221,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(3))
     docs = table(spark, sf_dir, "documents")
     model = fit(docs.where(fold != 1))
-    return predict(docs.select("doc_id", "text"), model).select(
+    return predict(docs, model, columns=["doc_id"]).select(
         "doc_id",
         (fold == 1).alias("held_out"),
         F.col("language.lang").alias("lang_pred"),

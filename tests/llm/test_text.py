@@ -182,10 +182,74 @@ def test_language_of_odd_texts(spark):
     assert language.predict(frame.limit(0), nothing).count() == 0
 
 
-def test_unseen_words_fall_back_to_shorter_grams():
-    model = language.Model(["a", "b"], {"known": 0}, np.array([[-1.0, -2.0]]), {"nown": 0, "zz": 1}, np.array([[-3.0, -4], [-5, -6]]))
-    scores = language.word_scores(model, ["known", "xnown", "zz", "qq"], {})
-    assert scores.tolist() == [[-1, -2], [-3, -4], [-5, -6], [0, 0]]
+def plain_languages(train, texts):
+    """Known words first, then the longest known grams, all counts kept."""
+    langs = sorted({lang for text, lang in train if text and re.search(r"[^\W\d_]", text)})
+    cut = lambda t: re.findall(r"[a-z\x80-\U0010ffff]+", (t or "").lower())
+    grams = lambda w, s: [f"^{w}$"[i : i + s] for i in range(len(w) + 3 - s)]
+    counts = collections.defaultdict(lambda: collections.defaultdict(collections.Counter))
+    for text, lang in train:
+        for word in cut(text):
+            counts[0][lang][word] += 1
+            for size in range(1, 5):
+                counts[size][lang].update(grams(word, size))
+    seen = {size: sum(counts[size].values(), collections.Counter()) for size in range(5)}
+
+    def one(token, size):
+        return np.array([
+            math.log(0.9 * counts[size][x][token] / counts[size][x].total() + 0.1 * seen[size][token] / seen[size].total())
+            for x in langs
+        ])
+
+    out = []
+    for text in texts:
+        total = np.zeros(len(langs))
+        for word in cut(text):
+            if word in seen[0]:
+                total += one(word, 0)
+                continue
+            for size in (4, 3, 2, 1):
+                found = [one(g, size) for g in grams(word, size) if g in seen[size]]
+                if found:
+                    total += np.mean(found, axis=0)
+                    break
+        share = np.exp(total - total.max())
+        out.append((langs[int(np.round(total, 9).argmax())], (share / share.sum()).max()))
+    return out
+
+
+@pytest.mark.parametrize("head", [1, 40])
+def test_languages_match_plain_counting(spark, head):
+    rng = random.Random(6)
+    sounds = {"en": "theandofws", "de": "derschunic", "ky": "жаңыбирок", "ja": "日本語の"}
+    word = lambda x: "".join(rng.choices(sounds[x], k=rng.randint(1, 6)))
+    train = [(" ".join(word(x) for _ in range(rng.randint(1, 30))), x) for x in sounds for _ in range(15)]
+    texts = [" ".join(word(rng.choice([x, x, "en"])) for _ in range(rng.randint(1, 40))) for x in sounds for _ in range(15)]
+    texts += ["zzz qqq", "the THE zq", "hot " * 3000, texts[0], texts[0], train[0][0]]
+    frame = spark.createDataFrame(train, "text string, lang string")
+    model = language.fit(frame, head=head)
+    assert len(model.head.langs) <= head
+    got = language.predict(docs(spark, texts, None), model, columns=["doc_id"]).orderBy("doc_id").collect()
+    for row, (lang, score) in zip(got, plain_languages(train, texts), strict=True):
+        assert row.language.lang == lang and row.language.score == pytest.approx(score, abs=1e-6)
+
+
+def test_rare_languages_and_rare_words_are_learned(spark):
+    train = docs(spark, ["the word is not for all of them"] * 7000, "en").unionByName(docs(spark, ["бул жаңы сөз эмес"], "ky"))
+    many = [" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}x{'q' * (i // 17576)}" for i in range(a, a + 100))
+            for a in range(0, 30_000, 100)]
+    model = language.fit(train.unionByName(docs(spark, many, "xx")))
+    assert model.langs == ["en", "ky", "xx"] and model.words.where("n = 1").count() >= 30_000
+    got = language.predict(docs(spark, ["бул сөз", "not the word", many[7]], None), model).orderBy("doc_id").collect()
+    assert [r.language.lang for r in got] == ["ky", "en", "xx"]
+    assert all(r.language.score > 0.9 for r in got)
+
+
+def test_predicting_keeps_clashing_columns_and_repeated_rows(spark):
+    frame = docs(spark, ["the of", "the of", None]).selectExpr("doc_id", "text", "1 AS row", "2 AS _number", "3 AS language", "4 AS word")
+    got = language.predict(frame.unionByName(frame), language.fit(docs(spark, ["the of and"])))
+    assert got.columns == ["doc_id", "text", "row", "_number", "word", "language"] and got.count() == 6
+    assert {(r.row, r._number, r.word) for r in got.collect()} == {(1, 2, 4)}
 
 
 def test_tokens_are_the_library_s(spark):
