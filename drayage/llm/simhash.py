@@ -188,8 +188,10 @@ def near_duplicate_groups(
     # Only linked fingerprints take part below; all others are components of their own.
     linked = classes.join(roots.select(F.col("node").alias("fingerprint"), "root"), "fingerprint", "left")
     firsts = linked.where("root IS NOT NULL").groupBy("root").agg(F.min("first").alias("component"))
-    component = F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("component"))
-    answers = linked.join(firsts, "root", "left").select("fingerprint", "salts", component.alias("component"))
+    # Nearly all have no root; they go past the join, where they would share a partition.
+    lone = linked.where("root IS NULL").select("fingerprint", "salts", F.col("first").alias("component"))
+    answers = linked.where("root IS NOT NULL").join(firsts, "root").select("fingerprint", "salts", "component")
+    answers = answers.unionByName(lone)
     return join_back(rows, answers, "fingerprint", "salt", "salts").select("key", "fingerprint", "component")
 
 
