@@ -8,7 +8,11 @@ texts of similarity ``s`` share a key with a chance of ``1 - (1 - s ** ROWS) **
 Work is done on distinct sets of shingles.  First all members of a key are compared with its
 smallest one.  Members that are connected then need no comparison, so what is left are keys whose
 members are not all connected; these are cut into chunks, and every pair of chunks is a group of
-its own.  A sketch of a byte for each minimum leaves out pairs that cannot be similar enough.
+its own.  In a group, the pairs that agree most and together would connect all its components are
+compared, round by round, as long as most of them hold; so a group of ``n`` copies that one member
+connects takes about ``n`` comparisons and not their square.  All pairs that are still in different
+components are compared at the end, so no link is lost.  A sketch of a byte for each minimum leaves
+out pairs that cannot be similar enough.
 
 Sets of shingles are as large as the texts, so none is stored: those of proposed pairs are made again from
 their texts.
@@ -30,7 +34,7 @@ from drayage.llm.salted import join_back, salt_mask, salt_of
 from drayage.llm.simhash import CHUNK, majority, shingle_hashes
 from drayage.llm.url_filter import likely
 from drayage.llm.words import give_back, slices
-from drayage.scratch import stage
+from drayage.scratch import new_path, stage, staging_scope
 
 BANDS, ROWS = 20, 4
 MINIMA = BANDS * ROWS
@@ -158,56 +162,86 @@ def _with_least(members: DataFrame, agreeing: int) -> DataFrame:
     return pairs.mapInArrow(run, "a binary, b binary").distinct()
 
 
-def _unconnected(members: DataFrame, roots: DataFrame, agreeing: int, chunk: int) -> DataFrame:
-    """Pairs ``a``, ``b`` of one key that lie in different components, where the sketches agree enough."""
-    placed = members.join(roots.withColumnRenamed("node", "digest"), "digest", "left").select(
-        "digest", "sketch", "band", "block", "salt", "n", F.coalesce("root", "digest").alias("root")
-    )
-    placed = stage(placed, "overlap-members")
-    mixed = placed.groupBy("band", "block").agg(
+def _apart(members: DataFrame, roots: DataFrame, agreeing: int, chunk: int, spanning: bool) -> DataFrame:
+    """Pairs ``a``, ``b`` of one key that lie in different components, where the sketches agree enough.
+
+    All such pairs, or with ``spanning`` of each group of members only the most alike ones that would
+    connect them: fewer pairs than components, and none only if there is none at all.
+    """
+    roots = roots.withColumnRenamed("node", "digest")
+    own = F.coalesce("root", "digest").alias("root")
+    light = members.select("digest", "band", "block", "salt").join(roots, "digest", "left")
+    mixed = light.select("band", "block", "salt", own).groupBy("band", "block").agg(
         F.min("root").alias("low"), F.max("root").alias("high"), salt_mask(F.col("salt")).alias("salts")
     )
     mixed = mixed.where("low <> high").drop("low", "high")
-    left = join_back(placed, mixed, ["band", "block"], "salt", "salts", "inner")
+    left = join_back(members, mixed, ["band", "block"], "salt", "salts", "inner")
+    left = left.select("digest", "sketch", "band", "block", "n").join(roots, "digest", "left")
     pairs = (
         left.withColumn("chunks", F.ceil(F.col("n") / F.lit(chunk // 2)).cast("int"))
         .withColumn("own", F.pmod(F.xxhash64(F.col("digest"), F.lit(7)), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select(
             "band", "block", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-            F.struct("digest", "root", "sketch").alias("member"),
+            F.struct("digest", own, "sketch").alias("member"),
         )
     )
     groups = pairs.groupBy("band", "block", "low", "high").agg(F.collect_list("member").alias("members"))
+    chosen = _spanning if spanning else _crossing
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for members in batch.column("members"):
                 found = members.values
-                digests, sketches = found.field("digest"), _matrix(found.field("sketch"))
+                digests = found.field("digest")
+                sketches = np.ascontiguousarray(_matrix(found.field("sketch")).T)
                 root = found.field("root").dictionary_encode().indices.to_numpy()
-                for i in range(len(root) - 1):
-                    others = i + 1 + np.flatnonzero(root[i + 1 :] != root[i])
-                    others = others[(sketches[others] == sketches[i]).sum(axis=1) >= agreeing]
-                    if len(others):
-                        a, b = pa.repeat(digests[i], len(others)), digests.take(pa.array(others))
-                        yield pa.RecordBatch.from_arrays([a, b], ["a", "b"])
+                for a, b in chosen(sketches, root, agreeing):
+                    yield pa.RecordBatch.from_arrays([digests.take(pa.array(a)), digests.take(pa.array(b))], ["a", "b"])
 
     found = groups.where("size(members) > 1").select("members").mapInArrow(run, "a binary, b binary")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _agreement(sketches: np.ndarray, i: int) -> np.ndarray:
+    """How many minima every member (a column) has in common with member ``i``."""
+    return (sketches == sketches[:, i : i + 1]).sum(axis=0, dtype=np.uint8)
+
+
+def _crossing(sketches: np.ndarray, root: np.ndarray, agreeing: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of members of different components that agree enough."""
+    for i in range(len(root) - 1):
+        alike = (root != root[i]) & (_agreement(sketches, i) >= agreeing)
+        others = i + 1 + np.flatnonzero(alike[i + 1 :])
+        if len(others):
+            yield np.full(len(others), i), others
+
+
+def _spanning(sketches: np.ndarray, root: np.ndarray, agreeing: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs that agree enough, the most alike first, until no component can be connected to another."""
+    outside = np.ones(len(root), bool)
+    best = np.zeros(len(root), np.int64)  # agreement with the nearest member inside
+    near = np.zeros(len(root), np.int64)
+    pairs = []
+    while outside.any():
+        at = int(np.where(outside, best, -1).argmax())
+        if best[at] >= agreeing:
+            pairs.append((near[at], at))
+        component = np.flatnonzero(root == root[at])
+        outside[component] = False
+        for i in component:
+            agreement = _agreement(sketches, i)
+            closer = agreement > best
+            best[closer], near[closer] = agreement[closer], i
+    if pairs:
+        a, b = np.array(pairs).T
+        yield a, b
+
+
 def _verified(links: DataFrame, classes: DataFrame, docs: DataFrame, text: str, shingle: int, similarity: float) -> DataFrame:
-    """The ``links`` whose two sets of shingles are similar enough."""
+    """The ``links`` whose two sets of shingles are similar enough; the sets are deleted once they are compared."""
+    spark = links.sparkSession
     ends = links.select(F.col("a").alias("digest")).union(links.select("b")).distinct()
-    wanted = stage(classes.select("text_hash", "digest").join(ends, "digest"), "overlap-wanted")
-    sets = _sets_of(wanted, docs, text, shingle)
-
-    def fetched(pairs: DataFrame, own: str, other: str) -> DataFrame:
-        salted = pairs.withColumn("salt", salt_of(F.col(other)))
-        asked = links.groupBy(own).agg(salt_mask(salt_of(F.col(other))).alias("salts"))
-        answers = asked.join(sets.select(F.col("digest").alias(own), F.col("shingles").alias(f"of_{own}")), own)
-        return join_back(salted, answers, own, "salt", "salts", "inner").drop("salt")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,8 +249,20 @@ def _verified(links: DataFrame, classes: DataFrame, docs: DataFrame, text: str,
             good = [similar(*(np.frombuffer(x.as_py(), dtype=np.uint64) for x in pair), similarity) for pair in pairs]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    both = fetched(fetched(links, "a", "b"), "b", "a").select("a", "b", "of_a", "of_b")
-    return stage(both.mapInArrow(run, "a binary, b binary"), "overlap-links")
+    path = new_path(spark, "overlap-links")
+    with staging_scope(spark):
+        wanted = stage(classes.select("text_hash", "digest").join(ends, "digest"), "overlap-wanted")
+        sets = _sets_of(wanted, docs, text, shingle)
+
+        def fetched(pairs: DataFrame, own: str, other: str) -> DataFrame:
+            salted = pairs.withColumn("salt", salt_of(F.col(other)))
+            asked = links.groupBy(own).agg(salt_mask(salt_of(F.col(other))).alias("salts"))
+            answers = asked.join(sets.select(F.col("digest").alias(own), F.col("shingles").alias(f"of_{own}")), own)
+            return join_back(salted, answers, own, "salt", "salts", "inner").drop("salt")
+
+        both = fetched(fetched(links, "a", "b"), "b", "a").select("a", "b", "of_a", "of_b")
+        both.mapInArrow(run, "a binary, b binary").write.parquet(path)
+    return spark.read.schema("a binary, b binary").parquet(path)
 
 
 def _roots(links: DataFrame) -> DataFrame:
@@ -247,8 +293,18 @@ def similar_groups(
     members = stage(_members(classes), "overlap-members")
     proposed = stage(_with_least(members, agreeing), "overlap-pairs")
     links = _verified(proposed, classes, docs, text, shingle, similarity)
-    pairs = stage(_unconnected(members, _roots(links), agreeing, chunk), "overlap-pairs")
-    links = links.unionByName(_verified(pairs, classes, docs, text, shingle, similarity))
+    while True:
+        # Few pairs connect most of a large group; what they leave apart is compared in full.
+        pairs = stage(_apart(members, _roots(links), agreeing, chunk, spanning=True), "overlap-pairs")
+        asked = pairs.count()
+        if not asked:
+            break
+        found = _verified(pairs, classes, docs, text, shingle, similarity)
+        links = links.unionByName(found)
+        if 2 * found.count() < asked:
+            pairs = stage(_apart(members, _roots(links), agreeing, chunk, spanning=False), "overlap-pairs")
+            links = links.unionByName(_verified(pairs, classes, docs, text, shingle, similarity))
+            break
     placed = classes.select("digest", "first", "salts").join(_roots(links).withColumnRenamed("node", "digest"), "digest", "left")
     # Most sets are components of their own and take no part in the join by root.
     alone = placed.where("root IS NULL").select("digest", "salts", F.col("first").alias("component"))

@@ -169,6 +169,41 @@ def test_similar_rows_are_those_of_all_pairs(spark):
     assert sorted(r.doc_id for r in kept) == sorted(set(root))
 
 
+def test_spanning_pairs_are_the_most_alike():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        n = int(rng.integers(2, 30))
+        sketches = np.ascontiguousarray(rng.integers(0, 2, (n, overlap.MINIMA), dtype=np.uint8).T)
+        root = rng.integers(0, n, n)
+        agree = (sketches[:, :, None] == sketches[:, None, :]).sum(axis=0)
+        close = sorted(((int(agree[i, j]), i, j) for i in range(n) for j in range(i)), reverse=True)
+        own, want = root.copy(), []
+        for weight, i, j in close:
+            if weight >= 44 and own[i] != own[j]:
+                want.append(weight)
+                own[own == own[i]] = own[j]
+        got = [(i, j) for a, b in overlap._spanning(sketches, root, 44) for i, j in zip(a, b)]
+        assert sorted((int(agree[i, j]) for i, j in got), reverse=True) == want
+        crossing = {(i, j) for a, b in overlap._crossing(sketches, root, 44) for i, j in zip(a, b)}
+        assert crossing == {(j, i) for weight, i, j in close if weight >= 44 and root[i] != root[j]}
+
+
+def test_copies_that_one_text_connects(spark):
+    """Every copy is close to the first text, but no two copies are close to each other."""
+    base = [f"w{i}" for i in range(120)]
+    texts = [" ".join(base)]
+    for i in range(60):
+        words = list(base)
+        words[(7 * i) % 120] = f"x{i}"
+        words[(7 * i + 50) % 120] = f"y{i}"
+        texts.append(" ".join(words))
+    texts += ["other words " + " ".join(f"z{i}" for i in range(80)), " ".join(f"z{i}" for i in range(80))]
+    rows = list(enumerate(texts))
+    random.Random(4).shuffle(rows)
+    got = {r.key: r.component for r in overlap.similar_groups(docs(spark, rows), chunk=8).collect()}
+    assert [got[i] for i in range(len(texts))] == [0] * 61 + [61, 61]
+
+
 def test_similar_rows_of_odd_tables(spark):
     frame = docs(spark, [*ROWS, (7, " "), (8, "A  b C")]).withColumns({"_digest": F.lit(1), "key": F.lit(2)})
     kept = simhash.keep_one_of_each(frame)
