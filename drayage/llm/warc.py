@@ -19,6 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from drayage.llm.salted import join_back, salt_mask, salt_of
+from drayage.scratch import stage
 
 SMALLEST_REVISIT = 100  # bytes; smaller payloads are always written in full
 CAPTURES_PER_FILE = 5_000
@@ -59,24 +60,42 @@ def write_archives(
 ) -> None:
     """Write one response or revisit, one request and one metadata record for each capture.
 
-    Of captures with equal payloads of at least 100 bytes, that with the smallest key (then the
-    smallest address; null keys are larger than all others) is the response and the others
-    revisit it.  A null payload is empty.  Rows that agree in key, address and payload are one
-    capture.  White space and control characters are taken out of addresses.
+    Of captures with equal payloads of at least 100 bytes, those with the smallest key (null keys are
+    larger than all others) are responses, and the others revisit the one of them with the smallest
+    address.  A null payload is empty.  Rows that agree in key, address and payload are captures of
+    their own, with ids of their own.  White space and control characters are taken out of addresses.
+    The rows are staged once with a number each; decisions are made without their payloads.
     """
     body = F.coalesce(F.col(f"`{payload}`").cast("string"), F.lit(""))
     address = F.regexp_replace(F.coalesce(F.col(f"`{url}`").cast("string"), F.lit("")), r"[\x00-\x20]", "")
     rows = captures.select(F.col(f"`{key}`").alias("key"), address.alias("url"), body.alias("body")).select(
         "key", "url", "body", F.sha2("body", 256).alias("digest"), F.octet_length("body").alias("n"),
-        salt_of(F.col("key"), F.col("url")).alias("salt"),
+        F.monotonically_increasing_id().alias("number"),
     )
-    name = F.struct(F.col("key").isNull().alias("none"), F.col("key"), F.col("url"))
-    firsts = rows.groupBy("digest").agg(F.min(name).alias("first"), salt_mask(F.col("salt")).alias("salts"))
-    joined = join_back(rows, firsts, "digest", "salt", "salts")
+    rows = stage(rows, "warc-rows")
+    alone = F.lit(None)
+    own = _uuid(F.lit("r"), F.col("key"), F.col("url"), F.col("digest"), alone)
+    light = rows.select("number", "key", "url", "digest", "n", own.alias("own"), salt_of(F.col("number")).alias("salt"))
+
+    # Of rows that agree in all, the first has the id that revisits name, the others one of their own.
+    repeated = light.groupBy("own").agg(
+        F.min("number").alias("least"), F.count("*").alias("rows"), salt_mask(F.col("salt")).alias("salts")
+    )
+    repeated = join_back(light, repeated.where("rows > 1").drop("rows"), "own", "salt", "salts", "inner")
+    repeated = repeated.where("number <> least").select("number", F.lit(True).alias("repeated"), F.lit(None).alias("first"))
+    name = F.struct(F.col("key").isNull().alias("none"), F.col("key"), F.col("url"), F.col("own"))
+    large = light.where(F.col("n") >= SMALLEST_REVISIT)
+    firsts = large.groupBy("digest").agg(F.min(name).alias("first"), salt_mask(F.col("salt")).alias("salts"))
+    revisits = join_back(large, firsts, "digest", "salt", "salts").where("NOT key <=> first.key")
+    revisits = revisits.select("number", F.lit(None).cast("boolean").alias("repeated"), F.col("first.own").alias("first"))
+    marks = repeated.unionByName(revisits).groupBy("number").agg(
+        F.max("repeated").alias("repeated"), F.max("first").alias("first")
+    )
+    joined = rows.join(marks, "number", "left")
 
-    own = _uuid(F.lit("r"), F.col("key"), F.col("url"), F.col("digest"))
-    first = _uuid(F.lit("r"), F.col("first.key"), F.col("first.url"), F.col("digest"))
-    again = (F.col("n") >= SMALLEST_REVISIT) & (own != first)
+    parts = [F.col("key"), F.col("url"), F.col("digest"), F.when(F.col("repeated"), F.col("number"))]
+    own = _uuid(F.lit("r"), *parts)
+    first, again = F.col("first"), F.col("first").isNotNull()
     target = F.concat(F.lit("urn:capture:"), F.coalesce(F.col("key").cast("string"), F.lit("")))
     target = F.when(F.col("url") != "", F.col("url")).otherwise(target)
     head = F.concat(
@@ -98,7 +117,7 @@ def write_archives(
     request = _record(
         F.concat(F.lit("GET "), target, F.lit(f" HTTP/1.1{_END}")),
         ("WARC-Type", "request"),
-        ("WARC-Record-ID", _uuid(F.lit("q"), F.col("key"), F.col("url"), F.col("digest"))),
+        ("WARC-Record-ID", _uuid(F.lit("q"), *parts)),
         ("WARC-Date", date),
         ("WARC-Target-URI", target),
         ("WARC-Concurrent-To", own),
@@ -107,7 +126,7 @@ def write_archives(
     metadata = _record(
         F.concat_ws("\r\n", F.concat(F.lit("capture: "), F.col("key").cast("string")), F.lit("via: table")),
         ("WARC-Type", "metadata"),
-        ("WARC-Record-ID", _uuid(F.lit("m"), F.col("key"), F.col("url"), F.col("digest"))),
+        ("WARC-Record-ID", _uuid(F.lit("m"), *parts)),
         ("WARC-Date", date),
         ("WARC-Target-URI", target),
         ("WARC-Concurrent-To", own),

@@ -41,6 +41,24 @@ def test_archives_come_back_as_transactions(spark, compression):
     assert all(found[k].capture.type == "response" for k in (2, 3, 4, 7, 8))
 
 
+def test_repeated_rows_are_captures_of_their_own(spark):
+    rows = [(3, "http://b/", LONG), (3, "http://b/", LONG), (3, "http://a/", LONG), (4, "http://b/", LONG), (4, "http://b/", LONG),
+            (5, "u", "s"), (5, "u", "s"), (None, None, None), (None, None, None), (None, None, LONG)]
+    frame = pages(spark, rows * 3).withColumns({"number": F.lit(1), "own": F.lit("x"), "KEY": F.lit(2)})
+    path = new_path(spark, "warc-repeated")
+    warc.write_archives(frame, path)
+    found = warc.transactions(warc.read_archives(spark, path)).collect()
+    assert len(found) == 3 * len(rows) and all(len(r.requests) == len(r.metadata) == 1 for r in found)
+    assert len({r.metadata[0].record_id for r in found}) == len(found)
+    got = sorted((str({f.name: f.value for f in r.metadata[0].fields}.get("capture")), r.capture.type) for r in found)
+    kinds = {3: "response", 4: "revisit", 5: "response"}
+    large = [(str(k), "revisit" if k is None and h else kinds.get(k, "response")) for k, _, h in rows * 3]
+    assert got == sorted(large)
+    first = {r.capture.refers_to for r in found if r.capture.type == "revisit"}
+    targets = [r for r in found if r.record_id in first]
+    assert len(first) == len(targets) == 1 and targets[0].capture.target_uri == "http://a/"
+
+
 def test_metadata_of_a_request_joins_its_capture(spark):
     schema = "record_id string, type string, concurrent_to array<string>, payload binary"
     rows = [("c", "response", [], b"x"), ("q", "request", ["c"], b""), ("m", "metadata", ["q"], b""),
