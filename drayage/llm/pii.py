@@ -125,7 +125,7 @@ _DIGIT_WORDS = {
 }
 _SIGN_WORDS = {"plus": "+", "dot": ".", "point": ".", "punkt": ".", "punto": "."}
 _SPOKEN = "|".join(sorted([*_DIGIT_WORDS, *_SIGN_WORDS], key=len, reverse=True))
-_AT, _DOT = r"at|arroba|@|a", r"dot|point|punkt|punto|\."
+_AT, _DOT = r"at|arroba|@", r"dot|point|punkt|punto|\."
 _GAP = r"[\s,-]{1,3}"
 _DISGUISE = re.compile(
     # [at], (dot) and the like
@@ -135,13 +135,18 @@ _DISGUISE = re.compile(
     # name at host.com, name at host dot com
     rf"|(?P<plain>(?<=\w)[\s_]{{1,3}}at[\s_]{{1,3}}(?=(?:[a-z0-9-]{{1,63}}(?:[\s_]{{1,3}}dot[\s_]{{1,3}}|\.)){{1,5}}[a-z]{{2}}))"
     r"|(?P<stop>(?<=\w)[\s_]{1,3}dot[\s_]{1,3}(?=[a-z0-9-]))"
+    # signs written as entities of HTML
+    r"|(?P<at_sign>&(?:\#0{0,5}64|\#x0{0,5}40|commat);)|(?P<dot_sign>&(?:\#0{0,5}46|\#x0{0,5}2e|period);)"
     # characters that do not show
     rf"|(?P<hidden>[{_HIDDEN}]+)",
     re.IGNORECASE,
 )
 _WORD = re.compile(rf"(?:{_SPOKEN})\b|[0-9]+", re.IGNORECASE)
 _LOOKS = frozenset(map(chr, _TABLE)) | frozenset(_HIDDEN)
-_BRACKETS = re.compile(r"[\[({<]\s{0,3}(?:[aA]|[dD][oO]|[pP][uUoO]|@|\.)")
+_SIGNS = re.compile(r"[\[({<]\s{0,3}(?:a[tr]|do|p[uo]|@|\.)|&(?:#|commat;|period;)", re.IGNORECASE)
+# A word before a spelled at and a plain host: an address, or prose such as "look at example.com".
+_BARE_AT = re.compile(r"(\S+)\s{1,3}at\s{1,3}[a-z0-9.-]+", re.IGNORECASE)
+_JOINED = re.compile(r"[A-Za-z0-9][._%+-]+[A-Za-z0-9]|[A-Za-z][0-9]|[0-9][A-Za-z]")
 _SPOKEN_WORDS = pa.array([*_DIGIT_WORDS, *_SIGN_WORDS], pa.large_string())
 _DOT_WORD = pa.array(["dot"], pa.large_string())
 _AT_HOST = r"[\s_][aA][tT][\s_]{1,3}[A-Za-z0-9-]+\.[A-Za-z0-9]"
@@ -187,7 +192,7 @@ def normalise(text: str, spoken: bool = True) -> Normalised | None:
     ``spoken`` is false where ``may_be_spoken`` has ruled out spelled digits and dots.
     """
     looks = not text.isascii() and not _LOOKS.isdisjoint(set(text))
-    if not (looks or spoken or _BRACKETS.search(text)):
+    if not (looks or spoken or _SIGNS.search(text)):
         return None
     plain = text.translate(_TABLE) if looks else text
     out: list[str] = []
@@ -232,7 +237,7 @@ def _said(run: str, at: int) -> Iterator[tuple[str, int, int, bool]]:
 def _undisguised(match: re.Match) -> str:
     if match["hidden"]:
         return ""
-    return "@" if match["at"] or match["plain"] else "."
+    return "@" if match["at"] or match["plain"] or match["at_sign"] else "."
 
 
 class Span(NamedTuple):
@@ -240,6 +245,13 @@ class Span(NamedTuple):
     kind: int
     end: int
     base: bool
+    sure: bool = True
+
+
+def _doubtful(value: str) -> bool:
+    """Whether all that makes it an address is an ``at`` that a sentence may have as well."""
+    bare = _BARE_AT.fullmatch(value)
+    return bool(bare) and bare[1].isascii() and not _JOINED.search(bare[1])
 
 
 def find_spans(text: str, spoken: bool = True) -> list[Span]:
@@ -253,7 +265,7 @@ def find_spans(text: str, spoken: bool = True) -> list[Span]:
                 start, end = normal.source(a, b)
                 changed = normal.changed(a, b) or text[start:end] != normal.text[a:b]
                 if changed and not _within(plain[k], start, end):
-                    spans.append(Span(start, k, end, False))
+                    spans.append(Span(start, k, end, False, not (kind == "email" and _doubtful(text[start:end]))))
     return sorted(set(spans))
 
 
@@ -263,14 +275,15 @@ def _within(spans: list[tuple[int, int]], start: int, end: int) -> bool:
     return at >= 0 and spans[at][1] >= end
 
 
-_SPANS = "array<struct<kind: string, start: int, end: int, value: string, base: boolean>>"
+_SPANS = "array<struct<kind: string, start: int, end: int, value: string, base: boolean, sure: boolean>>"
 
 
 def find_identifiers(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key`` and ``spans`` of every row: kind, start, end, the source text, and whether plain.
+    """``key`` and ``spans`` of every row: kind, start, end, the source text, whether plain, and whether sure.
 
     A plain (base) span is one that the patterns find in the text itself; the others were found
-    after normalising and lie in no base span of their kind.  Null and empty texts have
+    after normalising and lie in no base span of their kind.  Not sure are those of a plain word, a
+    spelled "at" and a plain host, as prose has them too.  Null and empty texts have
     no spans.  Repeated rows and null keys are returned as they are; an empty table gives an
     empty result.  Other columns are not read.
     """
@@ -283,9 +296,12 @@ def find_identifiers(docs: DataFrame, key: str = "doc_id", text: str = "text") -
                 texts = part.column("text")
                 found = [
                     [
-                        {"kind": KINDS[s.kind], "start": s.start, "end": s.end, "value": t[s.start : s.end], "base": s.base}
+                        {
+                            "kind": KINDS[s.kind], "start": s.start, "end": s.end, "value": t[s.start : s.end],
+                            "base": s.base, "sure": s.sure,
+                        }
                         for s in find_spans(t, spoken)
-                    ]
+                    ]
                     for t, spoken in zip((cell.as_py() or "" for cell in texts), may_be_spoken(texts).tolist())
                 ]
                 yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(found, spans)], ["key", "spans"])

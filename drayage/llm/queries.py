@@ -173,8 +173,9 @@ def _of_kind(kind: str):
 
 @query()
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Identifiers in the documents, plain and disguised."""
+    """Identifiers in the documents, plain and disguised, without the doubtful ones."""
     found = find_identifiers(table(spark, sf_dir, "documents"))
+    found = found.withColumn("spans", F.filter("spans", lambda s: s["sure"]))
 
     def listed(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")

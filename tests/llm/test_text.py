@@ -151,6 +151,20 @@ def test_any_ending_and_single_spoken_digits_are_undone(text, kind, value):
     assert found == [(kind, value)]
 
 
+@pytest.mark.parametrize("text", ["joe&#64;example&#46;com", "joe&#x40;example.com", "joe&commat;example&period;com"])
+def test_entities_are_signs(text):
+    assert [(s.start, s.end, s.base, s.sure) for s in pii.find_spans(text, spoken=False)] == [(0, len(text), False, True)]
+
+
+def test_prose_is_no_address():
+    for text in ("see (a) www.example.com", "choose (a) foo.bar", "take [a] b.c"):
+        assert pii.find_spans(text) == []
+    for text in ("look at example.com now", "meet me at node.js", "page 5 at example.com", "joe at example.com"):
+        assert [s.sure for s in pii.find_spans(text)] == [False]
+    for text in ("joe.doe at example.com", "joe7 at example.com", "joe at example dot com", "joe (at) example.com"):
+        assert [s.sure for s in pii.find_spans(text)] == [True]
+
+
 def test_figures_near_spoken_digits_stay_plain():
     for text in ("one 10.0.0.1 or two 10.0.0.2", "one five 10.0.0.1", "look at home. Then one 4111 1111 1111 1111"):
         assert not [s for s in pii.find_spans(text) if not s.base]
