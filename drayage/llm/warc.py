@@ -19,7 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from drayage.llm.salted import join_back, salt_mask, salt_of
-from drayage.scratch import stage
+from drayage.scratch import stage, staging_scope
 
 SMALLEST_REVISIT = 100  # bytes; smaller payloads are always written in full
 CAPTURES_PER_FILE = 5_000
@@ -64,8 +64,16 @@ def write_archives(
     larger than all others) are responses, and the others revisit the one of them with the smallest
     address.  A null payload is empty.  Rows that agree in key, address and payload are captures of
     their own, with ids of their own.  White space and control characters are taken out of addresses.
-    The rows are staged once with a number each; decisions are made without their payloads.
+    The rows are staged once with a number each until they are written; decisions are made without
+    their payloads.
     """
+    with staging_scope(captures.sparkSession):
+        writer = _records(captures, key, url, payload, date).write.option("maxRecordsPerFile", CAPTURES_PER_FILE)
+        writer.text(path, compression=compression, lineSep=_END)
+
+
+def _records(captures: DataFrame, key: str, url: str, payload: str, date: str) -> DataFrame:
+    """The three records of each row as one text; what it reads is staged."""
     body = F.coalesce(F.col(f"`{payload}`").cast("string"), F.lit(""))
     address = F.regexp_replace(F.coalesce(F.col(f"`{url}`").cast("string"), F.lit("")), r"[\x00-\x20]", "")
     rows = captures.select(F.col(f"`{key}`").alias("key"), address.alias("url"), body.alias("body")).select(
@@ -132,9 +140,7 @@ def write_archives(
         ("WARC-Concurrent-To", own),
         ("Content-Type", "application/warc-fields"),
     )
-    records = joined.select(F.concat_ws(_END, capture, request, metadata).alias("value"))
-    writer = records.write.option("maxRecordsPerFile", CAPTURES_PER_FILE)
-    writer.text(path, compression=compression, lineSep=_END)
+    return joined.select(F.concat_ws(_END, capture, request, metadata).alias("value"))
 
 
 def _members(data: bytes) -> bytes:
