@@ -19,6 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from drayage.llm.salted import join_back, salt_mask, salt_of
+from drayage.llm.url_filter import likely
 from drayage.scratch import stage, staging_scope
 
 SMALLEST_REVISIT = 100  # bytes; smaller payloads are always written in full
@@ -99,7 +100,11 @@ def _records(captures: DataFrame, key: str, url: str, payload: str, date: str) -
     marks = repeated.unionByName(revisits).groupBy("number").agg(
         F.max("repeated").alias("repeated"), F.max("first").alias("first")
     )
-    joined = rows.join(marks, "number", "left")
+    marks = stage(marks, "warc-marks")
+    # Rows without a mark stay where they are; a Bloom filter tells most of them.
+    marked = likely(marks, "number")(F.col("number"))
+    plain = rows.where(~marked).withColumns({"repeated": F.lit(None).cast("boolean"), "first": F.lit(None).cast("string")})
+    joined = plain.unionByName(rows.where(marked).join(marks, "number", "left"))
 
     parts = [F.col("key"), F.col("url"), F.col("digest"), F.when(F.col("repeated"), F.col("number"))]
     own = _uuid(F.lit("r"), *parts)
