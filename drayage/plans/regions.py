@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from drayage.scratch import stage
+
 # Lowest and highest latitude, lowest and highest longitude, edges included.
 REGIONS: dict[str, tuple[float, float, float, float]] = {
     "EUROPE": (35.0, 72.0, -25.0, 45.0),
@@ -56,8 +58,12 @@ def in_boxes(
     The sphere is cut into square cells, half as wide on every further level.  A box is listed on the
     level whose cells are at least half its size, under the nine cells at most that cover it; a point is
     asked for once on every level that has a box.  The join is one of equal cells, so no point meets
-    boxes far away, and the exact test follows.  Cells where many points lie, and the few of the
-    coarse levels, are spread by a salt.
+    boxes far away, and the exact test follows.  Cells that hold more points than half a shuffle
+    partition, such as the few of the coarse levels, are counted first; their points are spread by a
+    salt, and only boxes listed there are copied for each salt.
+
+    Boxes under their cells are many times the table of boxes, which Spark's estimate does not know; so
+    both sides are shuffled and merged, whatever the estimate, and neither is gathered anywhere.
     """
     parts = F.when(
         F.col("west") > F.col("east"),
@@ -74,24 +80,28 @@ def in_boxes(
     def cell(degrees: str) -> Column:
         return F.floor(F.col(degrees) * F.pow(F.lit(2.0), F.col("_level")) / 360)
 
-    listed = (
-        listed.withColumn("_y", F.explode(F.sequence(cell("south"), cell("north"))))
-        .withColumn("_x", F.explode(F.sequence(cell("_part.w"), cell("_part.e"))))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    listed = listed.withColumn("_y", F.explode(F.sequence(cell("south"), cell("north")))).withColumn(
+        "_x", F.explode(F.sequence(cell("_part.w"), cell("_part.e")))
     )
     # At most one number for each level, whatever the number of boxes.
     levels = sorted(row[0] for row in one.select(level.alias("l")).distinct().collect())
     asked = points.where(F.col(latitude).isNotNull() & F.col(longitude).isNotNull())
     asked = asked.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>")))
-    asked = asked.withColumns(
-        {
-            "_y": cell(latitude),
-            "_x": cell(longitude),
-            "_salt": F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int"),
-        }
-    )
+    asked = asked.withColumns({"_y": cell(latitude), "_x": cell(longitude)})
+    place = ["_level", "_y", "_x"]
+    counts = stage(asked.groupBy(*place).agg(F.count("*").alias("_n")), "cells")
+    shares = 2 * int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    # Fewer than ``shares`` cells, by arithmetic, so they can be broadcast.
+    crowded = F.broadcast(counts.where(F.col("_n") * shares > total).select(*place, F.lit(True).alias("_crowded")))
+    spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int")
+    asked = asked.withColumn("_spread", spread).join(crowded, place, "left")
+    asked = asked.withColumn("_salt", F.when(F.col("_crowded"), F.col("_spread")).otherwise(0)).drop("_crowded", "_spread")
+    copies = F.when(F.col("_crowded"), salts - 1).otherwise(0)
+    listed = listed.join(crowded, place, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), copies)))
+    listed = listed.drop("_crowded")
     inside = F.col(latitude).between(F.col("south"), F.col("north")) & F.col(longitude).between(
         F.col("_part.w"), F.col("_part.e")
     )
-    found = asked.join(listed, ["_level", "_y", "_x", "_salt"]).where(inside)
-    return found.drop("_level", "_y", "_x", "_salt", "_part")
+    found = asked.join(listed.hint("merge"), [*place, "_salt"]).where(inside)
+    return found.drop(*place, "_salt", "_part")

@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from drayage.plans.paging import chain_order
 from drayage.plans.regions import in_boxes
 
@@ -66,3 +68,14 @@ def test_boxes_of_all_sizes(spark):
     assert sorted((r["id"], r["name"]) for r in found.collect()) == wanted
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_boxes_are_never_broadcast(spark):
+    # A small table of boxes is many rows under its cells; crowded cells and all others give every pair once.
+    points = spark.range(3000).selectExpr("id", "id % 7 * 10.0 latitude", "IF(id % 3 = 0, 5.0, id % 360 - 180.0) longitude")
+    boxes = spark.range(500).selectExpr("id box", "id % 60 - 0.5 south", "id % 60 + 1.5 north", "id % 9 - 0.5 west", "id % 9 + 40.0 east")
+    found = in_boxes(points, boxes)
+    assert "SortMergeJoin" in found._jdf.queryExecution().executedPlan().toString()
+    wanted = points.join(boxes, F.expr("latitude BETWEEN south AND north AND longitude BETWEEN west AND east"))
+    same = ["id", "box"]
+    assert found.select(same).exceptAll(wanted.select(same)).isEmpty() and found.count() == wanted.count() > 0
