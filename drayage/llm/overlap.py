@@ -1,4 +1,7 @@
-"""Near copies by the overlap of their shingles: MinHash bands propose pairs, the shingles decide.
+"""Near copies by SimHash and by the overlap of their shingles: both propose pairs, the shingles decide.
+
+SimHash fingerprints that differ in at most ``RADIUS`` bits meet by pigeonhole blocks (``simhash.close_links``).
+As a similarity of 0.8 lies about ten bits apart, MinHash bands propose the pairs that are further apart.
 
 The similarity of two texts is the share of their distinct shingles that they have in common
 (Jaccard).  A text has ``BANDS`` keys, each made of ``ROWS`` minima of its hashed shingles; two
@@ -31,11 +34,12 @@ from pyspark.sql import functions as F
 
 from drayage.llm.components import component_roots
 from drayage.llm.salted import join_back, salt_mask, salt_of
-from drayage.llm.simhash import CHUNK, majority, shingle_hashes
+from drayage.llm.simhash import CHUNK, close_links, majority, shingle_hashes
 from drayage.llm.url_filter import likely
 from drayage.llm.words import give_back, slices
 from drayage.scratch import new_path, stage, staging_scope
 
+RADIUS, BLOCKS = 3, 6  # 20 keys of three blocks, 32 bits each
 BANDS, ROWS = 20, 4
 MINIMA = BANDS * ROWS
 _SLICE_BYTES = 8 << 20
@@ -148,6 +152,25 @@ def _members(classes: DataFrame) -> DataFrame:
     return members.join(classes.select("digest", "sketch"), "digest")
 
 
+def _close_prints(classes: DataFrame, chunk: int) -> DataFrame:
+    """Pairs ``a``, ``b`` of sets whose SimHash fingerprints are equal or differ in at most ``RADIUS`` bits.
+
+    Sets of one fingerprint are paired with the smallest of them, and so are fingerprints that are close.
+    """
+    salted = classes.select("fingerprint", "digest").withColumn("salt", salt_of(F.col("digest")))
+    prints = stage(
+        salted.groupBy("fingerprint").agg(F.min("digest").alias("least"), salt_mask(F.col("salt")).alias("salts")),
+        "overlap-prints",
+    )
+    equal = join_back(salted, prints, "fingerprint", "salt", "salts", "inner").where("digest <> least")
+    links = close_links(prints.select("fingerprint"), RADIUS, BLOCKS, chunk).distinct()
+    for end in ("a", "b"):
+        named = prints.select(F.col("fingerprint").alias(end), F.col("least").alias(f"of_{end}"))
+        links = links.join(named, end)
+    close = links.select(F.greatest("of_a", "of_b").alias("a"), F.least("of_a", "of_b").alias("b"))
+    return equal.select(F.col("digest").alias("a"), F.col("least").alias("b")).unionByName(close)
+
+
 def _with_least(members: DataFrame, agreeing: int) -> DataFrame:
     """Pairs ``a``, ``b`` of a member and the smallest one of its key, where the sketches agree enough."""
 
@@ -285,13 +308,14 @@ def similar_groups(
     classes = stage(
         rows.groupBy("digest").agg(
             F.min("key").alias("first"), F.min("text_hash").alias("text_hash"), salt_mask(F.col("salt")).alias("salts"),
-            F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
+            F.min("fingerprint").alias("fingerprint"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
         ),
         "overlap-classes",
     )
     agreeing = least_agreeing(similarity)
     members = stage(_members(classes), "overlap-members")
-    proposed = stage(_with_least(members, agreeing), "overlap-pairs")
+    proposed = _close_prints(classes, chunk).unionByName(_with_least(members, agreeing)).distinct()
+    proposed = stage(proposed, "overlap-pairs")
     links = _verified(proposed, classes, docs, text, shingle, similarity)
     while True:
         # Few pairs connect most of a large group; what they leave apart is compared in full.

@@ -210,3 +210,21 @@ def test_similar_rows_of_odd_tables(spark):
     assert kept.columns == frame.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "5", "None"]
     assert simhash.keep_one_of_each(docs(spark, [])).count() == 0
     assert overlap.similar_groups(docs(spark, [])).count() == 0
+
+
+def test_simhash_proposes_and_shingles_decide(spark, monkeypatch):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(4000)]
+    texts = [rng.choices(words, k=900) for _ in range(6)]
+    texts += [[*texts[0][:300], "changed", *texts[0][301:]], [*texts[1], texts[1][-1]]]
+    frame = docs(spark, [(i, " ".join(t)) for i, t in enumerate(texts)])
+    prints = [simhash.fingerprint(" ".join(t).encode()) & (1 << 64) - 1 for t in texts]
+    assert (prints[0] ^ prints[6]).bit_count() <= overlap.RADIUS and (prints[1] ^ prints[7]).bit_count() <= overlap.RADIUS
+    # Without any pair from the bands, those from fingerprints are still found.
+    members = overlap._members
+    monkeypatch.setattr(overlap, "_members", lambda classes: members(classes).where("false"))
+    assert {r.key: r.component for r in overlap.similar_groups(frame).collect()} == {**{i: i for i in range(6)}, 6: 0, 7: 1}
+    # Fingerprints alone link nothing: here all are said to be close.
+    everything = lambda prints, *_: prints.toDF("a").crossJoin(prints.toDF("b")).where("a < b")
+    monkeypatch.setattr(overlap, "close_links", everything)
+    assert {r.key: r.component for r in overlap.similar_groups(frame).collect()} == {**{i: i for i in range(6)}, 6: 0, 7: 1}
