@@ -479,21 +479,27 @@ def settled_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     outbox = record_batches(spark, sf_dir)
     outcomes = settle(outbox, moody_receiver(), new_path(spark, "outcomes"), base_seconds=0.01)
     found = record_outcomes(outbox, outcomes)
-    numbers = F.from_json("body", "records ARRAY<STRUCT<Number: BIGINT>>")["records"]
-    ids = outbox.select("idem_key", F.posexplode(numbers["Number"]).alias("position", "record"))
-    # What the receiver has taken, answer by answer.
+    numbers = F.from_json("body", "records ARRAY<STRUCT<Number: BIGINT>>")["records"]["Number"]
+    ids = outbox.select("idem_key", numbers.alias("numbers"))
+    # What the receiver has taken, answer by answer.  All that is joined has a row for each request.
     taken = outcomes.where("status BETWEEN 200 AND 299").select(
         F.col("request_key").alias("idem_key"),
-        F.explode(
-            F.array_except(
-                F.coalesce("positions", F.sequence(F.lit(0), F.lit(199))),
-                F.coalesce("refused", F.array().cast("array<int>")),
-            )
-        ).alias("position"),
+        F.array_except(
+            F.coalesce("positions", F.sequence(F.lit(0), F.lit(199))),
+            F.coalesce("refused", F.array().cast("array<int>")),
+        ).alias("positions"),
+    )
+    taken = taken.groupBy("idem_key").agg(F.flatten(F.collect_list("positions")).alias("taken"))
+    verdicts = found.groupBy("idem_key").agg(F.collect_list(F.struct("position", "verdict", "status")).alias("found"))
+    joined = ids.join(verdicts, "idem_key").join(taken, "idem_key", "left")
+    each = joined.select("numbers", "taken", F.explode("found").alias("f")).withColumn("position", F.col("f.position"))
+    times = F.size(F.filter("taken", lambda p: p == F.col("position"))).cast("long")
+    return each.select(
+        F.get("numbers", F.col("position")).alias("record"),
+        "f.verdict",
+        "f.status",
+        F.when(F.col("taken").isNull(), 0).otherwise(times).cast("long").alias("times_accepted"),
     )
-    times = taken.groupBy("idem_key", "position").agg(F.count("*").alias("times_accepted"))
-    joined = ids.join(found, ["idem_key", "position"]).join(times, ["idem_key", "position"], "left")
-    return joined.select("record", "verdict", "status", F.coalesce("times_accepted", F.lit(0)).alias("times_accepted"))
 
 
 @query("""

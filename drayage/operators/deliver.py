@@ -9,7 +9,7 @@ from datetime import datetime, timezone
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from drayage.landed import in_flight
@@ -32,19 +32,29 @@ BASE_SECONDS = 1.0  # the wait before another try, doubled with every attempt
 IDLE_ROUNDS = 5  # rounds in a row without any answer after which ``settle`` gives up
 
 
-def _request(row: dict[str, Any]) -> tuple[dict[str, Any], list[int] | None]:
-    """What to send for a row of work, and the positions of its records if it is a part."""
-    positions = row.get("positions")
-    if positions is None:
-        return row, None
-    positions = [int(p) for p in positions]
-    body = part_body(row["body"], int(row["head"]), [int(s) for s in row["sizes"]], positions)
-    return {**row, "body": body, "n_records": len(positions)}, positions
+def _cut(body: pd.Series, head: pd.Series, sizes: pd.Series, picks: pd.Series) -> pd.Series:
+    """The request with only the picked ones of its records."""
+    rows = zip(body, head, sizes, picks)
+    return pd.Series([part_body(b, int(h), [int(s) for s in of], [int(p) for p in wanted]) for b, h, of, wanted in rows])
+
+
+def _parts_of(held: DataFrame, wanted: str, picks: Column) -> DataFrame:
+    """Rows with the body, sizes and number of the records at ``picks``, which are ``wanted`` in the request."""
+    cut = held.withColumn("_picks", picks)
+    return cut.withColumns(
+        {
+            "body": F.pandas_udf(_cut, "string")("body", "head", "sizes", "_picks"),
+            "sizes": F.transform("_picks", lambda n: F.get("sizes", n)),
+            "n_records": F.size("_picks"),
+            "positions": F.col(wanted),
+        }
+    ).drop("_picks")
 
 
 def attempt_all(work: DataFrame, send: Send, max_in_flight: int | None) -> DataFrame:
     """One outcome row per request, at most ``max_in_flight`` at once; else the cluster sets the pace.
 
+    A row with ``positions`` is a part: its body holds the records that lie there in its request.
     A request with a time in ``send_at`` is held back until then; if its task comes later than
     ``send_until``, the slot has lapsed and nothing is sent.  The frame is lazy and every
     evaluation sends again: write it once, as ``deliver`` does.
@@ -55,10 +65,11 @@ def attempt_all(work: DataFrame, send: Send, max_in_flight: int | None) -> DataF
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
-            for row in frame.to_dict("records"):
-                if not _slot_reached(row.get("send_at"), row.get("send_until")):
+            for request in frame.to_dict("records"):
+                if not _slot_reached(request.get("send_at"), request.get("send_until")):
                     continue
-                request, positions = _request(row)
+                positions = request.get("positions")
+                positions = None if positions is None else [int(p) for p in positions]
                 try:
                     answer = send(request)
                 except Exception as error:  # a failed call is an outcome, not a failed job
@@ -78,7 +89,7 @@ def attempt_all(work: DataFrame, send: Send, max_in_flight: int | None) -> DataF
                         taken,
                         datetime.now(timezone.utc),
                         answer.get("error"),
-                        row.get("request_key") or request["idem_key"],
+                        request.get("request_key") or request["idem_key"],
                         positions,
                         refused,
                     )
@@ -150,13 +161,32 @@ def following(outbox: DataFrame, latest: DataFrame, base_seconds: float, split:
     held = latest.select(
         F.coalesce("request_key", "idem_key").alias("request_key"),
         *["idem_key", "positions", "attempt", "status", "refused", "finished_at"],
-    ).join(roots, "request_key")
+    )
+    held = held.where(_leaves_something()).join(roots, "request_key")
+    if "sizes" in outbox.columns:
+        parts = held.where("positions IS NOT NULL").withColumn("_wanted", F.col("positions"))
+        parts = _parts_of(parts, "_wanted", F.col("positions")).drop("_wanted")
+        held = held.where("positions IS NULL").unionByName(parts)
+    return _left_open(held, outbox.columns, base_seconds, split)
+
+
+def _leaves_something() -> Column:
+    """False for outcomes that took all; nothing follows from those."""
+    return ~(succeeded(F.col("status")) & (F.coalesce(F.size("refused"), F.lit(0)) <= 0))
+
+
+def _left_open(held: DataFrame, columns: list[str], base_seconds: float, split: bool = True) -> DataFrame:
+    """What outcomes leave to be sent, from requests and parts (``held``) that have the body they were sent with.
+
+    A part has only its own records, so all parts of a request that are halved down to one record
+    hold each of its records once on every level, however many there are.
+    """
     status, attempt = F.col("status"), F.col("attempt")
     unanswered = worth_another_try(status, attempt)
     again = held.where(unanswered).withColumn("due", due_after(F.col("finished_at"), attempt, base_seconds))
     again = again.withColumn("attempt", attempt + 1)
-    wanted = [*outbox.columns, "request_key", "positions", "attempt", "due"]
-    if not split or "sizes" not in outbox.columns:
+    wanted = [*columns, "request_key", "positions", "attempt", "due"]
+    if not split or "sizes" not in columns:
         return again.select(*wanted)
     here = F.coalesce("positions", F.sequence(F.lit(0), F.col("n_records") - 1))
     # An answer of another kind than "try again" is about the records themselves.
@@ -173,11 +203,12 @@ def following(outbox: DataFrame, latest: DataFrame, base_seconds: float, split:
     parted = (
         held.where(F.col("sizes").isNotNull())
         .withColumns({"_here": here, "_lost": lost})
-        .withColumn("positions", F.explode(parts))
-        .withColumn("idem_key", F.sha2(F.concat_ws(":", "request_key", F.array_join("positions", ",")), 256))
+        .withColumn("_wanted", F.explode(parts))
+        .withColumn("idem_key", F.sha2(F.concat_ws(":", "request_key", F.array_join("_wanted", ",")), 256))
         .withColumns({"attempt": F.lit(1), "due": F.lit(None).cast("timestamp")})
     )
-    return again.select(*wanted).unionByName(parted.select(*wanted))
+    at = F.transform("_wanted", lambda p: (F.array_position("_here", p) - 1).cast("int"))
+    return again.select(*wanted).unionByName(_parts_of(parted, "_wanted", at).select(*wanted))
 
 
 def deliver(
@@ -248,7 +279,9 @@ def settle(
         idle = idle + 1 if answered.isEmpty() else 0
         if idle == IDLE_ROUNDS:
             raise DeliveryFailed(f"nothing was sent in {IDLE_ROUNDS} rounds; the pace leaves its tasks too little time")
-        left = following(outbox, answered, base_seconds)
+        # What was sent has all that is needed; requests that are done are not read again.
+        told = answered.where(_leaves_something()).select("idem_key", "status", "refused", "finished_at")
+        left = _left_open(work.drop("due").join(told, "idem_key"), outbox.columns, base_seconds)
         if pace is not None:
             left = left.unionByName(work.join(answered.select("idem_key"), "idem_key", "left_anti"))
         work = stage(left, "open-work")

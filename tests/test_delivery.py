@@ -9,7 +9,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from drayage.operators.deliver import DeliveryFailed, deliver, read_outcomes, settle
+from drayage.operators.deliver import DeliveryFailed, deliver, open_work, read_outcomes, settle
 from drayage.operators.outcomes import delivery_stats, record_outcomes
 from drayage.operators.pacing import Pace, lease, queued, slotted
 from drayage.outbox import part_body
@@ -95,6 +95,31 @@ def test_a_crashed_run_is_taken_up(spark, tmp_path):
     assert [r.position for r in record_outcomes(outbox, read_outcomes(spark, path)).where("verdict = 'refused'").collect()] == [7]
 
 
+def test_parts_are_sent_with_their_own_records_alone(spark):
+    """What is carried from round to round is no larger than the records that are still open."""
+    outbox = record_requests(spark, 40, batch=40)
+    path = new_path(spark, "outcomes")
+
+    def send(request):
+        parts = request.get("positions")
+        whole = 40 if parts is None else len(parts)
+        assert len(numbers(request)) == request["n_records"] == len(request["sizes"]) == whole
+        assert parts is None or numbers(request) == [int(p) for p in parts]
+        return {"status": 400, "error": "no"} if 17 in numbers(request) else {"status": 200}
+
+    first = deliver(outbox, send, path)
+    work = open_work(outbox, first)
+    bodies = work.selectExpr("sum(length(body)) AS n").first().n
+    assert work.count() == 2 and bodies < outbox.selectExpr("length(body) AS n").first().n + 40
+    second = deliver(outbox, send, path, split=True)
+    assert second.where("status = 0").isEmpty()
+    assert sorted(len(r.sizes) for r in open_work(outbox, second).collect()) == [10, 10]
+    settled = settle(outbox, send, path)
+    assert settled.where("status = 0").isEmpty()
+    verdicts = record_outcomes(outbox, settled).collect()
+    assert [r.position for r in verdicts if r.verdict == "refused"] == [17] and len(verdicts) == 40
+
+
 def test_counts_without_names_are_final(spark):
     outbox = record_requests(spark, 10)
     found = settle(outbox, lambda request: {"status": 200, "n_accepted": 4}, new_path(spark, "outcomes"))
