@@ -4,6 +4,7 @@ import json
 import sys
 from datetime import datetime
 
+import pandas as pd
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from drayage.operators.outcomes import record_outcomes
 from drayage.outbox import write_batch
 from drayage.scratch import delete, make_folder, new_path, path_exists, publish
 from drayage.sources.weather import FIRST_OFFSET
-from drayage.streaming.keyed import newest_stream
+from drayage.streaming.keyed import KEY, Newest, newest_stream
 from drayage.streaming.pollers import CUT_OFF, polling_stream
 from drayage.streaming.readers import latest_polls, weather_stream
 from drayage.streaming.senders import sending_stream, sent
@@ -89,6 +90,40 @@ def test_forgotten_keys_start_anew(spark):
     assert step((1, "a", 9, 2), (1, "c", 9, 2)) == sorted([*first, (1, "c", 2)])
 
 
+class FakeState:
+    """What a processor asks of its handle, counted."""
+
+    def __init__(self):
+        self.value, self.calls = None, 0
+
+    def getValueState(self, *_):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+
+def test_state_is_asked_for_once_for_many_keys():
+    newest, state = Newest("t", "polled", ["k", "t", "v"], "", None), FakeState()
+    newest.init(state)
+
+    def step(*rows):
+        frame = pd.DataFrame([(str(k), k, t, p, v) for k, t, p, v in rows], columns=[KEY, "k", "t", "polled", "v"])
+        frames = list(newest.handleInputRows((0,), iter([frame[i : i + 300] for i in range(0, len(frame), 300)]), None))
+        return [tuple(r) for frame in frames for r in frame.itertuples(index=False)]
+
+    rows = [(k, t, p, 10 * p) for t in "ba" for p in (1, 2) for k in range(500)]
+    assert sorted(step(*rows)) == sorted((k, t, 20) for t in "ab" for k in range(500))
+    assert state.calls == 2
+    assert step((1, "b", 9, 9), (2, "c", 9, 9), (777, "a", 9, 9)) == [(2, "c", 9), (777, "a", 9)]
+    assert step((1, "b", 9, 9), (2, "c", 9, 9)) == [] and state.calls == 5
+
+
 def test_latest_polls_are_the_same_on_every_run(spark):
     rows = [("k", "t", 2, "x"), ("k", "t", 2, "y"), ("k", "t", 1, "z"), ("k", "u", None, "w")]
     frame = spark.createDataFrame(rows, "key string, time string, polled long, v string")
