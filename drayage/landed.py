@@ -22,6 +22,8 @@ LANDED_COLUMNS = ["source", "request_key", "page_no", "fetched_at", "status", "b
 RETRIED = (0, 429, 500, 502, 503, 504)
 TRIES = 3
 WAIT_SECONDS = 0.5
+# Answers that are passed on together: at most so many, and no more once their bodies have so many characters.
+FRAME_ROWS, FRAME_CHARS = 1000, 4 << 20
 
 # get(request) -> (status, body)
 Get = Callable[[dict[str, Any]], tuple[int, str]]
@@ -44,7 +46,7 @@ def fetch_chain(
     """Fetch page after page from each starting request until ``follow`` returns None.
 
     A chain is sequential by nature; parallelism comes from many chains, one per shard,
-    date window or key range.  Pages are passed on one by one, never a whole chain.
+    date window or key range.  Pages are passed on in frames of bounded size, never a whole chain.
     """
     return _fetch(requests, source, get, follow, max_in_flight)
 
@@ -71,22 +73,35 @@ def in_flight(df: DataFrame, limit: int | None) -> int:
 
 
 def _fetch(requests: DataFrame, source: str, get: Get, follow: Follow, max_in_flight: int | None) -> DataFrame:
-    columns = list(LANDED_COLUMNS)
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def answers(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         for frame in frames:
             for start in frame.to_dict("records"):
                 request, page_no = start, int(start.get("page_no") or 0)
                 while request is not None:
                     status, body = _patiently(get, request)
-                    row = (source, start["request_key"], page_no, datetime.now(timezone.utc), status, body)
-                    yield pd.DataFrame([row], columns=columns)
+                    yield source, start["request_key"], page_no, datetime.now(timezone.utc), status, body
                     request = follow(request, status, body)
                     page_no += 1
 
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _framed(answers(frames))
+
     return requests.repartition(in_flight(requests, max_in_flight)).mapInPandas(run, LANDED_SCHEMA)
 
 
+def _framed(answers: Iterator[tuple], rows: int = FRAME_ROWS, chars: int = FRAME_CHARS) -> Iterator[pd.DataFrame]:
+    """Landed rows in frames of bounded size; a frame for each answer would cost more than many answers do."""
+    held, size = [], 0
+    for answer in answers:
+        held.append(answer)
+        size += len(answer[-1] or "")
+        if len(held) >= rows or size >= chars:
+            yield pd.DataFrame(held, columns=LANDED_COLUMNS)
+            held, size = [], 0
+    if held:
+        yield pd.DataFrame(held, columns=LANDED_COLUMNS)
+
+
 def _patiently(get: Get, request: dict[str, Any]) -> tuple[int, str | None]:
     """The answer after up to three tries; a call that fails for good is an answer with status 0."""
     for attempt in range(TRIES):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from test_delivery import Log, numbers, record_requests
 
 from drayage import registry
-from drayage.landed import LANDED_SCHEMA
+from drayage.landed import LANDED_COLUMNS, LANDED_SCHEMA, _framed
 from drayage.operators.outcomes import record_outcomes
 from drayage.outbox import write_batch
 from drayage.scratch import delete, make_folder, new_path, path_exists, publish
@@ -124,6 +124,13 @@ def test_state_is_asked_for_once_for_many_keys():
     assert step((1, "b", 9, 9), (2, "c", 9, 9)) == [] and state.calls == 5
 
 
+def test_answers_land_in_frames_of_bounded_size():
+    frames = list(_framed((("s", str(i), 0, None, 200, "x" * 10) for i in range(2500)), 1000, 1 << 20))
+    assert [len(f) for f in frames] == [1000, 1000, 500] and list(frames[0].columns) == LANDED_COLUMNS
+    assert [len(f) for f in _framed((("s", "k", 0, None, 200, "x" * 40) for _ in range(5)), 1000, 80)] == [2, 2, 1]
+    assert list(_framed(iter(()))) == []
+
+
 def test_latest_polls_are_the_same_on_every_run(spark):
     rows = [("k", "t", 2, "x"), ("k", "t", 2, "y"), ("k", "t", 1, "z"), ("k", "u", None, "w")]
     frame = spark.createDataFrame(rows, "key string, time string, polled long, v string")
