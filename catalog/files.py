@@ -43,6 +43,8 @@ def sheet_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_sheet(spark, path, "number double, label string, balance double")
 
 
+# A file whose cells hold line breaks is read by one task, so files must not grow with the table.
+CSV_RECORDS = 2000
 MESSY = {"escape": '"', "quoteAll": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 MESSY_SQL = """
 SELECT CAST(doc_id AS {kind}) AS "{key}", text || ', "" "q" \\' AS "a ""b"",
@@ -53,7 +55,7 @@ def messy_texts(spark: SparkSession, sf_dir: str, key: str, path: str, sep: str
     """Documents as CSV: quotes, backslashes, separators and line breaks in cells and header."""
     note = F.concat("text", F.lit(', "" "q" \\')).alias('a "b",\nc\\')
     messy = table(spark, sf_dir, "documents").select(F.col("doc_id").alias(key), note, F.lit("\\").alias("slash"))
-    messy.write.options(header=True, sep=sep, **MESSY).csv(path)
+    messy.write.options(header=True, sep=sep, maxRecordsPerFile=CSV_RECORDS, **MESSY).csv(path)
 
 
 @query(MESSY_SQL.format(kind="VARCHAR", key="doc_id"))

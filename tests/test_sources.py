@@ -314,3 +314,13 @@ def test_fetch_chain_follows_to_the_end(spark):
     assert sorted((r["request_key"], r["page_no"], r["body"]) for r in landed.collect()) == [
         ("a", 0, "3"), ("a", 1, "2"), ("a", 2, "1"), ("b", 0, "1"),
     ]
+
+
+def test_files_with_line_breaks_do_not_grow_with_the_table(spark):
+    from catalog.files import messy_texts
+
+    path = new_path(spark, "csv")
+    messy_texts(spark, "/root/testdata/sf0.1", "number", path, ";")
+    found = files.read_dataset_csv(spark, path, {"sep": "';'"})
+    rows = found.groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in rows) == 10_000 and max(r["count"] for r in rows) <= 2000
