@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -13,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from drayage import scratch
 from drayage.llm import bpe, context_tree, decontaminate, language, pii
 from drayage.llm.words import ALNUM, NOT_SPACE, split_words
 
@@ -248,6 +250,34 @@ def test_languages_match_plain_counting(spark, head):
         assert row.language.lang == lang and row.language.score == pytest.approx(score, abs=1e-6)
 
 
+def test_grams_sent_to_tasks_and_grams_joined_score_alike(spark):
+    rng = random.Random(7)
+    word = lambda sounds: "".join(rng.choices(sounds, k=rng.randint(1, 7)))
+    train = [(" ".join(word(s) for _ in range(20)), s[:2]) for s in ("theandofws", "derschunic", "жаңыб日𐐀") for _ in range(15)]
+    texts = [" ".join(word("theanderschжаң日𐐀") for _ in range(rng.randint(1, 40))) for _ in range(30)] + ["𐐀", "zzz", None]
+    frame = spark.createDataFrame(train, "text string, lang string")
+    sent, joined = language.fit(frame), language.fit(frame, head=1)
+    assert sent.near is not None and joined.near is None
+    for model in (sent, joined):
+        got = language.predict(docs(spark, texts, None), model, columns=["doc_id"]).orderBy("doc_id").collect()
+        for row, (lang, score) in zip(got, plain_languages(train, texts), strict=True):
+            if row.language.lang != "und":
+                assert row.language.lang == lang and row.language.score == pytest.approx(score, abs=1e-6)
+
+
+def test_rare_words_are_staged_in_less_than_their_text(spark):
+    rng = random.Random(8)
+    common = ["".join(rng.choices("abcdefghijklmnop", k=8)) for _ in range(20_000)]
+    texts = [" ".join(rng.choices(common, k=200)) for _ in range(1500)]
+    train, frame = docs(spark, texts[:1000]), docs(spark, texts, None)
+    folder = Path(scratch.run_folder(spark).removeprefix("file:"))
+    held = lambda: sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+    before = held()
+    told = language.predict(frame, language.fit(train, head=1000), columns=["doc_id"])
+    assert told.where("language.lang = 'en'").count() == len(texts)
+    assert held() - before < 0.75 * sum(map(len, texts)), (held() - before) / sum(map(len, texts))
+
+
 def test_rare_languages_and_rare_words_are_learned(spark):
     train = docs(spark, ["the word is not for all of them"] * 7000, "en").unionByName(docs(spark, ["бул жаңы сөз эмес"], "ky"))
     many = [" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}x{'q' * (i // 17576)}" for i in range(a, a + 100))
