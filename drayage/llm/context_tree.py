@@ -7,13 +7,14 @@ outcomes in training and a Krichevsky-Trofimov estimate.  Nodes are weighted as
 weighting: half for the node's own estimate, half for the product of its children's.  The
 prediction mixes the estimates of all depths by these weights, and its code length is the score.
 
-The counts are of runs of ``DEPTH + 1`` bytes, gathered from the whole training corpus by one
-aggregation, so they grow with it.  All nodes below a context of two bytes need only the runs of
+The counts are of runs of ``DEPTH + 1`` bytes, gathered from the whole training corpus, so they
+grow with it.  All nodes below a context of two bytes need only the runs of
 that context, so runs are solved by that context in parallel; the nodes above have one byte of
 context at most and form a table of at most 65,536 rows.
 
 Texts are kept in blocks.  A block asks once for each distinct run and word it has, and the
-answers meet it by its number; no model is sent to all tasks.
+answers meet it by its number; no model is sent to all tasks.  Questions and answers are packed,
+a row for each block and part.
 """
 
 from __future__ import annotations
@@ -28,18 +29,21 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drayage.llm.words import NOT_SPACE, slices, split_words
+from drayage.llm.packed import bucket_count, by_bucket, pack_numbers, pack_words, unpack_numbers, unpack_words
+from drayage.llm.words import NOT_SPACE, give_back, slices, split_words
 from drayage.scratch import stage
 
 DEPTH = 6  # bytes of context; a run of DEPTH + 1 bytes must fit in 56 bits
 TOP = 2  # bytes of context by which runs are solved together
-BLOCK_BYTES = 8 << 20  # text in a block, unless a single text is longer
+BLOCK_BYTES = 32 << 20  # text in a block, unless a single text is longer
 PARTS = 4  # bytes of context whose runs are solved at once, in pieces
-TASK_RUNS = 500_000  # distinct runs for a task, unless one context has more
-_PIECE_BYTES = 2 << 20  # text whose runs are laid out at once
+TASK_BYTES = 8 << 20  # text whose runs a task solves, unless one context has more
+LEAST_TASKS = 32
+_MERGED_RUNS = 4_000_000  # runs of several blocks that are merged at once
+_SORTED_RUNS = 2_000_000  # runs of a block that are sorted at once
+_PIECE_BYTES = 1 << 20  # text whose runs are laid out at once
 _PIECE_RUNS = 1 << 16  # runs that are solved at once, unless one context of PARTS bytes has more
 _END, _BLANK = 10, 32
-_END_TOKEN = "\n"  # no word holds white space
 _HALF = np.log(0.5)
 _BITS = np.arange(8)
 
@@ -60,15 +64,56 @@ def runs_of(words: pa.Array, rows: np.ndarray, depth: int = DEPTH) -> tuple[np.n
     stream[begins[1:] - 1] = _END
     places = np.repeat(spaces, np.diff(cuts)) + np.arange(cuts[-1] - cuts[0])
     stream[places] = np.frombuffer(data, dtype=np.uint8)[cuts[0] : cuts[-1]] if len(words) else 0
-    runs = np.zeros(len(stream), dtype=np.int64)
-    for back in range(1, depth + 1):
-        before = np.full(len(stream), _END, dtype=np.int64)
-        before[back:] = stream[:-back]
-        for k in range(back):
-            at = begins[:-1] + k
-            before[at[at < begins[1:]]] = _END
-        runs = (runs << 8) | before
-    return (runs << 8) | stream, begins
+    runs = stream.copy()
+    if depth:
+        # The bytes before, nearest first, at first as if all texts were one.
+        before = np.concatenate([np.full(depth, _END), stream])[:-1]
+        context = before[depth - 1 :].copy()
+        for back in range(1, depth):
+            context <<= 8
+            context |= before[depth - 1 - back : len(before) - back]
+        runs |= context << 8
+    for k in range(depth):
+        # The byte k of a text has only k bytes of its own before it.
+        at = begins[:-1] + k
+        at = at[at < begins[1:]]
+        foreign = (1 << 8 * (depth - k)) - 1
+        ends = foreign // 255 * _END
+        runs[at] = (runs[at] & ~(foreign << 8)) | ends << 8
+    return runs, begins
+
+
+class Places:
+    """Where each of some distinct numbers is, by open addressing; all that are asked for must be there."""
+
+    def __init__(self, keys: np.ndarray):
+        self._keys = keys
+        self._bits = max(4, (2 * len(keys)).bit_length())
+        self._slots = np.zeros(1 << self._bits, dtype=np.int32)  # 0: free, else the place plus one
+        at, left = self._first(keys), np.arange(len(keys))
+        while len(left):
+            free = self._slots[at] == 0
+            self._slots[at[free]] = left[free] + 1
+            more = self._slots[at] != left + 1
+            at, left = self._next(at[more]), left[more]
+
+    def _first(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self._bits)).astype(np.int64)
+
+    def _next(self, at: np.ndarray) -> np.ndarray:
+        return (at + 1) & (len(self._slots) - 1)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        at = self._first(keys)
+        found = self._slots[at] - 1
+        left = np.flatnonzero(self._keys[found] != keys)
+        at = at[left]
+        while len(left):
+            at = self._next(at)
+            found[left] = self._slots[at] - 1
+            more = self._keys[found[left]] != keys[left]
+            at, left = at[more], left[more]
+        return found
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -179,31 +224,70 @@ def _mixed(deeper: np.ndarray | None, which: np.ndarray, bit: np.ndarray, level:
     return weight * own + (1 - weight) * deeper
 
 
-def _whole_partition(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> list[np.ndarray] | None:
-    parts = [[b.column(c).to_numpy(zero_copy_only=False) for c in columns] for b in batches if b.num_rows]
-    return [np.concatenate(p) for p in zip(*parts)] if parts else None
+class Asked(NamedTuple):
+    """Questions of a block: distinct sorted ``runs`` and their counts in training, packed."""
 
+    block: int
+    runs: bytes
+    n: bytes
 
-def _sorted(runs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(runs)
-    return runs[order], n[order]
+
+def _partition(batches: Iterator[pa.RecordBatch]) -> tuple[list[Asked], np.ndarray, np.ndarray]:
+    """All questions of a partition, its distinct runs in order, and their counts."""
+    asked: list[Asked] = []
+    runs, n, held = [], [], 0
+    for batch in batches:
+        for row in batch.select(["block", "runs", "n"]).to_pylist():
+            asked.append(Asked(**row))
+            runs.append(_unpack_sorted(row["runs"]))
+            n.append(unpack_numbers(row["n"]))
+            held += len(runs[-1])
+            if held > _MERGED_RUNS:
+                runs, n = ([x] for x in _merged(runs, n))
+                held = len(runs[0]) // 2
+    return asked, *_merged(runs, n)
+
+
+def _merged(runs: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    if not runs:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    both = np.concatenate(runs)
+    order = np.argsort(both)
+    both, counts = both[order], np.concatenate(n)[order]
+    starts = np.concatenate([[0], np.flatnonzero(np.diff(both)) + 1])
+    return both[starts], np.add.reduceat(counts, starts)
+
+
+def _counted(marked: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct runs in order, and how many of each have the lowest bit set."""
+    both = np.sort(np.concatenate(marked))
+    edges = np.concatenate([[0], np.flatnonzero(both[1:] != both[:-1]) + 1])
+    n = np.diff(np.append(edges, len(both))) * (both[edges] & 1)
+    runs = both[edges] >> 1
+    starts = np.concatenate([[0], np.flatnonzero(runs[1:] != runs[:-1]) + 1])
+    return runs[starts], np.add.reduceat(n, starts)
 
 
-def log_probabilities(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """``run`` and ``log10p``: the probability of a run's byte after its context, for every run.
+def _pack_sorted(numbers: np.ndarray) -> bytes:
+    return pack_numbers(np.diff(numbers, prepend=0))
 
-    ``counts`` has ``run`` and ``n``, its count in training; runs that are only asked for have 0.
+
+def _unpack_sorted(packed: bytes) -> np.ndarray:
+    return np.cumsum(unpack_numbers(packed))
+
+
+def log_probabilities(questions: DataFrame, tasks: int, depth: int = DEPTH) -> DataFrame:
+    """``block``, ``keys`` and ``values``: each block's runs again, with log10 of the probability of a run's byte after its context.
+
+    ``questions`` has ``part``, ``block``, ``runs`` and ``n``, the counts in the block's training texts; all runs
+    of a context of ``TOP`` bytes are in one part.
     """
-    # A task gets whole contexts of TOP bytes; each has at most 256 ** (depth - TOP + 1) runs.
-    context = F.shiftright("run", 8 * (depth - TOP + 1))
-    counts = stage(counts, "run-counts")
-    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")) + counts.count() // TASK_RUNS
-    dealt = counts.repartition(tasks, context)
+    dealt = questions.repartition(tasks, "part")
 
     def upper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = _whole_partition(batches, ("run", "n"))
-        if whole is not None:
-            nodes, level = upper_levels(*_sorted(*whole), depth)[-1]
+        _, runs, n = _partition(batches)
+        if len(runs):
+            nodes, level = upper_levels(runs, n, depth)[-1]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in (_parents(nodes), level.zeros, level.ones, level.weighted)], ["node", "zeros", "ones", "below"]
             )
@@ -219,12 +303,12 @@ def log_probabilities(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     top = [one, _level(zeros, ones, below)]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = _whole_partition(batches, ("run", "n"))
-        if whole is None:
+        asked, runs, n = _partition(batches)
+        if not len(runs):
             return
-        runs, n = _sorted(*whole)
         levels = upper_levels(runs, n, depth)
         parts = TOP + len(levels) - 1
+        log10p = np.empty(len(runs))
         for at in _run_pieces(runs, depth, parts):
             prediction, _, _ = solve(runs[at], n[at], depth, parts)
             place, bit = _decisions(runs[at])
@@ -234,10 +318,14 @@ def log_probabilities(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
             for length, level in ((1, top[0]), (0, top[1])):
                 which = _nodes(runs[at], place, length, depth)
                 prediction = _mixed(prediction.ravel(), which.ravel(), bit.ravel(), level).reshape(-1, 8)
-            log10p = np.log10(prediction).sum(axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(runs[at]), pa.array(log10p)], ["run", "log10p"])
+            log10p[at] = np.log10(prediction).sum(axis=1)
+        for block, own, _ in asked:
+            values = pack_numbers(log10p[np.searchsorted(runs, _unpack_sorted(own))])
+            yield pa.RecordBatch.from_pylist([{"block": block, "keys": own, "values": values}])
+        del asked, runs, n, levels, log10p
+        give_back()
 
-    return dealt.mapInArrow(predict, "run long, log10p double")
+    return dealt.mapInArrow(predict, "block long, keys binary, values binary")
 
 
 _BLOCK = "keys array<{key}>, train array<boolean>, sizes array<int>, lengths array<int>, words binary"
@@ -266,6 +354,8 @@ def _blocks(docs: DataFrame, key: str, text: str, train: Column) -> DataFrame:
                     [*[pa.ListArray.from_arrays(whole, x) for x in lists], pa.array([packed], pa.binary())],
                     ["keys", "train", "sizes", "lengths", "words"],
                 )
+                del words, sizes, lengths, lists, packed
+                give_back()
 
     schema = _BLOCK.format(key=rows.schema["key"].dataType.simpleString())
     return stage(rows.mapInArrow(run, schema).withColumn("block", F.monotonically_increasing_id()), "text-blocks")
@@ -296,23 +386,48 @@ def _pieces(lengths: np.ndarray, packed: bytes) -> Iterator[tuple[int, int, pa.A
             yield a, b, words, rows
 
 
-def _questions(blocks: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
-    """(block, run, n) and (block, token, n): what each block has, and how often in its training texts."""
+def _run_questions(blocks: DataFrame, tasks: int, depth: int) -> DataFrame:
+    """(part, block, runs, n): what runs each block has, packed, and how often in its training texts."""
 
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, lengths, train, words in _rows(batches):
-            keys, counts = np.zeros(0, dtype=np.int64), np.zeros(0)
+            # The lowest bit tells whether the text is learned from, so one sort does for both.
+            marked, held, found = [], 0, []
             for a, b, own, rows in _pieces(lengths, words):
-                found, begins = runs_of(own, rows, depth)
-                # The lowest bit tells whether the text is learned from, so one sort does for both.
-                marked = np.sort((found << 1) | np.repeat(train[a:b], np.diff(begins)))
-                edges = np.concatenate([[0], np.flatnonzero(np.diff(marked)) + 1])
-                n = np.diff(np.append(edges, len(marked))) * (marked[edges] & 1)
-                keys, which = np.unique(np.concatenate([keys, marked[edges] >> 1]), return_inverse=True)
-                counts = np.bincount(which, weights=np.concatenate([counts, n]), minlength=len(keys))
-            yield _batch(block, "run", pa.array(keys), counts)
-
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                runs, begins = runs_of(own, rows, depth)
+                marked.append((runs << 1) | np.repeat(train[a:b], np.diff(begins)))
+                held += len(runs)
+                if held >= _SORTED_RUNS:
+                    found.append(_counted(marked))
+                    marked, held = [], 0
+            if held:
+                found.append(_counted(marked))
+            runs, n = _merged(*map(list, zip(*found))) if len(found) > 1 else found[0]
+            # Contexts of TOP bytes are dealt to parts by a multiplication, so that neighbours part.
+            context = runs >> (8 * (depth - TOP + 1))
+            part = (context * 40503 % 65521 * tasks) // 65521
+            order = np.argsort(part, kind="stable")
+            ends = np.searchsorted(part[order], np.arange(tasks + 1))
+            for no in np.flatnonzero(np.diff(ends)).tolist():
+                at = order[ends[no] : ends[no + 1]]
+                yield pa.RecordBatch.from_pylist([
+                    {"part": no, "block": block, "runs": _pack_sorted(runs[at]), "n": pack_numbers(n[at])}
+                ])
+            del runs, n, found, order
+            give_back()
+
+    return blocks.select("block", "train", "lengths", "words").mapInArrow(
+        run, "part long, block long, runs binary, n binary"
+    )
+
+
+def _token_counts(blocks: DataFrame, buckets: int) -> DataFrame:
+    """``block``, ``keys`` and ``values``: each block's words and their counts in all training texts, packed.
+
+    Each bucket's ``total`` and number of ``distinct`` words in training are in one of its rows.
+    """
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, lengths, train, words in _rows(batches):
             names, counts = pa.array([], pa.large_string()), np.zeros(0)
             for a, b, own, rows in _pieces(lengths, words):
@@ -324,14 +439,34 @@ def _questions(blocks: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
                 counts = np.bincount(
                     merged.indices.to_numpy(), weights=np.concatenate([counts, n]), minlength=len(names)
                 )
-            names = pa.concat_arrays([names.cast(pa.binary()), pa.array([_END_TOKEN.encode()], pa.binary())])
-            yield _batch(block, "token", names, np.append(counts, train.sum()))
-
-    wanted = blocks.select("block", "train", "lengths", "words")
-    return (
-        wanted.mapInArrow(runs, "block long, run long, n long"),
-        wanted.mapInArrow(tokens, "block long, token binary, n long"),
+            names = names.cast(pa.large_binary())
+            order = pc.array_sort_indices(names)
+            names, counts = names.take(order).to_pylist(), counts[order.to_numpy()].astype(np.int64)
+            for bucket, at in by_bucket(names, buckets):
+                yield pa.RecordBatch.from_pylist([{
+                    "bucket": bucket, "block": block,
+                    "keys": pack_words([names[i] for i in at]), "n": pack_numbers(counts[at]),
+                }])
+            del names, counts
+            give_back()
+
+    def merge(asked: pa.Table) -> pa.Table:
+        lists = [unpack_words(p.as_py()) for p in asked["keys"]]
+        words = pa.array([w for x in lists for w in x], pa.large_binary()).dictionary_encode()
+        which = words.indices.to_numpy()
+        n = np.bincount(which, weights=np.concatenate([unpack_numbers(p.as_py()) for p in asked["n"]])).astype(np.int64)
+        ends = np.cumsum([len(x) for x in lists])
+        values = [pack_numbers(n[own].astype(np.float64)) for own in np.split(which, ends[:-1])]
+        first = np.arange(len(lists)) == 0
+        return pa.table({
+            "block": asked["block"], "keys": asked["keys"], "values": pa.array(values, pa.binary()),
+            "total": first * n.sum(), "distinct": first * np.count_nonzero(n),
+        })
+
+    asked = blocks.select("block", "train", "lengths", "words").mapInArrow(
+        ask, "bucket long, block long, keys binary, n binary"
     )
+    return asked.groupBy("bucket").applyInArrow(merge, "block long, keys binary, values binary, total long, distinct long")
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, bytes]]:
@@ -342,11 +477,6 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray,
             yield batch.column("block")[i].as_py(), lengths, train, batch.column("words")[i].as_py()
 
 
-def _batch(block: int, name: str, keys: pa.Array, n: np.ndarray) -> pa.RecordBatch:
-    number = pa.array(np.full(len(keys), block, dtype=np.int64))
-    return pa.RecordBatch.from_arrays([number, keys, pa.array(n.astype(np.int64))], ["block", name, "n"])
-
-
 def score_texts(
     docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", depth: int = DEPTH
 ) -> DataFrame:
@@ -360,30 +490,31 @@ def score_texts(
     rows every decision is one half.  An empty table gives an empty result.
     """
     blocks = _blocks(docs, key, text, F.coalesce(train, F.lit(False)))
-    runs, tokens = (stage(q, "questions") for q in _questions(blocks, depth))
-    counts = stage(tokens.groupBy("token").agg(F.sum("n").alias("n")), "token-counts")
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
-    chances = stage(log_probabilities(runs.groupBy("run").agg(F.sum("n").alias("n")), depth), "run-chances")
-    nothing = F.lit(None)
-    answers = runs.join(chances, "run").select(
-        "block", "run", nothing.cast("binary").alias("token"), F.col("log10p").alias("value")
-    ).unionByName(
-        tokens.drop("n").join(counts, "token").select(
-            "block", nothing.cast("long").alias("run"), "token", F.col("n").cast("double").alias("value")
-        )
+    sums = blocks.agg(*[
+        F.coalesce(F.sum(F.aggregate(c, F.lit(0).cast("long"), lambda x, y: x + y)), F.lit(0)) for c in ("lengths", "sizes")
+    ], F.coalesce(F.sum(F.size(F.filter("train", lambda t: t))), F.lit(0)))
+    n_bytes, n_words, end = sums.first()
+    tasks = max(LEAST_TASKS, n_bytes // TASK_BYTES)
+    questions = stage(_run_questions(blocks, tasks, depth), "run-questions")
+    # A block has far fewer distinct words than words.
+    tokens = stage(_token_counts(blocks, bucket_count(n_words // 8)), "token-counts")
+    total, distinct = tokens.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("total", "distinct")]).first()
+    total, distinct = total + end, distinct + (end > 0)
+    answers = log_probabilities(questions, tasks, depth).withColumn("of_run", F.lit(True)).unionByName(
+        tokens.select("block", "keys", "values", F.lit(False).alias("of_run"))
     )
     kind = blocks.schema["keys"].dataType.elementType.simpleString()
     least = 0.5 / (total + 0.5 * (distinct + 1))
 
     def score(block: pa.Table, known: pa.Table) -> pa.Table:
+        give_back()
         block = block.combine_chunks()
-        known = known.combine_chunks()
-        of_run = pc.is_valid(known["run"])
-        asked, values = known.filter(of_run), known.filter(pc.invert(of_run))
-        order = np.argsort(asked["run"].to_numpy())
-        run_keys, run_values = asked["run"].to_numpy()[order], asked["value"].to_numpy()[order]
-        names, seen = values["token"].combine_chunks().cast(pa.large_binary()), values["value"].to_numpy()
-        end = seen[pc.index(names, pa.scalar(_END_TOKEN.encode(), pa.large_binary())).as_py()]
+        asked, values = (known.filter(known["of_run"]), known.filter(pc.invert(known["of_run"])))
+        run_keys = np.concatenate([np.zeros(0, np.int64), *[_unpack_sorted(k.as_py()) for k in asked["keys"]]])
+        run_values = np.concatenate([np.zeros(0), *[unpack_numbers(v.as_py(), np.float64) for v in asked["values"]]])
+        places = Places(run_keys)
+        names = pa.array([w for k in values["keys"] for w in unpack_words(k.as_py())], pa.large_binary())
+        seen = np.concatenate([np.zeros(0), *[unpack_numbers(v.as_py(), np.float64) for v in values["values"]]])
         out = []
         for row in range(block.num_rows):
             keys, train = block["keys"][row].values, block["train"][row].values
@@ -397,7 +528,7 @@ def score_texts(
                 known_words += np.bincount(text_of, weights=c > 0, minlength=len(sizes))
                 base += np.bincount(text_of, weights=np.log10((c + 0.5) * 2 * least), minlength=len(sizes))
                 found, begins = runs_of(words, rows, depth)
-                value = run_values[np.searchsorted(run_keys, found)]
+                value = np.concatenate([run_values[places.of(x)] for x in np.array_split(found, 8)])
                 scores[a:b] = np.add.reduceat(value, begins[:-1])
                 n_bytes[a:b] = np.diff(begins)
             base += np.log10((end + 0.5) * 2 * least)
@@ -407,6 +538,8 @@ def score_texts(
                 "train_tokens": np.full(len(sizes), total, dtype=np.int64),
                 "base_score": base, "score": scores, "bits_per_byte": -scores / np.log10(2) / n_bytes,
             }))
+        del known, asked, values, names, seen, run_keys, run_values, places
+        give_back()
         return pa.concat_tables(out)
 
     return (

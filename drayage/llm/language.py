@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from drayage.llm.exact_dedup import unused_name
-from drayage.llm.packed import bucket_count, buckets_of, pack_numbers, pack_words, unpack_numbers, unpack_words
+from drayage.llm.packed import bucket_count, by_bucket, pack_numbers, pack_words, unpack_numbers, unpack_words
 from drayage.llm.salted import join_back, salt_mask, salt_of
 from drayage.llm.words import slices, split_words
 from drayage.scratch import delete, new_path, stage
@@ -97,7 +97,7 @@ def word_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
         for batch in batches:
             for row in batch.to_pylist():
                 words, n = unpack_words(row["words"]), unpack_numbers(row["n"])
-                for bucket, at in _by_bucket(words, buckets):
+                for bucket, at in by_bucket(words, buckets):
                     yield pa.RecordBatch.from_pylist([{
                         "bucket": bucket, "lang": row["lang"],
                         "words": pack_words([words[i] for i in at]), "n": pack_numbers(n[at]),
@@ -140,15 +140,6 @@ def _sorted_codes(words: pa.Array) -> tuple[np.ndarray, list[bytes]]:
     return place[coded.indices.to_numpy()], distinct.take(pa.array(order)).to_pylist()
 
 
-def _by_bucket(words: list[bytes], buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Each bucket that some of the words have, and the places of these words in order."""
-    bucket = buckets_of(words, buckets)
-    order = np.argsort(bucket, kind="stable")
-    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    for no in np.flatnonzero(np.diff(ends)).tolist():
-        yield no, order[ends[no] : ends[no + 1]]
-
-
 class Pieces(NamedTuple):
     """Grams of some words: distinct ``tokens``; every gram's word and its number among them."""
 
@@ -447,12 +438,12 @@ def _rest(blocks: DataFrame, model: Model, shared: Broadcast) -> DataFrame:
                 words = unpack_words(packed)
                 yield pa.RecordBatch.from_pylist([
                     {"block": block, "bucket": bucket, "words": pack_words([words[i] for i in at])}
-                    for bucket, at in _by_bucket(words, buckets)
+                    for bucket, at in by_bucket(words, buckets)
                 ])
 
     def add_up(block: pa.Table, answers: pa.Table) -> pa.Table:
         block = block.to_pylist()[0]
-        order = np.concatenate([at for _, at in _by_bucket(unpack_words(block["words"]), buckets)])
+        order = np.concatenate([at for _, at in by_bucket(unpack_words(block["words"]), buckets)])
         answers = answers.sort_by("bucket")
         sizes, langs, gains = (
             np.concatenate([unpack_numbers(p.as_py(), kind) for p in answers[name]])

@@ -7,7 +7,7 @@ a shuffle, and pass the JVM as one value.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import zstandard
@@ -45,3 +45,12 @@ def bucket_count(words: int) -> int:
 def buckets_of(words: Sequence[bytes], buckets: int) -> np.ndarray:
     """The bucket of each word; Spark's ``crc32(word) % buckets`` is the same."""
     return np.array([zlib.crc32(w) for w in words], dtype=np.int64) % buckets
+
+
+def by_bucket(words: list[bytes], buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket that some of the words have, and the places of these words in order."""
+    bucket = buckets_of(words, buckets)
+    order = np.argsort(bucket, kind="stable")
+    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for no in np.flatnonzero(np.diff(ends)).tolist():
+        yield no, order[ends[no] : ends[no + 1]]

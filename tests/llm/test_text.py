@@ -398,6 +398,26 @@ def test_code_lengths_take_six_bytes_of_context(spark, monkeypatch):
     assert [got[i] for i in range(len(texts))] == pytest.approx(plain_tree(texts[:3], texts, 6), rel=1e-9)
 
 
+def test_questions_of_blocks_are_staged_in_less_than_their_text(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(20_000)]
+    texts = [" ".join(rng.choices(words, k=200)) for _ in range(1000)]
+    folder = Path(scratch.run_folder(spark).removeprefix("file:"))
+    held = lambda: sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+    before = held()
+    scores = [r.score for r in context_tree.score_texts(docs(spark, texts), F.col("doc_id") % 5 != 1).collect()]
+    assert len(scores) == len(texts) and all(-10_000 < s < 0 for s in scores)
+    assert held() - before < 3 * sum(map(len, texts)), (held() - before) / sum(map(len, texts))
+
+
+def test_places_of_numbers_are_found_by_open_addressing():
+    keys = np.unique(np.random.default_rng(3).integers(0, 1 << 56, 5000)) // 7 * 7
+    keys = np.unique(np.concatenate([keys, np.arange(40) << 48]))
+    asked = np.random.default_rng(4).integers(0, len(keys), 20_000)
+    assert (context_tree.Places(keys).of(keys[asked]) == asked).all()
+    assert len(context_tree.Places(keys[:0]).of(keys[:0])) == 0
+
+
 def test_scores_without_training_and_without_rows(spark):
     frame = docs(spark, ["ab", None])
     got = {r.key: r.score for r in context_tree.score_texts(frame, F.lit(None).cast("boolean")).collect()}
