@@ -14,6 +14,7 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import cache, cached_property
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from drayage.llm.words import slices
 
 _SLICE_BYTES = 2 << 20
-_CACHED = 120_000  # chunks whose tokens a worker keeps
+_CACHED = 300_000  # chunks whose tokens a worker keeps, as bytes
 _LONG = 200  # characters; longer chunks are not kept
 _SHORT = 64  # symbols; longer words are merged with a heap
 _NEVER = int(np.iinfo(np.int64).max)
@@ -247,7 +248,7 @@ def _chunks(text: str) -> list[str]:
 
 
 # Tokens of chunks by tokenizer, kept by a Python worker from task to task and bounded by _CACHED.
-_KNOWN: dict[str, dict[str, list[int]]] = {}
+_KNOWN: dict[str, dict[str, bytes]] = {}
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", column: str = "ids") -> DataFrame:
@@ -269,7 +270,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", column: str = "ids")
     return docs.withColumn(column, ids(F.col(f"`{text}`").cast("string")))
 
 
-def _encoded(vocabulary: Vocabulary, texts: pa.Array, known: dict[str, list[int]]) -> pa.ListArray:
+def _encoded(vocabulary: Vocabulary, texts: pa.Array, known: dict[str, bytes]) -> pa.ListArray:
     chunks: list[str] = []
     ends = [0]
     for cell in texts:
@@ -278,14 +279,14 @@ def _encoded(vocabulary: Vocabulary, texts: pa.Array, known: dict[str, list[int]
     coded = pa.array(chunks, pa.large_string()).dictionary_encode()
     distinct = coded.dictionary.to_pylist()
     fresh = [c for c in distinct if c not in known]
-    found = dict(zip(fresh, vocabulary.encode_chunks(fresh)))
+    found = {c: array("i", t).tobytes() for c, t in zip(fresh, vocabulary.encode_chunks(fresh))}
     # What is common comes early, so it is kept until the space is used up.
     room = _CACHED - len(known)
     known.update((c, found[c]) for c in fresh[: max(0, room)] if len(c) <= _LONG)
     tokens = [found[c] if c in found else known[c] for c in distinct]
     # Lay the distinct chunks' tokens out for every chunk of the texts.
-    lengths = np.array([len(t) for t in tokens], dtype=np.int64)
-    flat = np.array([n for t in tokens for n in t], dtype=np.int32)
+    lengths = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens)) // 4
+    flat = np.frombuffer(b"".join(tokens), dtype=np.int32)
     codes = coded.indices.to_numpy()
     sizes = lengths[codes]
     upto = np.concatenate([[0], np.cumsum(sizes)])

@@ -424,3 +424,14 @@ def test_scores_without_training_and_without_rows(spark):
     assert got[1] == pytest.approx(8 * math.log10(0.5)) and got[0] == pytest.approx(32 * math.log10(0.5))
     assert context_tree.score_texts(frame.limit(0), F.lit(True)).count() == 0
     assert hashlib.sha256(b"").hexdigest()  # the digest of no items
+
+
+def test_tokens_of_chunks_are_kept_in_few_bytes():
+    vocabulary, known = bpe.load(PATH), {}
+    texts = pa.array(["the cat, the  cats", None, "", "naïve ÆØÅ 日本 x" + "y" * 300])
+    got = bpe._encoded(vocabulary, texts, known).to_pylist()
+    want = Tokenizer.from_file(PATH)
+    assert got == [want.encode(t or "", add_special_tokens=False).ids for t in texts.to_pylist()]
+    assert bpe._encoded(vocabulary, texts, known).to_pylist() == got
+    # A chunk is kept as four bytes for each token, with no object for a token.
+    assert known and all(isinstance(t, bytes) and len(t) % 4 == 0 for t in known.values())
