@@ -25,10 +25,10 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drayage.llm.words import slices
+from drayage.llm.words import give_back, slices
 
 _SLICE_BYTES = 2 << 20
-_CACHED = 300_000  # chunks whose tokens a worker keeps, as bytes
+_CACHED = 160_000  # chunks whose tokens a worker keeps, as bytes
 _LONG = 200  # characters; longer chunks are not kept
 _SHORT = 64  # symbols; longer words are merged with a heap
 _NEVER = int(np.iinfo(np.int64).max)
@@ -266,6 +266,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", column: str = "ids")
             batch = pa.RecordBatch.from_arrays([part], ["text"])
             lists = [_encoded(vocabulary, run.column("text"), known) for run in slices(batch, "text", _SLICE_BYTES)]
             yield pa.concat_arrays(lists) if lists else pa.array([], pa.list_(pa.int32()))
+            del batch, lists
+            give_back()
 
     return docs.withColumn(column, ids(F.col(f"`{text}`").cast("string")))
 
@@ -313,6 +315,8 @@ def decode(ids: Column, path: str) -> Column:
                 for row in _few(part)
             ]
             yield pa.concat_arrays(joined) if joined else pa.array([], pa.string())
+            del joined
+            give_back()
 
     return text(ids)
 
