@@ -27,8 +27,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from drayage.llm.exact_dedup import unused_name
-from drayage.llm.words import ALNUM, slices, split_words
-from drayage.scratch import stage
+from drayage.llm.url_filter import likely
+from drayage.llm.words import ALNUM, give_back, slices, split_words
+from drayage.scratch import new_path, stage, staging_scope
 
 GAP = 1 << 10  # between documents; a phrase and its slop must be shorter
 SLICE_BYTES = 8 << 20  # text in one row of the index, unless a single text is longer
@@ -47,9 +48,11 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 yield _index_of(part)
+        give_back()
 
     schema = _INDEX.format(key=rows.schema["key"].dataType.simpleString())
     index = rows.mapInArrow(run, schema).withColumn("slice", F.monotonically_increasing_id())
@@ -229,10 +232,19 @@ def drop_contaminated(
     """``docs`` without the rows whose text contains a phrase of any item.
 
     The decision is the text's alone, so rows are known by its digest; rows with null text have
-    no words and stay.  Columns, repeated rows and null keys are kept as they are.
+    no words and stay.  Columns, repeated rows and null keys are kept as they are.  The index is
+    deleted once it was searched.  Only rows that a Bloom filter takes for leaked ones are joined
+    with those; it has a bounded size, beyond which more rows than needed are moved.
     """
+    spark = docs.sparkSession
     digest = unused_name(docs, "_digest")
     rows = docs.withColumn(digest, F.sha2(F.col(f"`{text}`").cast("string"), 256))
-    found = find_phrases(build_index(rows, digest, text), items, item_key, item_text, window)
-    leaked = found.where("size(hits) > 0").select(F.col("key").alias(digest)).distinct()
-    return rows.join(leaked, digest, "left_anti").select(*docs.columns)
+    path = new_path(spark, "leaked")
+    with staging_scope(spark):
+        found = find_phrases(build_index(rows, digest, text), items, item_key, item_text, window)
+        found.where("size(hits) > 0").select(F.col("key").alias(digest)).distinct().write.parquet(path)
+    leaked = spark.read.schema(f"`{digest}` string").parquet(path)
+    number = F.xxhash64(F.col(digest))
+    maybe = likely(leaked.select(number.alias("number")), "number")(number)
+    clean = rows.where(~maybe).unionByName(rows.where(maybe).join(leaked, digest, "left_anti"))
+    return clean.select(*docs.columns)

@@ -13,9 +13,15 @@ smallest one.  Members that are connected then need no comparison, so what is le
 members are not all connected; these are cut into chunks, and every pair of chunks is a group of
 its own.  In a group, the pairs that agree most and together would connect all its components are
 compared, round by round, as long as most of them hold; so a group of ``n`` copies that one member
-connects takes about ``n`` comparisons and not their square.  All pairs that are still in different
-components are compared at the end, so no link is lost.  A sketch of a byte for each minimum leaves
-out pairs that cannot be similar enough.
+connects takes about ``n`` comparisons and not their square.  A sketch of a byte for each minimum
+leaves out pairs that cannot be similar enough.
+
+Large groups whose members have much in common, but too little, are left apart by that.  Their sets
+are then keyed by their rarest shingles instead: sets that are similar enough share one of those that
+come before the part they must have in common, and early enough in both for that part to follow.
+What is frequent in such a group comes last and proposes nothing.  All pairs of these keys, and of
+keys of at most ``FEW`` members, that are still in different components are compared at the end, so no
+link is lost.
 
 Sets of shingles are as large as the texts, so none is stored: those of proposed pairs are made again from
 their texts.
@@ -33,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from drayage.llm.components import component_roots
-from drayage.llm.salted import join_back, salt_mask, salt_of
+from drayage.llm.salted import SALTS, join_back, salt_mask, salt_of
 from drayage.llm.simhash import CHUNK, close_links, majority, shingle_hashes
 from drayage.llm.url_filter import likely
 from drayage.llm.words import give_back, slices
@@ -42,6 +48,7 @@ from drayage.scratch import new_path, stage, staging_scope
 RADIUS, BLOCKS = 3, 6  # 20 keys of three blocks, 32 bits each
 BANDS, ROWS = 20, 4
 MINIMA = BANDS * ROWS
+FEW = 16  # members of a key that may all be compared with each other
 _SLICE_BYTES = 8 << 20
 _PIECE = 2048  # shingles that are hashed at once
 _RANDOM = np.random.default_rng(7)
@@ -149,7 +156,9 @@ def _members(classes: DataFrame) -> DataFrame:
     least = classes.select(F.col("digest").alias("first"), F.struct("digest", "sketch").alias("least"))
     shared = shared.join(least, "first").drop("first")
     members = join_back(keyed, shared, ["band", "block"], "salt", "salts", "inner")
-    return members.join(classes.select("digest", "sketch"), "digest")
+    # Where keys are shingles, ``rest`` of the ``size`` of a set follow; a band says nothing of that.
+    unknown = {name: F.lit(0) for name in ("size", "rest")}
+    return members.join(classes.select("digest", "sketch"), "digest").withColumns(unknown)
 
 
 def _close_prints(classes: DataFrame, chunk: int) -> DataFrame:
@@ -185,7 +194,9 @@ def _with_least(members: DataFrame, agreeing: int) -> DataFrame:
     return pairs.mapInArrow(run, "a binary, b binary").distinct()
 
 
-def _apart(members: DataFrame, roots: DataFrame, agreeing: int, chunk: int, spanning: bool) -> DataFrame:
+def _apart(
+    members: DataFrame, roots: DataFrame, agreeing: int, chunk: int, spanning: bool, similarity: float
+) -> DataFrame:
     """Pairs ``a``, ``b`` of one key that lie in different components, where the sketches agree enough.
 
     All such pairs, or with ``spanning`` of each group of members only the most alike ones that would
@@ -199,18 +210,19 @@ def _apart(members: DataFrame, roots: DataFrame, agreeing: int, chunk: int, span
     )
     mixed = mixed.where("low <> high").drop("low", "high")
     left = join_back(members, mixed, ["band", "block"], "salt", "salts", "inner")
-    left = left.select("digest", "sketch", "band", "block", "n").join(roots, "digest", "left")
+    left = left.select("digest", "sketch", "size", "rest", "band", "block", "n").join(roots, "digest", "left")
     pairs = (
         left.withColumn("chunks", F.ceil(F.col("n") / F.lit(chunk // 2)).cast("int"))
         .withColumn("own", F.pmod(F.xxhash64(F.col("digest"), F.lit(7)), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select(
             "band", "block", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-            F.struct("digest", own, "sketch").alias("member"),
+            F.struct("digest", own, "sketch", "size", "rest").alias("member"),
         )
     )
     groups = pairs.groupBy("band", "block", "low", "high").agg(F.collect_list("member").alias("members"))
     chosen = _spanning if spanning else _crossing
+    part = similarity / (1 + similarity)  # of both sizes, that similar sets have in common
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,28 +231,92 @@ def _apart(members: DataFrame, roots: DataFrame, agreeing: int, chunk: int, span
                 digests = found.field("digest")
                 sketches = np.ascontiguousarray(_matrix(found.field("sketch")).T)
                 root = found.field("root").dictionary_encode().indices.to_numpy()
-                for a, b in chosen(sketches, root, agreeing):
+                needed, rest = found.field("size").to_numpy() * part - 1e-6, found.field("rest").to_numpy()
+                for a, b in chosen(sketches, root, agreeing, (needed, rest)):
                     yield pa.RecordBatch.from_arrays([digests.take(pa.array(a)), digests.take(pa.array(b))], ["a", "b"])
 
     found = groups.where("size(members) > 1").select("members").mapInArrow(run, "a binary, b binary")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _agreement(sketches: np.ndarray, i: int) -> np.ndarray:
-    """How many minima every member (a column) has in common with member ``i``."""
-    return (sketches == sketches[:, i : i + 1]).sum(axis=0, dtype=np.uint8)
+def _by_rare_shingles(
+    members: DataFrame, roots: DataFrame, pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str,
+    shingle: int, similarity: float,
+) -> DataFrame:
+    """The sets of ``members`` in components that ``pairs`` leave apart, a row for each of their rarest shingles as ``block``.
+
+    Shingles are in order of the number of these sets that have them.  Sets that are similar enough share
+    at least ``similarity`` of the shingles of each, so the first shared one is not among the last such part
+    but one of either set.  ``rest`` counts the shingles of a set from there on: no more can be shared.
+    """
+    spark = members.sparkSession
+    own = F.coalesce("root", "digest").alias("root")
+    roots = roots.withColumnRenamed("node", "digest")
+    ends = pairs.withColumn("pair", F.monotonically_increasing_id()).select("pair", F.explode(F.array("a", "b")).alias("digest"))
+    apart = ends.join(roots, "digest", "left").groupBy("pair").agg(F.collect_set(own).alias("roots")).where("size(roots) > 1")
+    touched = apart.select(F.explode("roots").alias("root")).distinct().withColumn("salts", F.lit((1 << SALTS) - 1))
+    left = members.select("digest").distinct().join(roots, "digest", "left").select("digest", own)
+    left = left.withColumn("salt", salt_of(F.col("digest")))
+    wanted = join_back(left, touched, "root", "salt", "salts", "inner").select("digest")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n in range(batch.num_rows):
+                found = np.frombuffer(batch.column("shingles")[n].as_py(), dtype=np.int64)
+                whole = pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), pa.array(found))
+                yield pa.RecordBatch.from_arrays([batch.column("digest").slice(n, 1), whole], ["digest", "shingles"])
+
+    path = new_path(spark, "overlap-members")
+    with staging_scope(spark):
+        wanted = stage(classes.select("text_hash", "digest").join(wanted, "digest"), "overlap-wanted")
+        sets = _sets_of(wanted, docs, text, shingle).mapInArrow(run, "digest binary, shingles array<long>")
+        each = sets.select("digest", F.size("shingles").alias("size"), F.explode("shingles").alias("block"))
+        each = each.withColumn("salt", salt_of(F.col("digest")))
+
+        def shared(rows: DataFrame) -> DataFrame:
+            counts = rows.groupBy("block").agg(F.count("*").alias("n"), salt_mask(F.col("salt")).alias("salts"))
+            return join_back(rows, counts.where("n > 1"), "block", "salt", "salts", "inner")
+
+        # Shingles that no other set has come first.
+        ranked = shared(each).groupBy("digest", "size", "salt").agg(
+            F.sort_array(F.collect_list(F.struct("n", "block"))).alias("shared")
+        )
+        ranked = ranked.withColumn("lone", F.col("size") - F.size("shared"))
+        placed = ranked.select("digest", "size", "salt", "lone", F.posexplode("shared").alias("place", "key"))
+        placed = placed.withColumn("rest", F.col("size") - F.col("lone") - F.col("place"))
+        rare = placed.where(F.col("rest") >= F.ceil(F.col("size") * similarity - 1e-9))
+        rare = shared(stage(rare.select("digest", "size", "rest", "salt", F.col("key.block").alias("block")), "overlap-rare"))
+        rows = rare.join(classes.select("digest", "sketch"), "digest").withColumn("band", F.lit(-1))
+        rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _agreement(sketches: np.ndarray, i: int, sizes: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """How many minima every member (a column) has in common with member ``i``; none where ``sizes`` forbid.
+
+    ``sizes``: what each member adds to the number of shingles to be shared, and how many it has left to share.
+    """
+    agreement = (sketches == sketches[:, i : i + 1]).sum(axis=0, dtype=np.uint8)
+    if sizes:
+        needed, rest = sizes
+        agreement[np.minimum(rest, rest[i]) < needed + needed[i]] = 0
+    return agreement
 
 
-def _crossing(sketches: np.ndarray, root: np.ndarray, agreeing: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _crossing(
+    sketches: np.ndarray, root: np.ndarray, agreeing: int, sizes: tuple[np.ndarray, np.ndarray] | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of members of different components that agree enough."""
     for i in range(len(root) - 1):
-        alike = (root != root[i]) & (_agreement(sketches, i) >= agreeing)
+        alike = (root != root[i]) & (_agreement(sketches, i, sizes) >= agreeing)
         others = i + 1 + np.flatnonzero(alike[i + 1 :])
         if len(others):
             yield np.full(len(others), i), others
 
 
-def _spanning(sketches: np.ndarray, root: np.ndarray, agreeing: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _spanning(
+    sketches: np.ndarray, root: np.ndarray, agreeing: int, sizes: tuple[np.ndarray, np.ndarray] | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs that agree enough, the most alike first, until no component can be connected to another."""
     outside = np.ones(len(root), bool)
     best = np.zeros(len(root), np.int64)  # agreement with the nearest member inside
@@ -253,7 +329,7 @@ def _spanning(sketches: np.ndarray, root: np.ndarray, agreeing: int) -> Iterator
         component = np.flatnonzero(root == root[at])
         outside[component] = False
         for i in component:
-            agreement = _agreement(sketches, i)
+            agreement = _agreement(sketches, i, sizes)
             closer = agreement > best
             best[closer], near[closer] = agreement[closer], i
     if pairs:
@@ -317,19 +393,27 @@ def similar_groups(
     proposed = _close_prints(classes, chunk).unionByName(_with_least(members, agreeing)).distinct()
     proposed = stage(proposed, "overlap-pairs")
     links = _verified(proposed, classes, docs, text, shingle, similarity)
+    roots = _roots(links)
     while True:
-        # Few pairs connect most of a large group; what they leave apart is compared in full.
-        pairs = stage(_apart(members, _roots(links), agreeing, chunk, spanning=True), "overlap-pairs")
+        # Few pairs connect most of a large group.
+        pairs = stage(_apart(members, roots, agreeing, chunk, True, similarity), "overlap-pairs")
         asked = pairs.count()
         if not asked:
             break
         found = _verified(pairs, classes, docs, text, shingle, similarity)
-        links = links.unionByName(found)
-        if 2 * found.count() < asked:
-            pairs = stage(_apart(members, _roots(links), agreeing, chunk, spanning=False), "overlap-pairs")
+        links, held = links.unionByName(found), found.count()
+        if held:
+            roots = _roots(links)
+        if 2 * held < asked:
+            # By now the most alike members of large parts were compared; what is left apart is compared in full.
+            large = members.where(F.col("n") > FEW)
+            rare = _by_rare_shingles(large, roots, pairs, classes, docs, text, shingle, similarity)
+            keys = members.where(F.col("n") <= FEW).select(*rare.columns).unionByName(rare)
+            pairs = stage(_apart(keys, roots, agreeing, chunk, False, similarity), "overlap-pairs")
             links = links.unionByName(_verified(pairs, classes, docs, text, shingle, similarity))
+            roots = _roots(links)
             break
-    placed = classes.select("digest", "first", "salts").join(_roots(links).withColumnRenamed("node", "digest"), "digest", "left")
+    placed = classes.select("digest", "first", "salts").join(roots.withColumnRenamed("node", "digest"), "digest", "left")
     # Most sets are components of their own and take no part in the join by root.
     alone = placed.where("root IS NULL").select("digest", "salts", F.col("first").alias("component"))
     linked = placed.where("root IS NOT NULL")

@@ -204,6 +204,63 @@ def test_copies_that_one_text_connects(spark):
     assert [got[i] for i in range(len(texts))] == [0] * 61 + [61, 61]
 
 
+def edited(n, most, seed):
+    """A text, and copies of it in which up to ``most`` words are others."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(150)]
+    texts = [base]
+    for i in range(n):
+        text = list(base)
+        for at in rng.sample(range(150), rng.randint(0, most)):
+            text[at] = f"x{i}y{at}"
+        texts.append(text)
+    return texts
+
+
+def test_copies_too_far_apart_take_few_comparisons(spark, monkeypatch):
+    """Most copies share too little, but far more than other texts: their pairs are not compared one by one."""
+    verified, asked = overlap._verified, []
+
+    def counting(links, *rest):
+        asked.append(links.count())
+        return verified(links, *rest)
+
+    monkeypatch.setattr(overlap, "_verified", counting)
+    texts = edited(400, 12, 6)
+    frame = docs(spark, [(i, " ".join(t)) for i, t in enumerate(texts)])
+    got = {r.key: r.component for r in overlap.similar_groups(frame).collect()}
+    linked = [(i, j) for i, a in enumerate(texts) for j, b in enumerate(texts[:i]) if jaccard(a, b) >= 0.8]
+    root = list(range(len(texts)))
+    for _ in range(3):
+        for i, j in linked:
+            root[i] = root[j] = min(root[i], root[j])
+    assert [got[i] for i in range(len(texts))] == root and len(set(root)) > 200
+    assert sum(asked) < 20 * len(texts)
+
+
+def test_rare_shingles_lead_to_all_similar_pairs(spark):
+    texts = edited(80, 16, 9) + [t[:k] for t in edited(6, 2, 4) for k in (3, 5, 9, 30)]
+    frame = docs(spark, [(i, " ".join(t)) for i, t in enumerate(texts)])
+    rows = overlap._described(frame, "doc_id", "text", 5)
+    classes = rows.groupBy("digest").agg(
+        F.min("key").alias("first"), F.first("text_hash").alias("text_hash"), F.first("sketch").alias("sketch")
+    )
+    # All sets share one key, and none is linked yet.
+    members = classes.select("digest", "sketch", F.lit(0).alias("band"), F.lit(0).cast("long").alias("block"))
+    members = members.withColumns({"n": F.lit(999), "salt": F.lit(3), "size": F.lit(0), "rest": F.lit(0)})
+    none = spark.createDataFrame([], "node binary, root binary")
+    least = classes.agg(F.min("digest")).first()[0]
+    pairs = classes.where("digest <> x''").select(F.lit(least).alias("a"), F.col("digest").alias("b"))
+    found = overlap._by_rare_shingles(members, none, pairs, classes, frame, "text", 5, 0.8)
+    proposed = overlap._apart(found, none, 0, 8, False, 0.8)
+    first = {bytes(r.digest): r.first for r in classes.select("digest", "first").collect()}
+    got = {tuple(sorted((first[bytes(r.a)], first[bytes(r.b)]))) for r in proposed.collect()}
+    every = sorted(first.values())
+    want = {(i, j) for i in every for j in every if i < j and jaccard(texts[i], texts[j]) >= 0.8}
+    assert len(want) > 20 and want <= got
+    assert len(got) < len(every) * (len(every) - 1) / 4
+
+
 def test_similar_rows_of_odd_tables(spark):
     frame = docs(spark, [*ROWS, (7, " "), (8, "A  b C")]).withColumns({"_digest": F.lit(1), "key": F.lit(2)})
     kept = simhash.keep_one_of_each(frame)

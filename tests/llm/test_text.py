@@ -86,6 +86,31 @@ def test_contaminated_rows_go_and_others_stay(spark):
     assert decontaminate.drop_contaminated(frame.limit(0), items).count() == 0
 
 
+def test_leaks_leave_no_index_and_move_few_rows(spark, monkeypatch):
+    leak = " ".join(f"w{i}" for i in range(10))
+    frame = docs(spark, [f"x{i} {leak}" if i % 50 == 0 else f"clean text {i}" for i in range(1000)] + [None])
+    items = spark.createDataFrame([(1, leak)], "item_id long, text string")
+    staged, joined = [], []
+    stage, anti = decontaminate.stage, type(frame).join
+
+    def staging(df, label):
+        staged.append(stage(df, label))
+        return staged[-1]
+
+    def joining(self, other, on=None, how=None):
+        if how == "left_anti":
+            joined.append(self.count())
+        return anti(self, other, on, how)
+
+    monkeypatch.setattr(decontaminate, "stage", staging)
+    monkeypatch.setattr(type(frame), "join", joining)
+    kept = decontaminate.drop_contaminated(frame, items)
+    paths = [path for df in staged for path in df.inputFiles()]
+    assert paths and not any(Path(path.removeprefix("file://")).exists() for path in paths)
+    assert len(joined) == 1 and 20 <= joined[0] < 500
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(1001) if i % 50 or i == 1000]
+
+
 BASE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
