@@ -265,7 +265,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", head: int = HEA
         seen[r["size"], r["lang"]] = r["n"]
     rates = MIX / (1 - MIX) * seen.sum(axis=1, keepdims=True) / np.maximum(seen, 1)
     # A word pays for each of its languages, so there are no more than `head` pairs.
-    common = words.where(F.col("n") * head >= F.size("counts") * F.lit(sum(totals.values())))
+    common = words.where(F.col("n") * head >= F.size("counts").cast("long") * F.lit(sum(totals.values())))
     near = _head(grams.collect(), "token", rates) if sum(r["pairs"] for r in sums) <= head else None
     return Model(langs, rates, _head(common.collect(), "word", rates), words, grams, near)
 

@@ -290,6 +290,19 @@ def test_grams_sent_to_tasks_and_grams_joined_score_alike(spark):
                 assert row.language.lang == lang and row.language.score == pytest.approx(score, abs=1e-6)
 
 
+@pytest.mark.parametrize("many", [350_000_000, 3_500_000_000])
+def test_more_words_than_32_bits_can_count(spark, monkeypatch, many):
+    """A few GB of text have so many words that those times a word's languages are beyond 32 bits."""
+    rows = [("der", [("de", many)]), ("the", [("en", many)]), ("in", [("de", many), ("en", many)]), ("rare", [("en", 1)])]
+    rows = [(word, counts, sum(n for _, n in counts)) for word, counts in rows]
+    counted = spark.createDataFrame(rows, "word string, counts array<struct<lang: string, n: long>>, n long")
+    monkeypatch.setattr(language, "word_counts", lambda *_: counted)
+    model = language.fit(docs(spark, []))
+    assert set(model.head.numbers) == {"der", "the", "in"} and model.grams.agg(F.max("n")).first()[0] > 2 * many
+    got = language.predict(docs(spark, ["der in", "the in rare"], None), model).orderBy("doc_id").collect()
+    assert [r.language.lang for r in got] == ["de", "en"]
+
+
 def test_rare_words_are_staged_in_less_than_their_text(spark):
     rng = random.Random(8)
     common = ["".join(rng.choices("abcdefghijklmnop", k=8)) for _ in range(20_000)]
