@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from drayage.llm.exact_dedup import unused_name
 from drayage.llm.packed import bucket_count, by_bucket, pack_numbers, pack_words, unpack_numbers, unpack_words
 from drayage.llm.salted import join_back, salt_mask, salt_of
-from drayage.llm.words import slices, split_words
+from drayage.llm.words import give_back, slices, split_words
 from drayage.scratch import delete, new_path, stage
 
 UNKNOWN = "und"
@@ -86,6 +86,7 @@ def word_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
                         "lang": langs.dictionary[int(no)].as_py(), "size": int(own.sum()),
                         "words": pack_words([distinct[c] for c in code[own]]), "n": pack_numbers(n[own].astype(np.int64)),
                     }])
+            give_back()
 
     spark, path = docs.sparkSession, new_path(docs.sparkSession, "packed-counts")
     packed = rows.mapInArrow(run, "lang string, size long, words binary, n binary")
@@ -104,6 +105,7 @@ def word_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
                     }])
 
     def merge(parts: pa.Table) -> pa.Table:
+        give_back()
         langs = parts["lang"].combine_chunks().dictionary_encode()
         lists = [unpack_words(p.as_py()) for p in parts["words"]]
         words = pa.array([w for x in lists for w in x], pa.binary()).dictionary_encode()
@@ -190,6 +192,7 @@ def gram_counts(counts: DataFrame) -> DataFrame:
                         ],
                         ["lang", "token", "size", "n"],
                     )
+        give_back()
 
     counted = counts.mapInArrow(run, "lang int, token string, size int, n long")
     return counted.groupBy("lang", "token", "size").agg(F.sum("n").alias("n"))
@@ -393,6 +396,7 @@ def _answers(questions: DataFrame, model: Model, shared: Broadcast, buckets: int
         table = table.unionByName(words.join(longest.unionByName(shorter), "id").select(bucket, "word", "gains"))
 
     def look_up(asked: pa.Table, known: pa.Table) -> pa.Table:
+        give_back()
         model = shared.value
         lists = [unpack_words(p.as_py()) for p in asked["words"]]
         coded = pa.array([w for x in lists for w in x], pa.binary()).dictionary_encode()
@@ -505,6 +509,8 @@ def predict(
             found = [_read(shared.value, run.column("text"), run.column("number")) for run in runs]
             columns = [pa.concat_arrays(same) for same in zip(*found)]
             yield pa.StructArray.from_arrays(columns, ["letters", "sums", "block"])
+            del batch, runs, found, columns
+            give_back()
 
     @F.arrow_udf(target)
     def decide(letters: pa.Array, sums: pa.Array, more: pa.Array) -> pa.Array:
